@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .plans import queries
+
+QUERIES = queries.QUERIES
+ORACLES = queries.ORACLES
 FLAGSHIP = "dup_actions"
