@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
-from ..operators import apportion, audit, dedup, metrics, rules
+from ..functions import rings, text
+from ..operators import apportion, assign, audit, dedup, metrics, rules
 from ..sources.tables import files_fingerprint, parse_json, raw_group_counts, read_table
 from . import bindings as b
 
@@ -444,3 +444,83 @@ def mapping_diff(spark, sf):
 def set_equality(spark, sf):
     n = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
     return audit.set_difference(n.where("n_nationkey % 3 <> 2"), n.where("n_nationkey % 3 <> 0"))
+
+
+def _first_groups(spark, sf, n: int = 47) -> DataFrame:
+    """The first groups of kind A with their rate bin and counts."""
+    items = b.ruled_items(spark, sf).where("kind = 'A' and eligible").withColumn("area_bin", text.area_bin("extent_sum"))
+    first = items.select("group_id").distinct().orderBy("group_id").limit(n)
+    features = assign.group_features(items.join(first, "group_id", "left_semi"), b.FACETS, list(text.AREA_BINS))
+    return features.withColumn("bin", text.rate_bin(F.col("f")[1] / F.col("f")[0])).cache()
+
+
+def _test_ids(groups: DataFrame) -> list[int]:
+    counts = groups.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).withColumn("cap", F.col("n"))
+    quotas = {r["bin"]: r["quota"] for r in apportion.largest_remainder(counts, 7, "bin", "n", "cap").collect()}
+    return assign.choose_test(groups, quotas, len(b.FACETS), 42)
+
+
+@query()
+def test_assignment(spark, sf):
+    groups = _first_groups(spark, sf)
+    return groups.select("group_id", "bin", F.when(F.col("group_id").isin(_test_ids(groups)), "test").otherwise("development").alias("role"))
+
+
+_FIRST_SQL = b.ITEMS_SQL + ", f AS (SELECT rate_bin, count(*) AS n FROM (SELECT * FROM rated WHERE kind = 'A' ORDER BY group_id LIMIT 47) GROUP BY 1)"
+
+
+@query(_FIRST_SQL + quota_sql("f", "rate_bin", 7) + " SELECT key AS bin, n AS n_groups, quota AS n_test FROM quotas")
+def test_assignment_invariants(spark, sf):
+    return test_assignment(spark, sf).groupBy("bin").agg(F.count(F.lit(1)).alias("n_groups"), F.count(F.when(F.col("role") == "test", 1)).alias("n_test"))
+
+
+@query()
+def fold_assignment(spark, sf):
+    groups = _first_groups(spark, sf)
+    development = groups.where(~F.col("group_id").isin(_test_ids(groups)))
+    folds = assign.choose_folds(development, 5, len(b.FACETS), 42, restarts=100)
+    named = development.join(folds, "group_id").select("group_id", "f", F.concat(F.lit("fold_"), F.col("fold").cast("string")).alias("split"))
+    return assign.refine_density(named).select("group_id", "split", F.col("f")[0].alias("n_items"), F.col("f")[2].alias("n_annotations"))
+
+
+@query("SELECT 'fold_' || k AS split, 8::BIGINT AS n_groups, 8::BIGINT AS n_distinct FROM range(5) t(k)")
+def fold_invariants(spark, sf):
+    return fold_assignment(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("n_groups"), F.count_distinct("group_id").alias("n_distinct"))
+
+
+def _rectangles(spark, sf) -> DataFrame:
+    x, y = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double") * 10
+    w, h = F.rint(F.col("l_discount") * 100) * 3, F.rint(F.col("l_tax") * 100) * 3
+    ring = F.array(rings.point(x, y), rings.point(x + w, y), rings.point(x + w, y + h), rings.point(x, y + h))
+    frame = F.lit(50.0)
+    lines = read_table(spark, sf, "lineitem").select("l_linenumber", "l_quantity", ring.alias("ring"))
+    return rings.clip_to_frame(lines, "ring", frame, frame, "clipped")
+
+
+@query("""SELECT l_linenumber, count(*) AS n, round(sum(greatest(0, least(l_quantity + round(l_discount * 100) * 3, 50) - l_quantity) * greatest(0, least(l_linenumber * 10 + round(l_tax * 100) * 3, 50) - l_linenumber * 10)), 3)::DOUBLE AS area
+FROM lineitem GROUP BY 1""")
+def ring_clip_area(spark, sf):
+    clipped = _rectangles(spark, sf).withColumn("a", rings.area(F.col("clipped")))
+    return clipped.groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("a"), 3).alias("area"))
+
+
+@query()
+def ring_boxes(spark, sf):
+    frame = F.lit(100.0)
+    flat = F.transform("embedding", lambda v: v.cast("double") * 150 + 50)
+    docs = read_table(spark, sf, "embeddings").select("vec_id", flat.alias("flat")).withColumn("ring", rings.cleaned(rings.ring_of_flat(F.col("flat"))))
+    clipped = rings.clip_to_frame(docs, "ring", frame, frame, "clipped")
+    box = rings.box(rings.bounds(F.col("clipped")), frame, frame)
+    ratio = rings.rounded_box_ratio(F.col("clipped"), frame, frame)
+    digest = F.sha1(F.to_json(rings.canonical_ring(F.col("ring"))))
+    return clipped.select("vec_id", box.alias("b"), ratio.alias("box_ratio"), digest.alias("outline")).select("vec_id", "b.*", "box_ratio", "outline")
+
+
+@query()
+def ring_issues(spark, sf):
+    frame = F.lit(100.0)
+    flat = F.transform("embedding", lambda v: v.cast("double") * 150 + 50)
+    docs = read_table(spark, sf, "embeddings").select("vec_id", flat.alias("flat")).withColumn("ring", rings.cleaned(rings.ring_of_flat(F.col("flat"))))
+    clipped = rings.clip_to_frame(docs, "ring", frame, frame, "clipped")
+    codes = rings.ring_issues(F.col("flat"), F.col("ring"), F.col("clipped"), frame, frame)
+    return clipped.select(F.explode(codes).alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
