@@ -35,8 +35,9 @@ INDEX = "row long, train boolean, n_words long, word binary, chunk long, posting
 MODEL_SCHEMA = "word binary, c long, lattice double"
 
 
-def _index_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (word NULL) and of distinct words by chunk (row NULL)."""
+def _index_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """Batches of documents (True, word NULL; one for each batch read) and of distinct
+    words by chunk (False, row NULL)."""
     from pyspark import TaskContext
 
     chunk = TaskContext.get().partitionId() << 24
@@ -79,17 +80,17 @@ def _index_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             n_words.append(len(words))
             docs, size = docs + 1, size + len(data)
             if docs == CHUNK_DOCS or size > CHUNK_BYTES:
-                yield words_of()
+                yield False, words_of()
                 chunk, docs, size = chunk + 1, 0, 0
                 postings.clear()
                 trained.clear()
         n = len(at)
-        yield pa.RecordBatch.from_arrays(
+        yield True, pa.RecordBatch.from_arrays(
             [pa.array(at, pa.int64()), batch["train"], pa.array(n_words, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.int64())],
             names=[x.split()[0] for x in INDEX.split(", ")],
         )
     if postings:
-        yield words_of()
+        yield False, words_of()
 
 
 def vocabulary_path(name: str) -> str:
@@ -198,8 +199,8 @@ def score_documents(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULA
                 held.append(b["kept"])
                 yield b
 
-        for out in _index_chunks(watched()):
-            own = held.pop(0) if out["word"].null_count == out.num_rows and out.num_rows else pa.nulls(out.num_rows, pa.string())
+        for of_docs, out in _index_chunks(watched()):
+            own = held.pop(0) if of_docs else pa.nulls(out.num_rows, pa.string())
             yield pa.RecordBatch.from_arrays([*out.columns, own], names=[*out.schema.names, "kept"])
 
     indexed = materialize(index_in.mapInArrow(index, f"{INDEX}, kept string"), "index")

@@ -120,11 +120,11 @@ def mix_documents(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_E
     """
     plan = mix_plan(docs, share, max_epochs, seed)
     # Rows that are equal have one key: their words taken are summed, one of them is expanded.
-    taken = plan.where("taken > 0").groupBy("key").agg(F.max("size").alias("__size"), F.sum("taken").alias("__taken"))
+    taken = plan.where("taken > 0").groupBy(F.col("key").alias("__tk")).agg(F.max("size").alias("__size"), F.sum("taken").alias("__taken"))
     names = docs.columns
     keyed = docs.withColumn("__key", row_key(seed, F.col("source"), F.col("doc_id"), F.col("text"))).dropDuplicates(["__key"])
     copies = (
-        keyed.join(taken, F.col("__key") == F.col("key"))
+        keyed.join(taken, F.col("__key") == F.col("__tk"))
         .withColumn("__whole", F.expr("__taken div __size"))
         .withColumn("__part", F.expr("__taken % __size"))
         .withColumn("__words", F.explode(F.expr("array_compact(concat(array_repeat(__size, cast(__whole as int)), array(nullif(__part, 0L))))")))
