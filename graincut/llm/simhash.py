@@ -135,13 +135,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     hashes. Of a component without doc_ids the row with the least hash stays.
     """
     names = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.withColumn("__row", F.xxhash64(*names))
-    marked = near_duplicates(keyed, ["doc_id", "__row"])
-    pick = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"))).alias("__p")
+    # 128 bits that stand for a whole row; never NULL, so that join and cut share one shuffle.
+    keyed = docs.withColumns({"__row": F.xxhash64(*names), "__row2": F.xxhash64(F.lit("second"), *names)})
+    marked = near_duplicates(keyed, ["doc_id", "__row", "__row2"])
+    pick = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"), F.col("__row2"))).alias("__p")
     picked = marked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("__alone")).agg(pick)
-    picked = picked.select(F.col("__p.doc_id").alias("__id"), F.col("__p.__row").alias("__r"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__r"))
-    return keyed.join(picked, same, "left_semi").dropDuplicates(["doc_id", "__row"]).select(*names)
+    picked = picked.select(F.col("__p.__row").alias("__row"), F.col("__p.__row2").alias("__row2"))
+    return keyed.join(picked, ["__row", "__row2"], "left_semi").dropDuplicates(["__row", "__row2"]).select(*names)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
