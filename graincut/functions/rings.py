@@ -53,13 +53,15 @@ def clip_half(ring: Column, axis: str, bound: Column, above: bool) -> Column:
         at = p[other] + (bound - p[axis]) / (q[axis] - p[axis]) * (q[other] - p[other])
         return point(bound, at) if axis == "x" else point(at, bound)
 
-    def step(p: Column, i: Column) -> Column:
-        q = _next(ring, i)
+    def step(side: Column) -> Column:
+        p, q = side["p"], side["q"]
         none = F.array().cast("array<struct<x:double,y:double>>")
-        own = F.when(inside(p), F.array(p)).otherwise(none)
-        return F.concat(own, F.when(inside(p) != inside(q), F.array(crossing(p, q))).otherwise(none))
+        cut = F.array(crossing(p, q))
+        return F.when(inside(p), F.when(inside(q), F.array(p)).otherwise(F.concat(F.array(p), cut))).otherwise(F.when(inside(q), cut).otherwise(none))
 
-    return F.flatten(F.transform(ring, step))
+    turned = F.concat(F.slice(ring, 2, F.greatest(F.size(ring), F.lit(0))), F.slice(ring, 1, 1))
+    sides = F.zip_with(ring, turned, lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    return F.when(F.forall(ring, inside), ring).otherwise(F.flatten(F.transform(sides, step)))
 
 
 def clip_to_frame(df, ring: str, width: Column, height: Column, out: str):
