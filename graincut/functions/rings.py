@@ -82,9 +82,10 @@ def bounds(ring: Column) -> Column:
 
 def box(b: Column, width: Column, height: Column) -> Column:
     """struct(cx, cy, w, h) of bounds, as shares of the frame; a flat side is widened by half
-    a unit each way."""
-    x1, x2 = (F.when(b["x2"] > b["x1"], b[k]).otherwise(b[k] + s) for k, s in (("x1", -0.5), ("x2", 0.5)))
-    y1, y2 = (F.when(b["y2"] > b["y1"], b[k]).otherwise(b[k] + s) for k, s in (("y1", -0.5), ("y2", 0.5)))
+    a unit each way, inside the frame."""
+    low = lambda a, z: F.when(b[z] > b[a], b[a]).otherwise(F.greatest(F.lit(0.0), b[a] - 0.5))
+    high = lambda a, z, d: F.when(b[z] > b[a], b[z]).otherwise(F.least(d.cast("double"), b[z] + 0.5))
+    x1, x2, y1, y2 = low("x1", "x2"), high("x1", "x2", width), low("y1", "y2"), high("y1", "y2", height)
     return F.struct(
         ((x1 + x2) / 2 / width).alias("cx"), ((y1 + y2) / 2 / height).alias("cy"), ((x2 - x1) / width).alias("w"), ((y2 - y1) / height).alias("h")
     )
@@ -107,6 +108,80 @@ def canonical_ring(ring: Column) -> Column:
     return F.when(F.size(ring) > 0, F.least(from_least(ring), from_least(F.reverse(ring))))
 
 
+def outline_in_frame(ring: Column, width: Column, height: Column) -> Column:
+    """End points of the parts of a ring's sides that lie in the frame; empty if none does."""
+
+    def span(p: Column, d: Column, size: Column) -> tuple[Column, Column]:
+        """The stretch of 0..1 along a side where one coordinate is inside; 2, -1: nowhere."""
+        within = (p >= 0) & (p <= size)
+        enter = F.when(d > 0, -p / d).when(d < 0, (size - p) / d).otherwise(F.when(within, 0.0).otherwise(2.0))
+        leave = F.when(d > 0, (size - p) / d).when(d < 0, -p / d).otherwise(F.when(within, 1.0).otherwise(-1.0))
+        return enter, leave
+
+    def ends(p: Column, i: Column) -> Column:
+        q = _next(ring, i)
+        dx, dy = q["x"] - p["x"], q["y"] - p["y"]
+        (ex, lx), (ey, ly) = span(p["x"], dx, width.cast("double")), span(p["y"], dy, height.cast("double"))
+        a, z = F.greatest(F.lit(0.0), ex, ey), F.least(F.lit(1.0), lx, ly)
+        none = F.array().cast("array<struct<x:double,y:double>>")
+        return F.when(a <= z, F.array(point(p["x"] + a * dx, p["y"] + a * dy), point(p["x"] + z * dx, p["y"] + z * dy))).otherwise(none)
+
+    return F.flatten(F.transform(ring, ends))
+
+
+def may_be_several_parts(ring: Column, width: Column, height: Column) -> Column:
+    """True if a ring crosses one line of the frame more than twice, so that the frame may cut it in parts."""
+
+    def crossings(axis: str, bound: Column) -> Column:
+        beyond = F.transform(ring, lambda p: p[axis] > bound)
+        turns = F.filter(beyond, lambda v, i: v != F.get(beyond, ((i + 1) % F.size(ring)).cast("int")))
+        return F.size(turns)
+
+    lines = (("x", F.lit(0.0)), ("x", width), ("y", F.lit(0.0)), ("y", height))
+    return F.greatest(*[crossings(axis, bound) for axis, bound in lines]) > 2
+
+
+def _once(df, **columns: Column):
+    """``df`` with columns that are computed once a row: a generator of one row each is a border
+    that the optimizer doesn't copy expressions across, where chained projections would grow."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def convert_annotations(df, flat: str, width: Column, height: Column):
+    """``df``, a row per annotation, with ring, cut, box, box_ratio, area_ratio, box_valid,
+    ring_valid, min_extent, several_parts and issues, from the flat points of column ``flat``.
+
+    A ring cut to nothing may still leave part of its outline in the frame: its box then holds,
+    flat sides widened, and its ring does not.
+    """
+    given = F.when((width <= 0) | (height <= 0), "invalid_frame").otherwise(point_issue(F.col(flat)))
+    df = _once(df, __issue=given)
+    usable = F.col("__issue").isNull()
+    df = _once(df, ring=F.when(usable, cleaned(ring_of_flat(F.col(flat)))))
+    df = _once(clip_to_frame(df, "ring", width, height, "__cut"), cut=F.col("__cut")).drop("__cut")
+    share = F.coalesce(area(F.col("cut")) / (width.cast("double") * height), F.lit(0.0))
+    df = _once(df, area_ratio=share).withColumn("ring_valid", F.col("area_ratio") > 0)
+    left = F.when(F.col("ring_valid"), F.col("cut")).otherwise(outline_in_frame(F.col("ring"), width, height))
+    df = _once(_once(df, __left=left), __b=bounds(F.col("__left")))
+    valid = F.col("__b").isNotNull()
+    df = _once(
+        df,
+        box=F.when(valid, box(F.col("__b"), width, height)),
+        box_ratio=F.when(F.col("ring_valid"), rounded_box_ratio(F.col("cut"), width, height)).otherwise(0.0),
+        __changed=F.col("ring_valid") & (crosses_itself(F.col("ring")) | ~F.col("cut").eqNullSafe(F.col("ring"))),
+        several_parts=F.coalesce(may_be_several_parts(F.col("ring"), width, height), F.lit(False)),
+    )
+    codes = [
+        F.col("__issue"),
+        F.when(F.col("__changed"), "polygon_repaired_or_clipped"),
+        F.when(usable & ~valid, "invalid_detection_bbox"),
+        F.when(usable & ~F.col("ring_valid"), "empty_or_zero_area_after_clip"),
+    ]
+    flat_side = (F.col("__b.x1") >= F.col("__b.x2")) | (F.col("__b.y1") >= F.col("__b.y2"))
+    more = {"box_valid": valid, "min_extent": F.coalesce(flat_side, F.lit(False)), "issues": F.array_compact(F.array(*codes))}
+    return df.withColumns(more).drop("__issue", "__left", "__b", "__changed")
+
+
 def crosses_itself(ring: Column) -> Column:
     """True if two sides that are not neighbours cross properly."""
 

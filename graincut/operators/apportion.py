@@ -77,3 +77,15 @@ def seeded_split(groups: DataFrame, quotas: DataFrame, stratum: list[str], group
         upto = upto + F.coalesce(F.col(f"quota_{name}"), F.lit(0))
         role = F.when(F.col("__r") <= upto, name) if role is None else role.when(F.col("__r") <= upto, name)
     return placed.select(*groups.columns, role.otherwise(rest).alias("role"))
+
+
+def sample_by_role(items: DataFrame, by: list[str], item: str, positive: Column, cap: int, seed: int, scope: Column, role: str, whole: str = "test") -> DataFrame:
+    """Items of role ``whole`` all, of each other group at most ``cap``; the role is part of the seed's scope."""
+    rest = stratified_sample(items.where(F.col(role) != whole), by, item, positive, cap, seed, F.concat_ws(":", scope.cast("string"), F.col(role)))
+    return items.where(F.col(role) == whole).unionByName(rest)
+
+
+def require_class_in_roles(groups: DataFrame, role: str, roles: list[str], flag: str) -> DataFrame:
+    """Those of ``roles`` that have no group with ``flag``; empty if all do."""
+    wanted = groups.sparkSession.createDataFrame([(r,) for r in roles], f"{role} string")
+    return wanted.join(groups.where(F.col(flag)).select(role).distinct(), role, "left_anti")

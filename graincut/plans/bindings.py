@@ -66,7 +66,10 @@ def binned_items(spark: SparkSession, sf: str) -> DataFrame:
     return orders_as_items(spark, sf).withColumn("area_bin", area_bin("extent_sum"))
 
 
-ITEMS_SQL = """
+RATE_BIN_SQL = """CASE WHEN positive_ratio <= 1e-12 THEN 'zero' WHEN positive_ratio < 0.01 - 1e-12 THEN 'very_low' WHEN positive_ratio < 0.3 - 1e-12 THEN 'low_mid'
+    WHEN positive_ratio < 0.6 - 1e-12 THEN 'mid_high' ELSE 'very_high' END"""
+
+ITEMS_SQL = f"""
 WITH marks AS (
   SELECT l_orderkey, count(*) AS n_annotations, count(*) FILTER (l_returnflag = 'R') AS n_first, count(*) FILTER (l_returnflag = 'A') AS n_second,
     sum(round(l_discount * 100)::BIGINT * l_quantity::BIGINT)::BIGINT AS area_sum, max(round(l_discount * 100)::BIGINT * l_quantity::BIGINT) AS area_max
@@ -78,8 +81,7 @@ items AS (
   FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN marks ON l_orderkey = o_orderkey),
 ruled AS (SELECT *, NOT (kind = 'A' AND extent_max >= 0.25) AS eligible, CASE WHEN kind = 'A' AND extent_max >= 0.25 THEN 'extent_max_ge_0.25' END AS policy_reason FROM items),
 rated AS (
-  SELECT *, CASE WHEN positive_ratio <= 1e-12 THEN 'zero' WHEN positive_ratio < 0.01 - 1e-12 THEN 'very_low' WHEN positive_ratio < 0.3 - 1e-12 THEN 'low_mid'
-    WHEN positive_ratio < 0.6 - 1e-12 THEN 'mid_high' ELSE 'very_high' END AS rate_bin
+  SELECT *, {RATE_BIN_SQL} AS rate_bin
   FROM (SELECT kind, group_id, count(*) AS n_items, count(*) FILTER (n_annotations > 0) AS n_positive, sum(n_annotations)::BIGINT AS n_annotations,
       bool_or(n_first > 0) AS has_first, min(segment) AS segment, count(*) FILTER (n_annotations > 0) / count(*) AS positive_ratio
     FROM ruled WHERE eligible GROUP BY ALL))

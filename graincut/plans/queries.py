@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import rings, text
+from ..functions import records, rings, text
 from ..operators import apportion, assign, audit, dedup, metrics, rules
 from ..sources.tables import files_fingerprint, parse_json, raw_group_counts, read_table
 from . import bindings as b
@@ -127,7 +127,7 @@ def quantile_bins(spark, sf):
     return _quintiled(spark, sf).select("group_id", "segment", "positive_ratio", "bin")
 
 
-def quota_sql(source: str, key: str, seats: int) -> str:
+def quota_sql(source: str, key: str, seats: int | str) -> str:
     """Largest remainder over counts of ``source`` (key, n), as one statement's CTEs, ending in quotas."""
     return f""", shares AS (SELECT {key} AS key, n, n * {seats}::DOUBLE / sum(n) OVER () AS raw, least(floor(n * {seats}::DOUBLE / sum(n) OVER ()), n)::BIGINT AS fl FROM {source}),
 seats AS (SELECT key, n, raw, unnest(range(fl + 1, n + 1)) AS seat FROM shares),
@@ -446,44 +446,59 @@ def set_equality(spark, sf):
     return audit.set_difference(n.where("n_nationkey % 3 <> 2"), n.where("n_nationkey % 3 <> 0"))
 
 
-def _first_groups(spark, sf, n: int = 47) -> DataFrame:
-    """The first groups of kind A with their rate bin and counts."""
-    items = b.ruled_items(spark, sf).where("kind = 'A' and eligible").withColumn("area_bin", text.area_bin("extent_sum"))
-    first = items.select("group_id").distinct().orderBy("group_id").limit(n)
-    features = assign.group_features(items.join(first, "group_id", "left_semi"), b.FACETS, list(text.AREA_BINS))
+def _region_groups(spark, sf) -> DataFrame:
+    """Regions (nations of the customers) as groups of all eligible items, with rate bin and counts."""
+    items = b.ruled_items(spark, sf).where("eligible").withColumn("area_bin", text.area_bin("extent_sum")).withColumn("group_id", F.col("region_id").cast("long"))
+    features = assign.group_features(items, b.FACETS, list(text.AREA_BINS))
     return features.withColumn("bin", text.rate_bin(F.col("f")[1] / F.col("f")[0])).cache()
 
 
-def _test_ids(groups: DataFrame) -> list[int]:
+def _test_quotas(groups: DataFrame) -> DataFrame:
+    """bin and quota of the test groups: FOLDS, and as many more as leave a multiple of FOLDS."""
     counts = groups.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).withColumn("cap", F.col("n"))
-    quotas = {r["bin"]: r["quota"] for r in apportion.largest_remainder(counts, 7, "bin", "n", "cap").collect()}
-    return assign.choose_test(groups, quotas, len(b.FACETS), 42)
+    return apportion.largest_remainder(counts, FOLDS + groups.count() % FOLDS, "bin", "n", "cap").select("bin", "quota")
+
+
+def _test_ids(groups: DataFrame) -> list[int]:
+    return assign.choose_test(groups, {r["bin"]: r["quota"] for r in _test_quotas(groups).collect()}, len(b.FACETS), 42)
 
 
 @query()
 def test_assignment(spark, sf):
-    groups = _first_groups(spark, sf)
+    groups = _region_groups(spark, sf)
     return groups.select("group_id", "bin", F.when(F.col("group_id").isin(_test_ids(groups)), "test").otherwise("development").alias("role"))
 
 
-_FIRST_SQL = b.ITEMS_SQL + ", f AS (SELECT rate_bin, count(*) AS n FROM (SELECT * FROM rated WHERE kind = 'A' ORDER BY group_id LIMIT 47) GROUP BY 1)"
+FOLDS = 5
+_REGION_SQL = b.ITEMS_SQL + f""", rates AS (SELECT region_id, count(*) FILTER (n_annotations > 0) / count(*) AS positive_ratio FROM ruled WHERE eligible GROUP BY 1),
+f AS (SELECT {b.RATE_BIN_SQL} AS rate_bin, count(*) AS n FROM rates GROUP BY 1)"""
+_N_TEST = f"(SELECT {FOLDS} + sum(n)::BIGINT % {FOLDS} FROM f)"
 
 
-@query(_FIRST_SQL + quota_sql("f", "rate_bin", 7) + " SELECT key AS bin, n AS n_groups, quota AS n_test FROM quotas")
+@query(_REGION_SQL + quota_sql("f", "rate_bin", _N_TEST) + " SELECT key AS bin, n AS n_groups, quota AS n_test FROM quotas")
 def test_assignment_invariants(spark, sf):
     return test_assignment(spark, sf).groupBy("bin").agg(F.count(F.lit(1)).alias("n_groups"), F.count(F.when(F.col("role") == "test", 1)).alias("n_test"))
 
 
+def _assigned(spark, sf) -> DataFrame:
+    """group_id, bin, f, role, fold of all regions."""
+    groups = _region_groups(spark, sf)
+    ids = _test_ids(groups)
+    development = groups.where(~F.col("group_id").isin(ids))
+    folds = assign.choose_folds(development, FOLDS, len(b.FACETS), 42, restarts=100)
+    named = development.join(folds, "group_id").select("group_id", "bin", "f", F.col("fold").cast("string").alias("split"))
+    refined = assign.refine_density(named).select("group_id", "bin", "f", F.lit("development").alias("role"), F.col("split").cast("int").alias("fold"))
+    return refined.unionByName(groups.where(F.col("group_id").isin(ids)).select("group_id", "bin", "f", F.lit("test").alias("role"), F.lit(None).cast("int").alias("fold")))
+
+
 @query()
 def fold_assignment(spark, sf):
-    groups = _first_groups(spark, sf)
-    development = groups.where(~F.col("group_id").isin(_test_ids(groups)))
-    folds = assign.choose_folds(development, 5, len(b.FACETS), 42, restarts=100)
-    named = development.join(folds, "group_id").select("group_id", "f", F.concat(F.lit("fold_"), F.col("fold").cast("string")).alias("split"))
-    return assign.refine_density(named).select("group_id", "split", F.col("f")[0].alias("n_items"), F.col("f")[2].alias("n_annotations"))
+    label = records.split_label(F.lit("A"), F.col("role"), F.col("fold"))
+    return _assigned(spark, sf).select("group_id", label.alias("split"), F.col("f")[0].alias("n_items"), F.col("f")[2].alias("n_annotations"))
 
 
-@query("SELECT 'fold_' || k AS split, 8::BIGINT AS n_groups, 8::BIGINT AS n_distinct FROM range(5) t(k)")
+@query(_REGION_SQL + f""" SELECT 'A_fold_' || k AS split, (SELECT sum(n) - {_N_TEST} FROM f)::BIGINT // {FOLDS} AS n_groups, (SELECT sum(n) - {_N_TEST} FROM f)::BIGINT // {FOLDS} AS n_distinct FROM range({FOLDS}) t(k)
+UNION ALL SELECT 'A_test', {_N_TEST}, {_N_TEST}""")
 def fold_invariants(spark, sf):
     return fold_assignment(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("n_groups"), F.count_distinct("group_id").alias("n_distinct"))
 
