@@ -26,7 +26,8 @@ from .common import materialize, read_table
 SCALE = 1024
 SHARD_ROWS = 2048
 LEAF_ROWS = 64
-BLOCK_QUERIES = 256
+#: Every tree goes to every block, so blocks are as large as a task's memory allows.
+BLOCK_QUERIES = 4096
 GROUP_SHARDS = 64
 EXACT = 2.0**53
 LONG = 2**63
@@ -76,10 +77,21 @@ def build_tree(ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS)
     return {"ids": ids[order], "points": points[order], "lo": np.array(lo), "hi": np.array(hi), "span": span, "children": children, "least": [int(x) for x in least]}
 
 
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """The same integers in the fewest bytes that hold them, for the shuffle."""
+    low, high = int(a.min(initial=0)), int(a.max(initial=0))
+    kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return a.astype(kind)
+
+
 def _width(a: np.ndarray, d: int) -> np.ndarray:
     return a[:, :d] if a.shape[1] >= d else np.pad(a, ((0, 0), (0, d - a.shape[1])))
 
 
+def _largest(a: np.ndarray) -> float:
+    return max(float(a.max(initial=0)), -float(a.min(initial=0)))
+
+
 class BlockSearch:
     """The best k candidates so far of each query of a block."""
 
@@ -90,7 +102,7 @@ class BlockSearch:
     def search(self, tree: dict) -> None:
         d = self.queries.shape[1]
         points, lo, hi = (_width(tree[x], d) for x in ("points", "lo", "hi"))
-        reach = float(np.abs(self.queries).max(initial=0)) * float(np.abs(points).max(initial=0)) * max(1, d)
+        reach = _largest(self.queries) * _largest(points) * max(1, d)
         kind = np.float64 if reach < EXACT else object  # Python's integers where doubles aren't exact
         q, points, lo, hi = (a.astype(kind) for a in (self.queries, points, lo, hi))
         bounds = np.maximum(q, 0) @ hi.T + np.minimum(q, 0) @ lo.T
@@ -129,11 +141,12 @@ class BlockSearch:
 
 def _pack_shard(group: pd.DataFrame) -> pd.DataFrame:
     tree = build_tree(group["vec_id"].to_numpy(np.int64), _matrix(group["v"]))
+    tree |= {x: _narrow(tree[x]) for x in ("points", "lo", "hi")}
     return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "payload": [pickle.dumps(tree)]})
 
 
 def _pack_block(group: pd.DataFrame) -> pd.DataFrame:
-    block = (group["vec_id"].to_numpy(np.int64), _matrix(group["v"]))
+    block = (group["vec_id"].to_numpy(np.int64), _narrow(_matrix(group["v"])))
     return pd.DataFrame({"block": [int(group["block"].iloc[0])], "payload": [pickle.dumps(block)]})
 
 
