@@ -8,8 +8,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from graincut.functions import rings, text
-from graincut.operators import apportion, approve, assign, publish, rules
+from graincut.functions import records, rings, text
+from graincut.operators import apportion, approve, assign, publish, reports, rules
 from graincut.sources import tables
 
 
@@ -133,3 +133,26 @@ def test_file_sources(spark, tmp_path):
     assert images["a.png"].content_hash == images["b.PNG"].content_hash
     payloads = {r.path[-6:]: r.ok for r in tables.read_annotations(spark, str(tmp_path)).selectExpr("path", "payload is not null ok").collect()}
     assert payloads == {"a.json": True, "b.json": False}
+
+
+def test_record_columns_and_inclusion(spark):
+    lit = F.lit
+    r = one(spark, records.class_id(lit("Pollution"), lit("B")), records.class_id(lit("Pollution"), lit("A")), records.split_label(lit("A"), lit("development"), lit(3)), records.split_label(lit("A"), lit("test"), lit(None)), records.stratum_text(lit(True).cast("int"), lit(None)))
+    assert r[:] == (1, None, "A_fold_3", "A_test", '["1",null]')
+    items = spark.createDataFrame([(1, 1, True, None, True), (2, 1, False, "policy", None), (3, 1, True, None, None), (4, 2, True, None, True)], "item long, group_id long, eligible boolean, why string, sampled boolean")
+    out = reports.inclusion(items, spark.createDataFrame([(1, "train")], "group_id long, role string"), ["group_id"], "why")
+    assert {(x.item, x.reason) for x in out.collect()} == {(1, None), (2, "policy"), (3, "sampling_cap"), (4, "group_not_picked")}
+
+
+def test_converted_annotations(spark):
+    rows = [("in", [1, 1, 9, 1, 9, 9]), ("cut", [5, 5, 15, 5, 15, 15, 5, 15]), ("edge", [10, 2, 14, 2, 14, 6, 10, 6]), ("out", [20, 20, 30, 20, 30, 30]), ("odd", [1, 2, 3]), ("none", None)]
+    df = spark.createDataFrame([(k, None if v is None else [float(x) for x in v]) for k, v in rows], "id string, flat array<double>")
+    got = {r.id: r for r in rings.convert_annotations(df, "flat", F.lit(10), F.lit(10)).collect()}
+    assert {k: (r.box_valid, r.ring_valid, r.min_extent) for k, r in got.items()} == {
+        "in": (True, True, False), "cut": (True, True, False), "edge": (True, False, True), "out": (False, False, False), "odd": (False, False, False), "none": (False, False, False),
+    }
+    assert {k: r.issues for k, r in got.items()} == {
+        "in": [], "cut": ["polygon_repaired_or_clipped"], "edge": ["empty_or_zero_area_after_clip"], "out": ["invalid_detection_bbox", "empty_or_zero_area_after_clip"],
+        "odd": ["points_odd"], "none": ["points_missing"],
+    }
+    assert got["cut"].area_ratio == 0.25 and got["cut"].box_ratio == 0.25 and abs(got["edge"].box.w - 0.05) < 1e-12
