@@ -8,8 +8,10 @@ the places and counts of the word in its documents. Counts are summed by word
 over training documents, words get their log-probabilities, and a join by word
 brings these back to the chunks, where they are summed by document.
 
-Piece probabilities are relative counts (plus 0.1) of the vocabulary's own
-segmentation of all training words; the vocabulary is never trained.
+Piece probabilities are relative counts (plus 0.1) over all training words:
+first of the vocabulary's own segmentation, then, in EM_ROUNDS rounds, expected
+counts over all segmentations, which raise the marginal likelihood. The
+vocabulary is never trained.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ from .common import crc32_of_id, materialize, read_table
 
 VOCABULARY = "piece_bpe_32k.model"
 ALPHA = 0.1
+#: Passes over the distinct training words that replace piece counts by expected ones.
+EM_ROUNDS = 1
+#: Expected uses are summed as whole parts of this size, so that no order of adding shows.
+PARTS = 1024
 #: A chunk ends at this many documents or bytes of text.
 CHUNK_DOCS, CHUNK_BYTES = 4096, 12_000_000
 COUNT_BITS = 19  # a posting is document number * 2^19 + count; larger counts take several
@@ -146,6 +152,66 @@ class Lattice:
         return top + log(sum([exp(t - top) for t in terms]))
 
 
+    def expect(self, word: str, times: int, uses: dict[str, int], byte_uses: list[int]) -> None:
+        """Adds the expected uses, in PARTS, of each piece and byte over all segmentations of
+        ``times`` words: the forward recursion, then its shares handed back along the arcs."""
+        text = "▁" + word
+        n = len(text)
+        exp, log, trie, missing = math.exp, math.log, self.trie, object()
+        arcs: list[list[tuple[int, float, bool]]] = [[] for _ in range(n + 1)]  # by end: start, log-probability, piece or bytes
+        alpha = [0.0] * (n + 1)
+        for i in range(n + 1):
+            if i:
+                terms = [alpha[a] + p for a, p, _ in arcs[i]]
+                top = max(terms)
+                alpha[i] = top if len(terms) == 1 else top + log(sum([exp(t - top) for t in terms]))
+            single = i == n
+            for j in range(i + 1, n + 1):
+                p = trie.get(text[i:j], missing)
+                if p is missing:
+                    break
+                if p is not None:
+                    arcs[j].append((i, p, True))
+                    single = single or j == i + 1
+            if not single:
+                arcs[i + 1].append((i, sum(self.byte_log_p[b] for b in text[i].encode("utf-8", "surrogatepass")), False))
+        mass = [0.0] * n + [float(times * PARTS)]
+        for j in range(n, 0, -1):
+            for a, p, is_piece in arcs[j]:
+                share = mass[j] if len(arcs[j]) == 1 else mass[j] * exp(alpha[a] + p - alpha[j])
+                mass[a] += share
+                if is_piece:
+                    uses[text[a:j]] += round(share)
+                else:
+                    for b in text[a].encode("utf-8", "surrogatepass"):
+                        byte_uses[b] += round(share)
+
+
+def _lattice(model, log_p: np.ndarray) -> Lattice:
+    """log_p: natural log-probability by piece id."""
+    plain = {model.id_to_piece(i): float(log_p[i]) for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
+    return Lattice(plain, [float(log_p[i]) for i in _byte_ids(model)])
+
+
+def _byte_ids(model) -> list[int]:
+    return [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+
+
+def _expect_pieces(path: str, log_p: np.ndarray):
+    def expect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _load(path)
+        lattice = _lattice(model, log_p)
+        uses: Counter[str] = Counter()
+        byte_uses = [0] * 256
+        for batch in batches:
+            for word, times in zip(batch["word"].to_pylist(), batch["c"].to_pylist(), strict=True):
+                lattice.expect(word.decode("utf-8", "replace"), times, uses, byte_uses)
+        found = [(model.piece_to_id(x), n) for x, n in uses.items() if n] + [(i, n) for i, n in zip(_byte_ids(model), byte_uses, strict=True) if n]
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["piece", "n"])
+
+    return expect
+
+
 def _count_pieces(path: str):
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _load(path)
@@ -163,12 +229,8 @@ def _count_pieces(path: str):
 
 
 def _score_words(path: str, log_p: np.ndarray):
-    """log_p: natural log-probability by piece id."""
-
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _load(path)
-        plain = {model.id_to_piece(i): float(log_p[i]) for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))}
-        lattice = Lattice(plain, [float(log_p[model.piece_to_id(f"<0x{b:02X}>")]) for b in range(256)])
+        lattice = _lattice(_load(path), log_p)
         for batch in batches:
             out = [lattice.log_probability(w.decode("utf-8", "replace")) for w in batch["word"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["word"], batch["c"], pa.array(out, pa.float64())], names=["word", "c", "lattice"])
@@ -210,14 +272,19 @@ def score_documents(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULA
     t = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     ends = rows.where("train").count()
     n, v = t["n"] + ends, t["v"] + (ends > 0)
-    # At most one row per piece of the vocabulary (32,000) reaches the driver.
-    pieces = counts.where("c > 0").mapInArrow(_count_pieces(path), "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
     model = _load(path)
-    piece_n = np.zeros(model.get_piece_size())
-    for r in pieces:
-        piece_n[r["piece"]] = r["n"]
-    piece_n[model.eos_id()] = ends
-    log_p = np.log((piece_n + ALPHA) / (piece_n.sum() + ALPHA * len(piece_n)))
+
+    def learned(uses, parts: int) -> np.ndarray:
+        """Log-probabilities from uses by task; at most one row per piece (32,000) reaches the driver."""
+        n = np.zeros(model.get_piece_size())
+        for r in counts.where("c > 0").mapInArrow(uses, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect():
+            n[r["piece"]] = r["n"] / parts
+        n[model.eos_id()] = ends
+        return np.log((n + ALPHA) / (n.sum() + ALPHA * len(n)))
+
+    log_p = learned(_count_pieces(path), 1)
+    for _ in range(EM_ROUNDS):
+        log_p = learned(_expect_pieces(path, log_p), PARTS)
     scored = counts.mapInArrow(_score_words(path, log_p), MODEL_SCHEMA)
     base = lambda c: F.log10((c + F.lit(ALPHA)) / F.lit(n + ALPHA * (v + 1)))
     posted = words.select("word", "chunk", "postings").join(materialize(scored, "words"), "word")

@@ -273,6 +273,38 @@ def test_lattice_sums_over_all_segmentations():
     assert math.isclose(math.exp(lattice.log_probability("é")), 0.1 * 0.001**2, rel_tol=1e-12)
 
 
+def test_expected_uses_are_those_of_all_segmentations():
+    p = {"▁": 0.1, "a": 0.2, "b": 0.3, "ab": 0.15, "▁a": 0.05, "▁ab": 0.07}
+    lattice = lm_scores.Lattice({k: math.log(v) for k, v in p.items()}, [math.log(0.001)] * 256)
+
+    def cuts(s):
+        if not s:
+            yield 1.0, []
+        for k in range(1, len(s) + 1):
+            if s[:k] in p:
+                yield from ((p[s[:k]] * q, [s[:k], *rest]) for q, rest in cuts(s[k:]))
+
+    for word, times in (("a", 1), ("ab", 3), ("abab", 7), ("baab", 2)):
+        uses, all_cuts = Counter(), list(cuts("▁" + word))
+        total = sum(q for q, _ in all_cuts)
+        lattice.expect(word, times, uses, [0] * 256)
+        for piece in p:
+            want = times * sum(q * pieces.count(piece) for q, pieces in all_cuts) / total
+            assert abs(uses[piece] / lm_scores.PARTS - want) < len(word) / lm_scores.PARTS
+    uses, of_bytes = Counter(), [0] * 256
+    lattice.expect("aé", 2, uses, of_bytes)
+    assert [b for b in range(256) if of_bytes[b]] == sorted("é".encode()) and of_bytes[0xC3] == 2 * lm_scores.PARTS
+
+
+def test_expected_counts_raise_the_likelihood(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"banana bandana {'cabana ' * (k % 3)}naïve {k}", True) for k in range(60)], "doc_id long, text string, train boolean")
+    totals = []
+    for rounds in (0, 1, 2):
+        monkeypatch.setattr(lm_scores, "EM_ROUNDS", rounds)
+        totals.append(sum(r["score"] for r in lm_scores.score_documents(docs, ["doc_id"]).collect()))
+    assert totals[0] < totals[1] < totals[2]
+
+
 def test_lm_base_scores(spark, tables):
     counts, ends = Counter(), 0
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
