@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -296,13 +297,21 @@ def test_expected_uses_are_those_of_all_segmentations():
     assert [b for b in range(256) if of_bytes[b]] == sorted("é".encode()) and of_bytes[0xC3] == 2 * lm_scores.PARTS
 
 
-def test_expected_counts_raise_the_likelihood(spark, monkeypatch):
-    docs = spark.createDataFrame([(k, f"banana bandana {'cabana ' * (k % 3)}naïve {k}", True) for k in range(60)], "doc_id long, text string, train boolean")
-    totals = []
-    for rounds in (0, 1, 2):
-        monkeypatch.setattr(lm_scores, "EM_ROUNDS", rounds)
-        totals.append(sum(r["score"] for r in lm_scores.score_documents(docs, ["doc_id"]).collect()))
-    assert totals[0] < totals[1] < totals[2]
+def test_each_round_raises_the_smoothed_likelihood():
+    """With smoothed counts, what a round can't lower is likelihood + ALPHA x the sum of log-probabilities."""
+    path = lm_scores.vocabulary_path(lm_scores.VOCABULARY)
+    model = lm_scores._load(path)
+    times = Counter((r[1] or "").encode().lower().split()[k] for r in odd_documents() for k in range(min(50, len((r[1] or "").split()))))
+    batch = pa.RecordBatch.from_arrays([pa.array(list(times), pa.binary()), pa.array(list(times.values()), pa.int64())], names=["word", "c"])
+    log_p, found = np.full(model.get_piece_size(), -math.log(model.get_piece_size())), []
+    for _ in range(4):
+        lattice = lm_scores._lattice(model, log_p)
+        found.append(sum(c * lattice.log_probability(w.decode()) for w, c in times.items()) + lm_scores.ALPHA * log_p.sum())
+        n = np.full(len(log_p), lm_scores.ALPHA)
+        for out in lm_scores._expect_pieces(path, log_p)([batch]):
+            n[out["piece"].to_numpy()] += out["n"].to_numpy() / lm_scores.PARTS
+        log_p = np.log(n / n.sum())
+    assert found == sorted(found) and found[-1] > found[0]
 
 
 def test_lm_base_scores(spark, tables):
