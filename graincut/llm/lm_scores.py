@@ -33,6 +33,8 @@ ALPHA = 0.1
 EM_ROUNDS = 1
 #: Expected uses are summed as whole parts of this size, so that no order of adding shows.
 PARTS = 1024
+#: Longest words whose probabilities are tried without logarithms, and the least such value.
+PLAIN_CHARS, TINY = 40, 1e-280
 #: A chunk ends at this many documents or bytes of text.
 CHUNK_DOCS, CHUNK_BYTES = 4096, 12_000_000
 COUNT_BITS = 19  # a posting is document number * 2^19 + count; larger counts take several
@@ -122,6 +124,7 @@ class Lattice:
             for k in range(1, len(piece)):
                 self.trie.setdefault(piece[:k], None)
         self.trie.update(log_p)
+        self.plain = {x: None if p is None else math.exp(p) for x, p in self.trie.items()}
 
     def log_probability(self, word: str) -> float:
         text = "▁" + word
@@ -154,37 +157,77 @@ class Lattice:
 
     def expect(self, word: str, times: int, uses: dict[str, int], byte_uses: list[int]) -> None:
         """Adds the expected uses, in PARTS, of each piece and byte over all segmentations of
-        ``times`` words: the forward recursion, then its shares handed back along the arcs."""
+        ``times`` words: the forward recursion, then its shares handed back along the arcs.
+
+        Each arc carries its share of its end's probability. Words of usual length need no
+        logarithms for that; where plain probabilities run out, they are taken.
+        """
         text = "▁" + word
+        arcs = self._shares(text) if len(text) <= PLAIN_CHARS else None
+        mass = [0.0] * len(text) + [float(times * PARTS)]
+        known = self.trie.get
+        for a, b, share in reversed(self._log_shares(text) if arcs is None else arcs):
+            part = mass[b] * share
+            mass[a] += part
+            if n := int(part + 0.5):
+                piece = text[a:b]
+                if known(piece) is not None:
+                    uses[piece] = uses.get(piece, 0) + n
+                else:
+                    for x in piece.encode("utf-8", "surrogatepass"):
+                        byte_uses[x] += n
+
+    def _shares(self, text: str) -> list[tuple[int, int, float]] | None:
+        """Arcs (start, end, share of the end's probability) by start; None if a probability runs out."""
         n = len(text)
-        exp, log, trie, missing = math.exp, math.log, self.trie, object()
-        arcs: list[list[tuple[int, float, bool]]] = [[] for _ in range(n + 1)]  # by end: start, log-probability, piece or bytes
-        alpha = [0.0] * (n + 1)
+        get, missing = self.plain.get, object()
+        alpha = [1.0] + [0.0] * n
+        arcs = []
+        for i in range(n):
+            at, single = alpha[i], False
+            for j in range(i + 1, n + 1):
+                p = get(text[i:j], missing)
+                if p is missing:
+                    break
+                if p is not None:
+                    w = at * p
+                    alpha[j] += w
+                    arcs.append((i, j, w))
+                    single = single or j == i + 1
+            if not single:
+                w = at * math.exp(self._bytes(text[i]))
+                alpha[i + 1] += w
+                arcs.append((i, i + 1, w))
+        if min(alpha) < TINY:
+            return None
+        return [(i, j, w / alpha[j]) for i, j, w in arcs]
+
+    def _log_shares(self, text: str) -> list[tuple[int, int, float]]:
+        n = len(text)
+        exp, missing = math.exp, object()
+        incoming: list[list[float]] = [[] for _ in range(n + 1)]
+        alpha, arcs = [0.0] * (n + 1), []
         for i in range(n + 1):
             if i:
-                terms = [alpha[a] + p for a, p, _ in arcs[i]]
-                top = max(terms)
-                alpha[i] = top if len(terms) == 1 else top + log(sum([exp(t - top) for t in terms]))
+                top = max(incoming[i])
+                alpha[i] = top + math.log(sum([exp(t - top) for t in incoming[i]]))
+                incoming[i] = []
             single = i == n
             for j in range(i + 1, n + 1):
-                p = trie.get(text[i:j], missing)
+                p = self.trie.get(text[i:j], missing)
                 if p is missing:
                     break
                 if p is not None:
-                    arcs[j].append((i, p, True))
+                    incoming[j].append(alpha[i] + p)
+                    arcs.append((i, j, alpha[i] + p))
                     single = single or j == i + 1
             if not single:
-                arcs[i + 1].append((i, sum(self.byte_log_p[b] for b in text[i].encode("utf-8", "surrogatepass")), False))
-        mass = [0.0] * n + [float(times * PARTS)]
-        for j in range(n, 0, -1):
-            for a, p, is_piece in arcs[j]:
-                share = mass[j] if len(arcs[j]) == 1 else mass[j] * exp(alpha[a] + p - alpha[j])
-                mass[a] += share
-                if is_piece:
-                    uses[text[a:j]] += round(share)
-                else:
-                    for b in text[a].encode("utf-8", "surrogatepass"):
-                        byte_uses[b] += round(share)
+                incoming[i + 1].append(alpha[i] + self._bytes(text[i]))
+                arcs.append((i, i + 1, incoming[i + 1][-1]))
+        return [(i, j, exp(t - alpha[j])) for i, j, t in arcs]
+
+    def _bytes(self, character: str) -> float:
+        return sum(self.byte_log_p[b] for b in character.encode("utf-8", "surrogatepass"))
 
 
 def _lattice(model, log_p: np.ndarray) -> Lattice:
@@ -201,7 +244,7 @@ def _expect_pieces(path: str, log_p: np.ndarray):
     def expect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _load(path)
         lattice = _lattice(model, log_p)
-        uses: Counter[str] = Counter()
+        uses: dict[str, int] = {}
         byte_uses = [0] * 256
         for batch in batches:
             for word, times in zip(batch["word"].to_pylist(), batch["c"].to_pylist(), strict=True):

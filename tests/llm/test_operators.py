@@ -297,6 +297,19 @@ def test_expected_uses_are_those_of_all_segmentations():
     assert [b for b in range(256) if of_bytes[b]] == sorted("é".encode()) and of_bytes[0xC3] == 2 * lm_scores.PARTS
 
 
+def test_expected_uses_with_and_without_logarithms():
+    model = lm_scores._load(lm_scores.vocabulary_path(lm_scores.VOCABULARY))
+    lattice = lm_scores._lattice(model, np.random.default_rng(5).normal(-11, 2, model.get_piece_size()))
+    for word in ("a", "banana", "naïve", "日本語", "𝔘x9", "supercalifragilistic"):
+        plain, logs = lattice._shares("▁" + word), lattice._log_shares("▁" + word)
+        assert [x[:2] for x in plain] == [x[:2] for x in logs]
+        assert np.allclose([x[2] for x in plain], [x[2] for x in logs], rtol=1e-9)
+    assert lattice._shares("▁" + "日本" * 300) is None  # too small for plain probabilities
+    uses, of_bytes = {}, [0] * 256
+    lattice.expect("ab" * 2500, 1, uses, of_bytes)
+    assert abs(sum(len(x) * n for x, n in uses.items()) / lm_scores.PARTS - 5001) < 50
+
+
 def test_each_round_raises_the_smoothed_likelihood():
     """With smoothed counts, what a round can't lower is likelihood + ALPHA x the sum of log-probabilities."""
     path = lm_scores.vocabulary_path(lm_scores.VOCABULARY)
