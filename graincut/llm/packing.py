@@ -3,7 +3,7 @@
 Documents become pieces of at most ``capacity`` tokens. The plan works on
 counts by length (at most ``capacity`` of them), longest first: pieces of one
 length go, run by run, into the open sequences with the least room that still
-holds them, else into new sequences. A run is a range of ranks within the
+holds them, as many into each as it holds, else into new sequences. A run is a range of ranks within the
 length placed into a range of sequences, so the plan has no row per document;
 pieces take their slots by a join on their rank within their length.
 """
@@ -162,10 +162,16 @@ def plan_slots(counts: dict[int, int], capacity: int) -> list[tuple[int, int, in
             first, n = open_runs[room].pop()
             if not open_runs[room]:
                 rooms.pop(k)
-            use = min(n, left)
-            plan.append((length, rank, use, first, 1, capacity - room))
-            put(room, first + use, n - use)
-            put(room - length, first, use)
+            per = room // length
+            full = min(n, left // per)
+            rest = left % per if full < n else 0
+            use = full * per + rest
+            plan.append((length, rank, use, first, per, capacity - room))
+            put(room - per * length, first, full)
+            if rest:
+                put(room - rest * length, first + full, 1)
+                full += 1
+            put(room, first + full, n - full)
             rank, left = rank + use, left - use
         if left:
             per = capacity // length

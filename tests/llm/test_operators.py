@@ -3,6 +3,7 @@
 import hashlib
 import math
 import zlib
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -176,6 +177,35 @@ def test_plan_fills_sequences_like_best_fit():
     assert len(used) == len(open_rooms)
 
 
+def hot_lengths():
+    rng = np.random.default_rng(3)
+    yield Counter({n: 800 for n in (2500, 798, 533, 450, 300)})
+    yield Counter([*[2500] * 700, *[790] * 900, *rng.integers(400, 801, 900).tolist()])
+    yield Counter([*[3000] * 500, *[7] * 5000, *rng.integers(1, 600, 900).tolist()])
+
+
+@pytest.mark.parametrize("lengths", list(hot_lengths()))
+def test_plan_fills_open_sequences_where_few_lengths_hold_many_rows(lengths):
+    places = defaultdict(list)
+    ranks = Counter()
+    for length, rank, count, first, per, offset in packing.plan_slots(lengths, 4096):
+        assert rank == ranks[length]
+        ranks[length] += count
+        for j in range(count):
+            places[first + j // per].append((offset + j % per * length, length))
+    assert ranks == lengths
+    for p in places.values():
+        p.sort()
+        assert [o for o, _ in p] == [sum(n for _, n in p[:k]) for k in range(len(p))] and sum(n for _, n in p) <= 4096
+    rooms, opened = [], 0
+    for length in sorted(lengths.elements(), reverse=True):
+        k = bisect_left(rooms, length)
+        if k == len(rooms):
+            opened += 1
+        insort(rooms, (rooms.pop(k) if k < len(rooms) else 4096) - length)
+    assert len(places) == opened
+
+
 def test_token_counts_of_every_prefix(spark, tables):
     import public_tokenizers
     from tokenizers import Tokenizer
