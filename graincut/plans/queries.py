@@ -485,7 +485,7 @@ def _assigned(spark, sf) -> DataFrame:
     groups = _region_groups(spark, sf)
     ids = _test_ids(groups)
     development = groups.where(~F.col("group_id").isin(ids))
-    folds = assign.choose_folds(development, FOLDS, len(b.FACETS), 42, restarts=100)
+    folds = assign.choose_folds(development, FOLDS, len(b.FACETS), 42)
     named = development.join(folds, "group_id").select("group_id", "bin", "f", F.col("fold").cast("string").alias("split"))
     refined = assign.refine_density(named).select("group_id", "bin", "f", F.lit("development").alias("role"), F.col("split").cast("int").alias("fold"))
     return refined.unionByName(groups.where(F.col("group_id").isin(ids)).select("group_id", "bin", "f", F.lit("test").alias("role"), F.lit(None).cast("int").alias("fold")))

@@ -1,9 +1,13 @@
 """Every query of the library, by its DuckDB SQL, and on other partitionings."""
 
+import hashlib
+import random
+
 import duckdb
 import pytest
 
 from graincut import catalog
+from graincut.plans import queries as q
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -37,6 +41,64 @@ def test_assignment_keeps_quotas_and_whole_groups(spark, duck):
         assert settled(df.select(*columns).collect()) == settled(duck.sql(catalog.ORACLES[name]).select(*columns).fetchall())
 
 
+def greedy_folds(rows, folds, n_facets, seed, restarts):
+    """(score, restart, {group: fold}) of the best restart, one group and fold at a time."""
+    total = [sum(x) for x in zip(*rows.values(), strict=True)]
+
+    def score(s):
+        n = max(s[0], 1)
+        parts = [12 * ((s[0] - total[0] / folds) / max(total[0] / folds, 1)) ** 2]
+        for k, weight in ((1, 8), (2, 4)):
+            rate = total[k] / max(total[0], 1)
+            parts.append(weight * ((s[k] / n - rate) / max(rate, 0.01)) ** 2)
+        for k in range(3, len(s)):
+            parts.append((3 if k < 3 + n_facets else 1) * ((s[k] - total[k] / folds) / max(total[k] / folds, 1)) ** 2)
+        return sum(parts)
+
+    found = []
+    for restart in range(restarts):
+        key = {g: hashlib.sha1(f"{seed}|restart:{restart}|{g}".encode()).hexdigest() for g in rows}
+        sums, members = [[0] * len(total) for _ in range(folds)], [[] for _ in range(folds)]
+        for g in sorted(rows, key=lambda g: (-rows[g][0], key[g], g)):
+            added = [[x + y for x, y in zip(s, rows[g], strict=True)] for s in sums]
+            open_folds = [j for j in range(folds) if len(members[j]) * folds < len(rows)]
+            best = min(open_folds, key=lambda j: (round(score(added[j]) - score(sums[j]), 12), len(members[j]), j))
+            sums[best] = added[best]
+            members[best].append(g)
+        found.append((round(sum(map(score, sums)), 12), restart, {g: j for j in range(folds) for g in members[j]}))
+    return min(found, key=lambda x: x[:2])
+
+
+def group_rows(seed):
+    """25 groups of one size, so that their order is the restart's: group_id, bin, f."""
+    rng = random.Random(seed)
+    for g in range(25):
+        n = 60
+        parts = lambda k: [sum(x == j for x in draws) for draws in [[rng.randrange(k) for _ in range(n)]] for j in range(k)]  # noqa: E731, B023
+        positives = rng.randint(n // 10, n // 2)
+        yield g, "mid_high", [n, positives, positives * rng.randint(1, 4), *parts(len(q.b.FACETS)), *parts(len(q.text.AREA_BINS))]
+
+
+def test_folds_are_the_best_of_500_restarts(spark, monkeypatch):
+    calls, choose = [], q.assign.choose_folds
+
+    def spy(groups, folds, n_facets, seed, **more):
+        chosen = choose(groups, folds, n_facets, seed, **more)
+        calls.append((groups, folds, n_facets, seed, chosen))
+        return chosen
+
+    small = spark.createDataFrame(list(group_rows(1)), "group_id long, bin string, f array<bigint>")
+    monkeypatch.setattr(q.assign, "choose_folds", spy)
+    monkeypatch.setattr(q, "_region_groups", lambda *_: small)
+    monkeypatch.setattr(q, "_test_ids", lambda _: list(range(20, 25)))
+    q._assigned(spark, SF)
+    [(groups, folds, n_facets, seed, chosen)] = calls
+    rows = {r["group_id"]: list(r["f"]) for r in groups.collect()}
+    score, restart, want = greedy_folds(rows, folds, n_facets, seed, 500)
+    assert restart >= 100 and score < greedy_folds(rows, folds, n_facets, seed, 100)[0]
+    assert {r["group_id"]: r["fold"] for r in chosen.collect()} == want
+
+
 @pytest.mark.parametrize("name", ["dup_actions", "stratified_sample", "fingerprint", "stratum_topk"])
 def test_partition_count_does_not_matter(spark, name):
     found = []
