@@ -5,7 +5,8 @@ counts by length (at most ``capacity`` of them), longest first: pieces of one
 length go, run by run, into the open sequences with the least room that still
 holds them, as many into each as it holds, else into new sequences. A run is a range of ranks within the
 length placed into a range of sequences, so the plan has no row per document;
-pieces take their slots by a join on their rank within their length.
+pieces take their slots by a join on their rank within their length. The plan
+reads narrow rows; the ids of the pieces join their slots at the end.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterable
@@ -38,8 +38,8 @@ PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p
 #: Letters that composition leaves alone: ASCII, Latin-1 and Latin Extended-A.
 SIMPLE = re.compile("[\x21-\x7e\u00a1-\u017f]+")
 BYTE_LETTERS = {b: c for c, b in byte_letters().items()}
-PIECE_FIELDS = ("piece", "start", "length", "ids_crc32")
-PIECES = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
+PIECE_FIELDS = ("piece", "start", "length", "ids")
+PIECES = "array<struct<piece:int,start:long,length:long,ids:binary>>"
 
 _state: dict[str, "WordEncoder"] = {}
 
@@ -116,14 +116,17 @@ def _encoder(path: str) -> WordEncoder:
     return _state[path]
 
 
-def cut_pieces(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
-    """(piece, start, length, crc) of one document's ids, with its end id among them."""
+def cut_pieces(ids: bytes, capacity: int) -> list[tuple[int, int, int, bytes]]:
+    """(piece, start, length, ids) of one document's ids, with its end id among them."""
     step = 4 * capacity
-    return [(k, k * capacity, len(x) // 4, zlib.crc32(x)) for k, x in enumerate(ids[a : a + step] for a in range(0, len(ids), step))]
+    return [(k, k * capacity, len(x) // 4, x) for k, x in enumerate(ids[a : a + step] for a in range(0, len(ids), step))]
 
 
 def text_pieces(docs: DataFrame, keep: list[str], capacity: int, tokenizer: str) -> DataFrame:
-    """``keep`` columns and piece, start, length, ids_crc32: a row per piece. NULL text: empty."""
+    """``keep`` columns and piece, start, length, ids: a row per piece. NULL text: empty.
+
+    ``ids`` holds the piece's token ids as little-endian 32-bit bytes.
+    """
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def pieces(batches: Iterable[pd.Series]) -> Iterable[pd.Series]:
@@ -184,17 +187,21 @@ def plan_slots(counts: dict[int, int], capacity: int) -> list[tuple[int, int, in
 
 
 def pack(docs: DataFrame, keep: list[str], capacity: int = CAPACITY, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
-    """A row per piece: ``keep``, piece, start, length, ids_crc32, sequence_id, offset.
+    """A row per piece: ``keep``, piece, start, length, ids, ids_crc32, sequence_id, offset.
 
-    ``docs`` has a text column; NULL text is the end token alone. Repeated rows
-    are packed one by one; which of two equal pieces takes which slot does not
-    show. An empty table gives no rows. ``keep`` may not hold names of results.
+    ``ids`` holds the token ids as little-endian 32-bit bytes, so that the ids of
+    a sequence are those of its pieces by offset, one after another. ``docs`` has
+    a text column; NULL text is the end token alone. Repeated rows are packed one
+    by one; which of two equal pieces takes which slot does not show. An empty
+    table gives no rows. ``keep`` may not hold names of results.
     """
     spark = docs.sparkSession
-    pieces = materialize(text_pieces(docs, keep, capacity, tokenizer), "pieces")
-    names = pieces.columns
+    cut = text_pieces(docs, keep, capacity, tokenizer)
+    names = cut.columns
     ordered = [F.col(f"`{c}`") for c in names]
-    bucketed = pieces.withColumn("__b", F.pmod(F.xxhash64(*ordered), F.lit(RANK_BUCKETS)))
+    # Row numbers hold as long as the written table does.
+    pieces = materialize(cut.withColumns({"__hash": F.xxhash64(*ordered), "__row": F.monotonically_increasing_id()}), "pieces")
+    bucketed = pieces.select("length", "__hash", "__row", F.pmod("__hash", F.lit(RANK_BUCKETS)).alias("__b"))
     counts = materialize(bucketed.groupBy("length", "__b").agg(F.count(F.lit(1)).alias("__n")), "lengths")
     # At most `capacity` rows reach the driver.
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("__n").alias("n")).collect()}
@@ -205,19 +212,21 @@ def pack(docs: DataFrame, keep: list[str], capacity: int = CAPACITY, tokenizer:
     offsets = counts.select(
         F.col("length").alias("__l"), F.col("__b").alias("__ob"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
     )
-    inside = Window.partitionBy("length", "__b").orderBy(*ordered)
+    inside = Window.partitionBy("length", "__b").orderBy("__hash", "__row")
     ranked = (
         bucketed.withColumn("__k", F.row_number().over(inside) - 1)
         .join(offsets, (F.col("length") == F.col("__l")) & (F.col("__b") == F.col("__ob")))
         .withColumn("__rank", F.col("__before") + F.col("__k"))
     )
     j = F.col("__rank") - F.col("__first")
-    return ranked.join(plan, (F.col("length") == F.col("__length")) & (j >= 0) & (j < F.col("__count"))).select(
-        *ordered,
+    slots = ranked.join(plan, (F.col("length") == F.col("__length")) & (j >= 0) & (j < F.col("__count"))).select(
+        "__row",
         (F.col("__sequence") + F.expr("(__rank - __first) div __per")).alias("sequence_id"),
         (F.col("__at") + j % F.col("__per") * F.col("length")).alias("offset"),
     )
+    return pieces.drop("__hash").join(slots, "__row").select(*ordered, F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    """The packed pieces with a digest of their ids in place of the ids."""
+    return pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]).drop("ids")

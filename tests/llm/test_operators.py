@@ -158,6 +158,34 @@ def test_packing_round_trip(spark, tables):
         assert [o for o, _ in p] == [sum(n for _, n in p[:k]) for k in range(len(p))] and sum(n for _, n in p) <= 64
 
 
+def test_packed_sequences_are_built_from_the_result_alone(spark, tables):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(packing.tokenizer_path("word_bpe_49k.json"))
+    docs = spark.read.parquet(tables["odd"] + "/documents.parquet")
+    found = packing.pack(docs.union(docs), ["doc_id"], capacity=64).collect()
+    sequences = defaultdict(list)
+    for r in sorted(found, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == len(sequences[r["sequence_id"]])
+        sequences[r["sequence_id"]] += np.frombuffer(r["ids"], "<u4").tolist()
+    assert max(map(len, sequences.values())) <= 64
+    texts = defaultdict(list)
+    for r in found:
+        texts[r["doc_id"], r["piece"]].append(sequences[r["sequence_id"]][r["offset"] :][: r["length"]])
+    want = defaultdict(list)
+    for i, text in DOCS:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        for k in range(0, len(ids), 64):
+            want[i, k // 64] += [ids[k : k + 64]] * 2
+    assert {k: sorted(v) for k, v in texts.items()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_last_pipeline_stage_returns_token_ids(spark, tables):
+    name, stage = corpus_pipeline.STAGES[-1]
+    packed = stage(spark, spark.read.parquet(tables["odd"] + "/documents.parquet"), tables["odd"]).collect()
+    assert name == "packing" and packed and all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in packed)
+
+
 def test_plan_fills_sequences_like_best_fit():
     rng = np.random.default_rng(2)
     lengths = Counter(int(x) for x in rng.integers(1, 65, 3000))
