@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space that separates words: space and tab to carriage return.
@@ -43,6 +43,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column], label: str) -> DataFrame:
+    """``df`` with a column per entry of ``sums``: its total over all rows before, in ``order``.
+
+    Rows are dealt into ranges of the order and written with their range's number; range totals
+    (a row per range) give offsets, and each range is sorted in a task of its own.
+    """
+    ranged = materialize(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), label)
+    totals = ranged.groupBy("__range").agg(*[F.sum(c).alias(f"__{name}") for name, c in sums.items()])
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("__range").alias("__r"), *[F.coalesce(F.sum(f"__{name}").over(earlier), F.lit(0)).alias(f"__{name}") for name in sums])
+    inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    here = {name: F.col(f"__{name}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for name, c in sums.items()}
+    return ranged.join(offsets, F.col("__range") == F.col("__r")).select(*df.columns, *[c.alias(name) for name, c in here.items()])
+
+
 def crc32_of_id(doc_id: Column) -> Column:
     """CRC-32 of the id's decimal text; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary"))

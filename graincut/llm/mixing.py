@@ -19,62 +19,64 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import WORD_PATTERN, materialize, read_table
+from .common import WORD_PATTERN, materialize, read_table, running_totals
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_EPOCHS = 2
+EXPAND_CHUNK = 65_536  # equal rows that one task gives out
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def row_key(seed: str, *columns: Column) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(seed), *[F.coalesce(c.cast("string"), F.lit("~")) for c in columns]))
+    """MD5 of seed and values. Every value has its length before it, so different rows have different texts."""
+    parts = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), c), F.lit("~")) for c in columns]
+    return F.md5(F.concat_ws("|", F.lit(seed), *parts))
+
+
+def _as_text(docs: DataFrame, name: str) -> Column:
+    """A column's value as text that tells any two values apart."""
+    c, kind = F.col(f"`{name}`"), docs.schema[name].dataType
+    return F.to_json(F.struct(c)) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else c.cast("string")
 
 
 def source_targets(sources: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """source, source_size, target from a table (source, source_size) with a row per source."""
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    by_level = Window.orderBy(F.col("__cap") / F.col("__weight"), F.col("source").asc_nulls_last())
-    everything = Window.partitionBy(F.lit(0))
-    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), ((F.row_number().over(by_name) - 1) % len(WEIGHTS) + 1).cast("int"))
-    before = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    level = (F.col("__room") - F.coalesce(F.sum("__cap").over(before), F.lit(0))) / (
-        F.col("__weights") - F.coalesce(F.sum("__weight").over(before), F.lit(0))
-    )
-    return (
-        sources.withColumn("__weight", weight.cast("double"))
-        .withColumn("__cap", F.col("source_size") * F.lit(float(max_epochs)))
-        .withColumn("__room", F.sum("source_size").over(everything) * F.lit(float(share)))
-        .withColumn("__weights", F.sum("__weight").over(everything))
-        .withColumn("__level", level)
-        .withColumn("__open", F.col("__cap") > F.col("__level") * F.col("__weight"))
-        # The first source, by level, that is not full sets the level for all that follow.
-        .withColumn("__final", F.min(F.when(F.col("__open"), F.struct(F.col("__cap") / F.col("__weight"), F.col("__level")))).over(everything)["__level"])
-        .withColumn("target", F.when(F.col("__final").isNull(), F.col("__cap")).otherwise(F.least("__cap", F.col("__final") * F.col("__weight"))))
-        .select("source", "source_size", "target")
+    """source, source_size, target from a table (source, source_size) with a row per source.
+
+    Ranks and levels are running totals over ranges of sources, so there may be many.
+    """
+    name = F.col("source").asc_nulls_last()
+    ranked = running_totals(sources, [name], {"__rank": F.lit(1)}, "sources")
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("__rank") % len(WEIGHTS) + 1).cast("int")).cast("double")
+    weighed = ranked.withColumn("__weight", weight).withColumn("__cap", F.col("source_size") * F.lit(float(max_epochs)))
+    filled = running_totals(
+        weighed.withColumn("__at", F.col("__cap") / F.col("__weight")), [F.col("__at").asc(), name], {"__full_cap": F.col("__cap"), "__full_weight": F.col("__weight")}, "levels"
     )
+    whole = filled.agg((F.sum("source_size") * float(share)).alias("room"), F.sum("__weight").alias("weights")).first()
+    level = (F.lit(whole["room"]).cast("double") - F.col("__full_cap")) / (F.lit(whole["weights"]).cast("double") - F.col("__full_weight"))
+    # The first source, by level, that is not full sets the level for all that follow.
+    final = filled.where(F.col("__cap") > level * F.col("__weight")).agg(F.min(F.struct("__at", level.alias("level")))["level"].alias("level")).first()["level"]
+    target = F.col("__cap") if final is None else F.least("__cap", F.lit(final) * F.col("__weight"))
+    return filled.select("source", "source_size", target.alias("target"))
 
 
-def mix_plan(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = "42") -> DataFrame:
-    """doc_id, source, key, size, source_size, target, taken: a row per document.
+def mix_plan(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = "42", key: Column | None = None) -> DataFrame:
+    """doc_id, source, key, size, source_size, target, epochs, taken: a row per document.
 
-    ``docs`` has doc_id, text, source; other columns are not read. NULL and
-    empty texts have size 0 and nothing taken. Equal rows share a key and are
-    interchangeable; the order among them cannot be seen in the result. An
-    empty table gives an empty plan.
+    ``docs`` has doc_id, text, source; other columns are not read unless ``key`` does. NULL and
+    empty texts have size 0 and nothing taken. Rows of one key are interchangeable: with the
+    default key they are equal in these columns, and the order among them cannot be seen in the
+    result. An empty table gives an empty plan.
     """
+    key = row_key(seed, F.col("source"), F.col("doc_id").cast("string"), F.col("text")) if key is None else key
     sized = materialize(
-        docs.select(
-            "doc_id",
-            "source",
-            F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
-            row_key(seed, F.col("source"), F.col("doc_id"), F.col("text")).alias("key"),
-        ),
+        docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"), key.alias("key")),
         "sized",
     )
     ranged = sized.withColumn("__range", F.substring("key", 1, 2))
-    ranges = ranged.groupBy("source", "__range").agg(F.sum("size").alias("__words"))
+    ranges = materialize(ranged.groupBy("source", "__range").agg(F.sum("size").alias("__words")), "ranges")
     targets = source_targets(ranges.groupBy("source").agg(F.sum("__words").alias("source_size")), share, max_epochs)
     before = Window.partitionBy("source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.withColumn("__offset", F.coalesce(F.sum("__words").over(before), F.lit(0)))
@@ -96,6 +98,7 @@ def mix_plan(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS
             "size",
             "source_size",
             "target",
+            epochs.alias("epochs"),
             (epochs * F.col("size") + F.least(F.greatest(rest - start, F.lit(0)), F.col("size"))).cast("long").alias("taken"),
         )
     )
@@ -117,27 +120,38 @@ def _first_words(texts: pd.Series, words: pd.Series) -> pd.Series:
 def mix_documents(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = "42") -> DataFrame:
     """The mix itself, in the columns of ``docs``: a row for each whole copy taken of a
     document and one, cut after its last taken word, for a part. n_chars follows a cut.
+
+    The plan is reduced to a row per source: its whole epochs, and the last key of the epoch
+    that is cut. Documents with smaller keys come once more; texts are not shuffled. Rows that
+    are equal in all columns share a key; those that hold the cut are one document with a count.
+    NULL texts and texts without words hold nothing to take and go; a NULL source is a source.
     """
-    plan = mix_plan(docs, share, max_epochs, seed)
-    # Rows that are equal have one key: their words taken are summed, one of them is expanded.
-    taken = plan.where("taken > 0").groupBy(F.col("key").alias("__tk")).agg(F.max("size").alias("__size"), F.sum("taken").alias("__taken"))
-    names = docs.columns
-    keyed = docs.withColumn("__key", row_key(seed, F.col("source"), F.col("doc_id"), F.col("text"))).dropDuplicates(["__key"])
-    copies = (
-        keyed.join(taken, F.col("__key") == F.col("__tk"))
-        .withColumn("__whole", F.expr("__taken div __size"))
-        .withColumn("__part", F.expr("__taken % __size"))
-        .withColumn("__words", F.explode(F.expr("array_compact(concat(array_repeat(__size, cast(__whole as int)), array(nullif(__part, 0L))))")))
-        .select(*names, "__size", "__words")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    key = row_key(seed, *[_as_text(docs, c) for c in docs.columns])
+    plan = mix_plan(docs, share, max_epochs, seed, key)
+    by_key = plan.groupBy("source", "key").agg(
+        F.max("epochs").alias("epochs"), F.sum(F.col("taken") - F.col("epochs") * F.col("size")).alias("rest"), F.max("size").alias("size")
     )
-    whole, part = copies.where("__words = __size"), copies.where("__words < __size")
+    last = F.max_by(F.struct("key", "rest", "size"), F.when(F.col("rest") > 0, F.col("key")))
+    cuts = materialize(by_key.groupBy(F.col("source").alias("__s")).agg(F.max("epochs").alias("__epochs"), last.alias("__cut")), "cuts")
+    keyed = docs.select(*names, key.alias("__key")).where(F.col("text").rlike(WORD_PATTERN)).join(cuts, F.col("source").eqNullSafe(F.col("__s")))
+    copies = F.col("__epochs") + F.coalesce((F.col("__key") < F.col("__cut.key")).cast("long"), F.lit(0))
+    whole = keyed.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+    # A document per source at most, with the number of rows that are equal to it.
+    at_cut = materialize(keyed.where(F.col("__key") == F.col("__cut.key")).dropDuplicates(["__key"]).select(*names, "__cut"), "at-cut")
+    chunks = F.expr(f"sequence(0L, (__whole - 1) div {EXPAND_CHUNK})")
+    inside = F.expr(f"sequence(__chunk * {EXPAND_CHUNK} + 1, least((__chunk + 1) * {EXPAND_CHUNK}, __whole))")
+    more = at_cut.withColumn("__whole", F.expr("__cut.rest div __cut.size")).where("__whole > 0").withColumn("__chunk", F.explode(chunks))
+    more = more.repartition("__chunk").withColumn("__copy", F.explode(inside))
+    part = at_cut.withColumn("__words", F.expr("__cut.rest % __cut.size")).where("__words > 0")
     part = part.withColumn("text", F.pandas_udf(_first_words, "string")("text", "__words"))
-    if "n_chars" in names:
+    if "n_chars" in docs.columns:
         part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.select(*names).unionByName(part.select(*names))
+    return whole.select(*names).unionByName(more.select(*names)).unionByName(part.select(*names))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; NULL and empty texts have size 0 and nothing taken, repeated rows are mixed one by one."""
     return mix_plan(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
@@ -146,7 +160,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP5_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    md5(concat_ws('|', '42', coalesce(source, '~'), coalesce(doc_id::VARCHAR, '~'), coalesce(text, '~'))) AS key
+    md5(concat_ws('|', '42', coalesce(strlen(source) || ':' || source, '~'), coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '~'),
+      coalesce(strlen(text) || ':' || text, '~'))) AS key
   FROM documents),
 sources AS (
   SELECT source AS s, sum(size)::BIGINT AS source_size,
