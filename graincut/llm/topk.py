@@ -1,10 +1,10 @@
 """Exact top-k inner-product search with a KD-tree per shard.
 
-Vectors fall into shards by a hash of their id; a shard's tree splits at
+Vectors fall into shards by a hash of their row number; a shard's tree splits at
 medians of its widest dimension and keeps a tight bounding box per node, and is
 stored as one binary row. Queries go in blocks; a block runs through the trees
 of a group of shards one after another in one task, so the k-th score found in
-one shard prunes the next. In a tree, nodes are taken best first by the most
+one shard prunes the next. Groups are as large as leaves enough tasks. In a tree, nodes are taken best first by the most
 that any point of their box could score. Memory holds one block and one tree.
 """
 
@@ -28,20 +28,20 @@ SHARD_ROWS = 2048
 LEAF_ROWS = 64
 #: Every tree goes to every block, so blocks are as large as a task's memory allows.
 BLOCK_QUERIES = 4096
-GROUP_SHARDS = 64
+#: Shards that one task searches: fewer while there are less than TASKS tasks, so that none searches alone.
+LEAST_GROUP, GROUP_SHARDS, TASKS = 4, 64, 64
+MAX_PARTITIONS = 65_536
 EXACT = 2.0**53
 LONG = 2**63
-OUT = "query_id long, vec_id long, score long"
+OUT = "query long, query_id long, vec_id long, score long"
 
 
 def scaled_vectors(vectors: DataFrame) -> DataFrame:
-    """vec_id and integer components v: floor(1024 * x). Vectors that are NULL or hold
-    NULL or non-finite components, and NULL ids, are left out. Of rows that share a
-    vec_id the least vector, in array order, counts."""
+    """vec_id and integer components v: floor(1024 * x), a row per usable row. Vectors that are
+    NULL or hold NULL or non-finite components, and NULL ids, are left out."""
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)))
     v = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
-    usable = vectors.where(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False)))
-    return usable.select("vec_id", v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return vectors.where(F.col("vec_id").isNotNull() & F.coalesce(sound, F.lit(False))).select("vec_id", v.alias("v"))
 
 
 def _matrix(rows: Iterable[np.ndarray]) -> np.ndarray:
@@ -53,8 +53,8 @@ def _matrix(rows: Iterable[np.ndarray]) -> np.ndarray:
     return out
 
 
-def build_tree(ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> dict:
-    """Arrays of a KD-tree: points in leaf order, and per node its box, range, children and least id."""
+def build_tree(ids: np.ndarray, rows: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> dict:
+    """Arrays of a KD-tree: ids, row numbers and points in leaf order, and per node its box, range, children and least id."""
     order = np.arange(len(ids))
     lo, hi, span, children, least = [], [], [], [], []
 
@@ -74,7 +74,7 @@ def build_tree(ids: np.ndarray, points: np.ndarray, leaf_rows: int = LEAF_ROWS)
         return at
 
     node(0, len(ids))
-    return {"ids": ids[order], "points": points[order], "lo": np.array(lo), "hi": np.array(hi), "span": span, "children": children, "least": [int(x) for x in least]}
+    return {"ids": ids[order], "rows": rows[order], "points": points[order], "lo": np.array(lo), "hi": np.array(hi), "span": span, "children": children, "least": [int(x) for x in least]}
 
 
 def _narrow(a: np.ndarray) -> np.ndarray:
@@ -95,9 +95,9 @@ def _largest(a: np.ndarray) -> float:
 class BlockSearch:
     """The best k candidates so far of each query of a block."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
-        self.ids, self.queries, self.k = ids, queries, k
-        self.best: list[list[tuple[int, int]]] = [[] for _ in ids]  # heaps of (score, -vec_id)
+    def __init__(self, ids: np.ndarray, numbers: np.ndarray, queries: np.ndarray, k: int):
+        self.ids, self.numbers, self.queries, self.k = ids, numbers, queries, k
+        self.best: list[list[tuple[int, int, int]]] = [[] for _ in ids]  # heaps of (score, -vec_id, -row number)
 
     def search(self, tree: dict) -> None:
         d = self.queries.shape[1]
@@ -110,7 +110,7 @@ class BlockSearch:
             self._search_one(k, tree, points, q[k], bounds[k])
 
     def _search_one(self, k: int, tree: dict, points: np.ndarray, q: np.ndarray, bounds: np.ndarray) -> None:
-        best, own, ids, least = self.best[k], self.ids[k], tree["ids"], tree["least"]
+        best, own, ids, numbers, least = self.best[k], self.numbers[k], tree["ids"], tree["rows"], tree["least"]
         frontier = [(-bounds[0], least[0], 0)]
         while frontier:
             bound, low_id, at = heapq.heappop(frontier)
@@ -126,27 +126,27 @@ class BlockSearch:
             scores = points[a:b] @ q
             may = np.flatnonzero(scores >= best[0][0]) if len(best) == self.k else range(b - a)
             for x in may:
-                if (vec := int(ids[a + x])) != own:
-                    item = (int(scores[x]), -vec)
+                if (number := int(numbers[a + x])) != own:
+                    item = (int(scores[x]), -int(ids[a + x]), -number)
                     if len(best) < self.k:
                         heapq.heappush(best, item)
                     elif item > best[0]:
                         heapq.heapreplace(best, item)
 
-    def rows(self) -> Iterator[tuple[int, int, int]]:
-        for q, best in zip(self.ids, self.best, strict=True):
-            for score, vec in best:
-                yield int(q), -vec, max(-LONG, min(LONG - 1, score))
+    def rows(self) -> Iterator[tuple[int, int, int, int]]:
+        for number, q, best in zip(self.numbers, self.ids, self.best, strict=True):
+            for score, vec, _ in best:
+                yield int(number), int(q), -vec, max(-LONG, min(LONG - 1, score))
 
 
 def _pack_shard(group: pd.DataFrame) -> pd.DataFrame:
-    tree = build_tree(group["vec_id"].to_numpy(np.int64), _matrix(group["v"]))
+    tree = build_tree(group["vec_id"].to_numpy(np.int64), group["row"].to_numpy(np.int64), _matrix(group["v"]))
     tree |= {x: _narrow(tree[x]) for x in ("points", "lo", "hi")}
     return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "payload": [pickle.dumps(tree)]})
 
 
 def _pack_block(group: pd.DataFrame) -> pd.DataFrame:
-    block = (group["vec_id"].to_numpy(np.int64), _narrow(_matrix(group["v"])))
+    block = (group["vec_id"].to_numpy(np.int64), group["row"].to_numpy(np.int64), _narrow(_matrix(group["v"])))
     return pd.DataFrame({"block": [int(group["block"].iloc[0])], "payload": [pickle.dumps(block)]})
 
 
@@ -154,7 +154,7 @@ def _run(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state = None, None
         names = [x.split()[0] for x in OUT.split(", ")]
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)] if (rows := list(state.rows())) else [pa.array([], pa.int64())] * 3, names=names)
+        flush = lambda: pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)] if (rows := list(state.rows())) else [pa.array([], pa.int64())] * 4, names=names)
         for batch in batches:
             for block, part, shard, payload in zip(*(batch[c] for c in ("block", "part", "shard", "payload")), strict=True):
                 loaded = pickle.loads(payload.as_py())
@@ -174,43 +174,48 @@ def top_k(vectors: DataFrame, is_query, k: int) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best other rows of each query row.
 
     ``vectors`` has vec_id and integer array v (see scaled_vectors); ``is_query``
-    is a condition on it. Vectors of unequal length are compared as if filled
+    is a condition on it. Rows that share a vec_id are rows of their own, as queries
+    and as candidates. Vectors of unequal length are compared as if filled
     with zeros. Ties go to the smaller vec_id; with fewer than k others, all
-    are given. Scores beyond a long stop at its limits.
+    are given. Scores beyond a long stop at its limits. Without rows or queries
+    the result is empty.
     """
-    vectors = materialize(vectors, "vectors")
+    # Row numbers hold as long as the written table does.
+    vectors = materialize(vectors.withColumn("row", F.monotonically_increasing_id()), "vectors")
     queries = vectors.where(is_query)
     n, n_queries = vectors.count(), queries.count()
     shards, blocks = max(1, math.ceil(n / SHARD_ROWS)), max(1, math.ceil(n_queries / BLOCK_QUERIES))
-    parts = math.ceil(shards / GROUP_SHARDS)
-    hashed = lambda m, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(m)).cast("int")
+    parts = max(math.ceil(shards / GROUP_SHARDS), min(math.ceil(shards / LEAST_GROUP), math.ceil(TASKS / blocks)))
+    in_group = math.ceil(shards / parts)
+    hashed = lambda m, seed: F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(m)).cast("int")
     trees = vectors.withColumn("shard", hashed(shards, 1)).groupBy("shard").applyInPandas(_pack_shard, "shard int, payload binary")
     trees = materialize(trees, "trees")
     packed = queries.withColumn("block", hashed(blocks, 2)).groupBy("block").applyInPandas(_pack_block, "block int, payload binary")
     heads = packed.select("block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(-1).alias("shard"), "payload")
     # The stated query set against all rows, in blocks: each tree goes to each block.
     bodies = trees.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.expr(f"cast(shard div {GROUP_SHARDS} as int)").alias("part"), "shard", "payload"
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.expr(f"cast(shard div {in_group} as int)").alias("part"), "shard", "payload"
     )
-    runs = heads.unionByName(bodies).repartition("block", "part").sortWithinPartitions("block", "part", "shard")
+    # A given number of partitions, as groups are heavy for their bytes and would be merged.
+    runs = heads.unionByName(bodies).repartition(min(2 * blocks * parts, MAX_PARTITIONS), "block", "part").sortWithinPartitions("block", "part", "shard")
     found = runs.mapInArrow(_run(k), OUT)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are all rows whose vec_id is divisible by 100; see scaled_vectors for rows that take no part."""
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return top_k(scaled_vectors(vectors), F.col("vec_id") % 100 == 0, 10)
 
 
 OP3_SQL = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id),
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.r <> c.r)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 10
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 10
 """
