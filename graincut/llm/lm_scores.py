@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,8 @@ VOCABULARY = "piece_bpe_32k.model"
 ALPHA = 0.1
 #: Passes over the distinct training words that replace piece counts by expected ones.
 EM_ROUNDS = 1
-#: Expected uses are summed as whole parts of this size, so that no order of adding shows.
-PARTS = 1024
+#: Expected uses are summed as whole parts of this size, so that no order of adding shows; sums are decimals.
+PARTS = 1 << 24
 #: Longest words whose probabilities are tried without logarithms, and the least such value.
 PLAIN_CHARS, TINY = 40, 1e-280
 #: A chunk ends at this many documents or bytes of text.
@@ -40,6 +41,7 @@ CHUNK_DOCS, CHUNK_BYTES = 4096, 12_000_000
 COUNT_BITS = 19  # a posting is document number * 2^19 + count; larger counts take several
 END = "\n"  # stands for the end token; no word holds white space
 INDEX = "row long, train boolean, n_words long, word binary, chunk long, postings array<int>, train_count long"
+PART_SUM = pa.decimal128(38, 0)
 MODEL_SCHEMA = "word binary, c long, lattice double"
 
 
@@ -250,7 +252,7 @@ def _expect_pieces(path: str, log_p: np.ndarray):
             for word, times in zip(batch["word"].to_pylist(), batch["c"].to_pylist(), strict=True):
                 lattice.expect(word.decode("utf-8", "replace"), times, uses, byte_uses)
         found = [(model.piece_to_id(x), n) for x, n in uses.items() if n] + [(i, n) for i, n in zip(_byte_ids(model), byte_uses, strict=True) if n]
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["piece", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([Decimal(n) for _, n in found], PART_SUM)], names=["piece", "n"])
 
     return expect
 
@@ -266,7 +268,7 @@ def _count_pieces(path: str):
             flat = np.fromiter((x for xs in ids for x in xs), dtype=np.int64)
             total += np.bincount(flat, np.repeat(times, [len(x) for x in ids]), minlength=len(total)).astype(np.int64)
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["piece", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array([Decimal(int(n)) for n in total[seen]], PART_SUM)], names=["piece", "n"])
 
     return count
 
@@ -320,8 +322,8 @@ def score_documents(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULA
     def learned(uses, parts: int) -> np.ndarray:
         """Log-probabilities from uses by task; at most one row per piece (32,000) reaches the driver."""
         n = np.zeros(model.get_piece_size())
-        for r in counts.where("c > 0").mapInArrow(uses, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect():
-            n[r["piece"]] = r["n"] / parts
+        for r in counts.where("c > 0").mapInArrow(uses, "piece long, n decimal(38,0)").groupBy("piece").agg(F.sum("n").alias("n")).collect():
+            n[r["piece"]] = int(r["n"]) / parts
         n[model.eos_id()] = ends
         return np.log((n + ALPHA) / (n.sum() + ALPHA * len(n)))
 
