@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -102,26 +102,31 @@ class PrefixCounter:
 
     def byte_counts(self, data: bytes) -> list[int]:
         """Token count of every byte prefix of one pre-token, from 0."""
-        vocab, longest, known = self.vocab.get, self.longest, self.side_by_side
+        vocab, longest, known, n = self.vocab.get, self.longest, self.side_by_side, len(data)
         if len(known) > CACHE_PAIRS:
             known.clear()
-        last = [0]
-        count = [0]
-        for i in range(1, len(data) + 1):
-            for a in range(i - 1, max(0, i - longest) - 1, -1):
+        last, count, begin = [0] * (n + 1), [0] * (n + 1), 0
+        for i in range(1, n + 1):
+            # Only one token fits, so any order finds it: first the one before made longer, then short ones.
+            a, nearer = begin, i - 1
+            while True:
                 token = vocab(data[a:i])
-                if token is None:
-                    continue
-                if a:
+                if token is not None:
+                    if not a:
+                        break
                     pair = (last[a] << 20) | token
                     fits = known.get(pair)
                     if fits is None:
                         fits = known[pair] = self.may_follow(last[a], token)
-                    if not fits:
-                        continue
-                last.append(token)
-                count.append(count[a] + 1)
-                break
+                    if fits:
+                        break
+                if nearer == begin:
+                    nearer -= 1
+                a = nearer
+                nearer -= 1
+                if a < 0 or a < i - longest:
+                    raise ValueError("a byte is missing in the vocabulary")
+            last[i], count[i], begin = token, count[a] + 1, a
         return count
 
     def piece_counts(self, piece: str) -> list[int]:
@@ -135,8 +140,11 @@ class PrefixCounter:
         return [count[e] for e in ends]
 
     def piece_deltas(self, piece: str) -> bytes:
-        c = np.array([0, *self.piece_counts(piece)], dtype=np.int64)
-        return np.diff(c).astype(np.int8).tobytes()
+        at, out = 0, []
+        for c in self.piece_counts(piece):
+            out.append((c - at) & 255)
+            at = c
+        return bytes(out)
 
     def segment_deltas(self, text: str) -> bytearray:
         """Deltas of a text without special tokens."""
@@ -175,13 +183,23 @@ class PrefixCounter:
             for k, x in enumerate(found):
                 if x is None:
                     c = chunks[k]
-                    x = found[k] = new.get(c) or old.get(c) or bytes(self.segment_deltas(" " + c))
+                    x = found[k] = new.get(c) or old.get(c) or self.chunk_deltas(c)
                     if len(c) <= CACHE_PIECE_CHARS:
                         new[c] = x
             if len(new) > CACHE_PIECES:
                 self.old_chunks, self.chunks = new, {}
         return bytes(self.segment_deltas(first)) + b"".join(found)
 
+    def chunk_deltas(self, chunk: str) -> bytes:
+        """Deltas of a space and what follows up to the next; plain letters are one pre-token."""
+        piece = " " + chunk
+        if not (chunk.isascii() and chunk.isalpha()):
+            return bytes(self.segment_deltas(piece))
+        d = self.new.get(piece) or self.old.get(piece) or self.piece_deltas(piece)
+        if len(chunk) < CACHE_PIECE_CHARS:
+            self.new[piece] = d
+        return d
+
     def deltas(self, text: str) -> bytes:
         """Signed bytes: entry k is count(text[:k + 1]) - count(text[:k])."""
         if not any(x in text for x in self.special):
@@ -226,7 +244,8 @@ def prefix_counts(docs: DataFrame, keep: list[str], limit: int = LIMIT, tokenize
     deltas: see counts_at. A NULL text counts as an empty one: 0 tokens.
     """
 
-    def count(batches: Iterable[pd.Series]) -> Iterable[pd.DataFrame]:
+    @F.pandas_udf(COLUMNS)
+    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         import public_tokenizers
 
         counter = _counter(public_tokenizers.path(tokenizer))
@@ -238,12 +257,11 @@ def prefix_counts(docs: DataFrame, keep: list[str], limit: int = LIMIT, tokenize
                 rows.append((n, len(d) if n <= limit and len(d) <= limit else longest_prefix(d, limit), d))
             yield pd.DataFrame(rows, columns=["n_tokens", "limit_chars", "deltas"])
 
-    count.__annotations__ = {}
-    counted = F.pandas_udf(count, COLUMNS, F.PandasUDFType.SCALAR_ITER)
     return docs.select(*[F.col(f"`{c}`") for c in keep], counted("text").alias("__t")).select(*[F.col(f"`{c}`") for c in keep], "__t.*")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, row by row; NULL and empty texts have 0 bytes and 0 tokens."""
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
     )
