@@ -5,12 +5,15 @@ Features are the distinct character n-grams (2 to 5 letters, word borders
 included) of a text's distinct words, hashed. A logistic regression on presence
 times log-count ratio is fitted on labelled rows; its weights, ratios folded in,
 are one dense vector that scores all texts in one pass.
+
+All n-grams of a text's distinct words are hashed at once: a rolling hash over
+the code points of the words set side by side, without the grams that cross a
+border between two words.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterable
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,45 +22,67 @@ from pyspark.sql import functions as F
 
 from .common import crc32_of_id, read_table
 
-FEATURES = 1 << 18
+FEATURE_BITS = 18
+FEATURES = 1 << FEATURE_BITS
 GRAMS = (2, 3, 4, 5)
 #: The classifier is fitted on at most this many labelled rows, those of least id hash.
 MAX_TRAIN_ROWS = 8000
-MAX_WORD_CHARS = 40  # a longer word gives the grams of its overlapping stretches of this length
-CACHE_WORDS = 150_000
+#: Words are hashed in blocks of about this many characters, so that memory does not grow with the text.
+BLOCK_CHARS = 1 << 18
+#: Parameters of the fit: a feature takes part if this many training rows hold it and its log-count ratio is this far from 0.
 MIN_DOCS = 3
-MIN_RATIO = 0.5  # features whose log-count ratio is nearer to 0 are left out
+MIN_RATIO = 0.5
 PENALTY = 30.0  # of the squared weights, against the summed logistic loss
 ROUNDS = 60
 THRESHOLD = 0.3
+#: Start and factors of the rolling hash and of its last mixing, modulo 2^32.
+HASH_START, HASH_FACTOR, MIX_FACTOR = np.uint32(2_166_136_261), np.uint32(16_777_619), np.uint32(739_982_445)
+
+
+def gram_features(words: list[str]) -> np.ndarray:
+    """Features of all n-grams of the words, each between < and >; repeats included."""
+    joined = "<" + "><".join(words) + ">"
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    word_of = np.repeat(np.arange(len(words), dtype=np.int32), np.fromiter(map(len, words), np.int64, len(words)) + 2)
+    found, h = [], (codes ^ HASH_START) * HASH_FACTOR
+    for n in range(2, max(GRAMS) + 1):
+        if len(codes) < n:
+            break
+        h = (h[:-1] ^ codes[n - 1 :]) * HASH_FACTOR
+        if n in GRAMS:
+            x = h[word_of[n - 1 :] == word_of[: len(codes) - n + 1]]
+            x = (x ^ (x >> np.uint32(15))) * MIX_FACTOR
+            found.append(x >> np.uint32(32 - FEATURE_BITS))
+    return np.concatenate(found).astype(np.int32)
+
 
+class TextFeatures:
+    """The distinct features of texts; one array of places tells first from later ones."""
 
-class GramHasher:
     def __init__(self):
-        self.new: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        self.place = np.zeros(FEATURES, np.int32)
 
-    def word(self, word: str) -> np.ndarray:
-        found = self.new.get(word)
-        if found is None:
-            found = self.old.get(word)
-            if found is None:
-                text = f"<{word}>"
-                grams = {text[i : i + n] for n in GRAMS for i in range(len(text) - n + 1)}
-                found = np.array([zlib.crc32(g.encode("utf-8", "surrogatepass")) % FEATURES for g in grams], dtype=np.int32)
-            if len(word) <= MAX_WORD_CHARS:
-                self.new[word] = found
-        return found
+    def distinct(self, features: np.ndarray) -> np.ndarray:
+        """Each feature once, where it stands last."""
+        at = np.arange(len(features), dtype=np.int32)
+        self.place[features] = at
+        return features[self.place[features] == at]
 
-    def text(self, text: str | None) -> np.ndarray:
-        """Sorted distinct features of one whole text; none for NULL and empty ones."""
-        words = set((text or "").lower().split())
-        if len(self.new) > CACHE_WORDS:
-            self.old, self.new = self.new, {}
-        return np.unique(np.concatenate([self.word(w) for w in words])) if words else np.zeros(0, np.int32)
+    def of(self, text: str | None) -> np.ndarray:
+        """Distinct features of one whole text; none for NULL and empty ones."""
+        words = list(dict.fromkeys((text or "").lower().split()))
+        found, block, size = np.zeros(0, np.int32), [], 0
+        for w in words if len(text or "") > BLOCK_CHARS else ():
+            block.append(w)
+            size += len(w)
+            if size > BLOCK_CHARS:
+                found = self.distinct(np.concatenate([found, gram_features(block)]))
+                block, size = [], 0
+        block = words if len(text or "") <= BLOCK_CHARS else block
+        return self.distinct(np.concatenate([found, gram_features(block)])) if block else found
 
 
-_hasher = GramHasher()
+_features = TextFeatures()
 
 
 def _minimize(loss, x: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
@@ -125,7 +150,7 @@ def fit(features: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, floa
 
 def _fit_group(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("doc_id", kind="stable")
-    weights, bias = fit([_hasher.text(x) for x in rows["text"]], rows["toxic"].to_numpy())
+    weights, bias = fit([_features.of(x) for x in rows["text"]], rows["toxic"].to_numpy())
     return pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias]})
 
 
@@ -137,7 +162,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
     used are the max_rows of least id hash, fitted in one task.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
+    # Labels without a text don't use up the bound.
+    with_text = docs.where("text is not null").select(F.col("doc_id").alias("__doc"))
+    chosen = known.join(with_text, F.col("__id") == F.col("__doc"), "left_semi").orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
     # At most max_rows narrow rows: the bound that allows the broadcast.
     rows = docs.where("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
     rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
@@ -150,17 +177,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) ->
 def score(text: Column | str, weights: np.ndarray, bias: float) -> Column:
     """Probability of toxicity of whole texts; that of no features for NULL and empty ones."""
 
-    def score_batches(batches: Iterable[pd.Series]) -> Iterable[pd.Series]:
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            z = np.array([bias + float(weights[_hasher.text(x)].sum(dtype=np.float64)) for x in texts])
+            z = np.array([bias + float(weights[_features.of(x)].sum(dtype=np.float64)) for x in texts])
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -40, 40))), dtype="float64")
 
-    score_batches.__annotations__ = {}
-    return F.pandas_udf(score_batches, "double", F.PandasUDFType.SCALAR_ITER)(text)
+    return scored(text)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A NULL doc_id is not held out; it has no label either."""
+    """All documents; a NULL doc_id is not held out and has no label, NULL and empty texts get the score of no features."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = lambda c: F.coalesce(crc32_of_id(F.col(c)) % 4 == 2, F.lit(False))
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out("doc_id"))
