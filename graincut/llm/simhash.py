@@ -121,7 +121,9 @@ def near_duplicates(docs: DataFrame, keep: list[str]) -> DataFrame:
     kept = [F.col(f"`{c}`") for c in keep]
     marked = materialize(docs.select(*kept, F.col("doc_id").alias("__id"), fingerprint("text").alias("fp")), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("__id").alias("__least")), "distinct")
-    roots = components(near_pairs(distinct.select("fp")))
+    # The few narrow files of distinct values are dealt out again, as each value becomes up to 1,057 rows.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    roots = components(near_pairs(distinct.select("fp").repartition(tasks, "fp")))
     grouped = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "__least", F.coalesce("root", "fp").alias("__root"))
     ids = grouped.groupBy("__root").agg(F.min("__least").alias("component_id")).withColumnRenamed("__root", "__r")
     classes = grouped.join(ids, F.col("__root") == F.col("__r")).select(F.col("fp").alias("__fp"), "component_id")
@@ -133,6 +135,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows that share doc_id and component are cut to one by the order of their
     hashes. Of a component without doc_ids the row with the least hash stays.
+    NULL and empty texts are one component, of which one row stays.
     """
     names = [F.col(f"`{c}`") for c in docs.columns]
     # 128 bits that stand for a whole row; never NULL, so that join and cut share one shuffle.
@@ -145,6 +148,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, see near_duplicates; texts without words share fingerprint zero."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, ["doc_id"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
