@@ -16,7 +16,7 @@ import re
 import struct
 from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,6 +30,8 @@ from .token_counts import byte_letters
 CAPACITY = 4096
 END_ID = 1
 RANK_BUCKETS = 256
+#: The plan is sent to all tasks up to this many rows (48 bytes each); it has a few per length in use.
+MAX_SENT_PLAN = 200_000
 #: Words kept in a worker's memory, in two generations of this many; longer words are not kept.
 CACHE_WORDS = 300_000
 CACHE_WORD_BYTES = 48
@@ -129,14 +131,13 @@ def text_pieces(docs: DataFrame, keep: list[str], capacity: int, tokenizer: str)
     """
     end = np.array([END_ID], dtype="<u4").tobytes()
 
-    def pieces(batches: Iterable[pd.Series]) -> Iterable[pd.Series]:
+    @F.pandas_udf(PIECES)
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = _encoder(tokenizer_path(tokenizer))
         for texts in batches:
             out = [cut_pieces(encoder.encode(x or "") + end, capacity) for x in texts]
             yield pd.Series([[dict(zip(PIECE_FIELDS, p, strict=True)) for p in ps] for ps in out])
 
-    pieces.__annotations__ = {}
-    cut = F.pandas_udf(pieces, PIECES, F.PandasUDFType.SCALAR_ITER)
     kept = [F.col(f"`{c}`") for c in keep]
     return docs.select(*kept, F.explode(cut("text")).alias("__p")).select(*kept, "__p.*")
 
@@ -193,10 +194,13 @@ def pack(docs: DataFrame, keep: list[str], capacity: int = CAPACITY, tokenizer:
     a sequence are those of its pieces by offset, one after another. ``docs`` has
     a text column; NULL text is the end token alone. Repeated rows are packed one
     by one; which of two equal pieces takes which slot does not show. An empty
-    table gives no rows. ``keep`` may not hold names of results.
+    table gives no rows. A name of a result in ``keep`` raises an error.
     """
+    clash = {*PIECE_FIELDS, "ids_crc32", "sequence_id", "offset"} & {c.lower() for c in keep}
+    if clash:
+        raise ValueError(f"reserved names {sorted(clash)}")
     spark = docs.sparkSession
-    cut = text_pieces(docs, keep, capacity, tokenizer)
+    cut = text_pieces(docs, keep, capacity, tokenizer).withColumn("ids_crc32", F.crc32("ids"))
     names = cut.columns
     ordered = [F.col(f"`{c}`") for c in names]
     # Row numbers hold as long as the written table does.
@@ -205,9 +209,10 @@ def pack(docs: DataFrame, keep: list[str], capacity: int = CAPACITY, tokenizer:
     counts = materialize(bucketed.groupBy("length", "__b").agg(F.count(F.lit(1)).alias("__n")), "lengths")
     # At most `capacity` rows reach the driver.
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("__n").alias("n")).collect()}
-    plan = spark.createDataFrame(
-        plan_slots(histogram, capacity), "__length long, __first long, __count long, __sequence long, __per long, __at long"
-    )
+    slots_by_run = plan_slots(histogram, capacity)
+    plan = spark.createDataFrame(slots_by_run, "__length long, __first long, __count long, __sequence long, __per long, __at long")
+    # Sent to the pieces, so that pieces of a hot length stay where they are; beyond the bound the planner chooses.
+    plan = F.broadcast(plan) if len(slots_by_run) <= MAX_SENT_PLAN else plan
     before = Window.partitionBy("length").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         F.col("length").alias("__l"), F.col("__b").alias("__ob"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
@@ -224,9 +229,9 @@ def pack(docs: DataFrame, keep: list[str], capacity: int = CAPACITY, tokenizer:
         (F.col("__sequence") + F.expr("(__rank - __first) div __per")).alias("sequence_id"),
         (F.col("__at") + j % F.col("__per") * F.col("length")).alias("offset"),
     )
-    return pieces.drop("__hash").join(slots, "__row").select(*ordered, F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    return pieces.drop("__hash").join(slots, "__row").select(*ordered, "sequence_id", "offset")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces with a digest of their ids in place of the ids."""
+    """The packed pieces of all documents with a digest of their ids in place of the ids; NULL and empty texts are an end token."""
     return pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"]).drop("ids")
