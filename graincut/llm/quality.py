@@ -28,8 +28,9 @@ class HostPolicy:
     max_dup_line_percent: int = 30
     min_mean_chars: float = 2.0
     max_mean_chars: float = 20.0
-    #: A host goes when its shrunk rate of failing documents is above this.
-    max_host_rate: float = 0.5
+    #: A host goes when the odds of its shrunk rate of failing documents are more than this
+    #: many times those of the prior's mean, so that any corpus may have such hosts.
+    max_odds_ratio: float = 3.0
 
 
 def _repeat_words(words: list[bytes]) -> int:
@@ -108,7 +109,8 @@ def host_verdicts(measured: DataFrame, policy: HostPolicy) -> DataFrame:
 
     The beta prior is fitted to the counts of all hosts by moments. With one
     host, or hosts that differ no more than chance, the prior pulls every
-    host to the common rate; without documents the table is empty.
+    host to the common rate; without documents the table is empty. Where all
+    documents fail, or none does, no host is blocked.
     """
     hosts = materialize(
         measured.groupBy("__host").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("__failed").cast("long")).alias("n_failed")),
@@ -116,7 +118,7 @@ def host_verdicts(measured: DataFrame, policy: HostPolicy) -> DataFrame:
     )
     n, x = F.col("n_docs").cast("double"), F.col("n_failed").cast("double")
     s = hosts.agg(F.count(F.lit(1)).alias("h"), F.sum(n).alias("n"), F.sum(n * n).alias("nn"), F.sum(x).alias("x"), F.sum(x * x / n).alias("xxn")).first()
-    alpha = beta = 0.0
+    alpha = beta = p = 0.0
     if s["h"]:
         p = s["x"] / s["n"]
         chance = p * (1 - p)
@@ -125,7 +127,8 @@ def host_verdicts(measured: DataFrame, policy: HostPolicy) -> DataFrame:
         strength = 1 / min(max(rho, 1e-6), 0.999) - 1
         alpha, beta = p * strength, (1 - p) * strength
     rate = (x + alpha) / (n + alpha + beta)
-    return hosts.select("*", rate.alias("host_rate"), (rate > policy.max_host_rate).alias("host_blocked"))
+    blocked = rate * (1 - p) > policy.max_odds_ratio * p * (1 - rate)
+    return hosts.select("*", rate.alias("host_rate"), blocked.alias("host_blocked"))
 
 
 def judge_documents(docs: DataFrame, keep: list[str], policy: HostPolicy = HostPolicy()) -> DataFrame:
@@ -147,16 +150,22 @@ def judge_documents(docs: DataFrame, keep: list[str], policy: HostPolicy = HostP
 
 
 def keep_documents(docs: DataFrame, policy: HostPolicy = HostPolicy()) -> DataFrame:
-    """The rows of ``docs``, unchanged, that pass their base rules and whose host is not blocked."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    measured = document_measures(docs, [], policy)
-    hosts = host_verdicts(measured, policy).where("host_blocked").select(F.col("__host").alias("__h"))
-    passed = docs.select(*columns, F.col("source").alias("__host"), measures("text").alias("__m"))
-    passed = passed.where(~base_failed(F.col("__m"), policy))
-    return passed.join(hosts, F.col("__host").eqNullSafe(F.col("__h")), "left_anti").select(*columns)
+    """The rows of ``docs``, unchanged, that pass their base rules and whose host is not blocked.
+
+    Texts are measured once: rows are written with their host and the outcome of the rules, those
+    that fail a base rule without their own columns; the verdicts on hosts read two narrow columns
+    of that table. NULL and empty texts fail; a NULL host is a host.
+    """
+    measured = document_measures(docs, docs.columns, policy).drop("__m")
+    kept = [F.when(~F.col("__base"), F.col(f"`{c}`")).alias(c) for c in docs.columns]
+    judged = materialize(measured.select(*kept, "__host", "__base", "__failed"), "judged")
+    hosts = host_verdicts(judged, policy).where("host_blocked").select(F.col("__host").alias("__h"))
+    passed = judged.where(~F.col("__base")).join(hosts, F.col("__host").eqNullSafe(F.col("__h")), "left_anti")
+    return passed.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, see judge_documents; a NULL source is a host, and NULL texts have no words and fail."""
     return judge_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), ["doc_id"])
 
 
@@ -187,8 +196,8 @@ hosts AS (SELECT source AS h, count(*)::DOUBLE AS n, sum(failed::INTEGER)::DOUBL
 sums AS (SELECT count(*) AS hs, sum(n) AS n, sum(n * n) AS nn, sum(x) AS x, sum(x * x / n) AS xxn, sum(x) / sum(n) AS p FROM hosts),
 room AS (SELECT *, p * (1 - p) * (n - nn / n - (hs - 1)) AS room, xxn - x * x / n - p * (1 - p) * (hs - 1) AS excess FROM sums),
 prior AS (SELECT p, 1 / least(greatest(CASE WHEN room > 0 THEN excess / room ELSE 0 END, 1e-6), 0.999) - 1 AS strength FROM room),
-rates AS (SELECT h, (x + p * strength) / (n + strength) AS host_rate FROM hosts, prior)
+rates AS (SELECT h, p, (x + p * strength) / (n + p * strength + (1 - p) * strength) AS host_rate FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_repeat_words, base_failed, host_rate,
-  NOT base_failed AND host_rate <= 0.5 AS kept
+  NOT base_failed AND host_rate * (1 - p) <= 3 * p * (1 - host_rate) AS kept
 FROM flagged JOIN rates ON source IS NOT DISTINCT FROM h
 """
