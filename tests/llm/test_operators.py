@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from graincut.llm import lm_scores, mixing, packing, queries, secret_scan, sharding, simhash, token_counts, topk, toxicity
@@ -75,32 +76,46 @@ def test_blocked_host_loses_all_its_documents(spark):
     assert {r["doc_id"] for r in quality.judge_documents(docs, ["doc_id"]).where("kept").collect()} == kept
 
 
+def nearest(vectors, queries, k):
+    """(query_id, rank, vec_id, score) of each query row against every other row."""
+    for n, (q, own) in enumerate(vectors):
+        if queries(q):
+            scored = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(own, v)))), i) for m, (i, v) in enumerate(vectors) if m != n)
+            yield from ((q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1))
+
+
 def test_topk_matches_brute_force(spark, tables):
-    vectors = {}
+    vectors = []
     for r in spark.read.parquet(tables["odd"] + "/embeddings.parquet").collect():
         v = r["embedding"]
         if r["vec_id"] is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            vectors[r["vec_id"]] = [min(math.floor(x * 1024), 2**63 - 1) for x in v]
-    want = []
-    for q in vectors:
-        if q % 100 == 0:
-            scored = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(vectors[q], v)))), i) for i, v in vectors.items() if i != q)
-            want += [(q, k, i, -s) for k, (s, i) in enumerate(scored[:10], 1)]
+            vectors.append((r["vec_id"], [min(math.floor(x * 1024), 2**63 - 1) for x in v]))
+    want = nearest(vectors, lambda q: q % 100 == 0, 10)
     assert sorted(tuple(r) for r in rows(spark, "op3_topk_search", tables["odd"])) == sorted(want)
 
 
+def test_topk_over_many_shards_groups_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 40)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 15)
+    rng = np.random.default_rng(4)
+    vectors = [(int(i), [int(x) for x in rng.integers(-4, 5, 6)]) for i in rng.integers(0, 500, 700)]
+    vectors += [(1000, [1] * 6)] * 90  # one id, one vector, many rows
+    found = topk.top_k(spark.createDataFrame(vectors, "vec_id long, v array<bigint>"), F.col("vec_id") % 20 == 0, 5)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(nearest(vectors, lambda q: q % 20 == 0, 5))
+
+
 def test_tree_search_is_exact_with_many_ties():
     rng = np.random.default_rng(0)
     points = rng.integers(-3, 4, (700, 5))
     points[:300] = points[0]
-    ids = rng.permutation(700)
-    search = topk.BlockSearch(ids[:20], points[:20], 10)
+    ids, numbers = rng.permutation(700), np.arange(700)
+    search = topk.BlockSearch(ids[:20], numbers[:20], points[:20], 10)
     for part in np.array_split(np.arange(700), 3):
-        search.search(topk.build_tree(ids[part], points[part], 16))
+        search.search(topk.build_tree(ids[part], numbers[part], points[part], 16))
     for k, best in enumerate(search.best):
         scores = points @ points[k]
         want = sorted((-int(s), int(i)) for s, i in zip(scores, ids) if i != ids[k])[:10]
-        assert sorted((-s, -i) for s, i in best) == want
+        assert sorted((-s, -i) for s, i, _ in best) == want
 
 
 def test_toxicity_learns_planted_words():
@@ -113,9 +128,9 @@ def test_toxicity_learns_planted_words():
             w[3] = "horrid"
         texts.append(" ".join(w))
         y.append(int(k % 5 == 0))
-    hasher = toxicity.GramHasher()
-    weights, bias = toxicity.fit([hasher.text(t) for t in texts[:200]], np.array(y[:200]))
-    z = np.array([bias + weights[hasher.text(t)].sum() for t in texts[200:]])
+    features = toxicity.TextFeatures()
+    weights, bias = toxicity.fit([features.of(t) for t in texts[:200]], np.array(y[:200]))
+    z = np.array([bias + weights[features.of(t)].sum() for t in texts[200:]])
     assert ((z > 0) == np.array(y[200:], bool)).all()
 
 
@@ -271,7 +286,7 @@ def test_secret_spans(spark, tables):
 def test_guess_cost_order():
     cost = secret_scan.guess_cost
     assert max(map(cost, ("password", "2021-03-04", "qwertyuiop", "aaaaaaaaaa", "letmein", "p4ssw0rd"))) < 6 < cost("x7$kQ9!p") < cost("x7$kQ9!pLmZ2")
-    assert cost("") == 0 and cost("ab" * 5000) > 0
+    assert cost("") == 0 and cost("ab" * 500) > 0
 
 
 def test_simhash_components(spark, tables):
@@ -349,7 +364,7 @@ def test_expected_uses_are_those_of_all_segmentations():
         lattice.expect(word, times, uses, [0] * 256)
         for piece in p:
             want = times * sum(q * pieces.count(piece) for q, pieces in all_cuts) / total
-            assert abs(uses[piece] / lm_scores.PARTS - want) < len(word) / lm_scores.PARTS
+            assert abs(uses[piece] / lm_scores.PARTS - want) < 1e-6
     uses, of_bytes = Counter(), [0] * 256
     lattice.expect("aé", 2, uses, of_bytes)
     assert [b for b in range(256) if of_bytes[b]] == sorted("é".encode()) and of_bytes[0xC3] == 2 * lm_scores.PARTS
@@ -380,7 +395,7 @@ def test_each_round_raises_the_smoothed_likelihood():
         found.append(sum(c * lattice.log_probability(w.decode()) for w, c in times.items()) + lm_scores.ALPHA * log_p.sum())
         n = np.full(len(log_p), lm_scores.ALPHA)
         for out in lm_scores._expect_pieces(path, log_p)([batch]):
-            n[out["piece"].to_numpy()] += out["n"].to_numpy() / lm_scores.PARTS
+            n[out["piece"].to_pylist()] += np.array(out["n"].to_pylist(), float) / lm_scores.PARTS
         log_p = np.log(n / n.sum())
     assert found == sorted(found) and found[-1] > found[0]
 
