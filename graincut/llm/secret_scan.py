@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import materialize, read_table
 
 KINDS = ("assign", "access", "hex", "guess")
 MASK = "[SECRET]"
@@ -48,7 +48,7 @@ MIN_VALUE = 6
 #: log10 of the guesses above which a value counts as a secret.
 MIN_COST = 8.0
 
-#: The dictionary: at most this many words, those of most documents, at least two; 3 to 24 letters each.
+#: The dictionary: at most this many words, those of most documents, two at least; 3 to 24 letters each.
 DICTIONARY_WORDS = 100_000
 MIN_WORD, MAX_WORD = 3, 24
 #: Distinct words that a task counts before it hands the counts on.
@@ -201,13 +201,25 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn_words(docs: DataFrame, max_words: int = DICTIONARY_WORDS) -> Ranks:
-    """Rank by word: the fixed common words, and the ``max_words`` words of ``docs`` (text) that
-    most documents hold, ties by the word. Words of one document, whole tokens with digits or
-    signs inside, and whatever stands in a credential context are not counted."""
-    counts = docs.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    # At most max_words short rows reach the driver.
-    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(max_words).collect()
-    ranks = {r["word"]: k for k, r in enumerate(top, 1)}
+    """Rank by word: the fixed common words, and the words of ``docs`` (text) that most documents
+    hold, ties by the word. Words of one document, whole tokens with digits or signs inside, and
+    whatever stands in a credential context are not counted.
+
+    Words fall into classes by the logarithm of their count, eight for each doubling; the classes
+    of highest counts that have ``max_words`` words together, at most, are taken whole, so that no
+    task sends more than its share of them.
+    """
+    counted = docs.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = materialize(counted.withColumn("class", F.floor(8 * F.log2("n")).cast("int")), "words")
+    # A few hundred classes, then at most max_words short rows, reach the driver.
+    room, least = max_words, None
+    for r in counts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("class")).collect():
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["class"]
+    taken = [] if least is None else counts.where(F.col("class") >= least).select("word", "n").collect()
+    ranks = {r["word"]: k for k, r in enumerate(sorted(taken, key=lambda r: (-r["n"], r["word"])), 1)}
     return Ranks(ranks | {w: min(k, ranks.get(w, k)) for w, k in WORD_RANK.items()})
 
 
