@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Codes of faulty points.
+NO_STRUCTURE, ODD_LENGTH, NOT_NUMERIC = "invalid_points_structure", "odd_flat_points_length", "non_numeric_coordinate"
+NOT_FINITE, TOO_FEW = "non_finite_coordinate", "fewer_than_3_unique_points"
+
+
 def point(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -23,14 +28,31 @@ def cleaned(ring: Column) -> Column:
     return F.when(closed, F.slice(kept, 1, F.size(kept) - 1)).otherwise(kept)
 
 
+def parse_points(points: Column) -> Column:
+    """struct(flat, issue) of the points of an annotation, a VARIANT: a list of pairs or a flat list.
+
+    flat: x, y, x, y, ... as doubles. issue: code of the first fault of the structure, else NULL; a
+    list that is not all pairs counts as flat. Booleans, texts and nulls are no numbers.
+    """
+    members = lambda v: F.try_variant_get(v, "$", "array<variant>")
+    is_list = lambda v: F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    every = members(points)
+    pairs = (F.size(every) > 0) & F.forall(every, lambda m: is_list(m) & (F.coalesce(F.size(members(m)), F.lit(0)) == 2))
+    values = F.when(pairs, F.flatten(F.transform(every, members))).otherwise(every)
+    numeric = F.forall(values, lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(False)))
+    issue = F.when(~is_list(points), NO_STRUCTURE).when(F.size(values) % 2 == 1, ODD_LENGTH).when(~numeric, NOT_NUMERIC)
+    flat = F.transform(values, lambda v: F.try_variant_get(v, "$", "double"))
+    return F.struct(F.when(issue.isNull(), flat).alias("flat"), F.when(points.isNull(), NO_STRUCTURE).otherwise(issue).alias("issue"))
+
+
 def point_issue(flat: Column) -> Column:
     """Code of the first fault of a flat list: missing, odd length, not finite, too few points."""
     finite = F.forall(flat, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     return (
-        F.when(flat.isNull(), "points_missing")
-        .when(F.size(flat) % 2 == 1, "points_odd")
-        .when(~finite, "points_not_finite")
-        .when(F.size(F.array_distinct(cleaned(ring_of_flat(flat)))) < 3, "points_too_few")
+        F.when(flat.isNull(), NO_STRUCTURE)
+        .when(F.size(flat) % 2 == 1, ODD_LENGTH)
+        .when(~finite, NOT_FINITE)
+        .when(F.size(F.array_distinct(cleaned(ring_of_flat(flat)))) < 3, TOO_FEW)
     )
 
 
@@ -147,14 +169,16 @@ def _once(df, **columns: Column):
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
-def convert_annotations(df, flat: str, width: Column, height: Column):
+def convert_annotations(df, flat: str, width: Column, height: Column, issue: str | None = None):
     """``df``, a row per annotation, with ring, cut, box, box_ratio, area_ratio, box_valid,
     ring_valid, min_extent, several_parts and issues, from the flat points of column ``flat``.
 
+    ``issue`` is a column of codes found before, as by parse_points; such rows are not converted.
     A ring cut to nothing may still leave part of its outline in the frame: its box then holds,
     flat sides widened, and its ring does not.
     """
-    given = F.when((width <= 0) | (height <= 0), "invalid_frame").otherwise(point_issue(F.col(flat)))
+    known = F.col(issue) if issue else F.lit(None).cast("string")
+    given = F.when((width <= 0) | (height <= 0), "invalid_frame").otherwise(F.coalesce(known, point_issue(F.col(flat))))
     df = _once(df, __issue=given)
     usable = F.col("__issue").isNull()
     df = _once(df, ring=F.when(usable, cleaned(ring_of_flat(F.col(flat)))))

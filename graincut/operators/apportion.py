@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,19 +43,20 @@ def largest_remainder(weights: DataFrame, seats: int, key: str, weight: str, cap
 def stratified_sample(items: DataFrame, by: list[str], item: str, positive: Column, cap: int, seed: int, scope: Column) -> DataFrame:
     """At most ``cap`` items of each group, positives in proportion (halves to even).
 
-    Order inside a group is seeded: scope:p for positives, scope:n for others.
+    Order inside a group is seeded: scope:p for positives, scope:n for others. Groups are counted
+    map-side, and no task hands on more than ``cap`` items of a group and side.
     """
-    group = Window.partitionBy(*by)
-    counted = items.withColumn("__pos", positive).withColumns(
-        {"__n": F.count(F.lit(1)).over(group), "__np": F.count(F.when(F.col("__pos"), 1)).over(group)}
-    )
+    marked = items.withColumn("__pos", F.coalesce(positive, F.lit(False)))
+    sizes = marked.groupBy(*[F.col(c).alias(f"__by{k}") for k, c in enumerate(by)]).agg(F.count(F.lit(1)).alias("__n"), F.count(F.when(F.col("__pos"), 1)).alias("__np"))
+    key = order_key(seed, F.concat(scope.cast("string"), F.when(F.col("__pos"), ":p").otherwise(":n")), F.col(item))
+    rank = F.row_number().over(Window.partitionBy(*by, "__pos").orderBy("__key", item))
+    first = marked.withColumn("__key", key).withColumn("__r", rank).where(F.col("__r") <= cap)
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__by{k}")) for k, c in enumerate(by)])
     want = F.least(F.lit(cap), F.col("__n"))
     wanted_pos = F.least(F.rint(want * F.col("__np") / F.col("__n")).cast("long"), F.col("__np"))
     wanted_pos = F.greatest(wanted_pos, want - (F.col("__n") - F.col("__np")))
-    key = order_key(seed, F.concat(scope.cast("string"), F.when(F.col("__pos"), ":p").otherwise(":n")), F.col(item))
-    rank = F.row_number().over(Window.partitionBy(*by, "__pos").orderBy(key, item))
     wanted = F.when(F.col("__pos"), wanted_pos).otherwise(want - wanted_pos)
-    return counted.withColumn("__r", rank).where(F.col("__r") <= wanted).select(*items.columns)
+    return first.join(sizes, same).where(F.col("__r") <= wanted).select(*items.columns)
 
 
 def nearest_to_mean(groups: DataFrame, quotas: DataFrame, stratum: list[str], value: str, group: str, seed: int, scope: str) -> DataFrame:

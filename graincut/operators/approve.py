@@ -35,6 +35,8 @@ def approval_record(spark: SparkSession, policy: dict[str, str], sets: dict[str,
     """One row: policy map, hashes of value sets, and hashes of whole reports by content.
 
     A report's hash is that of its set of rows as JSON, so file layout and row order don't matter.
+    Source fingerprint, the mapping of groups to splits and findings are reports like any other:
+    pass their tables, so that publishing stops when one of them has changed.
     """
     hashes = {name: value_set_hash(df, column).first()["set_hash"] for name, (df, column) in sets.items()}
     as_json = lambda df: df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("v"))
@@ -67,3 +69,17 @@ def structural_faults(items: DataFrame, exclusions: DataFrame, key: str) -> Data
         named(items.where("selected and not eligible"), "selected_but_excluded"),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def count_faults(scan: DataFrame, selected: DataFrame, distributions: dict[str, DataFrame]) -> DataFrame:
+    """(code, subject, expected, found) of counts that don't add up: by group, valid = eligible +
+    excluded; and each distribution's total (column n) against the number of selected items."""
+    off = scan.where("n_valid <> n_eligible + n_excluded").select(
+        F.lit("valid_count").alias("code"), F.col("group_id").cast("string").alias("subject"), F.col("n_valid").alias("expected"), (F.col("n_eligible") + F.col("n_excluded")).alias("found")
+    )
+    whole = selected.agg(F.count(F.lit(1)).alias("expected"))
+    parts = [
+        whole.join(df.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("found"))).where("expected <> found").select(F.lit("distribution_total").alias("code"), F.lit(name).alias("subject"), "expected", "found")
+        for name, df in distributions.items()
+    ]  # one row each
+    return reduce(DataFrame.unionByName, parts, off)

@@ -1,8 +1,8 @@
 """Assignment of whole groups to a test set and folds under quota and balance.
 
 Everything works on one row per group with ``f``, an array of counts: items,
-positives, annotations, then one per facet, then one per area bin. Items are
-read once, to build it. Each round of a search is a Spark job over candidates
+positives, annotations, then one per facet, one per area bin, and one per facet
+and area bin, facet by facet. Items are read once, to build it. Each round of a search is a Spark job over candidates
 or candidate pairs that returns its single best row; the state between rounds
 is a few sums.
 """
@@ -15,9 +15,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import order_key
+from .metrics import share
 
+# Weights of the test objective (largest and summed facet gap, positive rate, density, area bin)
+# and of the fold score (items, positive rate, density, facet, area bin, facet and area bin).
+TEST_WEIGHTS = (3.0, 1.0, 6.0, 6.0, 20.0)
+FOLD_WEIGHTS = (12.0, 8.0, 4.0, 3.0, 1.0, 2.0)
 HEAD = 3  # items, positives, annotations
 ROUND = 12  # digits that objectives are compared at, so that ties are ties
 #: Groups whose counts the fold search holds in each task.
@@ -34,11 +40,17 @@ def group_features(items: DataFrame, facets: list[str], bins: list[str]) -> Data
         F.coalesce(F.sum("n_annotations"), F.lit(0)).cast("long"),
         *[F.count(F.when(F.col("facet") == x, 1)) for x in facets],
         *[F.count(F.when(F.col("area_bin") == x, 1)) for x in bins],
+        *[F.count(F.when((F.col("facet") == x) & (F.col("area_bin") == y), 1)) for x in facets for y in bins],
     ]
     f = F.when(odd > 0, F.raise_error(F.lit("item with an unknown facet")).cast("array<bigint>")).otherwise(F.array(*counts))
     return items.groupBy("group_id").agg(f.alias("f"))
 
 
+def _n_bins(length: int, n_facets: int) -> int:
+    """Area bins of count arrays of this length: HEAD + facets + bins + facets x bins."""
+    return (length - HEAD - n_facets) // (1 + n_facets)
+
+
 def _array(values: Iterable[int]) -> Column:
     return F.array(*[F.lit(int(v)).cast("long") for v in values])
 
@@ -51,7 +63,7 @@ def _relative(a: Column, b: Column, if_zero: Column) -> Column:
     return F.when(b > 0, F.abs(a / b - 1)).otherwise(if_zero)
 
 
-def test_objective(t: Column, d: Column, n_facets: int) -> Column:
+def test_objective(t: Column, d: Column, n_facets: int, n_bins: int) -> Column:
     """Weighted gaps between test counts t and development counts d; both are count arrays.
 
     3 x largest and 1 x summed facet share gap, 6 x relative gap of the positive
@@ -65,11 +77,12 @@ def test_objective(t: Column, d: Column, n_facets: int) -> Column:
         part = lambda x: F.transform(F.slice(x, a + 1, n), lambda v: F.when(x[0] > 0, v / x[0]).otherwise(0.0))
         return F.zip_with(part(t), part(d), lambda x, y: F.abs(x - y))
 
-    facet, area = gaps(HEAD, n_facets), gaps(HEAD + n_facets, 1_000)
+    facet, area = gaps(HEAD, n_facets), gaps(HEAD + n_facets, n_bins)
     total = F.aggregate(facet, F.lit(0.0), lambda s, x: s + x)
     density = _relative(rate(t, 2), rate(d, 2), F.when(rate(t, 2) > 0, 1.0).otherwise(0.0))
     positive = _relative(rate(t, 1), rate(d, 1), rate(t, 1))
-    return F.round(3 * F.array_max(facet) + total + 6 * positive + 6 * density + 20 * F.array_max(area), ROUND)
+    a, b, c, d, e = TEST_WEIGHTS
+    return F.round(a * F.array_max(facet) + b * total + c * positive + d * density + e * F.array_max(area), ROUND)
 
 
 def choose_test(groups: DataFrame, quotas: dict[str, int], n_facets: int, seed: int) -> list[int]:
@@ -84,7 +97,7 @@ def choose_test(groups: DataFrame, quotas: dict[str, int], n_facets: int, seed:
 
     def best(candidates: DataFrame, change: Column, out: list[str], ties: list[Column]):
         t = _plus(_array(state), change)
-        scored = candidates.withColumn("t", t).withColumn("o", test_objective(F.col("t"), _plus(_array(total), F.col("t"), -1), n_facets))
+        scored = candidates.withColumn("t", t).withColumn("o", test_objective(F.col("t"), _plus(_array(total), F.col("t"), -1), n_facets, _n_bins(len(total), n_facets)))
         return scored.agg(F.min_by(F.struct(*out, "t", "o"), F.struct("o", *ties)).alias("b")).first()["b"]
 
     while len(chosen) < sum(quotas.values()):
@@ -96,7 +109,7 @@ def choose_test(groups: DataFrame, quotas: dict[str, int], n_facets: int, seed:
         inside = F.col("group_id").isin(list(chosen))
         give = groups.where(inside).select("bin", F.col("group_id").alias("out_id"), F.col("f").alias("out_f"))
         pairs = groups.where(~inside).join(give, "bin")
-        row = best(pairs, _plus(F.col("f"), F.col("out_f"), -1), ["group_id", "out_id", "bin"], [F.col("out_id"), F.col("group_id")])
+        row = best(pairs, _plus(F.col("f"), F.col("out_f"), -1), ["group_id", "out_id", "bin"], [order_key(seed, "test_swap", F.concat_ws(":", "out_id", "group_id")), F.col("out_id"), F.col("group_id")])
         if row is None or row["o"] >= value:
             break
         del chosen[row["out_id"]]
@@ -116,15 +129,16 @@ def check_locked_test(groups: DataFrame, locked: DataFrame, quotas: DataFrame) -
 def _restart_folds(ids: np.ndarray, f: np.ndarray, folds: int, n_facets: int, seed: int):
     total = f.sum(axis=0)
     target = total / folds
-    weight = np.r_[np.full(n_facets, 3.0), np.full(f.shape[1] - HEAD - n_facets, 1.0)]
+    n_bins = _n_bins(f.shape[1], n_facets)
+    weight = np.repeat(FOLD_WEIGHTS[3:], [n_facets, n_bins, n_facets * n_bins])
     rate, density = (total[k] / max(total[0], 1) for k in (1, 2))
 
     def score(s: np.ndarray) -> np.ndarray:
         n = np.maximum(s[..., 0], 1)
         return (
-            12 * ((s[..., 0] - target[0]) / max(target[0], 1)) ** 2
-            + 8 * ((s[..., 1] / n - rate) / max(rate, 0.01)) ** 2
-            + 4 * ((s[..., 2] / n - density) / max(density, 0.01)) ** 2
+            FOLD_WEIGHTS[0] * ((s[..., 0] - target[0]) / max(target[0], 1)) ** 2
+            + FOLD_WEIGHTS[1] * ((s[..., 1] / n - rate) / max(rate, 0.01)) ** 2
+            + FOLD_WEIGHTS[2] * ((s[..., 2] / n - density) / max(density, 0.01)) ** 2
             + (weight * ((s[..., HEAD:] - target[HEAD:]) / np.maximum(target[HEAD:], 1)) ** 2).sum(axis=-1)
         )
 
@@ -163,44 +177,70 @@ def choose_folds(groups: DataFrame, folds: int, n_facets: int, seed: int, restar
     return spark.createDataFrame([(int(i), int(k)) for i, k in zip(ids, best, strict=True)], "group_id long, fold int")
 
 
-def refine_density(groups: DataFrame, rounds: int = 12, goal: float = 0.15, guard: float = 0.01, stratum: str | None = None) -> DataFrame:
+def refine_density(
+    groups: DataFrame, rounds: int = 12, goal: float = 0.15, guard: float = 0.01, stratum: str | None = None,
+    locked: tuple[str, ...] = (), moving_target: bool = False,
+) -> DataFrame:
     """Swap groups between splits while that lowers the worst relative deviation of a
     split's annotation density, until ``goal``. ``groups``: group_id, split, f.
 
-    A swap may widen the spread of positive rates by ``guard`` at most. With
-    ``stratum``, only groups of one stratum are swapped.
+    The target is the density of all splits that are not ``locked``: as it is at the start, or with
+    ``moving_target`` as each swap makes it. Locked splits give and take no groups, but count for
+    the spread of positive rates, which a swap may widen by ``guard`` at most. With ``stratum``, only
+    groups of one stratum are swapped. ``f`` may be a map from split to counts, where a group's
+    items depend on its split. A table of groups, not of items: candidates are pairs of a group of
+    the worst split with one of another split (of all pairs, with a moving target).
     """
+    mapped = isinstance(groups.schema["f"].dataType, T.MapType)
+    counts = (lambda f, split: F.element_at(f, split)) if mapped else (lambda f, split: f)
     moved: dict[int, str] = {}
+    fixed = None
+
+    def placed() -> DataFrame:
+        if not moved:
+            return groups
+        names = F.create_map(*[F.lit(x) for kv in moved.items() for x in kv])
+        return groups.withColumn("split", F.coalesce(F.try_element_at(names, F.col("group_id")), F.col("split")))
+
     for _ in range(rounds):
-        names = F.create_map(*[F.lit(x) for kv in moved.items() for x in kv]) if moved else None
-        split = F.coalesce(F.try_element_at(names, F.col("group_id")), F.col("split")) if moved else F.col("split")
-        now = groups.withColumn("split", split)
-        sums = {r["split"]: r for r in now.groupBy("split").agg(*[F.sum(F.col("f")[k]).alias(c) for k, c in enumerate("npa")]).collect()}
-        n, p, a = (sum(r[c] for r in sums.values()) for c in "npa")
-        if not a or len(sums) < 2:
+        now = placed()
+        own = counts(F.col("f"), F.col("split"))
+        sums = {r["split"]: r for r in now.groupBy("split").agg(*[F.sum(own[k]).alias(c) for k, c in enumerate("npa")]).orderBy("split").collect()}
+        free = [name for name in sums if name not in locked]
+        n, a = (sum(sums[name][c] for name in free) for c in "na")
+        if not a or len(free) < 2:
             break
-        worst = max(abs(r["a"] / r["n"] / (a / n) - 1) for r in sums.values())
-        spread = max(abs(r["p"] / r["n"] - p / n) for r in sums.values())
+        fixed = a / n if fixed is None or moving_target else fixed
+        part = lambda x, y: x / y if y else 0.0
+        off = {name: abs(part(sums[name]["a"], sums[name]["n"]) / fixed - 1) for name in free}
+        worst = max(off.values())
+        overall = sum(r["p"] for r in sums.values()) / sum(r["n"] for r in sums.values())
+        spread = max(abs(part(r["p"], r["n"]) - overall) for r in sums.values())
         if worst <= goal + 1e-12:
             break
         side = lambda s: [F.col("group_id").alias(f"{s}_id"), F.col("split").alias(f"{s}_split"), F.col("f").alias(f"{s}_f"), *([F.col(stratum).alias(f"{s}_s")] if stratum else [])]
-        apart = F.col("l_split") < F.col("r_split")
-        pairs = now.select(*side("l")).join(now.select(*side("r")), apart & (F.col("l_s") == F.col("r_s")) if stratum else apart)
-        off, rates = [], []
+        swappable = now.where(F.col("split").isin(free))
+        pairing = F.col("l_split") < F.col("r_split")
+        if not moving_target:  # a swap between other splits leaves the worst one as it is
+            pairing = pairing & F.lit(max(off, key=off.get)).isin(F.col("l_split"), F.col("r_split"))
+        pairing = pairing & F.col("l_s").eqNullSafe(F.col("r_s")) if stratum else pairing
+        pairs = swappable.select(*side("l")).join(swappable.select(*side("r")), pairing)
+        after: dict[str, list[Column]] = {}
         for name, r in sums.items():
-            def change(k: int) -> Column:
-                d = F.col("r_f")[k] - F.col("l_f")[k]
-                return F.when(F.col("l_split") == name, d).when(F.col("r_split") == name, -d).otherwise(0)  # noqa: B023
-
-            size = F.lit(r["n"]) + change(0)
-            off.append(F.abs((F.lit(r["a"]) + change(2)) / size / (a / n) - 1))
-            rates.append(F.abs((F.lit(r["p"]) + change(1)) / size - p / n))
-        scored = pairs.select("l_id", "r_id", "l_split", "r_split", F.round(F.greatest(*off), ROUND).alias("o"), F.greatest(*rates).alias("g"))
+            taken, given = (counts(F.col(f"{x}_f"), F.lit(name)) for x in "rl")
+            d = [F.when(F.col("l_split") == name, taken[k] - given[k]).when(F.col("r_split") == name, given[k] - taken[k]).otherwise(0) for k in range(HEAD)]
+            after[name] = [F.lit(r[c]) + d[k] for k, c in enumerate("npa")]
+        total = lambda k, names: sum((after[x][k] for x in names[1:]), after[names[0]][k])
+        target = share(total(2, free), total(0, free)) if moving_target else F.lit(fixed)
+        rate = share(total(1, list(sums)), total(0, list(sums)))
+        # Without annotations there is nothing to even out.
+        offs = F.greatest(*[F.coalesce(F.abs(F.try_divide(share(after[x][2], after[x][0]), target) - 1), F.lit(0.0)) for x in free])
+        rates = F.greatest(*[F.abs(share(after[x][1], after[x][0]) - rate) for x in sums])
+        scored = pairs.select("l_id", "r_id", "l_split", "r_split", F.round(offs, ROUND).alias("o"), rates.alias("g"))
         row = scored.where((F.col("g") <= spread + guard + 1e-12) & (F.col("o") < worst - 1e-12)).agg(
             F.min_by(F.struct("*"), F.struct("o", "l_id", "r_id")).alias("b")
         ).first()["b"]
         if row is None:
             break
         moved |= {row["l_id"]: row["r_split"], row["r_id"]: row["l_split"]}
-    names = F.create_map(*[F.lit(x) for kv in moved.items() for x in kv]) if moved else None
-    return groups.withColumn("split", F.coalesce(F.try_element_at(names, F.col("group_id")), F.col("split")) if moved else F.col("split"))
+    return placed()

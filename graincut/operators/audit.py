@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.digests import tree_digest
 from .metrics import core_metrics, share
 
 
@@ -114,12 +115,54 @@ def mapping_diff(left: DataFrame, right: DataFrame, key: list[str], value: str)
 
 
 def value_set_hash(values: DataFrame, value: str) -> DataFrame:
-    """One row, set_hash: SHA-256 of the distinct values in order, a line each.
+    """One row, set_hash: a digest of the distinct values, a line each (see tree_digest)."""
+    own = values.where(F.col(value).isNotNull()).select(F.col(value).cast("string").alias("v")).distinct()
+    return tree_digest(own, F.col("v"), F.col("v"), "set_hash")
+
+
+def bin_concentration(items: DataFrame, fold: str, bin_: str, limit: float = 0.40) -> DataFrame:
+    """By bin: its items, the largest number of them in one fold, that share, and whether it asks for a review."""
+    counts = items.where(F.col(fold).isNotNull()).groupBy(bin_, fold).agg(F.count(F.lit(1)).alias("n"))
+    out = counts.groupBy(bin_).agg(F.sum("n").alias("n_items"), F.max("n").alias("n_largest"))
+    return out.withColumn("share", share(F.col("n_largest"), F.col("n_items"))).withColumn("review", F.col("share") >= limit - 1e-12)
 
-    Values are hashed by the first byte of their hash, then the hashes of the
-    buckets, so that no task holds them all.
+
+def representativeness(raw: DataFrame, picked: DataFrame, segment: str = "segment") -> DataFrame:
+    """One row: gaps between all groups and the picked ones, and FAIL if one is over its limit.
+
+    Groups have n_items, n_positive, has_first and a segment. Limits: 0.03 of the positive rate, 0.02
+    of the share of groups with the first class, 0.02 of each segment's share, and 0.30 of normal items.
     """
-    own = values.where(F.col(value).isNotNull()).select(F.col(value).cast("string").alias("v")).distinct()
-    buckets = own.groupBy(F.substring(F.sha1("v"), 1, 2).alias("b")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("v")), "\n"), 256).alias("h"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda x: F.concat_ws(":", x["b"], x["h"])), "\n")
-    return buckets.agg(F.sha2(joined, 256).alias("set_hash"))
+    sums = lambda g, x: g.agg(
+        share(F.sum("n_positive"), F.sum("n_items")).alias(f"rate_{x}"), F.avg(F.col("has_first").cast("int")).alias(f"first_{x}")
+    )
+    sized = lambda g, x: g.groupBy(F.col(segment).alias("s")).agg(F.count(F.lit(1)).alias(x))
+    n_raw, n_picked = raw.count(), picked.count()
+    apart = F.abs(F.coalesce("a", F.lit(0)) / max(n_raw, 1) - F.coalesce("b", F.lit(0)) / max(n_picked, 1))
+    segments = sized(raw, "a").join(sized(picked, "b"), "s", "full_outer").agg(F.max(apart).alias("segment_gap"))
+    both = sums(raw, "a").join(sums(picked, "b")).join(segments)  # one row each
+    rate, first = F.col("rate_b") - F.col("rate_a"), F.col("first_b") - F.col("first_a")
+    over = (F.abs(rate) > 0.03 + 1e-12) | (F.abs(first) > 0.02 + 1e-12) | (F.col("segment_gap") > 0.02 + 1e-12) | (1 - F.col("rate_b") < 0.30 - 1e-12)
+    return both.select(
+        F.round(rate, 9).alias("rate_gap"), F.round(first, 9).alias("first_gap"), F.round("segment_gap", 9).alias("segment_gap"), F.when(over, "FAIL").otherwise("PASS").alias("verdict")
+    )
+
+
+def split_reviews(items: DataFrame, group: str, split: str, test: str, segment: str, least_test: int = 100, most_excluded: float = 0.20) -> DataFrame:
+    """(code, subject, observed) for reviewers: groups with mixed segments, test groups with fewer than
+    ``least_test`` eligible items, and test groups that lost ``most_excluded`` of their items or more.
+
+    ``items``: all scanned items with eligible; NULL segments don't mix, a NULL split is no test.
+    """
+    own = items.groupBy(group).agg(
+        F.count_distinct(segment).alias("segments"), F.bool_or(F.coalesce(F.col(split) == test, F.lit(False))).alias("tested"),
+        F.count(F.lit(1)).alias("raw"), F.count(F.when(F.col("eligible"), 1)).alias("kept"),
+    )
+    lost = share(F.col("raw") - F.col("kept"), F.col("raw"))
+    row = lambda code, when, seen: F.when(when, F.struct(F.lit(code).alias("code"), F.col(group).cast("string").alias("subject"), seen.cast("double").alias("observed")))
+    rows = F.array_compact(F.array(
+        row("mixed_segments", F.col("segments") > 1, F.col("segments")),
+        row("small_test_group", F.col("tested") & (F.col("kept") < least_test), F.col("kept")),
+        row("test_exclusion", F.col("tested") & (lost >= most_excluded), lost),
+    ))
+    return own.select(F.inline(rows))

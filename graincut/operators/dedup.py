@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+RANGE_DIGITS = 3  # hex digits of the hash that choose one of 4,096 ranges
+
+
 def label_signature(*parts: Column) -> Column:
     """Digest of an item's labels for the conflict test; NULLs count as values."""
     return F.sha2(F.to_json(F.struct(*[p.alias(f"p{k}") for k, p in enumerate(parts)]), {"ignoreNullFields": "false"}), 256)
@@ -16,31 +19,39 @@ def resolve_duplicates(items: DataFrame, content_hash: str, group: list[str], si
 
     Items of one content hash: in several groups, all go (cross_group); in one
     group with different labels, all go (label_conflict); else the first by
-    ``order`` stays (representative) and the rest go (duplicate). dup_group numbers
-    hashes with several items in hash order. Per-hash facts are aggregated
-    map-side and joined back, so a hash with a third of all items is no hot task.
+    ``order`` stays (representative) and the rest go (duplicate). Items without a
+    hash stay and are compared with none: single, one copy. dup_group numbers
+    hashes with several items in hash order, range by range of their first hex
+    digits. Per-hash facts are aggregated map-side and joined back, so a hash
+    with a third of all items is no hot task.
     """
     key = F.struct(*group)
-    facts = items.groupBy(F.col(content_hash).alias("__h")).agg(
-        F.count(F.lit(1)).alias("n_copies"),
+    facts = items.where(F.col(content_hash).isNotNull()).groupBy(F.col(content_hash).alias("__h")).agg(
+        F.count(F.lit(1)).alias("__n"),
         F.min(key).alias("__g0"),
         F.max(key).alias("__g1"),
-        F.min(signature).alias("__s0"),
-        F.max(signature).alias("__s1"),
+        F.min(F.struct(signature)).alias("__s0"),  # in a struct, a NULL is a value
+        F.max(F.struct(signature)).alias("__s1"),
         F.min(F.struct(*order)).alias("__first"),
     )
-    several = facts.where("n_copies > 1")
-    numbers = several.select(F.col("__h").alias("__n"), F.row_number().over(Window.orderBy("__h")).alias("__no"))
-    facts = facts.join(numbers, F.col("__h") == F.col("__n"), "left")
+    several = facts.where("__n > 1").select(F.col("__h").alias("__k"), F.substring("__h", 1, RANGE_DIGITS).alias("__range"))
+    earlier = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    offsets = several.groupBy(F.col("__range").alias("__r")).agg(F.count(F.lit(1)).alias("__in")).select(
+        "__r", F.coalesce(F.sum("__in").over(earlier), F.lit(0)).alias("__before")
+    )
+    place = F.row_number().over(Window.partitionBy("__range").orderBy("__k"))
+    numbers = several.withColumn("__place", place).join(offsets, F.col("__range") == F.col("__r")).select("__k", (F.col("__before") + F.col("__place")).alias("__no"))
+    facts = facts.join(numbers, F.col("__h") == F.col("__k"), "left")
+    copies = F.coalesce("__n", F.lit(1))
     action = (
-        F.when(F.col("n_copies") == 1, "single")
+        F.when(copies == 1, "single")
         .when(~F.col("__g0").eqNullSafe(F.col("__g1")), "cross_group")
-        .when(F.col("__s0") != F.col("__s1"), "label_conflict")
+        .when(~F.col("__s0").eqNullSafe(F.col("__s1")), "label_conflict")
         .when(F.struct(*order).eqNullSafe(F.col("__first")), "representative")
         .otherwise("duplicate")
     )
-    return items.join(facts, F.col(content_hash) == F.col("__h")).select(
-        *items.columns, "n_copies", action.alias("action"), F.when(F.col("__no").isNotNull(), F.format_string("dup_%06d", "__no")).alias("dup_group")
+    return items.join(facts, F.col(content_hash) == F.col("__h"), "left").select(
+        *items.columns, copies.alias("n_copies"), action.alias("action"), F.when(F.col("__no").isNotNull(), F.format_string("dup_%06d", "__no")).alias("dup_group")
     )
 
 
@@ -54,9 +65,3 @@ def review_duplicates(resolved: DataFrame, max_groups: int = 50, max_share: floa
     )
     share = F.coalesce(F.try_divide("cross_items", "n_items"), F.lit(0.0))
     return counts.withColumn("review", (F.col("cross_groups") > max_groups) | (share > max_share))
-
-
-def first_in_record(annotations: Column, key) -> Column:
-    """Annotations of one record without later ones of an equal key (name and points)."""
-    keys = F.transform(annotations, key)
-    return F.filter(annotations, lambda x, i: F.array_position(keys, key(x)) == i + 1)

@@ -49,6 +49,11 @@ def group_stats(items: DataFrame, facets: list[str]) -> DataFrame:
     return with_ratios(stats)
 
 
+def with_group_ratio(items: DataFrame, groups: DataFrame, key: list[str], ratio: str, name: str) -> DataFrame:
+    """``items`` with their group's ``ratio`` as ``name``; NULL where the group is not listed."""
+    return items.join(groups.select(*key, F.col(ratio).alias(name)), key, "left")
+
+
 def majority(items: DataFrame, by: list[str], value: str) -> DataFrame:
     """The most frequent value by ``by``; ties by lower case, then raw text. NULLs don't vote."""
     votes = items.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))

@@ -48,12 +48,34 @@ def label_issues(lines: Column, n_classes: int, fields: int | None = None) -> Co
     return F.array_compact(F.array(*[F.when(~F.forall(parts, check), code) for code, check in checks]))
 
 
+def label_faults(lines: Column, is_normal: Column, n_classes: int, fields: int | None = None) -> Column:
+    """label_issues, and normal_not_empty or defect_empty where the lines belie the item's flag; NULL lines are empty."""
+    none = F.coalesce(F.size(lines) == 0, F.lit(True))
+    belied = F.array_compact(F.array(F.when(is_normal & ~none, "normal_not_empty"), F.when(~is_normal & none, "defect_empty")))
+    return F.concat(F.coalesce(label_issues(lines, n_classes, fields), F.array().cast("array<string>")), belied)
+
+
 def training_view(items: DataFrame, labels: DataFrame, images: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(view, missing): items with a label, and those of them whose image is missing."""
+    """(view, missing): items with a label, and those of them whose image is missing. See view_rows for the choice of items."""
     labelled = items.join(labels.select(key).distinct(), key, "left_semi")
     return labelled.join(images.select(key).distinct(), key, "left_semi"), labelled.join(images.select(key).distinct(), key, "left_anti")
 
 
+def view_rows(items: DataFrame, kind: str, task: str, fold: int | None = None, include_test: bool = False) -> DataFrame:
+    """Items of a kind that a task includes (column included_<task>), with role train, val or test.
+
+    With ``fold``, development items are val in that fold and train in the others; without, their
+    own role counts. Test items come only with ``include_test``; items without a role never.
+    """
+    own = items.where((F.col("kind") == kind) & F.col(f"included_{task}"))
+    role = F.when(F.col("role") == "test", F.lit("test") if include_test else F.lit(None))
+    if fold is None:
+        role = role.when(F.col("role").isin("train", "val"), F.col("role"))
+    else:
+        role = role.when(F.col("role") == "development", F.when(F.col("fold") == fold, "val").otherwise("train"))
+    return own.withColumn("role", role).where(F.col("role").isNotNull())
+
+
 def copies_differ(source: DataFrame, sink: DataFrame, key: str, digest: str) -> DataFrame:
     """Keys whose digest at the sink is missing or not the source's."""
     s, t = source.select(key, F.col(digest).alias("expected")), sink.select(key, F.col(digest).alias("found"))

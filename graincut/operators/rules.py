@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Paths that the pairing shows of a key; their number is always whole.
+LISTED_PATHS = 10
+
 
 def first_failure(rules: list[tuple[str, Column]]) -> Column:
     """Code of the first rule whose predicate is true; NULL if none is. NULL predicates don't fire."""
@@ -49,12 +54,16 @@ def pair_files(left: DataFrame, right: DataFrame, key: list[str], path: str) ->
     """Full outer pairing with a cardinality check.
 
     key, n_left, n_right, status (paired, left_only, right_only, ambiguous), left_paths
-    and right_paths joined by ``|`` in path order.
+    and right_paths: the first LISTED_PATHS of a key in path order, joined by ``|``.
     """
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        paths = F.array_join(F.array_sort(F.collect_list(path)), "|")
-        return df.groupBy(*key).agg(F.count(F.lit(1)).alias(f"n_{name}"), paths.alias(f"{name}_paths"))
+        counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias(f"n_{name}"))
+        ranked = df.withColumn("__k", F.row_number().over(Window.partitionBy(*key).orderBy(path))).where(F.col("__k") <= LISTED_PATHS)
+        listed = F.array_join(F.array_sort(F.collect_list(path)), "|")
+        paths = ranked.groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(listed.alias(f"{name}_paths"))
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key])
+        return counts.join(paths, same).select(*key, f"n_{name}", f"{name}_paths")
 
     both = side(left, "left").join(side(right, "right"), key, "full_outer")
     n_left, n_right = (F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("n_left", "n_right"))

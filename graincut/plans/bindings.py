@@ -95,12 +95,12 @@ WITH items AS (
   SELECT doc_id, source, lang, sha1(text) AS content_hash, coalesce(quality, -1) || ',' || coalesce(toxic, -1) AS signature
   FROM documents LEFT JOIN labels USING (doc_id)),
 facts AS (
-  SELECT content_hash, count(*) AS n_copies, count(DISTINCT {group}) AS n_groups, count(DISTINCT signature) AS n_signatures, min(doc_id) AS first_id
-  FROM items GROUP BY 1),
-numbered AS (SELECT content_hash, 'dup_' || lpad(row_number() OVER (ORDER BY content_hash)::VARCHAR, 6, '0') AS dup_group FROM facts WHERE n_copies > 1),
+  SELECT content_hash AS h, count(*) AS n, count(DISTINCT {group}) AS n_groups, count(DISTINCT signature) AS n_signatures, min(doc_id) AS first_id
+  FROM items WHERE content_hash IS NOT NULL GROUP BY 1),
+numbered AS (SELECT h AS nh, 'dup_' || lpad(row_number() OVER (ORDER BY h)::VARCHAR, 6, '0') AS dup_group FROM facts WHERE n > 1),
 resolved AS (
-  SELECT doc_id, source, lang, content_hash, n_copies, dup_group,
-    CASE WHEN n_copies = 1 THEN 'single' WHEN n_groups > 1 THEN 'cross_group' WHEN n_signatures > 1 THEN 'label_conflict'
+  SELECT doc_id, source, lang, content_hash, coalesce(n, 1) AS n_copies, dup_group,
+    CASE WHEN coalesce(n, 1) = 1 THEN 'single' WHEN n_groups > 1 THEN 'cross_group' WHEN n_signatures > 1 THEN 'label_conflict'
       WHEN doc_id = first_id THEN 'representative' ELSE 'duplicate' END AS action
-  FROM items JOIN facts USING (content_hash) LEFT JOIN numbered USING (content_hash))
+  FROM items LEFT JOIN facts ON content_hash = h LEFT JOIN numbered ON content_hash = nh)
 """

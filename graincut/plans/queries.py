@@ -191,18 +191,37 @@ def strata_split(spark, sf):
 
 @query(_PICK_SQL + """, sides AS (
   SELECT 'all' AS side, group_id, n_items, n_positive, has_first FROM strata UNION ALL SELECT 'picked', group_id, n_items, n_positive, has_first FROM picked),
-m AS (SELECT side, sum(n_positive) / sum(n_items) AS rate, avg(has_first::INTEGER) AS first_share FROM sides GROUP BY 1)
-SELECT round(p.rate - a.rate, 9) AS rate_gap, round(p.first_share - a.first_share, 9) AS first_gap,
-  CASE WHEN abs(p.rate - a.rate) > 0.03 OR abs(p.first_share - a.first_share) > 0.02 OR 1 - p.rate < 0.3 THEN 'FAIL' ELSE 'PASS' END AS verdict
-FROM m a, m p WHERE a.side = 'all' AND p.side = 'picked'""")
+m AS (SELECT side, sum(n_positive) / sum(n_items) AS rate, avg(has_first::INTEGER) AS first_share FROM sides GROUP BY 1),
+seg AS (SELECT max(abs(coalesce(x, 0) - coalesce(y, 0))) AS gap FROM (SELECT segment, count(*) / (SELECT count(*) FROM strata) AS x FROM strata GROUP BY 1) FULL JOIN
+  (SELECT segment, count(*) / (SELECT count(*) FROM picked) AS y FROM picked GROUP BY 1) USING (segment))
+SELECT round(p.rate - a.rate, 9) AS rate_gap, round(p.first_share - a.first_share, 9) AS first_gap, round(gap, 9) AS segment_gap,
+  CASE WHEN abs(p.rate - a.rate) > 0.03 + 1e-12 OR abs(p.first_share - a.first_share) > 0.02 + 1e-12 OR gap > 0.02 + 1e-12 OR 1 - p.rate < 0.3 - 1e-12 THEN 'FAIL' ELSE 'PASS' END AS verdict
+FROM m a, m p, seg WHERE a.side = 'all' AND p.side = 'picked'""")
 def representativeness_gate(spark, sf):
-    sums = [F.sum("n_positive") / F.sum("n_items"), F.avg(F.col("has_first").cast("int"))]
-    a = _strata(spark, sf).agg(sums[0].alias("ra"), sums[1].alias("fa"))
-    p = _picked(spark, sf).agg(sums[0].alias("rp"), sums[1].alias("fp"))
-    rate, first = F.col("rp") - F.col("ra"), F.col("fp") - F.col("fa")
-    fail = (F.abs(rate) > 0.03) | (F.abs(first) > 0.02) | (1 - F.col("rp") < 0.3)
-    # Both sides are one row.
-    return a.join(p).select(F.round(rate, 9).alias("rate_gap"), F.round(first, 9).alias("first_gap"), F.when(fail, "FAIL").otherwise("PASS").alias("verdict"))
+    return audit.representativeness(_strata(spark, sf), _picked(spark, sf))
+
+
+@query(b.ITEMS_SQL + f"""SELECT area_bin, sum(n)::BIGINT AS n_items, max(n) AS n_largest, max(n) / sum(n) AS share, max(n) / sum(n) >= 0.4 - 1e-12 AS review FROM (
+  SELECT {b.AREA_BIN_SQL} AS area_bin, group_id % 5 AS fold, count(*) AS n FROM items GROUP BY 1, 2) GROUP BY 1""")
+def bin_concentration(spark, sf):
+    return audit.bin_concentration(b.binned_items(spark, sf).withColumn("fold", F.col("group_id") % 5), "fold", "area_bin")
+
+
+@query(b.ITEMS_SQL + "SELECT item_id, i.kind, i.group_id, r.positive_ratio AS group_rate FROM items i LEFT JOIN rated r ON r.kind = i.kind AND r.group_id = i.group_id AND r.n_items >= 5")
+def item_group_ratio(spark, sf):
+    items = b.ruled_items(spark, sf)
+    rates = metrics.core_metrics(items.where("eligible"), ["kind", "group_id"]).where("n_items >= 5")
+    return metrics.with_group_ratio(items, rates, ["kind", "group_id"], "positive_ratio", "group_rate").select("item_id", "kind", "group_id", "group_rate")
+
+
+@query(b.ITEMS_SQL + """, g AS (SELECT region_id, count(DISTINCT segment) AS s, count(*) AS raw, count(*) FILTER (eligible) AS kept FROM ruled GROUP BY 1),
+lost AS (SELECT *, (raw - kept) / raw AS lost FROM g)
+SELECT 'mixed_segments' AS code, region_id::VARCHAR AS subject, s::DOUBLE AS observed FROM lost WHERE s > 1
+UNION ALL SELECT 'small_test_group', region_id::VARCHAR, kept::DOUBLE FROM lost WHERE region_id % 5 = 0 AND kept < 650
+UNION ALL SELECT 'test_exclusion', region_id::VARCHAR, lost FROM lost WHERE region_id % 5 = 0 AND lost >= 0.001""")
+def split_reviews(spark, sf):
+    items = b.ruled_items(spark, sf).withColumn("role", F.when(F.col("region_id") % 5 == 0, "test"))
+    return audit.split_reviews(items, "region_id", "role", "test", "segment", least_test=650, most_excluded=0.001)
 
 
 _NAMES_SQL = """WITH names AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'CT_cell_pouch_' || lpad(p_partkey::VARCHAR, 6, '0') || '_' || substr('xyz', (p_partkey % 3 + 1)::INTEGER, 1) || '_0001.jpg'
@@ -440,10 +459,10 @@ def mapping_diff(spark, sf):
     return audit.mapping_diff(c.where("id % 10 <> 0"), c.where("id % 11 <> 0").withColumn("v", F.when(F.col("id") % 7 != 0, F.col("v"))), ["id"], "v")
 
 
-@query("""SELECT n_nationkey, n_name, 'left' AS side FROM nation WHERE n_nationkey % 3 = 0 UNION ALL SELECT n_nationkey, n_name, 'right' FROM nation WHERE n_nationkey % 3 = 2""")
+@query("""SELECT o_orderkey, o_orderstatus, 'left' AS side FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, o_orderstatus, 'right' FROM orders WHERE o_orderkey % 3 = 2""")
 def set_equality(spark, sf):
-    n = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
-    return audit.set_difference(n.where("n_nationkey % 3 <> 2"), n.where("n_nationkey % 3 <> 0"))
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return audit.set_difference(orders.where("o_orderkey % 3 <> 2"), orders.where("o_orderkey % 3 <> 0"))
 
 
 def _region_groups(spark, sf) -> DataFrame:
@@ -539,3 +558,14 @@ def ring_issues(spark, sf):
     clipped = rings.clip_to_frame(docs, "ring", frame, frame, "clipped")
     codes = rings.ring_issues(F.col("flat"), F.col("ring"), F.col("clipped"), frame, frame)
     return clipped.select(F.explode(codes).alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT count(*) AS n, count(*) AS n_boxes_in_frame, count(*) AS n_ratios_of_boxes, count(DISTINCT embedding) AS n_outlines FROM embeddings""")
+def ring_invariants(spark, sf):
+    """Boxes lie in the frame, rounded ratios are those of the boxes, and equal outlines are equal rings."""
+    b_ = ring_boxes(spark, sf)
+    inside = (F.col("cx") - F.col("w") / 2 >= -1e-9) & (F.col("cx") + F.col("w") / 2 <= 1 + 1e-9) & (F.col("cy") - F.col("h") / 2 >= -1e-9) & (F.col("cy") + F.col("h") / 2 <= 1 + 1e-9)
+    return b_.agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(inside, 1)).alias("n_boxes_in_frame"),
+        F.count(F.when(F.abs(F.col("box_ratio") - F.col("w") * F.col("h")) < 1e-6, 1)).alias("n_ratios_of_boxes"), F.count_distinct("outline").alias("n_outlines"),
+    )

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records, rings, text
-from ..operators import apportion, audit, publish, reports, rules
-from ..sources.tables import parse_json, read_table
+from ..operators import apportion, dataset, publish, reports, rules
+from ..sources.tables import items_of_manifest, parse_json, read_table
 from . import bindings as b
 from . import queries as q
 from .queries import query
@@ -59,17 +59,22 @@ def record_anomalies(spark, sf):
     return rules.issue_rows(usable, ["p_partkey"], rules.all_failures(records.record_anomalies())).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _dealt(lines: DataFrame) -> DataFrame:
+    """Conversion is heavy for its bytes: rows are dealt to a given number of tasks, by the key that they are rolled up by."""
+    return lines.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
+
+
 # Rectangles of lineitem as flat rings in a frame, a row per annotation.
 def _converted(spark, sf) -> DataFrame:
     x, y = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double") * 10
     w, h = F.rint(F.col("l_discount") * 100) * 3, F.rint(F.col("l_tax") * 100) * 3
     flat = F.array(x, y, x + w, y, x + w, y + h, x, y + h)
-    lines = read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", flat.alias("flat"))
+    lines = _dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", flat.alias("flat")))
     return rings.convert_annotations(lines, "flat", F.lit(FRAME), F.lit(FRAME))
 
 
-_CONVERT_SQL = """WITH p AS (SELECT l_orderkey, l_returnflag, l_quantity AS x1, l_linenumber * 10 AS y1, l_quantity + round(l_discount * 100) * 3 AS x2, l_linenumber * 10 + round(l_tax * 100) * 3 AS y2 FROM lineitem),
-c AS (SELECT l_orderkey, l_returnflag, x2 > x1 AND y2 > y1 AS ok, x1, y1, x2, y2, least(x2, 50) AS cx, least(y2, 50) AS cy FROM p),
+_CONVERT_SQL = """WITH p AS (SELECT l_orderkey, l_returnflag, l_partkey % 13 AS fault, l_quantity AS x1, l_linenumber * 10 AS y1, l_quantity + round(l_discount * 100) * 3 AS x2, l_linenumber * 10 + round(l_tax * 100) * 3 AS y2 FROM lineitem),
+c AS (SELECT l_orderkey, l_returnflag, fault, x2 > x1 AND y2 > y1 AS ok, x1, y1, x2, y2, least(x2, 50) AS cx, least(y2, 50) AS cy FROM p),
 v AS (SELECT *, ok AND x1 <= 50 AND y1 <= 50 AS box_valid, ok AND x1 < 50 AND y1 < 50 AS ring_valid FROM c),
 a AS (SELECT *, box_valid AND NOT ring_valid AS min_extent, CASE WHEN ring_valid THEN (cx - x1) * (cy - y1) / 2500.0 ELSE 0 END::DOUBLE AS ratio,
   CASE WHEN cx > x1 THEN x1 ELSE x1 - 0.5 END AS bx, CASE WHEN cy > y1 THEN y1 ELSE y1 - 0.5 END AS by_ FROM v)"""
@@ -85,12 +90,49 @@ def record_rollup(spark, sf):
 
 
 @query(_CONVERT_SQL + """ SELECT issue, count(*) AS n FROM (
-  SELECT unnest(CASE WHEN NOT ok THEN ['points_too_few'] WHEN ring_valid THEN CASE WHEN x2 > 50 OR y2 > 50 THEN ['polygon_repaired_or_clipped'] ELSE [] END
+  SELECT unnest(CASE WHEN NOT ok THEN ['fewer_than_3_unique_points'] WHEN ring_valid THEN CASE WHEN x2 > 50 OR y2 > 50 THEN ['polygon_repaired_or_clipped'] ELSE [] END
     WHEN box_valid THEN ['empty_or_zero_area_after_clip'] ELSE ['invalid_detection_bbox', 'empty_or_zero_area_after_clip'] END) AS issue FROM a) GROUP BY 1""")
 def conversion_issues(spark, sf):
     return _converted(spark, sf).select(F.explode("issues").alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _payload_rectangles(spark, sf) -> DataFrame:
+    """The rectangles as annotations in JSON payloads, as pairs or flat by order, some with faults, converted."""
+    x, y = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double") * 10
+    w, h = F.rint(F.col("l_discount") * 100) * 3, F.rint(F.col("l_tax") * 100) * 3
+    flat = F.array(x, y, x + w, y, x + w, y + h, x, y + h)
+    pairs = F.array(*[F.array(*p) for p in ((x, y), (x + w, y), (x + w, y + h), (x, y + h))])
+    fault = F.col("l_partkey") % 13
+    points = (
+        F.when(fault == 0, F.lit('[[1,"2"],[3,4],[5,6]]')).when(fault == 1, F.lit("[1,2,3,4,5,6,7]")).when(fault == 2, F.lit('{"x":1}')).when(fault == 3, F.lit("[1,2,true,4,5,6]"))
+        .when(F.col("l_orderkey") % 2 == 0, F.to_json(pairs)).otherwise(F.to_json(flat))
+    )
+    body = F.concat(F.lit('{"defects":[7,{"name":"damage","points":'), points, F.lit("}]}"))
+    lines = _dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", body.alias("body")))
+    found = lines.select("l_orderkey", "l_returnflag", F.explode(records.defects(parse_json("body"))).alias("d"))
+    parsed = found.select("l_orderkey", "l_returnflag", F.inline(F.array(rings.parse_points(F.try_parse_json("d.points")))))
+    return rings.convert_annotations(parsed, "flat", F.lit(FRAME), F.lit(FRAME), "issue")
+
+
+_PAYLOAD_SQL = _CONVERT_SQL + """, w AS (SELECT l_orderkey, l_returnflag, fault, ok, x2, y2, fault > 3 AND box_valid AS box_valid, fault > 3 AND ring_valid AS ring_valid, CASE WHEN fault > 3 THEN ratio ELSE 0 END AS ratio FROM a)"""
+
+
+@query(_PAYLOAD_SQL + """ SELECT l_orderkey AS item_id, count(*) AS n_given, CASE WHEN bool_and(box_valid) THEN count(*) ELSE 0 END AS n_boxes, CASE WHEN bool_and(ring_valid) THEN count(*) ELSE 0 END AS n_rings,
+  round(coalesce(sum(ratio) FILTER (l_returnflag = 'R'), 0), 6) AS extent_sum FROM w GROUP BY 1""")
+def payload_rollup(spark, sf):
+    converted = _payload_rectangles(spark, sf).withColumnRenamed("l_orderkey", "item_id")
+    rolled = reports.roll_up(converted, ["item_id"], F.col("l_returnflag") == "R")
+    return rolled.select("item_id", "n_given", "n_boxes", "n_rings", F.round("extent_sum", 6).alias("extent_sum"))
+
+
+@query(_PAYLOAD_SQL + """ SELECT issue, count(*) AS n FROM (
+  SELECT unnest(CASE WHEN fault IN (0, 3) THEN ['non_numeric_coordinate'] WHEN fault = 1 THEN ['odd_flat_points_length'] WHEN fault = 2 THEN ['invalid_points_structure'] WHEN NOT ok THEN ['fewer_than_3_unique_points']
+    WHEN ring_valid THEN CASE WHEN x2 > 50 OR y2 > 50 THEN ['polygon_repaired_or_clipped'] ELSE [] END
+    WHEN box_valid THEN ['empty_or_zero_area_after_clip'] ELSE ['invalid_detection_bbox', 'empty_or_zero_area_after_clip'] END) AS issue FROM w) GROUP BY 1""")
+def payload_issues(spark, sf):
+    return _payload_rectangles(spark, sf).select(F.explode("issues").alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(_CONVERT_SQL + """, s AS (SELECT l_returnflag, (cx - bx) / 50 AS w, (cy - by_) / 50 AS h, round(((cx - bx) / 50) / ((cy - by_) / 50), 12) AS aspect FROM a WHERE box_valid)
 SELECT l_returnflag, count(*) AS n_boxes, round(median(w), 9) AS median_w, round(median(h), 9) AS median_h, round(median(aspect), 6) AS median_aspect,
   round(list_sort(list(round(aspect, 6)))[round_even((count(*) - 1) * 0.05, 0)::BIGINT + 1], 6) AS aspect_p05, round(list_sort(list(round(aspect, 6)))[round_even((count(*) - 1) * 0.95, 0)::BIGINT + 1], 6) AS aspect_p95 FROM s GROUP BY 1""")
@@ -100,12 +142,16 @@ def box_shapes(spark, sf):
     return shapes.select("l_returnflag", "n_boxes", *[F.round(c, d).alias(c) for c, d in (("median_w", 9), ("median_h", 9), ("median_aspect", 6), ("aspect_p05", 6), ("aspect_p95", 6))])
 
 
-@query(_CONVERT_SQL + """, l AS (SELECT l_orderkey AS item_id, count(*) AS n_lines, bool_and(box_valid) AS ok FROM a GROUP BY 1) SELECT item_id, n_lines, 0::BIGINT AS n_issues FROM l WHERE ok""")
+@query(_CONVERT_SQL + """, l AS (SELECT l_orderkey AS item_id, count(*) AS n, bool_and(box_valid) AS ok FROM a GROUP BY 1), k AS (SELECT *, item_id % 9 AS f FROM l WHERE ok)
+SELECT item_id, CASE WHEN f = 3 THEN 0 ELSE n END AS n_lines, CASE f WHEN 0 THEN 'field_count' WHEN 1 THEN 'class_id' WHEN 2 THEN 'coordinate' WHEN 3 THEN 'defect_empty' WHEN 4 THEN 'normal_not_empty' ELSE '' END AS faults FROM k""")
 def label_lines(spark, sf):
-    """Label lines of the items whose boxes all hold, checked as written."""
+    """Label lines of the items whose boxes all hold, some broken after writing, checked as written."""
     line = publish.box_text(records.class_id(F.when(F.col("l_returnflag") == "R", "Damaged").otherwise("Pollution"), F.lit("B")), F.col("box"))
     items = _converted(spark, sf).groupBy(F.col("l_orderkey").alias("item_id")).agg(F.array_sort(F.collect_list(F.when(F.col("box_valid"), line))).alias("lines"), F.bool_and("box_valid").alias("ok"))
-    return items.where("ok").select("item_id", F.size("lines").cast("long").alias("n_lines"), F.size(publish.label_issues(F.col("lines"), 2, 5)).cast("long").alias("n_issues"))
+    fault = F.col("item_id") % 9
+    broken = F.transform("lines", lambda x: F.when(fault == 0, F.concat(x, F.lit(" 0.5"))).when(fault == 1, F.concat(F.lit("7"), F.substring(x, 2, 1000))).when(fault == 2, F.concat(F.substring(x, 1, 2), F.lit("1.5"), F.substring(x, 13, 1000))).otherwise(x))
+    written = items.where("ok").select("item_id", F.when(fault == 3, F.array().cast("array<string>")).otherwise(broken).alias("lines"))
+    return written.select("item_id", F.size("lines").cast("long").alias("n_lines"), F.array_join(publish.label_faults(F.col("lines"), fault == 4, 2, 5), ",").alias("faults"))
 
 
 @query(b.ITEMS_SQL + """SELECT kind, group_id, count(*) AS n_scanned, count(*) FILTER (v) AS n_valid, count(*) FILTER (v AND eligible) AS n_eligible, count(*) FILTER (v AND NOT eligible) AS n_excluded,
@@ -216,7 +262,35 @@ def rate_bin_report(spark, sf):
     return report.groupBy(scope.alias("scope"), "bin", "n_candidates", "status").agg(*[F.sum(c).alias(c) for c in ("n_wanted", "n_test", "n_development")])
 
 
-@query("SELECT group_id, NULL::VARCHAR AS recorded, NULL::VARCHAR AS recomputed, NULL::VARCHAR AS change FROM (SELECT 1::BIGINT AS group_id) WHERE false")
+# Both kinds: regions as groups of kind A, customers as groups of kind B.
+_STRUCTURE = dataset.Structure(a_groups=25, a_test=5, folds=5, b_picked=40, b_val=5, b_test=5, b_cap=8)
+_ITEM_SCHEMA = "item_id long, group_id long, kind string, facet string, area_bin string, segment string, n_annotations long, n_first long, eligible boolean"
+
+
+def _dataset_items(spark, sf) -> DataFrame:
+    items = b.ruled_items(spark, sf).withColumn("area_bin", text.area_bin("extent_sum"))
+    regions = items.withColumns({"kind": F.lit("A"), "group_id": F.col("region_id").cast("long")})
+    return regions.unionByName(items.where("kind = 'B'")).select(*[c.split()[0] for c in _ITEM_SCHEMA.split(", ")])
+
+
+def _assign(items: DataFrame) -> DataFrame:
+    return dataset.assign_dataset(items.cache(), b.FACETS, list(text.AREA_BINS), _STRUCTURE, gate=False)
+
+
+@query("""SELECT 'A' AS kind, 'test' AS role, NULL::INTEGER AS fold, 5::BIGINT AS n_groups, 5::BIGINT AS n_distinct UNION ALL SELECT 'A', 'development', k::INTEGER, 4, 4 FROM range(5) t(k)
+UNION ALL SELECT 'B', 'test', NULL, 5, 5 UNION ALL SELECT 'B', 'val', NULL, 5, 5 UNION ALL SELECT 'B', 'train', NULL, 30, 30""")
+def dataset_invariants(spark, sf):
+    """Numbers of groups by kind, role and fold of one assignment of both kinds."""
+    return _assign(_dataset_items(spark, sf)).groupBy("kind", "role", "fold").agg(F.count(F.lit(1)).alias("n_groups"), F.count_distinct("group_id").alias("n_distinct"))
+
+
+@query("""SELECT 'A' AS kind, c_nationkey::BIGINT AS group_id, CASE WHEN c_nationkey % 11 = 0 THEN 'added' ELSE 'changed' END AS change
+FROM (SELECT DISTINCT c_nationkey FROM customer JOIN orders ON o_custkey = c_custkey) WHERE c_nationkey % 7 = 0 OR c_nationkey % 11 = 0""")
 def replay_diff(spark, sf):
-    """An assignment computed twice from the tables, compared as recorded and recomputed: no rows."""
-    return audit.mapping_diff(q.test_assignment(spark, sf), q.test_assignment(spark, sf), ["group_id"], "role")
+    """A recorded assignment, changed for some groups and without others, against one recomputed from the manifest's text."""
+    items = _dataset_items(spark, sf)
+    assigned = _assign(items).cache()  # a row per group
+    role = F.when(F.col("group_id") % 7 == 0, F.concat(F.lit("was_"), "role")).otherwise(F.col("role"))
+    recorded = assigned.where("kind = 'B' or group_id % 11 <> 0").withColumn("role", F.when(F.col("kind") == "A", role).otherwise(F.col("role")))
+    manifest = items.select(*[F.col(c).cast("string").alias(c) for c in items.columns])
+    return dataset.replay(recorded, _assign(items_of_manifest(manifest, _ITEM_SCHEMA))).select("kind", "group_id", "change")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.digests import tree_digest
+
 # Suffixes of the files that are listed.
 IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png", ".bmp", ".tif", ".tiff")
 JSON_SUFFIX = ".json"
@@ -71,13 +73,13 @@ def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def files_fingerprint(files: DataFrame, path: str = "relative", length: str = "length", digest: str = "sha256") -> DataFrame:
-    """One row, ``fingerprint``: SHA-256 over the lines path, size, digest in path order.
-
-    Two levels: lines are hashed by the first byte of the path's hash, then the
-    hashes of the 256 buckets, so that no task holds all lines.
-    """
+    """One row, ``fingerprint``: a digest over the lines path, size, digest (see tree_digest)."""
     line = F.concat_ws("\t", F.col(path), F.col(length).cast("string"), F.col(digest))
-    bucket = F.substring(F.sha1(path), 1, 2)
-    buckets = files.groupBy(bucket.alias("bucket")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("h"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "h"))), lambda b: F.concat_ws(":", b["bucket"], b["h"])), "\n")
-    return buckets.agg(F.sha2(joined, 256).alias("fingerprint"))
+    return tree_digest(files, F.col(path), line, "fingerprint")
+
+
+def items_of_manifest(manifest: DataFrame, schema: str) -> DataFrame:
+    """Items rebuilt from the text columns of a stored manifest: those of ``schema``, cast back. A value
+    that does not fit its type is an error; columns that ``schema`` does not name are left out."""
+    wanted = manifest.sparkSession.createDataFrame([], schema).schema
+    return manifest.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])

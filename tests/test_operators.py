@@ -8,8 +8,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from graincut.functions import records, rings, text
-from graincut.operators import apportion, approve, assign, publish, reports, rules
+from graincut.functions import digests, records, rings, text
+from graincut.operators import apportion, approve, assign, dedup, publish, reports, rules
 from graincut.sources import tables
 
 
@@ -70,7 +70,7 @@ def test_rings(spark):
     bow = rings.ring_of_flat(F.array(*[F.lit(float(x)) for x in (0, 0, 2, 2, 2, 0, 0, 2)]))
     square = lambda *xs: rings.canonical_ring(rings.ring_of_flat(F.array(*[F.lit(float(x)) for x in xs])))
     r = one(spark, rings.crosses_itself(bow), square(0, 0, 0, 1, 1, 1) == square(1, 1, 0, 1, 0, 0), rings.point_issue(F.array(F.lit(1.0))), rings.point_issue(F.array(*[F.lit(1.0)] * 6)))
-    assert r[:] == (True, True, "points_odd", "points_too_few")
+    assert r[:] == (True, True, "odd_flat_points_length", "fewer_than_3_unique_points")
 
 
 def test_json_group_ids(spark):
@@ -153,6 +153,105 @@ def test_converted_annotations(spark):
     }
     assert {k: r.issues for k, r in got.items()} == {
         "in": [], "cut": ["polygon_repaired_or_clipped"], "edge": ["empty_or_zero_area_after_clip"], "out": ["invalid_detection_bbox", "empty_or_zero_area_after_clip"],
-        "odd": ["points_odd"], "none": ["points_missing"],
+        "odd": ["odd_flat_points_length"], "none": ["invalid_points_structure"],
     }
     assert got["cut"].area_ratio == 0.25 and got["cut"].box_ratio == 0.25 and abs(got["edge"].box.w - 0.05) < 1e-12
+
+
+def test_items_without_a_hash_stay(spark):
+    rows = [(1, None, "g", "s"), (2, None, "h", "s"), (3, "aa", "g", "s"), (4, "aa", "g", "s"), (5, "ab", "g", None), (6, "ab", "g", "s"), (7, "ba", "g", "s"), (8, "ba", None, "s"), (9, "c", "g", "s")]
+    items = spark.createDataFrame(rows, "id long, h string, g string, s string")
+    found = {r.id: (r.action, r.n_copies, r.dup_group) for r in dedup.resolve_duplicates(items, "h", ["g"], "s", ["id"]).collect()}
+    assert found == {
+        1: ("single", 1, None), 2: ("single", 1, None), 9: ("single", 1, None), 3: ("representative", 2, "dup_000001"), 4: ("duplicate", 2, "dup_000001"),
+        5: ("label_conflict", 2, "dup_000002"), 6: ("label_conflict", 2, "dup_000002"), 7: ("cross_group", 2, "dup_000003"), 8: ("cross_group", 2, "dup_000003"),
+    }
+
+
+def test_points_of_both_forms(spark):
+    cases = {
+        "[[1,1],[9,1],[9,9.5]]": None, "[1,1,9,1,9,9.5]": None, "[]": "fewer_than_3_unique_points", "[1,2,3]": "odd_flat_points_length", '{"x":1}': "invalid_points_structure", '"1,2"': "invalid_points_structure",
+        "[[1,2],[3,true],[5,6]]": "non_numeric_coordinate", '[1,"2",3,4,5,6]': "non_numeric_coordinate", "[1,null,3,4,5,6]": "non_numeric_coordinate", "[[1,2],[3,4],[5,6,7]]": "odd_flat_points_length",
+        "[[1,2],[3,4],[5]]": "odd_flat_points_length", "[[1,1],[9,1],[1,1],[9,1]]": "fewer_than_3_unique_points", "[[1,1],[9,1],[9,9],[1,1],5]": "odd_flat_points_length",
+    }
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "raw string").select("raw", F.inline(F.array(rings.parse_points(F.try_parse_json("raw")))))
+    got = {r.raw: (r.issues, r.ring_valid) for r in rings.convert_annotations(df, "flat", F.lit(10), F.lit(10), "issue").collect()}
+    for raw, code in (cases | {None: "invalid_points_structure"}).items():
+        assert got[raw][0][:1] == ([code] if code else []) and got[raw][1] == (code is None), raw
+    far = spark.createDataFrame([([1.0, float("inf"), 2.0, 3.0, 4.0, 5.0],)], "flat array<double>")
+    assert rings.convert_annotations(far, "flat", F.lit(10), F.lit(10)).first().issues == ["non_finite_coordinate"]
+
+
+def test_digest_of_a_deeper_tree(spark, monkeypatch):
+    lines = spark.range(900).select(F.col("id").cast("string").alias("k"))
+    flat = digests.tree_digest(lines, F.col("k"), F.col("k"), "d").first()[0]
+    monkeypatch.setattr(digests, "LINES", 0.1)
+    deep = digests.tree_digest(lines, F.col("k"), F.col("k"), "d").first()[0]
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    key = lambda k: hashlib.sha1(str(k).encode()).hexdigest()
+
+    def by_hand(digits):
+        nodes = {}
+        for k in range(900):
+            nodes.setdefault(key(k)[:digits], []).append(str(k))
+        level = {b: sha("\n".join(sorted(x))) for b, x in nodes.items()}
+        for d in [*range(digits - 1, 1, -1), 0]:
+            up = {}
+            for b in sorted(level):
+                up.setdefault(b[:d], []).append(f"{b}:{level[b]}")
+            level = {b: sha("\n".join(x)) for b, x in up.items()}
+        return level[""]
+
+    assert flat == by_hand(2) and deep == by_hand(4)
+    assert digests.tree_digest(lines.orderBy(F.desc("k")).repartition(7), F.col("k"), F.col("k"), "d").first()[0] == deep
+
+
+def test_pairs_list_the_first_paths_of_a_hot_key(spark):
+    left = spark.createDataFrame([("k", f"p{n:03d}") for n in range(50)] + [("j", "x")], "s string, path string")
+    found = {r.s: r for r in rules.pair_files(left, spark.createDataFrame([("j", "y")], "s string, path string"), ["s"], "path").collect()}
+    assert found["k"].n_left == 50 and found["k"].left_paths.split("|") == [f"p{n:03d}" for n in range(10)] and found["k"].status == "left_only" and found["j"].status == "paired"
+
+
+def test_samples_of_a_hot_group(spark):
+    rows = [(k, "hot", k % 3 == 0) for k in range(300)] + [(1000, None, True), (1001, None, None)]
+    items = spark.createDataFrame(rows, "item long, g string, pos boolean")
+    found = apportion.stratified_sample(items, ["g"], "item", F.col("pos"), 10, 42, F.coalesce("g", F.lit("-"))).collect()
+    key = lambda k, side: hashlib.sha1(f"42|hot:{side}|{k}".encode()).hexdigest()
+    want = {*sorted((k for k in range(300) if k % 3 == 0), key=lambda k: key(k, "p"))[:3], *sorted((k for k in range(300) if k % 3), key=lambda k: key(k, "n"))[:7]}
+    assert {r.item for r in found if r.g == "hot"} == want and {r.item for r in found if r.g is None} == {1000, 1001}
+
+
+def test_sinks_and_checks_of_what_was_written(spark, tmp_path):
+    ring = F.array(*[rings.point(F.lit(x), F.lit(y)) for x, y in ((0.0, 0.5), (1.0, 2.0), (0.25, 0.0))])
+    assert one(spark, publish.ring_text(F.lit(2), ring))[0] == "2 0.00000000 0.50000000 1.00000000 1.00000000 0.25000000 0.00000000"
+    df = spark.createDataFrame([(2, "b", 1.5), (1, "a", None)], "id int, k string, v double")
+    publish.write_report(df, str(tmp_path / "report"), ["id"])
+    assert [tuple(r) for r in tables.read_report(spark, str(tmp_path / "report"), "id int, k string, v double").collect()] == [(1, "a", None), (2, "b", 1.5)]
+    publish.write_partitioned(df, str(tmp_path / "table"), ["k"])
+    assert {p.name for p in (tmp_path / "table").iterdir() if p.is_dir()} == {"k=a", "k=b"}
+    for again in (lambda: publish.write_report(df, str(tmp_path / "report"), ["id"]), lambda: publish.write_partitioned(df, str(tmp_path / "table"), ["k"])):
+        with pytest.raises(Exception):
+            again()
+    sides = [spark.createDataFrame(x, "id int, sha string") for x in ([(1, "x"), (2, "y"), (3, None)], [(1, "x"), (2, "z"), (3, None)])]
+    assert [tuple(r) for r in publish.copies_differ(*sides, "id", "sha").collect()] == [(2, "y", "z")]
+    lines = F.array(F.lit("0 0.5 0.5 0.1 0.1"))
+    none = F.array().cast("array<string>")
+    r = one(spark, publish.label_faults(lines, F.lit(True), 2, 5), publish.label_faults(none, F.lit(False), 2, 5), publish.label_faults(none, F.lit(True), 2, 5), publish.label_faults(F.lit(None).cast("array<string>"), F.lit(False), 2, 5))
+    assert r[:] == (["normal_not_empty"], ["defect_empty"], [], ["defect_empty"])
+
+
+def test_structural_checks(spark):
+    items = spark.createDataFrame([(1, True, True), (2, False, False), (3, False, True), (4, False, False)], "id int, eligible boolean, selected boolean")
+    faults = approve.structural_faults(items, spark.createDataFrame([(2,), (3,), (9,)], "id int"), "id").collect()
+    assert {tuple(r) for r in faults} == {("not_in_exclusions", "4"), ("not_excluded", "9"), ("selected_but_excluded", "3")}
+    scan = spark.createDataFrame([(1, 5, 3, 2), (2, 5, 3, 1)], "group_id int, n_valid long, n_eligible long, n_excluded long")
+    dist = lambda *n: spark.createDataFrame([(x,) for x in n], "n long")
+    found = approve.count_faults(scan, items.where("selected"), {"good": dist(1, 1), "bad": dist(1, 2)}).collect()
+    assert {tuple(r) for r in found} == {("valid_count", "2", 5, 4), ("distribution_total", "bad", 2, 3)}
+
+
+def test_rows_of_a_training_view(spark):
+    rows = [(1, "A", "development", 0, True), (2, "A", "development", 1, True), (3, "A", "test", None, True), (4, "A", "development", 1, False), (5, "B", "train", None, True), (6, "B", None, None, True)]
+    items = spark.createDataFrame(rows, "id int, kind string, role string, fold int, included_box boolean")
+    view = lambda *a, **k: {(r.id, r.role) for r in publish.view_rows(items, *a, **k).collect()}
+    assert view("A", "box", 1) == {(1, "train"), (2, "val")} and view("A", "box", 0, include_test=True) == {(1, "val"), (2, "train"), (3, "test")} and view("B", "box") == {(5, "train")}

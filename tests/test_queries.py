@@ -51,8 +51,9 @@ def greedy_folds(rows, folds, n_facets, seed, restarts):
         for k, weight in ((1, 8), (2, 4)):
             rate = total[k] / max(total[0], 1)
             parts.append(weight * ((s[k] / n - rate) / max(rate, 0.01)) ** 2)
+        n_bins = (len(s) - 3 - n_facets) // (1 + n_facets)
         for k in range(3, len(s)):
-            parts.append((3 if k < 3 + n_facets else 1) * ((s[k] - total[k] / folds) / max(total[k] / folds, 1)) ** 2)
+            parts.append((3 if k < 3 + n_facets else 1 if k < 3 + n_facets + n_bins else 2) * ((s[k] - total[k] / folds) / max(total[k] / folds, 1)) ** 2)
         return sum(parts)
 
     found = []
@@ -74,9 +75,13 @@ def group_rows(seed):
     rng = random.Random(seed)
     for g in range(25):
         n = 60
-        parts = lambda k: [sum(x == j for x in draws) for draws in [[rng.randrange(k) for _ in range(n)]] for j in range(k)]  # noqa: E731, B023
+        facets, bins = len(q.b.FACETS), len(q.text.AREA_BINS)
+        draws = [(rng.randrange(facets), rng.randrange(bins)) for _ in range(n)]
+        count = lambda test: sum(map(test, draws))
         positives = rng.randint(n // 10, n // 2)
-        yield g, "mid_high", [n, positives, positives * rng.randint(1, 4), *parts(len(q.b.FACETS)), *parts(len(q.text.AREA_BINS))]
+        single = [*[count(lambda x: x[0] == j) for j in range(facets)], *[count(lambda x: x[1] == j) for j in range(bins)]]  # noqa: B023
+        joint = [count(lambda x: x == (i, j)) for i in range(facets) for j in range(bins)]  # noqa: B023
+        yield g, "mid_high", [n, positives, positives * rng.randint(1, 4), *single, *joint]
 
 
 def test_folds_are_the_best_of_500_restarts(spark, monkeypatch):
