@@ -124,8 +124,8 @@ def guess_cost(value: str, ranks: Mapping[str, int] = WORD_RANK, enough: float =
     cost = list(map(brute_cost, value))
     longest = max(map(len, ranks), default=1) if not isinstance(ranks, Ranks) else ranks.longest
     count_cost = math.log10(n)
-    units = [p for p in range(1, n // 2 + 1) if p * LEAST_BRUTE + count_cost < enough]
-    matched = [0] * (n // 2 + 1)  # by unit length: characters so far that equal the one a unit before
+    units = [p for p in range(1, int(min(n // 2, enough / LEAST_BRUTE)) + 1) if p * LEAST_BRUTE + count_cost < enough]
+    matched = [0] * (len(units) + 1)  # by unit length: characters so far that equal the one a unit before
     starts = {p: [math.inf] * p for p in units}  # by unit length and place in the unit: least cost before a repeat in this run
     lead, begun = [0] * len(STEPS), [math.inf] * len(STEPS)
     reach = max(longest, MAX_DATE, 2 * len(units), 3)
