@@ -129,7 +129,30 @@ class Lattice:
         self.plain = {x: None if p is None else math.exp(p) for x, p in self.trie.items()}
 
     def log_probability(self, word: str) -> float:
+        """Plain probabilities for words of usual length, logarithms where those run out."""
         text = "▁" + word
+        if len(text) <= PLAIN_CHARS and (p := self._probability(text)) > TINY:
+            return math.log(p)
+        return self._log_probability(text)
+
+    def _probability(self, text: str) -> float:
+        n = len(text)
+        get, missing = self.plain.get, object()
+        alpha = [1.0] + [0.0] * n
+        for i in range(n):
+            at, single = alpha[i], False
+            for j in range(i + 1, n + 1):
+                p = get(text[i:j], missing)
+                if p is missing:
+                    break
+                if p is not None:
+                    alpha[j] += at * p
+                    single = single or j == i + 1
+            if not single:
+                alpha[i + 1] += at * math.exp(self._bytes(text[i]))
+        return alpha[n]
+
+    def _log_probability(self, text: str) -> float:
         n = len(text)
         get, exp, log = self.trie.get, math.exp, math.log
         trie, missing = self.trie, object()
