@@ -195,6 +195,8 @@ def refine_density(
     counts = (lambda f, split: F.element_at(f, split)) if mapped else (lambda f, split: f)
     moved: dict[int, str] = {}
     fixed = None
+    groups = groups.cache()
+    groups.count()  # the planner then knows the table's size when it pairs groups
 
     def placed() -> DataFrame:
         if not moved:

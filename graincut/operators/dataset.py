@@ -101,9 +101,10 @@ def assign_b(items: DataFrame, structure: Structure, seed: int, locked: DataFram
         if fixed.count() != structure.b_test or locked.distinct().count() != structure.b_test:
             raise ValueError(f"locked test groups must be {structure.b_test} of the chosen ones")
         tested = fixed.unionByName(again.join(locked.select("group_id"), "group_id", "left_anti").withColumn("role", F.lit("rest")))
+    tested = tested.cache()  # group tables like this one are read several times below
     rest = tested.where("role = 'rest'").drop("role")
     seats = quotas_by_bin(rest, structure.b_val, "stratum").withColumnRenamed("quota", "quota_val")
-    roles = tested.where("role = 'test'").unionByName(apportion.seeded_split(rest, seats, ["stratum"], "group_id", seed, ["val"], "train"))
+    roles = tested.where("role = 'test'").unionByName(apportion.seeded_split(rest, seats, ["stratum"], "group_id", seed, ["val"], "train")).cache()
     if gate and apportion.require_class_in_roles(roles, "role", ["val", "test"], "has_first").count():
         raise ValueError("val or test has no group of the first class")
     head = F.array(F.col("n_items"), F.col("n_positive"), F.col("n_annotations"))

@@ -123,11 +123,11 @@ def test_one_assignment_of_both_kinds(spark):
     assert {g for kind, g, _, _ in rows if kind == "A"} == set(range(12))  # group 11 lost all items and stays
     with pytest.raises(ValueError):
         make(13)
-    tests = {k: found.where((F.col("kind") == k) & (F.col("role") == "test")).select("group_id") for k in "AB"}
-    again = make(locked=tests)
-    assert dataset.replay(found, again).count() == 0
+    own = found.where("kind = 'A'")
+    a = lambda locked: dataset.assign_a(items.where("kind = 'A'"), list("xyz"), ["zero", "1_5pct"], dataset.Structure(12, 2, 5, 10, 2, 2, 6), 42, locked)
+    assert dataset.replay(own, a(own.where("role = 'test'").select("group_id")).withColumn("kind", F.lit("A"))).count() == 0
     with pytest.raises(ValueError):
-        make(locked={"A": spark.createDataFrame([(0,), (77,)], "group_id long")})
+        a(spark.createDataFrame([(0,), (77,)], "group_id long"))
     changed = found.withColumn("fold", F.when(F.col("fold") == 3, 4).otherwise(F.col("fold"))).where("group_id <> 5 or kind <> 'A'")
     diff = {(r.kind, r.group_id, r.change) for r in dataset.replay(changed, found).collect()}
     assert diff == {(k, g, "added" if g == 5 else "changed") for k, g, _, fold in rows if k == "A" and (fold == 3 or g == 5)}
