@@ -20,6 +20,7 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from decimal import Decimal
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,14 +53,16 @@ def _index_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, pa.
 
     chunk = TaskContext.get().partitionId() << 24
     postings: dict[bytes, list[int]] = {}
-    trained: Counter[bytes] = Counter()
+    learned: list[bool] = []  # by document of the chunk
     docs, size, top = 0, 0, (1 << COUNT_BITS) - 1
 
     def words_of() -> pa.RecordBatch:
         n = len(postings)
         sizes = np.fromiter(map(len, postings.values()), dtype=np.int32, count=n)
-        flat = np.fromiter((p for ps in postings.values() for p in ps), dtype=np.int32, count=int(sizes.sum()))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
+        flat = np.fromiter(chain.from_iterable(postings.values()), dtype=np.int32, count=int(sizes.sum()))
+        starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(flat))
+        counted = (flat & top).astype(np.int64) * np.array(learned, dtype=np.int64)[flat >> COUNT_BITS]
         return pa.RecordBatch.from_arrays(
             [
                 pa.nulls(n, pa.int64()),
@@ -68,7 +71,7 @@ def _index_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, pa.
                 pa.array(list(postings), pa.binary()),
                 pa.array(np.full(n, chunk)),
                 lists,
-                pa.array([trained[w] for w in postings], pa.int64()),
+                pa.array(np.add.reduceat(counted, starts[:-1])),
             ],
             names=[x.split()[0] for x in INDEX.split(", ")],
         )
@@ -78,22 +81,25 @@ def _index_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, pa.
         for text, train in zip(batch["text"], batch["train"].to_pylist(), strict=True):
             data = (text.as_py() or "").encode("utf-8", "surrogatepass").lower()
             words = data.split()
-            counts = Counter(words)
-            for w, c in counts.items():
+            place = docs << COUNT_BITS
+            for w, c in Counter(words).items():
+                own = postings.get(w)
+                if own is None:
+                    own = postings[w] = []
                 while c > top:
-                    postings.setdefault(w, []).append(docs << COUNT_BITS | top)
+                    own.append(place | top)
                     c -= top
-                postings.setdefault(w, []).append(docs << COUNT_BITS | c)
-            if train:
-                trained.update(counts)
+                own.append(place | c)
+            learned.append(bool(train))
             at.append(chunk * CHUNK_DOCS + docs)
             n_words.append(len(words))
             docs, size = docs + 1, size + len(data)
             if docs == CHUNK_DOCS or size > CHUNK_BYTES:
-                yield False, words_of()
+                if postings:
+                    yield False, words_of()
                 chunk, docs, size = chunk + 1, 0, 0
                 postings.clear()
-                trained.clear()
+                learned.clear()
         n = len(at)
         yield True, pa.RecordBatch.from_arrays(
             [pa.array(at, pa.int64()), batch["train"], pa.array(n_words, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.int64())],
@@ -190,44 +196,45 @@ class Lattice:
         text = "▁" + word
         arcs = self._shares(text) if len(text) <= PLAIN_CHARS else None
         mass = [0.0] * len(text) + [float(times * PARTS)]
-        known = self.trie.get
-        for a, b, share in reversed(self._log_shares(text) if arcs is None else arcs):
+        used = uses.get
+        for a, b, share, piece in reversed(self._log_shares(text) if arcs is None else arcs):
             part = mass[b] * share
             mass[a] += part
-            if n := int(part + 0.5):
-                piece = text[a:b]
-                if known(piece) is not None:
-                    uses[piece] = uses.get(piece, 0) + n
-                else:
-                    for x in piece.encode("utf-8", "surrogatepass"):
-                        byte_uses[x] += n
-
-    def _shares(self, text: str) -> list[tuple[int, int, float]] | None:
-        """Arcs (start, end, share of the end's probability) by start; None if a probability runs out."""
+            n = int(part + 0.5)
+            if piece is not None:
+                uses[piece] = used(piece, 0) + n
+            else:
+                for x in text[a:b].encode("utf-8", "surrogatepass"):
+                    byte_uses[x] += n
+
+    def _shares(self, text: str) -> list[tuple[int, int, float, str | None]] | None:
+        """Arcs (start, end, share of the end's probability, piece or None for bytes) by start; None if a probability runs out."""
         n = len(text)
         get, missing = self.plain.get, object()
         alpha = [1.0] + [0.0] * n
         arcs = []
+        add = arcs.append
         for i in range(n):
             at, single = alpha[i], False
             for j in range(i + 1, n + 1):
-                p = get(text[i:j], missing)
+                piece = text[i:j]
+                p = get(piece, missing)
                 if p is missing:
                     break
                 if p is not None:
                     w = at * p
                     alpha[j] += w
-                    arcs.append((i, j, w))
+                    add((i, j, w, piece))
                     single = single or j == i + 1
             if not single:
                 w = at * math.exp(self._bytes(text[i]))
                 alpha[i + 1] += w
-                arcs.append((i, i + 1, w))
+                add((i, i + 1, w, None))
         if min(alpha) < TINY:
             return None
-        return [(i, j, w / alpha[j]) for i, j, w in arcs]
+        return [(i, j, w / alpha[j], piece) for i, j, w, piece in arcs]
 
-    def _log_shares(self, text: str) -> list[tuple[int, int, float]]:
+    def _log_shares(self, text: str) -> list[tuple[int, int, float, str | None]]:
         n = len(text)
         exp, missing = math.exp, object()
         incoming: list[list[float]] = [[] for _ in range(n + 1)]
@@ -244,12 +251,12 @@ class Lattice:
                     break
                 if p is not None:
                     incoming[j].append(alpha[i] + p)
-                    arcs.append((i, j, alpha[i] + p))
+                    arcs.append((i, j, alpha[i] + p, text[i:j]))
                     single = single or j == i + 1
             if not single:
                 incoming[i + 1].append(alpha[i] + self._bytes(text[i]))
-                arcs.append((i, i + 1, incoming[i + 1][-1]))
-        return [(i, j, exp(t - alpha[j])) for i, j, t in arcs]
+                arcs.append((i, i + 1, incoming[i + 1][-1], None))
+        return [(i, j, exp(t - alpha[j]), piece) for i, j, t, piece in arcs]
 
     def _bytes(self, character: str) -> float:
         return sum(self.byte_log_p[b] for b in character.encode("utf-8", "surrogatepass"))
