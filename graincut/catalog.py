@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import queries, record_queries  # noqa: F401  (registers its queries)
+from .plans import queries, record_queries, release_queries  # noqa: F401  (these register their queries)
 
 QUERIES = queries.QUERIES
 ORACLES = queries.ORACLES

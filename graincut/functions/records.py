@@ -55,6 +55,11 @@ def targets(found: Column, kind: Column) -> Column:
     return F.transform(seen, lambda d: F.struct(canonical_class(d["name"], kind).alias("class"), d["name"].alias("name"), d["points"].alias("points")))
 
 
+def unknown_classes(found: Column) -> Column:
+    """Distinct raw names of targets whose class is not known, in their first order; a missing name is empty."""
+    return F.array_distinct(F.transform(F.filter(found, lambda t: t["class"].isNull()), lambda t: F.coalesce(t["name"], F.lit(""))))
+
+
 def record_fields(payload: Column) -> dict[str, Column]:
     """Columns that the rules read, by name, from one payload."""
     is_kind, is_normal = normal_flag(payload)

@@ -65,3 +65,8 @@ def review_duplicates(resolved: DataFrame, max_groups: int = 50, max_share: floa
     )
     share = F.coalesce(F.try_divide("cross_items", "n_items"), F.lit(0.0))
     return counts.withColumn("review", (F.col("cross_groups") > max_groups) | (share > max_share))
+
+
+def valid_items(resolved: DataFrame, included: Column) -> DataFrame:
+    """Items that the scan includes and duplicates don't exclude; a NULL verdict of the scan excludes."""
+    return resolved.where(F.coalesce(included, F.lit(False)) & F.col("action").isin("single", "representative"))

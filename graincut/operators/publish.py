@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import fixed8_unit
+from ..functions.text import RATE_BINS, area_bin, fixed8_unit, natural_key
+from .metrics import share
 
 
 def box_text(class_id: Column, box: Column) -> Column:
@@ -29,6 +30,76 @@ def write_report(df: DataFrame, path: str, order: list) -> None:
     df.orderBy(*order).coalesce(1).write.mode("errorifexists").csv(path, header=True)
 
 
+# Leading columns of each report's order. Every order ends with all columns as text.
+REPORT_ORDERS = {
+    "manifest": ("item_id",),
+    "issues": ("item_id", "issue"),
+    "variants": ("item_id", "raw_class"),
+    "pairs": ("path", "reason"),
+    "corrupt": ("path", "error"),
+    "duplicates": ("dup_group", "item_id"),
+    "leakage": ("left_split", "right_split"),
+}
+
+
+def report_order(report: str, columns: list[str]) -> list[Column]:
+    """Order of a report's rows: groups by kind and natural id, rate bins by scope (overall, folds,
+    test) and bin, the reports of REPORT_ORDERS by those columns, others by all columns.
+
+    Columns that a report lacks, and NULLs, count as empty text; paths are compared with slashes.
+    """
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in columns else F.lit("")
+    if report == "groups":
+        first = [text("kind"), natural_key(text("group_id"))]
+    elif report == "rate_bins":
+        rank = F.when(text("scope") == "overall", 0).when(text("scope") == "test", 2).otherwise(1)
+        first = [rank, text("scope"), F.array_position(F.array(*map(F.lit, RATE_BINS)), text("bin"))]
+    else:
+        first = [F.translate(text(c), "\\", "/") if c == "path" else text(c) for c in REPORT_ORDERS.get(report, ())]
+    return [*first, *map(text, columns)]
+
+
+def manifest(items: DataFrame, groups: DataFrame, classes: dict[str, str], tasks: tuple[str, ...] = ("box", "ring")) -> DataFrame:
+    """One row per scanned item with its assignment, verdict and measures; no item is left out.
+
+    ``items``: item_id, path, kind, group_id, facet, segment, eligible, policy_reason, sampled, and
+    included_<task> and reason_<task> from the scan, extents, and the count columns of ``classes``
+    (name -> column). ``groups``: kind, group_id, role, fold of assigned groups, unique.
+
+    included_<task> then holds only for items of assigned groups that policy and sampling keep; the
+    reason is the policy's, group_not_picked or sampling_cap, else the scan's. group_rate is the
+    share of positive items among the group's eligible ones with boxes, 0 without any. Extents, bin
+    and stratum are kind A's alone. NULL flags count as false (a NULL eligible
+    leaves the scan's reason), and items without a group as not picked.
+    """
+    key = ["kind", "group_id"]
+    true = lambda c: F.coalesce(F.col(c), F.lit(False))
+    counted = true("eligible") & true(f"included_{tasks[0]}")
+    rates = items.where(counted).groupBy(*key).agg(share(F.count(F.when(F.col("n_annotations") > 0, 1)), F.count(F.lit(1))).alias("group_rate"))
+    df = items.drop("role", "fold", "group_rate").join(groups.select(*key, "role", "fold"), key, "left").join(rates, key, "left")
+    known, selected = F.col("role").isNotNull(), true("eligible") & true("sampled") & F.col("role").isNotNull()
+    is_a = F.coalesce(F.col("kind") == "A", F.lit(False))
+    suffix = F.when(is_a, ".jpg").otherwise(F.lower(F.regexp_extract("path", r"(\.[^./\\]*)$", 1)))
+    why = lambda t: (
+        F.when(~F.col("eligible"), F.col("policy_reason"))
+        .when(true(f"included_{t}") & ~selected, F.when(known, "sampling_cap").otherwise("group_not_picked"))
+        .otherwise(F.col(f"reason_{t}"))
+    )
+    measures = {"extent_sum": F.col("extent_sum"), "extent_max": F.col("extent_max"), "area_bin": area_bin("extent_sum")}
+    measures["stratum"] = F.concat_ws("|", F.coalesce("facet", F.lit("")), measures["area_bin"])
+    derived = {
+        **{f"included_{t}": true(f"included_{t}") & selected for t in tasks},
+        **{f"reason_{t}": why(t) for t in tasks},
+        **{name: F.when(is_a, value) for name, value in measures.items()},
+        **{f"has_{name}": F.coalesce(F.col(c) > 0, F.lit(False)) for name, c in classes.items()},
+        "selected": selected,
+        "group_rate": F.coalesce("group_rate", F.lit(0.0)),
+        "output_name": F.concat(F.col("item_id").cast("string"), F.coalesce(suffix, F.lit(""))),
+        "destination": F.when(selected, F.concat_ws("/", "kind", F.when(F.col("role") == "test", "test").otherwise("trainval"))),
+    }
+    return df.withColumns(derived)
+
+
 def memberships(items: DataFrame, fold: str, folds: int) -> DataFrame:
     """Every item once per fold number, val in its own fold and train in the others."""
     each = items.withColumn("view", F.explode(F.array(*map(F.lit, range(folds)))))

@@ -43,6 +43,17 @@ def roll_up(annotations: DataFrame, by: list[str], measured: Column) -> DataFram
     )
 
 
+def geometry_totals(annotations: DataFrame, item: str) -> DataFrame:
+    """One row for reviewers: annotations repaired or clipped, annotations that may have become several
+    parts, items with a widened box, and whether there is any. Takes the rows of rings.convert_annotations."""
+    counts = annotations.agg(
+        F.count(F.when(F.array_contains("issues", "polygon_repaired_or_clipped"), 1)).alias("n_repaired"),
+        F.count(F.when(F.col("several_parts"), 1)).alias("n_several_parts"),
+        F.count_distinct(F.when(F.col("min_extent"), F.col(item))).alias("n_min_extent"),
+    )
+    return counts.withColumn("review", F.col("n_repaired") + F.col("n_several_parts") + F.col("n_min_extent") > 0)
+
+
 def group_scan(items: DataFrame, by: list[str], valid: Column, eligible: Column, facets: list[str]) -> DataFrame:
     """Per group: items scanned, valid, eligible, excluded, by facet, and the ratios of the eligible."""
     mine = valid & eligible

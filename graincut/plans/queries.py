@@ -127,13 +127,13 @@ def quantile_bins(spark, sf):
     return _quintiled(spark, sf).select("group_id", "segment", "positive_ratio", "bin")
 
 
-def quota_sql(source: str, key: str, seats: int | str) -> str:
-    """Largest remainder over counts of ``source`` (key, n), as one statement's CTEs, ending in quotas."""
-    return f""", shares AS (SELECT {key} AS key, n, n * {seats}::DOUBLE / sum(n) OVER () AS raw, least(floor(n * {seats}::DOUBLE / sum(n) OVER ()), n)::BIGINT AS fl FROM {source}),
-seats AS (SELECT key, n, raw, unnest(range(fl + 1, n + 1)) AS seat FROM shares),
-won AS (SELECT key, count(*) AS w FROM (
-  SELECT key, row_number() OVER (ORDER BY raw - (seat - 1) DESC, n DESC, key) AS k FROM seats) WHERE k <= {seats} - (SELECT sum(fl) FROM shares) GROUP BY 1),
-quotas AS (SELECT key, n, (fl + coalesce(w, 0))::BIGINT AS quota FROM shares LEFT JOIN won USING (key))"""
+def quota_sql(source: str, key: str, seats: int | str, tag: str = "") -> str:
+    """Largest remainder over counts of ``source`` (key, n), as one statement's CTEs, ending in quotas; ``tag`` ends their names."""
+    return f""", shares{tag} AS (SELECT {key} AS key, n, n * {seats}::DOUBLE / sum(n) OVER () AS raw, least(floor(n * {seats}::DOUBLE / sum(n) OVER ()), n)::BIGINT AS fl FROM {source}),
+seats{tag} AS (SELECT key, n, raw, unnest(range(fl + 1, n + 1)) AS seat FROM shares{tag}),
+won{tag} AS (SELECT key, count(*) AS w FROM (
+  SELECT key, row_number() OVER (ORDER BY raw - (seat - 1) DESC, n DESC, key) AS k FROM seats{tag}) WHERE k <= {seats} - (SELECT sum(fl) FROM shares{tag}) GROUP BY 1),
+quotas{tag} AS (SELECT key, n, (fl + coalesce(w, 0))::BIGINT AS quota FROM shares{tag} LEFT JOIN won{tag} USING (key))"""
 
 
 @query(b.ITEMS_SQL + ", counts AS (SELECT rate_bin, count(*) AS n FROM rated WHERE kind = 'A' GROUP BY 1)" + quota_sql("counts", "rate_bin", 47) + " SELECT key AS rate_bin, n, quota FROM quotas")

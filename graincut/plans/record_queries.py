@@ -203,12 +203,12 @@ def _roles(spark, sf) -> DataFrame:
 _ROLES_SQL = (
     q._PICK_SQL
     + ", c1 AS (SELECT stratum, count(*) AS n FROM picked GROUP BY 1)"
-    + q.quota_sql("c1", "stratum", SEATS).replace("shares", "sh1").replace("seats AS", "se1 AS").replace("FROM seats", "FROM se1").replace("won", "wo1").replace("quotas", "qu1")
-    + """, tested AS (SELECT p.*, row_number() OVER (PARTITION BY stratum ORDER BY sha1('42|split|' || group_id), group_id) <= qu1.quota AS test FROM picked p JOIN qu1 ON stratum = key),
+    + q.quota_sql("c1", "stratum", SEATS, "1")
+    + """, tested AS (SELECT p.*, row_number() OVER (PARTITION BY stratum ORDER BY sha1('42|split|' || group_id), group_id) <= quotas1.quota AS test FROM picked p JOIN quotas1 ON stratum = key),
 c2 AS (SELECT stratum, count(*) AS n FROM tested WHERE NOT test GROUP BY 1)"""
-    + q.quota_sql("c2", "stratum", SEATS).replace("shares", "sh2").replace("seats AS", "se2 AS").replace("FROM seats", "FROM se2").replace("won", "wo2").replace("quotas", "qu2")
+    + q.quota_sql("c2", "stratum", SEATS, "2")
     + """, roles AS (SELECT group_id, stratum, has_first, 'test' AS role FROM tested WHERE test UNION ALL
-  SELECT group_id, stratum, has_first, CASE WHEN row_number() OVER (PARTITION BY stratum ORDER BY sha1('42|split|' || group_id), group_id) <= qu2.quota THEN 'val' ELSE 'train' END FROM tested JOIN qu2 ON stratum = key WHERE NOT test)"""
+  SELECT group_id, stratum, has_first, CASE WHEN row_number() OVER (PARTITION BY stratum ORDER BY sha1('42|split|' || group_id), group_id) <= quotas2.quota THEN 'val' ELSE 'train' END FROM tested JOIN quotas2 ON stratum = key WHERE NOT test)"""
 )
 
 

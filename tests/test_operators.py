@@ -255,3 +255,34 @@ def test_rows_of_a_training_view(spark):
     items = spark.createDataFrame(rows, "id int, kind string, role string, fold int, included_box boolean")
     view = lambda *a, **k: {(r.id, r.role) for r in publish.view_rows(items, *a, **k).collect()}
     assert view("A", "box", 1) == {(1, "train"), (2, "val")} and view("A", "box", 0, include_test=True) == {(1, "val"), (2, "train"), (3, "test")} and view("B", "box") == {(5, "train")}
+
+
+def test_manifest_keeps_every_item(spark):
+    items = spark.createDataFrame(
+        [
+            (1, "r/1.x/a.PNG", "B", 7, None, "s", 2, 1, True, None, True, True, False, None, "ring_repair_failed", 0.1, 0.1),
+            (2, "r/2", "B", 7, "F", "s", 0, 0, True, None, None, True, True, None, None, 0.0, 0.0),
+            (3, "r/3.png", "A", 8, None, "s", 1, 1, False, "policy", True, True, None, None, "bad", 0.3, 0.3),
+            (4, None, None, None, None, None, None, None, None, None, True, None, None, "unread", "unread", None, None),
+        ],
+        "item_id int, path string, kind string, group_id int, facet string, segment string, n_annotations int, n_first int, eligible boolean, policy_reason string, sampled boolean, included_box boolean, included_ring boolean, reason_box string, reason_ring string, extent_sum double, extent_max double",
+    )
+    groups = spark.createDataFrame([("B", 7, "test", None), ("A", 8, "development", 3)], "kind string, group_id int, role string, fold int")
+    rows = {r.item_id: r for r in publish.manifest(items, groups, {"first": "n_first"}).collect()}
+    pick = lambda k, *c: tuple(rows[k][x] for x in c)
+    names = ("role", "fold", "selected", "included_box", "included_ring", "reason_box", "reason_ring", "group_rate", "output_name", "destination", "stratum", "has_first")
+    assert len(rows) == 4
+    assert pick(1, *names) == ("test", None, True, True, False, None, "ring_repair_failed", 0.5, "1.png", "B/test", None, True)
+    assert pick(2, *names) == ("test", None, False, False, False, "sampling_cap", "sampling_cap", 0.5, "2", None, None, False)
+    assert pick(3, *names) == ("development", 3, False, False, False, "policy", "policy", 0.0, "3.jpg", None, "|25_40pct", True)
+    assert pick(4, *names) == (None, None, False, False, False, "unread", "unread", 0.0, "4", None, None, False)
+
+
+def test_orders_of_reports(spark):
+    ids = spark.createDataFrame([("A", "10"), ("A", "9"), ("A", "x"), (None, "1")], "kind string, group_id string")
+    assert [r[1] for r in ids.orderBy(*publish.report_order("groups", ids.columns)).collect()] == ["1", "9", "10", "x"]
+    bins = spark.createDataFrame([("test", "zero"), ("fold_1", "zero"), ("overall", "very_high"), ("overall", "very_low")], "scope string, bin string")
+    assert [tuple(r) for r in bins.orderBy(*publish.report_order("rate_bins", bins.columns)).collect()] == [("overall", "very_low"), ("overall", "very_high"), ("fold_1", "zero"), ("test", "zero")]
+    pairs = spark.createDataFrame([(1, "b/c", "z"), (3, "a\\d", "y"), (2, "a/d", "x")], "n int, path string, reason string")
+    assert [r[0] for r in pairs.orderBy(*publish.report_order("pairs", pairs.columns)).collect()] == [2, 3, 1]
+    assert [r[0] for r in pairs.orderBy(*publish.report_order("other", pairs.columns)).collect()] == [1, 2, 3]
