@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import order_key
+from ..sources.tables import settle
 from .metrics import share
 
 # Weights of the test objective (largest and summed facet gap, positive rate, density, area bin)
@@ -195,8 +196,7 @@ def refine_density(
     counts = (lambda f, split: F.element_at(f, split)) if mapped else (lambda f, split: f)
     moved: dict[int, str] = {}
     fixed = None
-    groups = groups.cache()
-    groups.count()  # the planner then knows the table's size when it pairs groups
+    groups = settle(groups, "splits")  # every round reads it
 
     def placed() -> DataFrame:
         if not moved:

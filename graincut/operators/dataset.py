@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import rate_bin
+from ..sources.tables import settle
 from . import apportion, assign, audit, metrics
 
 
@@ -54,7 +55,7 @@ def rated_features(items: DataFrame, facets: list[str], bins: list[str]) -> Data
 def assign_a(items: DataFrame, facets: list[str], bins: list[str], structure: Structure, seed: int, locked: DataFrame | None = None) -> DataFrame:
     """group_id, role (test or development), fold of kind A. ``locked``: the test groups (group_id)
     of an earlier assignment; raises if they don't fit the quotas of today."""
-    groups = rated_features(items, facets, bins).cache()  # a row per group, read by every step of the search
+    groups = settle(rated_features(items, facets, bins), "rated-groups")  # read by every step of the search
     quotas = quotas_by_bin(groups, structure.a_test)
     if locked is None:
         test = assign.choose_test(groups, {r["bin"]: r["quota"] for r in quotas.collect()}, len(facets), seed)
@@ -88,11 +89,13 @@ def assign_b(items: DataFrame, structure: Structure, seed: int, locked: DataFram
     scope = lambda x: F.concat_ws(":", F.lit("B"), F.col("group_id").cast("string"), F.lit(x))
     sample = lambda x: apportion.stratified_sample(own, ["group_id"], "item_id", F.col("__positive"), structure.b_cap, seed, scope(x))
     facts = own.groupBy("group_id").agg(F.bool_or(F.col("n_first") > 0).alias("has_first")).join(metrics.majority(own, ["group_id"], "segment").drop("votes"), "group_id", "left")
-    groups = with_strata(metrics.core_metrics(sample("selection"), ["group_id"]).join(facts, "group_id")).cache()
-    picked = apportion.nearest_to_mean(groups, quotas_by_bin(groups, structure.b_picked, "stratum"), ["stratum"], "positive_ratio", "group_id", seed, "pick").cache()
+    # Each step reads the groups before it several times; unsettled, plans would multiply with every step.
+    groups = settle(with_strata(metrics.core_metrics(sample("selection"), ["group_id"]).join(facts, "group_id")), "strata")
+    picked = apportion.nearest_to_mean(groups, quotas_by_bin(groups, structure.b_picked, "stratum"), ["stratum"], "positive_ratio", "group_id", seed, "pick")
+    picked = settle(picked, "picked")
     if gate and audit.representativeness(groups, picked).first()["verdict"] != "PASS":
         raise ValueError("the chosen groups of kind B do not represent all")
-    again = with_strata(picked.drop("stratum"))
+    again = settle(with_strata(picked.drop("stratum")), "picked-strata")
     if locked is None:
         seats = quotas_by_bin(again, structure.b_test, "stratum").withColumnRenamed("quota", "quota_test")
         tested = apportion.seeded_split(again, seats, ["stratum"], "group_id", seed, ["test"], "rest")
@@ -101,17 +104,17 @@ def assign_b(items: DataFrame, structure: Structure, seed: int, locked: DataFram
         if fixed.count() != structure.b_test or locked.distinct().count() != structure.b_test:
             raise ValueError(f"locked test groups must be {structure.b_test} of the chosen ones")
         tested = fixed.unionByName(again.join(locked.select("group_id"), "group_id", "left_anti").withColumn("role", F.lit("rest")))
-    tested = tested.cache()  # group tables like this one are read several times below
+    tested = settle(tested, "tested")
     rest = tested.where("role = 'rest'").drop("role")
     seats = quotas_by_bin(rest, structure.b_val, "stratum").withColumnRenamed("quota", "quota_val")
-    roles = tested.where("role = 'test'").unionByName(apportion.seeded_split(rest, seats, ["stratum"], "group_id", seed, ["val"], "train")).cache()
+    roles = settle(tested.where("role = 'test'").unionByName(apportion.seeded_split(rest, seats, ["stratum"], "group_id", seed, ["val"], "train")), "roles")
     if gate and apportion.require_class_in_roles(roles, "role", ["val", "test"], "has_first").count():
         raise ValueError("val or test has no group of the first class")
     head = F.array(F.col("n_items"), F.col("n_positive"), F.col("n_annotations"))
     counts = lambda df, x: metrics.core_metrics(df, ["group_id"]).select("group_id", head.alias(x))
     by_role = counts(own, "test").join(counts(sample("train"), "train"), "group_id").join(counts(sample("val"), "val"), "group_id")
     f = F.create_map(*[x for name in ("train", "val", "test") for x in (F.lit(name), F.col(name))])
-    placed = roles.join(by_role, "group_id").select("group_id", "stratum", F.col("role").alias("split"), f.alias("f")).cache()
+    placed = roles.join(by_role, "group_id").select("group_id", "stratum", F.col("role").alias("split"), f.alias("f"))
     refined = assign.refine_density(placed, stratum="stratum", locked=("test",), moving_target=True)
     return refined.select("group_id", F.col("split").alias("role"), F.lit(None).cast("int").alias("fold"))
 
@@ -124,7 +127,8 @@ def assign_dataset(
 
     ``locked``: test groups (group_id) by kind. Groups with NULL kind or id take no part.
     """
-    known = items.where(F.col("group_id").isNotNull())
+    own = ["kind", "group_id", "item_id", "facet", "area_bin", "segment", "n_annotations", "n_first", "eligible"]
+    known = settle(items.where(F.col("group_id").isNotNull()).select(*own), "items")
     a, b = (known.where(F.col("kind") == k) for k in "AB")
     structure.check(a.select("group_id").distinct().count(), b.where("eligible").select("group_id").distinct().count())
     locked = locked or {}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records, rings, text
 from ..operators import apportion, assign, audit, dedup, metrics, rules
-from ..sources.tables import files_fingerprint, parse_json, raw_group_counts, read_table
+from ..sources.tables import files_fingerprint, parse_json, raw_group_counts, read_table, settle
 from . import bindings as b
 
 QUERIES: dict = {}
@@ -469,7 +469,7 @@ def _region_groups(spark, sf) -> DataFrame:
     """Regions (nations of the customers) as groups of all eligible items, with rate bin and counts."""
     items = b.ruled_items(spark, sf).where("eligible").withColumn("area_bin", text.area_bin("extent_sum")).withColumn("group_id", F.col("region_id").cast("long"))
     features = assign.group_features(items, b.FACETS, list(text.AREA_BINS))
-    return features.withColumn("bin", text.rate_bin(F.col("f")[1] / F.col("f")[0])).cache()
+    return settle(features.withColumn("bin", text.rate_bin(F.col("f")[1] / F.col("f")[0])), "region-groups")
 
 
 def _test_quotas(groups: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import records, rings, text
 from ..operators import apportion, dataset, publish, reports, rules
-from ..sources.tables import items_of_manifest, parse_json, read_table
+from ..sources.tables import items_of_manifest, parse_json, read_table, settle
 from . import bindings as b
 from . import queries as q
 from .queries import query
@@ -191,9 +191,9 @@ SEATS = 8
 
 def _roles(spark, sf) -> DataFrame:
     """Picked groups with role: by largest remainder SEATS for test, then SEATS of the rest for val."""
-    picked = q._picked(spark, sf).cache()  # a small table of groups that each step below reads
+    picked = settle(q._picked(spark, sf), "picked")
     quotas = q._quotas(picked, SEATS).withColumnRenamed("quota", "quota_test")
-    test = apportion.seeded_split(picked, quotas, ["stratum"], "group_id", 42, ["test"], "rest")
+    test = settle(apportion.seeded_split(picked, quotas, ["stratum"], "group_id", 42, ["test"], "rest"), "tested")
     rest = test.where("role = 'rest'").drop("role")
     again = q._quotas(rest, SEATS).withColumnRenamed("quota", "quota_val")
     others = apportion.seeded_split(rest, again, ["stratum"], "group_id", 42, ["val"], "train")
@@ -274,7 +274,7 @@ def _dataset_items(spark, sf) -> DataFrame:
 
 
 def _assign(items: DataFrame) -> DataFrame:
-    return dataset.assign_dataset(items.cache(), b.FACETS, list(text.AREA_BINS), _STRUCTURE, gate=False)
+    return dataset.assign_dataset(items, b.FACETS, list(text.AREA_BINS), _STRUCTURE, gate=False)
 
 
 @query("""SELECT 'A' AS kind, 'test' AS role, NULL::INTEGER AS fold, 5::BIGINT AS n_groups, 5::BIGINT AS n_distinct UNION ALL SELECT 'A', 'development', k::INTEGER, 4, 4 FROM range(5) t(k)
@@ -289,7 +289,7 @@ FROM (SELECT DISTINCT c_nationkey FROM customer JOIN orders ON o_custkey = c_cus
 def replay_diff(spark, sf):
     """A recorded assignment, changed for some groups and without others, against one recomputed from the manifest's text."""
     items = _dataset_items(spark, sf)
-    assigned = _assign(items).cache()  # a row per group
+    assigned = settle(_assign(items), "assigned")
     role = F.when(F.col("group_id") % 7 == 0, F.concat(F.lit("was_"), "role")).otherwise(F.col("role"))
     recorded = assigned.where("kind = 'B' or group_id % 11 <> 0").withColumn("role", F.when(F.col("kind") == "A", role).otherwise(F.col("role")))
     manifest = items.select(*[F.col(c).cast("string").alias(c) for c in items.columns])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,25 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` under ``spark.checkpoint.dir``, which driver and executors share, and read it back.
+
+    For tables that several steps read: plans of later steps start here, instead of repeating all
+    before it, lost executors cost nothing, and the planner knows the size. Only a local session may
+    leave the folder unset; it gets a temporary one.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """path, relative path, suffix, role (image or json), length, modificationTime of files
     under ``root``. File contents are not read."""
