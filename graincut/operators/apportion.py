@@ -8,13 +8,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import order_key
+from ..sources.tables import settle
+
+
+def same_keys(left: list[str], right: list[str]) -> Column:
+    """Pairs of columns that are equal, NULL being a value; true without columns."""
+    return reduce(lambda x, y: x & y, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right, strict=True)], F.lit(True))
 
 
 def quantile_bins(groups: DataFrame, by: list[str], order: list[Column], bins: int) -> DataFrame:
-    """``groups`` with bin = min(bins - 1, rank * bins div n), rank from 0. Not NTILE."""
-    w = Window.partitionBy(*by)
-    rank, n = F.row_number().over(w.orderBy(*order)) - 1, F.count(F.lit(1)).over(w)
-    return groups.withColumn("bin", F.least(F.lit(bins - 1), F.floor(rank * bins / n)).cast("int"))
+    """``groups`` with bin = min(bins - 1, rank * bins div n), rank from 0. Not NTILE.
+
+    Ranges of ``by`` and ``order`` are ranked in tasks of their own and moved on by the counts of the
+    ranges before, so that no task sorts all of a large ``by``. ``order`` should tell groups apart; an older bin is replaced.
+    """
+    dealt = groups.repartitionByRange(*map(F.col, by), *order).withColumn("__range", F.spark_partition_id())
+    ranged = settle(dealt, "ranges")
+    counts = ranged.groupBy("__range", *[F.col(c).alias(f"__by{k}") for k, c in enumerate(by)]).agg(F.count(F.lit(1)).alias("__in"))
+    keys = [f"__by{k}" for k in range(len(by))]
+    each = Window.partitionBy(*keys)  # a row per range
+    earlier = each.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("*", F.coalesce(F.sum("__in").over(earlier), F.lit(0)).alias("__before"), F.sum("__in").over(each).alias("__n"))
+    offsets = offsets.withColumnRenamed("__range", "__r").drop("__in")
+    place = F.row_number().over(Window.partitionBy("__range", *by).orderBy(*order)) - 1
+    ranked = ranged.withColumn("__place", place).join(offsets, (F.col("__range") == F.col("__r")) & same_keys(by, keys))
+    bin_ = F.least(F.lit(bins - 1), F.floor((F.col("__before") + F.col("__place")) * bins / F.col("__n"))).cast("int")
+    return ranked.select(*[c for c in groups.columns if c != "bin"], bin_.alias("bin"))
 
 
 def largest_remainder(weights: DataFrame, seats: int, key: str, weight: str, cap: str) -> DataFrame:
@@ -51,7 +70,7 @@ def stratified_sample(items: DataFrame, by: list[str], item: str, positive: Colu
     key = order_key(seed, F.concat(scope.cast("string"), F.when(F.col("__pos"), ":p").otherwise(":n")), F.col(item))
     rank = F.row_number().over(Window.partitionBy(*by, "__pos").orderBy("__key", item))
     first = marked.withColumn("__key", key).withColumn("__r", rank).where(F.col("__r") <= cap)
-    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__by{k}")) for k, c in enumerate(by)])
+    same = same_keys(by, [f"__by{k}" for k in range(len(by))])
     want = F.least(F.lit(cap), F.col("__n"))
     wanted_pos = F.least(F.rint(want * F.col("__np") / F.col("__n")).cast("long"), F.col("__np"))
     wanted_pos = F.greatest(wanted_pos, want - (F.col("__n") - F.col("__np")))

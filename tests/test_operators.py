@@ -61,6 +61,24 @@ def test_largest_remainder_equals_the_greedy_loop(spark):
         apportion.largest_remainder(spark.createDataFrame([("a", 1, 1)], "k string, w long, cap long"), 2, "k", "w", "cap").collect()
 
 
+def test_quantile_bins_over_many_ranges(spark):
+    """Ranks as in one sort, with tied values, a hot and a NULL key, and ranges that are not merged."""
+    rows = [(k, None if k % 10 == 0 else "hot" if k % 3 else "cold", (k * 7919) % 13 / 13) for k in range(400)]
+    df = spark.createDataFrame(rows, "group_id long, segment string, rate double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for by in ([], ["segment"]):
+            found = {r.group_id: r.bin for r in apportion.quantile_bins(df, by, [F.col("rate"), F.col("group_id")], 5).collect()}
+            want = {}
+            for key in {r[1] if by else 0 for r in rows}:
+                own = sorted((r for r in rows if not by or r[1] == key), key=lambda r: (r[2], r[0]))
+                want |= {r[0]: min(4, k * 5 // len(own)) for k, r in enumerate(own)}
+            assert found == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert apportion.quantile_bins(df.limit(0), [], [F.col("rate")], 5).collect() == []
+
+
 def test_rings(spark):
     flat = F.array(*[F.lit(float(x)) for x in (-10, -10, 60, -10, 60, 60, -10, 60, -10, -10)])
     df = spark.range(1).select(rings.cleaned(rings.ring_of_flat(flat)).alias("ring"))
