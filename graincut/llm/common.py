@@ -58,6 +58,13 @@ def running_totals(df: DataFrame, order: list[Column], sums: dict[str, Column],
     return ranged.join(offsets, F.col("__range") == F.col("__r")).select(*df.columns, *[c.alias(name) for name, c in here.items()])
 
 
+def refuse_names(keep: list[str], results: list[str]) -> None:
+    """Raise if a kept column has the name of a result, or one that starts with two underscores, as helpers' do."""
+    clash = {c for c in keep if c.startswith("__")} | ({c.lower() for c in keep} & {c.lower() for c in results})
+    if clash:
+        raise ValueError(f"reserved names: {sorted(clash)}")
+
+
 def crc32_of_id(doc_id: Column) -> Column:
     """CRC-32 of the id's decimal text; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary"))
