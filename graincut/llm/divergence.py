@@ -18,75 +18,94 @@ group, of at most 1,024 bitsets, whatever the group's size.
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, read_table, running_totals
 
-TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
+#: Bytes of terms, A-Z lowered, and spaces for all others. Terms are ASCII letters and whatever is not ASCII.
+LETTERS = bytes(b if b >= 0x80 else ord(chr(b).lower()) if chr(b).isalpha() else 0x20 for b in range(256))
 LEAST_DOCS = 3
 UNIT = 1_000_000_000
 BLOCK = 1_024
 MOST_TERMS = 200
-#: Distinct terms, and their bytes, that a task counts before it hands them on.
-HELD_TERMS, HELD_BYTES = 500_000, 32_000_000
+#: Bytes of text that a task counts at once.
+HELD_BYTES = 32_000_000
 
 COUNTS = "lang string, source string, term string, n long, docs long"
+FIELDS = ["lang", "source", "term", "n", "docs"]
 EXACT = pa.decimal128(38, 0)
 
 
-def _count_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts by (lang, source, term), and one row with a NULL term for every group seen."""
-    from collections import Counter
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about HELD_BYTES of text each, or of one row."""
+    upto = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        done = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + HELD_BYTES, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def _terms(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """(row, term) of every occurrence of a term, in lower case."""
+    # A byte becomes a byte, so the translated texts keep their places.
+    _, offsets, data = texts.buffers()
+    spaced = pa.Array.from_buffers(pa.string(), len(texts), [None, offsets, pa.py_buffer((data or pa.py_buffer(b"")).to_pybytes().translate(LETTERS))], offset=texts.offset)
+    words = pc.ascii_split_whitespace(spaced)
+    row, term = pc.list_parent_indices(words), words.flatten()
+    real = pc.not_equal(term, "")
+    return row.filter(real).to_numpy(), term.filter(real).dictionary_encode()
 
-    held: dict[tuple[str, str], dict[bytes, list[int]]] = defaultdict(dict)
-    size = volume = 0
 
-    def out() -> Iterator[pa.RecordBatch]:
-        for (lang, source), terms in held.items():
-            names = [None, *(t.decode("utf-8", "replace") for t in terms)]
-            n, docs = [0, *(v[0] for v in terms.values())], [0, *(v[1] for v in terms.values())]
-            columns = [pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), pa.array(names, pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the runs of equal values in a sorted array."""
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return starts, np.diff(np.append(starts, len(keys)))
 
+
+def _count_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts by (lang, source, term) in each slice, and a row with a NULL term for every group seen."""
     for batch in batches:
-        for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"], strict=True):
-            own = held[lang, source]
-            # bytes.lower changes A-Z only.
-            for term, n in Counter(TERM.findall(text.as_py().lower())).items():
-                at = own.get(term)
-                if at is None:
-                    own[term] = [n, 1]
-                    size += 1
-                    volume += len(term)
-                else:
-                    at[0] += n
-                    at[1] += 1
-            if size > HELD_TERMS or volume > HELD_BYTES:
-                yield from out()
-                held.clear()
-                size = volume = 0
-    yield from out()
+        for part in _slices(batch):
+            groups: dict[tuple[str, str], int] = {}
+            of_row = np.array([groups.setdefault(g, len(groups)) for g in zip(part["lang"].to_pylist(), part["source"].to_pylist(), strict=True)], np.int64)
+            row, terms = _terms(part["text"])
+            # Row and term in one number: sorted, its runs are the counts of a term in a text.
+            key = np.sort(row.astype(np.int64) << 32 | terms.indices.to_numpy())
+            starts, n = _runs(key)
+            key = key[starts]
+            key = of_row[key >> 32] << 32 | key & 0xFFFFFFFF
+            order = np.argsort(key, kind="stable")
+            key, n = key[order], n[order]
+            starts, docs = _runs(key)
+            group, term = key[starts] >> 32, pc.take(terms.dictionary, pa.array(key[starts] & 0xFFFFFFFF))
+            sums = np.add.reduceat(n, starts) if len(starts) else n
+            names = [pa.array([g[k] for g in groups], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*(pc.take(x, pa.array(group)) for x in names), term, pa.array(sums, pa.int64()), pa.array(docs, pa.int64())], names=FIELDS)
+            none = pa.array(np.zeros(len(groups)), pa.int64())
+            yield pa.RecordBatch.from_arrays([*names, pa.nulls(len(groups), pa.string()), none, none], names=FIELDS)
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, n (occurrences), docs (rows that hold it), written; a NULL term is the group itself, with zeros."""
     empty = lambda c: F.coalesce(F.col(c), F.lit(""))
-    rows = docs.select(empty("lang").alias("lang"), empty("source").alias("source"), empty("text").cast("binary").alias("text")).mapInArrow(_count_terms, COUNTS)
+    rows = docs.select(empty("lang").alias("lang"), empty("source").alias("source"), empty("text").alias("text")).mapInArrow(_count_terms, COUNTS)
     return materialize(rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "term-counts")
 
 
 def share(n: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(UNIT * (n + 1) / (total + kept)), exact."""
+    """1 + floor(UNIT * (n + 1) / (total + kept)), exact; decimals only where the product is beyond a long."""
     wide = lambda c: c.cast("decimal(38,0)")
-    return F.call_function("div", wide(F.lit(UNIT)) * wide(n + 1).cast("decimal(19,0)"), wide(total + kept)) + 1
+    narrow = F.call_function("div", F.lit(UNIT).cast("long") * (n + 1), total + kept)
+    return F.when(n < 9_000_000_000, narrow).otherwise(F.call_function("div", wide(F.lit(UNIT)) * wide(n + 1).cast("decimal(19,0)"), wide(total + kept))) + 1
 
 
 def gap(p: Column, q: Column) -> Column:
@@ -98,15 +117,17 @@ def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each (group, block): the counts that occur, their shares, and a bitset of the block for each."""
     for batch in batches:
         shares, bits = [], []
-        for total, kept, terms in zip(batch["total"].to_pylist(), batch["kept"].to_pylist(), batch["terms"].to_pylist(), strict=True):
-            at = np.array([t["bit"] for t in terms or []], np.int64)
-            counts = [t["n"] for t in terms or []]
-            levels = sorted(set(counts))
-            row = {n: k for k, n in enumerate(levels)}
+        flat = batch["terms"].flatten()
+        every_bit, every_n = flat.field("bit").to_numpy(), flat.field("n").to_numpy()
+        held = pc.fill_null(pc.list_value_length(batch["terms"]), 0).to_numpy()
+        ends = np.cumsum(held)
+        for total, kept, first, last in zip(batch["total"].to_pylist(), batch["kept"].to_pylist(), ends - held, ends, strict=True):
+            at = every_bit[first:last]
+            levels, row = np.unique(every_n[first:last], return_inverse=True)
             words = np.zeros((len(levels), BLOCK // 64), np.uint64)
-            np.bitwise_or.at(words, (np.array([row[n] for n in counts], np.int64), at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+            np.bitwise_or.at(words, (row, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
             # The share of count zero comes first.
-            shares.append([1 + UNIT * (n + 1) // (total + kept) for n in (0, *levels)])
+            shares.append([1 + UNIT * (n + 1) // (total + kept) for n in (0, *levels.tolist())])
             bits.append(words.tobytes())
         names = ["lang", "source", "block", "size"]
         columns = [*(batch[c] for c in names), pa.array(shares, pa.list_(pa.int64())), pa.array(bits, pa.binary())]
