@@ -216,9 +216,15 @@ def remaining_pairs(shared: DataFrame, classes: DataFrame, roots: DataFrame) ->
     posted = posted.withColumn("kind", F.lit("t")).unionByName(groups.withColumn("kind", F.lit("g")))
     mixed = posted.groupBy("kind", "token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("kind", "token")
     open_ = materialize(posted.join(mixed, ["kind", "token"]), "open")
-    # Components of a shingle are paired before their members, so that a component is never paired with itself.
-    found = open_.select("kind", "token", "root").distinct()
-    both = found.join(found.withColumnRenamed("root", "root_b"), ["kind", "token"]).where("root < root_b")
+    # Components of a shingle are paired before their members, so that a component is never paired with itself. Bounds
+    # over the members of each drop pairs in which no two could be linked; of two single texts they are those of may_link.
+    short = F.bool_or(F.col("at") < prefix_length(F.col("n"), True)).alias("short")
+    found = open_.groupBy("kind", "token", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("at")).alias("left"), short)
+    other = found.select("kind", "token", *[F.col(c).alias(f"{c}_b") for c in ("root", "least", "most", "left", "short")])
+    overlap = F.ceil(((F.col("least") + F.col("least_b")) * PERCENT).cast("decimal(38,0)") / (100 + PERCENT))
+    near = (100 * F.col("most") >= PERCENT * F.col("least_b")) & (100 * F.col("most_b") >= PERCENT * F.col("least")) & (F.col("short") | F.col("short_b"))
+    near = near & (F.least("left", "left_b") >= overlap)
+    both = found.join(other, ["kind", "token"]).where((F.col("root") < F.col("root_b")) & near).select("kind", "token", "root", "root_b")
     left = open_.join(both, ["kind", "token", "root"])
     right = open_.select("kind", "token", *[F.col(c).alias(f"{c}_b") for c in ("class", "n", "at", "root")])
     pairs = left.join(right, ["kind", "token", "root_b"]).where(may_link(F.col("n"), F.col("at"), F.col("n_b"), F.col("at_b")))
