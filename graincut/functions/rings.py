@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import outlines
 
 # Codes of faulty points.
 NO_STRUCTURE, ODD_LENGTH, NOT_NUMERIC = "invalid_points_structure", "odd_flat_points_length", "non_numeric_coordinate"
 NOT_FINITE, TOO_FEW = "non_finite_coordinate", "fewer_than_3_unique_points"
+# Fixed value: code of a changed outline.
+REPAIRED = "polygon_repaired_or_clipped"
 
 
 def point(x: Column, y: Column) -> Column:
@@ -151,16 +157,29 @@ def outline_in_frame(ring: Column, width: Column, height: Column) -> Column:
     return F.flatten(F.transform(ring, ends))
 
 
-def may_be_several_parts(ring: Column, width: Column, height: Column) -> Column:
-    """True if a ring crosses one line of the frame more than twice, so that the frame may cut it in parts."""
+RING = "array<struct<x:double,y:double>>"
+
+
+def parts_in_frame(ring: Column, width: Column, height: Column) -> Column:
+    """struct(changed, area, parts) of a cleaned ring: repaired where it crosses or touches itself, cut to [0, width] x [0, height].
+
+    parts are the outer rings of what is left, none for a NULL ring or if no area is left. A simple ring inside the frame
+    is its own only part, as given; all others are in canonical form and in the order of bounds, area and
+    vertices. area is that of all parts, without holes. The rules are those of the module outlines.
+    """
 
-    def crossings(axis: str, bound: Column) -> Column:
-        beyond = F.transform(ring, lambda p: p[axis] > bound)
-        turns = F.filter(beyond, lambda v, i: v != F.get(beyond, ((i + 1) % F.size(ring)).cast("int")))
-        return F.size(turns)
+    def work(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for flats, widths, heights in batches:
+            rows = []
+            for flat, w, h in zip(flats, widths, heights, strict=True):
+                v = [] if flat is None else flat.tolist()
+                changed, area_, parts = outlines.parts_in_frame(list(zip(v[::2], v[1::2], strict=True)), w, h) if v and w > 0 and h > 0 else (False, 0.0, [])
+                rows.append((changed, area_, [[x for p in part for x in p] for part in parts]))
+            yield pd.DataFrame(rows, columns=["changed", "area", "parts"])
 
-    lines = (("x", F.lit(0.0)), ("x", width), ("y", F.lit(0.0)), ("y", height))
-    return F.greatest(*[crossings(axis, bound) for axis, bound in lines]) > 2
+    work.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
+    flat = F.flatten(F.transform(ring, lambda p: F.array(p["x"], p["y"])))
+    return F.pandas_udf(work, "changed boolean, area double, parts array<array<double>>")(flat, width.cast("double"), height.cast("double"))
 
 
 def _once(df, **columns: Column):
@@ -170,65 +189,56 @@ def _once(df, **columns: Column):
 
 
 def convert_annotations(df, flat: str, width: Column, height: Column, issue: str | None = None):
-    """``df``, a row per annotation, with ring, cut, box, box_ratio, area_ratio, box_valid,
-    ring_valid, min_extent, several_parts and issues, from the flat points of column ``flat``.
+    """``df``, a row per annotation, with ring, parts, boxes, n_boxes, n_rings, box_ratio, area_ratio, box_valid,
+    ring_valid, min_extent and issues, from the flat points of column ``flat``.
 
-    ``issue`` is a column of codes found before, as by parse_points; such rows are not converted.
-    A ring cut to nothing may still leave part of its outline in the frame: its box then holds,
-    flat sides widened, and its ring does not.
+    ``issue`` is a column of codes found before, as by parse_points; such rows are not converted. parts are
+    the rings to write, boxes one for each, see parts_in_frame; box_ratio is the largest box's. A ring with
+    nothing left may still have part of its outline in the frame: its only box is that outline's, flat
+    sides widened, and it has no ring.
     """
     known = F.col(issue) if issue else F.lit(None).cast("string")
     given = F.when((width <= 0) | (height <= 0), "invalid_frame").otherwise(F.coalesce(known, point_issue(F.col(flat))))
     df = _once(df, __issue=given)
     usable = F.col("__issue").isNull()
     df = _once(df, ring=F.when(usable, cleaned(ring_of_flat(F.col(flat)))))
-    df = _once(clip_to_frame(df, "ring", width, height, "__cut"), cut=F.col("__cut")).drop("__cut")
-    share = F.coalesce(area(F.col("cut")) / (width.cast("double") * height), F.lit(0.0))
-    df = _once(df, area_ratio=share).withColumn("ring_valid", F.col("area_ratio") > 0)
-    left = F.when(F.col("ring_valid"), F.col("cut")).otherwise(outline_in_frame(F.col("ring"), width, height))
-    df = _once(_once(df, __left=left), __b=bounds(F.col("__left")))
-    valid = F.col("__b").isNotNull()
+    df = df.withColumn("__cut", parts_in_frame(F.col("ring"), width, height))
+    df = _once(
+        df,
+        parts=F.transform("__cut.parts", ring_of_flat),
+        area_ratio=F.when(usable, F.col("__cut.area") / (width.cast("double") * height)).otherwise(0.0),
+        ring_valid=F.size("__cut.parts") > 0,
+        __changed=F.col("__cut.changed"),
+    ).drop("__cut")
+    line = F.when(~F.col("ring_valid") & usable, outline_in_frame(F.col("ring"), width, height)).otherwise(F.array().cast(RING))
+    df = _once(df, __b=bounds(line))
+    flat_side = (F.col("__b.x1") >= F.col("__b.x2")) | (F.col("__b.y1") >= F.col("__b.y2"))
+    outline_box = F.when(F.col("__b").isNotNull(), F.array(box(F.col("__b"), width, height)))
+    boxes = F.when(F.col("ring_valid"), F.transform("parts", lambda r: box(bounds(r), width, height))).otherwise(outline_box)
     df = _once(
         df,
-        box=F.when(valid, box(F.col("__b"), width, height)),
-        box_ratio=F.when(F.col("ring_valid"), rounded_box_ratio(F.col("cut"), width, height)).otherwise(0.0),
-        __changed=F.col("ring_valid") & (crosses_itself(F.col("ring")) | ~F.col("cut").eqNullSafe(F.col("ring"))),
-        several_parts=F.coalesce(may_be_several_parts(F.col("ring"), width, height), F.lit(False)),
+        boxes=F.coalesce(boxes, F.array().cast("array<struct<cx:double,cy:double,w:double,h:double>>")),
+        box_ratio=F.coalesce(F.array_max(F.transform("parts", lambda r: rounded_box_ratio(r, width, height))), F.lit(0.0)),
+        min_extent=F.coalesce(flat_side, F.lit(False)),
     )
+    valid = F.size("boxes") > 0
     codes = [
         F.col("__issue"),
-        F.when(F.col("__changed"), "polygon_repaired_or_clipped"),
+        F.when(F.col("__changed"), REPAIRED),
         F.when(usable & ~valid, "invalid_detection_bbox"),
         F.when(usable & ~F.col("ring_valid"), "empty_or_zero_area_after_clip"),
     ]
-    flat_side = (F.col("__b.x1") >= F.col("__b.x2")) | (F.col("__b.y1") >= F.col("__b.y2"))
-    more = {"box_valid": valid, "min_extent": F.coalesce(flat_side, F.lit(False)), "issues": F.array_compact(F.array(*codes))}
-    return df.withColumns(more).drop("__issue", "__left", "__b", "__changed")
-
-
-def crosses_itself(ring: Column) -> Column:
-    """True if two sides that are not neighbours cross properly."""
-
-    def turn(a: Column, b: Column, c: Column) -> Column:
-        return F.signum((b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"]))
-
-    n = F.size(ring)
-    sides = F.sequence(F.lit(0), n - 1)
-
-    def meet(i: Column, j: Column) -> Column:
-        a, b, c, d = F.get(ring, i), F.get(ring, (i + 1) % n), F.get(ring, j), F.get(ring, (j + 1) % n)
-        return (turn(a, b, c) * turn(a, b, d) < 0) & (turn(c, d, a) * turn(c, d, b) < 0)
-
-    return F.when(n < 4, False).otherwise(F.exists(sides, lambda i: F.exists(sides, lambda j: (j > i + 1) & meet(i, j))))
+    more = {"box_valid": valid, "n_boxes": F.size("boxes"), "n_rings": F.size("parts"), "issues": F.array_compact(F.array(*codes))}
+    return df.withColumns(more).drop("__issue", "__b", "__changed")
 
 
-def ring_issues(flat: Column, ring: Column, clipped: Column, width: Column, height: Column) -> Column:
-    """Codes of one annotation: frame, points, repair or clipping, empty result."""
+def ring_issues(flat: Column, cut: Column, width: Column, height: Column) -> Column:
+    """Codes of one annotation: frame, points, repair or clipping, empty result. ``cut``: its parts_in_frame."""
     code = point_issue(flat)
     flagged = [
         F.when((width <= 0) | (height <= 0), "invalid_frame"),
         code,
-        F.when(code.isNull() & (crosses_itself(ring) | ~clipped.eqNullSafe(ring)), "polygon_repaired_or_clipped"),
-        F.when(code.isNull() & (area(clipped) <= 0), "empty_or_zero_area_after_clip"),
+        F.when(code.isNull() & cut["changed"], REPAIRED),
+        F.when(code.isNull() & (F.size(cut["parts"]) == 0), "empty_or_zero_area_after_clip"),
     ]
     return F.array_compact(F.array(*flagged))

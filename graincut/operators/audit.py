@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.digests import tree_digest
 from .metrics import core_metrics, share
 
+#: Ratios this close to a limit are at it.
+EDGE = 1e-12
+
 
 def leakage(items: DataFrame, split: str, keys: list[str]) -> DataFrame:
     """For every pair of splits and every key: distinct shared values and PASS or FAIL.
@@ -47,7 +50,7 @@ def class_balance(items: DataFrame, dataset: str, classes: dict[str, str]) -> Da
 
 
 def compare_tasks(items: DataFrame, by: list[str], first: str, second: str) -> DataFrame:
-    """Items and positives of two label tasks side by side, their loss and ratio gap."""
+    """Items and positives of two label tasks side by side, their loss and ratio gap; a limit that is just met passes."""
     out = items.groupBy(*by).agg(
         F.count(F.when(F.col(first).isNotNull(), 1)).alias("n_first"),
         F.count(F.when(F.col(second).isNotNull(), 1)).alias("n_second"),
@@ -56,7 +59,7 @@ def compare_tasks(items: DataFrame, by: list[str], first: str, second: str) -> D
     )
     gap = F.abs(share(F.col("pos_first"), F.col("n_first")) - share(F.col("pos_second"), F.col("n_second")))
     loss = share(F.col("n_first") - F.col("n_second"), F.col("n_first"))
-    return out.withColumns({"loss": loss, "ratio_gap": gap}).withColumn("verdict", F.when((loss > 0.07) | (gap > 0.03), "FAIL").otherwise("PASS"))
+    return out.withColumns({"loss": loss, "ratio_gap": gap}).withColumn("verdict", F.when((loss > 0.07 + EDGE) | (gap > 0.03 + EDGE), "FAIL").otherwise("PASS"))
 
 
 def facet_gaps(items: DataFrame, role: str, facet: str, sides: tuple[str, str]) -> DataFrame:
@@ -81,7 +84,7 @@ def fold_shares(items: DataFrame, fold: str, group: str, folds: int, tolerance:
     """Groups and items by fold, item share against 1 / folds, review flag."""
     own = items.where(F.col(fold).isNotNull()).groupBy(fold).agg(F.count_distinct(group).alias("n_groups"), F.count(F.lit(1)).alias("n_items"))
     part = F.col("n_items") / F.sum("n_items").over(Window.partitionBy(F.lit(0)))
-    return own.withColumn("share", part).withColumn("deviation", F.col("share") - F.lit(1.0 / folds)).withColumn("review", F.abs("deviation") >= tolerance)
+    return own.withColumn("share", part).withColumn("deviation", F.col("share") - F.lit(1.0 / folds)).withColumn("review", F.abs("deviation") >= tolerance - EDGE)
 
 
 def density_guard(items: DataFrame, split: str, limit: float = 0.20) -> DataFrame:
@@ -90,7 +93,7 @@ def density_guard(items: DataFrame, split: str, limit: float = 0.20) -> DataFram
     own = core_metrics(items, ["kind", split]).join(target, "kind")
     deviation = F.coalesce(F.try_divide(F.col("density") - F.col("target"), F.col("target")), F.lit(0.0))
     return own.select("kind", split, "n_items", "density", "target", deviation.alias("deviation")).withColumn(
-        "verdict", F.when(F.abs("deviation") > limit, "FAIL").otherwise("PASS")
+        "verdict", F.when(F.abs("deviation") > limit + EDGE, "FAIL").otherwise("PASS")
     )
 
 
@@ -101,6 +104,11 @@ def findings(table: DataFrame, code: str, when: Column, subject: Column, observe
     )
 
 
+def sorted_findings(*tables: DataFrame) -> DataFrame:
+    """Findings of all ``tables``, each once, in the order of code, subject, observed and threshold."""
+    return reduce(DataFrame.unionByName, tables).distinct().orderBy("code", "subject", "observed", "threshold")
+
+
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of only one side, with side; empty if both hold the same rows as often."""
     return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
@@ -124,7 +132,7 @@ def bin_concentration(items: DataFrame, fold: str, bin_: str, limit: float = 0.4
     """By bin: its items, the largest number of them in one fold, that share, and whether it asks for a review."""
     counts = items.where(F.col(fold).isNotNull()).groupBy(bin_, fold).agg(F.count(F.lit(1)).alias("n"))
     out = counts.groupBy(bin_).agg(F.sum("n").alias("n_items"), F.max("n").alias("n_largest"))
-    return out.withColumn("share", share(F.col("n_largest"), F.col("n_items"))).withColumn("review", F.col("share") >= limit - 1e-12)
+    return out.withColumn("share", share(F.col("n_largest"), F.col("n_items"))).withColumn("review", F.col("share") >= limit - EDGE)
 
 
 def representativeness(raw: DataFrame, picked: DataFrame, segment: str = "segment") -> DataFrame:
@@ -142,7 +150,7 @@ def representativeness(raw: DataFrame, picked: DataFrame, segment: str = "segmen
     segments = sized(raw, "a").join(sized(picked, "b"), "s", "full_outer").agg(F.max(apart).alias("segment_gap"))
     both = sums(raw, "a").join(sums(picked, "b")).join(segments)  # one row each
     rate, first = F.col("rate_b") - F.col("rate_a"), F.col("first_b") - F.col("first_a")
-    over = (F.abs(rate) > 0.03 + 1e-12) | (F.abs(first) > 0.02 + 1e-12) | (F.col("segment_gap") > 0.02 + 1e-12) | (1 - F.col("rate_b") < 0.30 - 1e-12)
+    over = (F.abs(rate) > 0.03 + EDGE) | (F.abs(first) > 0.02 + EDGE) | (F.col("segment_gap") > 0.02 + EDGE) | (1 - F.col("rate_b") < 0.30 - EDGE)
     return both.select(
         F.round(rate, 9).alias("rate_gap"), F.round(first, 9).alias("first_gap"), F.round("segment_gap", 9).alias("segment_gap"), F.when(over, "FAIL").otherwise("PASS").alias("verdict")
     )

@@ -18,14 +18,16 @@ def roll_up(annotations: DataFrame, by: list[str], measured: Column) -> DataFram
 
     Boxes hold only if all annotations of the item have one, rings likewise; an item whose
     rings fail keeps its boxes. ``measured`` marks the annotations that extents are taken of;
-    extents stay when boxes go. Counts are those after clearing.
+    extents stay when boxes go. Counts are those after clearing: a box and a ring for each part of a
+    ring; n_more_parts is how many parts there are beyond the first of each annotation.
     """
     item = annotations.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_given"),
         F.bool_and("box_valid").alias("boxes_hold"),
         F.bool_and("ring_valid").alias("rings_hold"),
-        F.count(F.when(F.col("box_valid"), 1)).alias("n_boxes"),
-        F.count(F.when(F.col("ring_valid"), 1)).alias("n_rings"),
+        F.sum("n_boxes").alias("n_boxes"),
+        F.sum("n_rings").alias("n_rings"),
+        F.sum(F.greatest(F.col("n_boxes") - 1, F.lit(0))).cast("long").alias("n_more_parts"),
         F.bool_or("min_extent").alias("min_extent"),
         F.coalesce(F.sum(F.when(measured, F.col("area_ratio").cast(EXACT))).cast("double"), F.lit(0.0)).alias("extent_sum"),
         F.coalesce(F.max(F.when(measured, F.col("box_ratio"))), F.lit(0.0)).alias("extent_max"),
@@ -35,6 +37,7 @@ def roll_up(annotations: DataFrame, by: list[str], measured: Column) -> DataFram
         "n_given",
         F.when(F.col("boxes_hold"), F.col("n_boxes")).otherwise(0).cast("long").alias("n_boxes"),
         F.when(F.col("rings_hold"), F.col("n_rings")).otherwise(0).cast("long").alias("n_rings"),
+        F.when(F.col("boxes_hold"), F.col("n_more_parts")).otherwise(0).cast("long").alias("n_more_parts"),
         "min_extent",
         "extent_sum",
         "extent_max",
@@ -44,11 +47,12 @@ def roll_up(annotations: DataFrame, by: list[str], measured: Column) -> DataFram
 
 
 def geometry_totals(annotations: DataFrame, item: str) -> DataFrame:
-    """One row for reviewers: annotations repaired or clipped, annotations that may have become several
-    parts, items with a widened box, and whether there is any. Takes the rows of rings.convert_annotations."""
+    """One row for reviewers: annotations repaired or clipped, annotations in several parts, parts beyond the
+    first, items with a widened box, and whether there is any. Takes the rows of rings.convert_annotations."""
     counts = annotations.agg(
         F.count(F.when(F.array_contains("issues", "polygon_repaired_or_clipped"), 1)).alias("n_repaired"),
-        F.count(F.when(F.col("several_parts"), 1)).alias("n_several_parts"),
+        F.count(F.when(F.col("n_boxes") > 1, 1)).alias("n_several_parts"),
+        F.coalesce(F.sum(F.when(F.col("n_boxes") > 1, F.col("n_boxes") - 1)), F.lit(0)).cast("long").alias("n_more_parts"),
         F.count_distinct(F.when(F.col("min_extent"), F.col(item))).alias("n_min_extent"),
     )
     return counts.withColumn("review", F.col("n_repaired") + F.col("n_several_parts") + F.col("n_min_extent") > 0)

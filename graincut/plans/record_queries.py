@@ -86,7 +86,7 @@ SELECT item_id, n_given, CASE WHEN bh THEN n_given ELSE 0 END AS n_boxes, CASE W
   CASE WHEN NOT bh THEN 'invalid_target_polygon' END AS box_reason, CASE WHEN NOT rh THEN 'ring_repair_failed' END AS ring_reason FROM i""")
 def record_rollup(spark, sf):
     converted = _converted(spark, sf).withColumnRenamed("l_orderkey", "item_id")
-    return reports.roll_up(converted, ["item_id"], F.col("l_returnflag") == "R").withColumns({c: F.round(c, 6) for c in ("extent_sum", "extent_max")})
+    return reports.roll_up(converted, ["item_id"], F.col("l_returnflag") == "R").drop("n_more_parts").withColumns({c: F.round(c, 6) for c in ("extent_sum", "extent_max")})
 
 
 @query(_CONVERT_SQL + """ SELECT issue, count(*) AS n FROM (
@@ -96,6 +96,61 @@ def conversion_issues(spark, sf):
     return _converted(spark, sf).select(F.explode("issues").alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _planted(spark, sf) -> DataFrame:
+    """Rings of six kinds, by order, converted: unequal bowtie, bowtie whose areas cancel, ring that touches itself, U that the
+    frame cuts in two, line, square."""
+    s, x, y = F.col("l_linenumber") + 1.0, F.col("l_quantity").cast("double") % 20, (F.col("l_partkey") % 20).cast("double")
+    f = F.lit(FRAME)
+    flat = lambda *v: F.array(*[a + x if k % 2 == 0 else a + y for k, a in enumerate(v)])
+    zero = F.lit(0.0)
+    kind = F.col("l_orderkey") % 6
+    ring = (
+        F.when(kind == 0, flat(zero, zero, 3 * s, 3 * s, 3 * s, s, zero, s))
+        .when(kind == 1, flat(zero, zero, 2 * s, 2 * s, 2 * s, zero, zero, 2 * s))
+        .when(kind == 2, flat(zero, zero, 2 * s, zero, 2 * s, 2 * s, s, zero, zero, 2 * s))
+        .when(kind == 3, F.array(f + 2, y, f + 2, y + 3 * s, f - s, y + 3 * s, f - s, y + 2 * s, f + 1, y + 2 * s, f + 1, y + s, f - s, y + s, f - s, y))
+        .when(kind == 4, flat(zero, zero, 2 * s, zero, s, zero))
+        .otherwise(flat(zero, zero, s, zero, s, s, zero, s))
+    )
+    lines = _dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", ring.alias("flat")))
+    return rings.convert_annotations(lines, "flat", f, f)
+
+
+_PLANTED_SQL = """WITH p AS (SELECT l_orderkey, l_linenumber, l_orderkey % 6 AS k, l_linenumber + 1 AS s, l_quantity::BIGINT % 20 AS x, l_partkey % 20 AS y FROM lineitem)"""
+
+
+@query(_PLANTED_SQL + """ SELECT l_orderkey, l_linenumber, CASE WHEN k IN (2, 3) THEN 2 ELSE 1 END::INTEGER AS n_boxes, CASE k WHEN 2 THEN 2 WHEN 3 THEN 2 WHEN 4 THEN 0 ELSE 1 END::INTEGER AS n_rings,
+  CASE k WHEN 0 THEN 2 * s * s WHEN 1 THEN s * s WHEN 2 THEN 2 * s * s WHEN 3 THEN 2 * s * s WHEN 4 THEN 0 ELSE s * s END::DOUBLE AS area, k = 4 AS min_extent,
+  CASE k WHEN 0 THEN [x + s, y + s, 3 * s + x, y + s, 3 * s + x, 3 * s + y] WHEN 1 THEN [x + s, y + s, 2 * s + x, y, 2 * s + x, 2 * s + y] WHEN 2 THEN [x, y, x, y + 2 * s, x + s, y]
+    WHEN 3 THEN [50 - s, y, 50 - s, y + s, 50, y + s, 50, y] WHEN 5 THEN [x, y, x + s, y, x + s, y + s, x, y + s] END::VARCHAR AS first_ring,
+  CASE k WHEN 0 THEN [2 * x + 4 * s, 2 * y + 4 * s, 4 * s, 4 * s] WHEN 1 THEN [2 * x + 3 * s, 2 * y + 2 * s, 2 * s, 4 * s] WHEN 2 THEN [2 * x + 3 * s, 2 * y + 2 * s, 2 * s, 4 * s] WHEN 3 THEN [100 - s, 2 * y + 5 * s, 2 * s, 2 * s]
+    WHEN 4 THEN [2 * x + 2 * s, greatest(4 * y, 1) // 2, 4 * s, CASE WHEN y = 0 THEN 1 ELSE 2 END] ELSE [2 * x + s, 2 * y + s, 2 * s, 2 * s] END::VARCHAR AS last_box,
+  CASE WHEN k < 4 THEN 'polygon_repaired_or_clipped' WHEN k = 4 THEN 'empty_or_zero_area_after_clip' ELSE '' END AS issues FROM p""")
+def planted_rings(spark, sf):
+    """Parts, areas, codes, vertices of the first part in their order, and the last box in halves of a unit."""
+    text = lambda a: F.concat(F.lit("["), F.array_join(a, ", "), F.lit("]"))
+    points = F.flatten(F.transform(F.get("parts", F.lit(0)), lambda p: F.array(F.rint(p["x"]).cast("long"), F.rint(p["y"]).cast("long"))))
+    last = F.element_at("boxes", -1)
+    box = F.array(*[F.floor(last[c] * FRAME * 2 + 1e-6).cast("long") for c in ("cx", "cy", "w", "h")])
+    return _planted(spark, sf).select(
+        "l_orderkey", "l_linenumber", "n_boxes", "n_rings", F.round(F.col("area_ratio") * FRAME * FRAME, 6).alias("area"), "min_extent", text(points).alias("first_ring"), text(box).alias("last_box"),
+        F.array_join("issues", ",").alias("issues"),
+    )
+
+
+@query(_PLANTED_SQL + """, t AS (SELECT count(*) FILTER (k < 4) AS n_repaired, count(*) FILTER (k IN (2, 3)) AS n_several_parts, count(*) FILTER (k IN (2, 3)) AS n_more_parts, count(DISTINCT l_orderkey) FILTER (k = 4) AS n_min_extent FROM p)
+SELECT *, n_repaired + n_several_parts + n_min_extent > 0 AS review FROM t""")
+def planted_totals(spark, sf):
+    return reports.geometry_totals(_planted(spark, sf), "l_orderkey")
+
+
+@query(_PLANTED_SQL + """ SELECT l_orderkey AS item_id, count(*) AS n_given, sum(CASE WHEN k IN (2, 3) THEN 2 ELSE 1 END)::BIGINT AS n_boxes, CASE WHEN any_value(k) = 4 THEN 0 ELSE sum(CASE WHEN k IN (2, 3) THEN 2 ELSE 1 END) END::BIGINT AS n_rings,
+  sum(CASE WHEN k IN (2, 3) THEN 1 ELSE 0 END)::BIGINT AS n_more_parts, CASE WHEN any_value(k) = 4 THEN 'ring_repair_failed' END AS ring_reason FROM p GROUP BY 1""")
+def planted_rollup(spark, sf):
+    rolled = reports.roll_up(_planted(spark, sf).withColumnRenamed("l_orderkey", "item_id"), ["item_id"], F.lit(True))
+    return rolled.select("item_id", "n_given", "n_boxes", "n_rings", "n_more_parts", "ring_reason")
+
+
 def _payload_rectangles(spark, sf) -> DataFrame:
     """The rectangles as annotations in JSON payloads, as pairs or flat by order, some with faults, converted."""
     x, y = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double") * 10
@@ -137,7 +192,7 @@ def payload_issues(spark, sf):
 SELECT l_returnflag, count(*) AS n_boxes, round(median(w), 9) AS median_w, round(median(h), 9) AS median_h, round(median(aspect), 6) AS median_aspect,
   round(list_sort(list(round(aspect, 6)))[round_even((count(*) - 1) * 0.05, 0)::BIGINT + 1], 6) AS aspect_p05, round(list_sort(list(round(aspect, 6)))[round_even((count(*) - 1) * 0.95, 0)::BIGINT + 1], 6) AS aspect_p95 FROM s GROUP BY 1""")
 def box_shapes(spark, sf):
-    boxes = _converted(spark, sf).where("box_valid").select("l_returnflag", F.col("box.w").alias("w"), F.col("box.h").alias("h"))
+    boxes = _converted(spark, sf).select("l_returnflag", F.inline("boxes"))
     shapes = reports.box_shapes(boxes, ["l_returnflag"])
     return shapes.select("l_returnflag", "n_boxes", *[F.round(c, d).alias(c) for c, d in (("median_w", 9), ("median_h", 9), ("median_aspect", 6), ("aspect_p05", 6), ("aspect_p95", 6))])
 
@@ -146,8 +201,8 @@ def box_shapes(spark, sf):
 SELECT item_id, CASE WHEN f = 3 THEN 0 ELSE n END AS n_lines, CASE f WHEN 0 THEN 'field_count' WHEN 1 THEN 'class_id' WHEN 2 THEN 'coordinate' WHEN 3 THEN 'defect_empty' WHEN 4 THEN 'normal_not_empty' ELSE '' END AS faults FROM k""")
 def label_lines(spark, sf):
     """Label lines of the items whose boxes all hold, some broken after writing, checked as written."""
-    line = publish.box_text(records.class_id(F.when(F.col("l_returnflag") == "R", "Damaged").otherwise("Pollution"), F.lit("B")), F.col("box"))
-    items = _converted(spark, sf).groupBy(F.col("l_orderkey").alias("item_id")).agg(F.array_sort(F.collect_list(F.when(F.col("box_valid"), line))).alias("lines"), F.bool_and("box_valid").alias("ok"))
+    line = publish.box_text(records.class_id(F.when(F.col("l_returnflag") == "R", "Damaged").otherwise("Pollution"), F.lit("B")), F.col("drawn"))
+    items = _converted(spark, sf).withColumn("drawn", F.explode_outer("boxes")).groupBy(F.col("l_orderkey").alias("item_id")).agg(F.array_sort(F.collect_list(F.when(F.col("box_valid"), line))).alias("lines"), F.bool_and("box_valid").alias("ok"))
     fault = F.col("item_id") % 9
     broken = F.transform("lines", lambda x: F.when(fault == 0, F.concat(x, F.lit(" 0.5"))).when(fault == 1, F.concat(F.lit("7"), F.substring(x, 2, 1000))).when(fault == 2, F.concat(F.substring(x, 1, 2), F.lit("1.5"), F.substring(x, 13, 1000))).otherwise(x))
     written = items.where("ok").select("item_id", F.when(fault == 3, F.array().cast("array<string>")).otherwise(broken).alias("lines"))

@@ -27,7 +27,7 @@ def valid_documents(spark, sf):
 
 
 @query(r._CONVERT_SQL + """ SELECT *, n_repaired + n_several_parts + n_min_extent > 0 AS review FROM (
-  SELECT count(*) FILTER (ring_valid AND (x2 > 50 OR y2 > 50)) AS n_repaired, 0::BIGINT AS n_several_parts, count(DISTINCT l_orderkey) FILTER (min_extent) AS n_min_extent FROM a)""")
+  SELECT count(*) FILTER (ring_valid AND (x2 > 50 OR y2 > 50)) AS n_repaired, 0::BIGINT AS n_several_parts, 0::BIGINT AS n_more_parts, count(DISTINCT l_orderkey) FILTER (min_extent) AS n_min_extent FROM a)""")
 def geometry_totals(spark, sf):
     return reports.geometry_totals(r._converted(spark, sf), "l_orderkey")
 
