@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: ASCII white space that separates words: space and tab to carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -65,6 +66,35 @@ def refuse_names(keep: list[str], results: list[str]) -> None:
         raise ValueError(f"reserved names: {sorted(clash)}")
 
 
+def value_text(c: Column, kind: T.DataType) -> Column:
+    """A value of any type as text that tells any two values apart; a NULL is ~, and what is not NULL has its length before it.
+
+    Maps are taken in the order of their entries' texts.
+    """
+    if isinstance(kind, T.ArrayType):
+        text = F.array_join(F.transform(c, lambda x: value_text(x, kind.elementType)), "|")
+    elif isinstance(kind, T.MapType):
+        pair = lambda e: F.concat(value_text(e["key"], kind.keyType), F.lit("="), value_text(e["value"], kind.valueType))
+        text = F.array_join(F.array_sort(F.transform(F.map_entries(c), pair)), "|")
+    elif isinstance(kind, T.StructType):
+        text = F.when(c.isNotNull(), F.concat_ws("|", F.lit(""), *[value_text(c.getField(f.name), f.dataType) for f in kind.fields]))
+    elif isinstance(kind, T.VariantType):
+        text = F.to_json(c)
+    else:
+        text = F.hex(c) if isinstance(kind, T.BinaryType) else c.cast("string")
+    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+
+
+def row_text(df: DataFrame) -> Column:
+    """All values of a row as one text, see value_text."""
+    return F.concat_ws("|", *[value_text(F.col(f"`{f.name}`"), f.dataType) for f in df.schema])
+
+
+def whole_row(df: DataFrame) -> Column:
+    """The row as a struct, so that no helper column can have the name of one of its columns."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def crc32_of_id(doc_id: Column) -> Column:
     """CRC-32 of the id's decimal text; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary"))

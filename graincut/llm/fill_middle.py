@@ -40,7 +40,7 @@ Descriptor = tuple[int, int, int]
 RESULTS = [("n", pa.int64()), ("form", pa.string()), ("prefix_chars", pa.int64()), ("middle_chars", pa.int64())]
 DIGESTS = [("output_sha256", pa.string()), ("restored_sha256", pa.string())]
 OUTPUT = [("pieces", pa.list_(pa.struct([("buffer", pa.int32()), ("start", pa.int64()), ("length", pa.int64())]))), ("output", pa.string())]
-_SQL = {pa.int64(): "long", pa.string(): "string", OUTPUT[0][1]: "array<struct<buffer:int,start:long,length:long>>"}
+_SQL = {pa.int64(): "long", pa.string(): "string", OUTPUT[0][1]: "array<struct<buffer:int,start:bigint,length:bigint>>"}
 
 
 def unit_ends(text: bytes) -> np.ndarray:

@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import crc32_of_id, materialize, read_table
+from .common import crc32_of_id, materialize, read_table, refuse_names
 
 VOCABULARY = "piece_bpe_32k.model"
 ALPHA = 0.1
@@ -319,28 +320,30 @@ def score_documents(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULA
     ``docs`` has text and train (boolean; NULL: not learned from). NULL and
     empty texts are the end token alone. Repeated rows are scored one by one,
     and learned from as often as they occur. With nothing to learn from, all
-    pieces are equally likely.
+    pieces are equally likely. ``keep`` may not name results; kept columns may have any types.
     """
+    refuse_names(keep, ["n_tokens", "n_known", "train_tokens", "base_score", "score"])
     path = vocabulary_path(vocabulary)
     kept = [F.col(f"`{c}`") for c in keep]
-    arranged = docs.select(*kept, F.coalesce("train", F.lit(False)).alias("train"), "text")
-    kept_type = arranged.select(F.struct(*kept).alias("kept")).schema["kept"].dataType
-    # The kept columns ride along as JSON, so that rows and chunks come from one pass.
-    index_in = arranged.select("train", "text", F.to_json(F.struct(*kept), {"ignoreNullFields": "false"}).alias("kept"))
+    # The kept columns ride along, so that rows and chunks come from one pass.
+    index_in = docs.select(F.coalesce("train", F.lit(False)).alias("train"), "text", F.struct(F.lit(0).alias("_"), *kept).alias("kept"))
+    kept_type = index_in.schema["kept"].dataType
 
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Array] = []
+        kinds: list[pa.DataType] = []
 
         def watched() -> Iterator[pa.RecordBatch]:
             for b in batches:
                 held.append(b["kept"])
+                kinds[:] = [b["kept"].type]
                 yield b
 
         for of_docs, out in _index_chunks(watched()):
-            own = held.pop(0) if of_docs else pa.nulls(out.num_rows, pa.string())
+            own = held.pop(0) if of_docs else pa.nulls(out.num_rows, kinds[0])
             yield pa.RecordBatch.from_arrays([*out.columns, own], names=[*out.schema.names, "kept"])
 
-    indexed = materialize(index_in.mapInArrow(index, f"{INDEX}, kept string"), "index")
+    indexed = materialize(index_in.mapInArrow(index, T.StructType([*T.StructType.fromDDL(INDEX).fields, T.StructField("kept", kept_type)])), "index")
     rows = indexed.where("row is not null")
     words = indexed.where("word is not null")
     counts = materialize(words.groupBy("word").agg(F.sum("train_count").alias("c")), "counts")
@@ -370,13 +373,13 @@ def score_documents(docs: DataFrame, keep: list[str], vocabulary: str = VOCABULA
     )
     zero = lambda c, d: F.coalesce(F.col(c), F.lit(d))
     return rows.join(sums, F.col("row") == F.col("__row"), "left").select(
-        F.from_json("kept", kept_type).alias("kept"),
+        *[F.col(f"kept.`{c}`").alias(c) for c in keep],
         (F.col("n_words") + 1).alias("n_tokens"),
         (zero("__known", 0) + int(ends > 0)).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (zero("__base", 0.0) + base(F.lit(ends))).alias("base_score"),
         ((zero("__lattice", 0.0) + float(log_p[model.eos_id()])) / math.log(10)).alias("score"),
-    ).select("kept.*", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    )
 
 
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_PATTERN, materialize, read_table, running_totals
+from .common import WORD_PATTERN, materialize, read_table, running_totals, value_text, whole_row
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -39,7 +39,8 @@ def row_key(seed: str, *columns: Column) -> Column:
 def _as_text(docs: DataFrame, name: str) -> Column:
     """A column's value as text that tells any two values apart."""
     c, kind = F.col(f"`{name}`"), docs.schema[name].dataType
-    return F.to_json(F.struct(c)) if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)) else c.cast("string")
+    nested = isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+    return F.when(c.isNotNull(), value_text(c, kind)) if nested else c.cast("string")
 
 
 def source_targets(sources: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -125,8 +126,8 @@ def mix_documents(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_E
     that is cut. Documents with smaller keys come once more; texts are not shuffled. Rows that
     are equal in all columns share a key; those that hold the cut are one document with a count.
     NULL texts and texts without words hold nothing to take and go; a NULL source is a source.
+    Columns may have any names and types.
     """
-    names = [F.col(f"`{c}`") for c in docs.columns]
     key = row_key(seed, *[_as_text(docs, c) for c in docs.columns])
     plan = mix_plan(docs, share, max_epochs, seed, key)
     by_key = plan.groupBy("source", "key").agg(
@@ -134,20 +135,21 @@ def mix_documents(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_E
     )
     last = F.max_by(F.struct("key", "rest", "size"), F.when(F.col("rest") > 0, F.col("key")))
     cuts = materialize(by_key.groupBy(F.col("source").alias("__s")).agg(F.max("epochs").alias("__epochs"), last.alias("__cut")), "cuts")
-    keyed = docs.select(*names, key.alias("__key")).where(F.col("text").rlike(WORD_PATTERN)).join(cuts, F.col("source").eqNullSafe(F.col("__s")))
+    keyed = docs.select(whole_row(docs).alias("__row"), "text", "source", key.alias("__key")).where(F.col("text").rlike(WORD_PATTERN)).join(cuts, F.col("source").eqNullSafe(F.col("__s")))
     copies = F.col("__epochs") + F.coalesce((F.col("__key") < F.col("__cut.key")).cast("long"), F.lit(0))
     whole = keyed.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
     # A document per source at most, with the number of rows that are equal to it.
-    at_cut = materialize(keyed.where(F.col("__key") == F.col("__cut.key")).dropDuplicates(["__key"]).select(*names, "__cut"), "at-cut")
+    at_cut = materialize(keyed.where(F.col("__key") == F.col("__cut.key")).dropDuplicates(["__key"]).select("__row", "__cut"), "at-cut")
     chunks = F.expr(f"sequence(0L, (__whole - 1) div {EXPAND_CHUNK})")
     inside = F.expr(f"sequence(__chunk * {EXPAND_CHUNK} + 1, least((__chunk + 1) * {EXPAND_CHUNK}, __whole))")
     more = at_cut.withColumn("__whole", F.expr("__cut.rest div __cut.size")).where("__whole > 0").withColumn("__chunk", F.explode(chunks))
     more = more.repartition("__chunk").withColumn("__copy", F.explode(inside))
     part = at_cut.withColumn("__words", F.expr("__cut.rest % __cut.size")).where("__words > 0")
-    part = part.withColumn("text", F.pandas_udf(_first_words, "string")("text", "__words"))
+    part = part.withColumn("__text", F.pandas_udf(_first_words, "string")("__row.text", "__words"))
+    cut = F.col("__row").withField("text", F.col("__text"))
     if "n_chars" in docs.columns:
-        part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.select(*names).unionByName(more.select(*names)).unionByName(part.select(*names))
+        cut = cut.withField("n_chars", F.length("__text").cast(docs.schema["n_chars"].dataType))
+    return whole.select("__row").unionAll(more.select("__row")).unionAll(part.select(cut.alias("__row"))).select("__row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

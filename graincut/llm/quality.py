@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table
+from .common import materialize, read_table, refuse_names, whole_row
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, n_repeat_words long"
 SYMBOLS = "#*$%&|<>"
@@ -136,9 +136,11 @@ def judge_documents(docs: DataFrame, keep: list[str], policy: HostPolicy = HostP
 
     A document goes if it fails a base rule or its host is blocked. Empty and
     NULL texts have no words and fail; repeated rows are judged one by one.
-    Names in ``keep`` may not start with two underscores.
+    ``keep`` may not name results or names that start with two underscores.
     """
-    measured = materialize(document_measures(docs, keep, policy), "measures")
+    measured = document_measures(docs, keep, policy)
+    refuse_names(keep, [*measured.schema["__m"].dataType.names, "base_failed", "host_rate", "kept"])
+    measured = materialize(measured, "measures")
     hosts = host_verdicts(measured, policy).select(F.col("__host").alias("__h"), "host_rate", "host_blocked")
     return measured.join(hosts, F.col("__host").eqNullSafe(F.col("__h"))).select(
         *[F.col(f"`{c}`") for c in keep],
@@ -154,14 +156,14 @@ def keep_documents(docs: DataFrame, policy: HostPolicy = HostPolicy()) -> DataFr
 
     Texts are measured once: rows are written with their host and the outcome of the rules, those
     that fail a base rule without their own columns; the verdicts on hosts read two narrow columns
-    of that table. NULL and empty texts fail; a NULL host is a host.
+    of that table. NULL and empty texts fail; a NULL host is a host. Columns may have any names and types.
     """
-    measured = document_measures(docs, docs.columns, policy).drop("__m")
-    kept = [F.when(~F.col("__base"), F.col(f"`{c}`")).alias(c) for c in docs.columns]
-    judged = materialize(measured.select(*kept, "__host", "__base", "__failed"), "judged")
+    rows = docs.select(whole_row(docs).alias("__row"), "text", "source")
+    measured = document_measures(rows, ["__row"], policy).drop("__m")
+    judged = materialize(measured.select(F.when(~F.col("__base"), F.col("__row")).alias("__row"), "__host", "__base", "__failed"), "judged")
     hosts = host_verdicts(judged, policy).where("host_blocked").select(F.col("__host").alias("__h"))
     passed = judged.where(~F.col("__base")).join(hosts, F.col("__host").eqNullSafe(F.col("__h")), "left_anti")
-    return passed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return passed.select("__row.*")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

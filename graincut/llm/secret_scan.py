@@ -38,10 +38,14 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 #: A base assignment cannot match a text that has none of these in lower case.
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 CONTEXT_HINTS = (*ASSIGN_HINTS, "pwd", "passphrase", "passcode", "credential", "auth", "bearer", "private_key", "access_key", "login")
+#: A scheme word may stand before a value, after ``auth`` any of the usual ones.
+_SCHEME = r"(?(auth)(?:(?:bearer|basic|digest|token|negotiate)\x20+)?|(?:bearer\x20+)?)"
 #: Wider credential contexts, with any printable value; in quotes it may hold spaces and ends at the quote.
 CONTEXT = re.compile(
-    r"(?:password|passwd|passphrase|passcode|pwd|secret|token|api_?key|access_key|private_key|credentials?|auth(?:orization)?|bearer|login)"
-    r"""["']?(?:\x20*(?:[:=]|=>)\x20*(?:bearer\x20+)?|\x20+is\x20+(?=["']))(?:"([^"\x00-\x1f]+)"|'([^'\x00-\x1f]+)'|["']?([^"'\x00-\x20]+))""",
+    r"(?:password|passwd|passphrase|passcode|pwd|secret|token|api_?key|access_key|private_key|credentials?|(?P<auth>auth(?:orization)?)|bearer|login)"
+    r"""["']?(?:\x20*(?:[:=]|=>)\x20*"""
+    + _SCHEME
+    + r"""|\x20+is\x20+(?=["']))(?:"%(s)s(?P<a>[^"\x00-\x1f]+)"|'%(s)s(?P<b>[^'\x00-\x1f]+)'|["']?%(s)s(?P<c>[^"'\x00-\x20]+))""" % {"s": _SCHEME},
     re.I | re.A,
 )
 MIN_VALUE = 6
@@ -233,10 +237,15 @@ def base_spans(text: str) -> Iterator[tuple[int, int, int]]:
     yield from ((m.start(), 2, m.end()) for m in HEX.finditer(text))
 
 
-def is_prose(value: str, ranks: Mapping[str, int]) -> bool:
-    """True for several parts between spaces that are all dictionary words, numbers or signs."""
-    parts = [lower_letters(p).strip(EDGES) for p in value.split(" ")]
-    return len(parts) > 1 and all(not p or p in ranks or p.isdigit() for p in parts)
+def priced_part(value: str, ranks: Mapping[str, int]) -> str:
+    """What of a value must be guessed: of several parts between spaces those that are no dictionary words, put together.
+
+    So running text in quotes costs nothing, and digits in groups cost what they cost without spaces.
+    """
+    parts = value.split(" ")
+    if len(parts) == 1:
+        return value
+    return "".join([p for p in parts if lower_letters(p).strip(EDGES) not in ranks])
 
 
 def guessed_spans(text: str, ranks: Mapping[str, int] = WORD_RANK, min_cost: float = MIN_COST) -> Iterator[tuple[int, int, int]]:
@@ -245,10 +254,10 @@ def guessed_spans(text: str, ranks: Mapping[str, int] = WORD_RANK, min_cost: flo
     if not any(h in low for h in CONTEXT_HINTS):
         return
     for m in CONTEXT.finditer(text):
-        a, b = next(m.span(k) for k in (1, 2, 3) if m.start(k) >= 0)
-        while b > a and m.start(3) == a and text[b - 1] in ".,;:)]}>":
+        a, b = next(m.span(k) for k in "abc" if m.start(k) >= 0)
+        while b > a and m.start("c") == a and text[b - 1] in ".,;:)]}>":
             b -= 1
-        if b - a >= MIN_VALUE and not is_prose(text[a:b], ranks) and guess_cost(text[a:b], ranks, min_cost) >= min_cost:
+        if b - a >= MIN_VALUE and guess_cost(priced_part(text[a:b], ranks), ranks, min_cost) >= min_cost:
             yield a, 3, b
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table
+from .common import materialize, read_table, refuse_names, row_text, whole_row
 
 SHINGLE = 3
 SEED = 42
@@ -116,8 +116,9 @@ def near_duplicates(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     ``docs`` has doc_id and text. NULL and empty texts share fingerprint 0 and
     link like any other. A NULL doc_id counts in no minimum; a component of
-    such rows alone has a NULL id. Repeated rows get the same result each.
+    such rows alone has a NULL id. Repeated rows get the same result each. ``keep`` may not name results.
     """
+    refuse_names(keep, ["fp", "component_id"])
     kept = [F.col(f"`{c}`") for c in keep]
     marked = materialize(docs.select(*kept, F.col("doc_id").alias("__id"), fingerprint("text").alias("fp")), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("__id").alias("__least")), "distinct")
@@ -134,17 +135,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The columns of ``docs``: one document of each component, that of the least doc_id.
 
     Rows that share doc_id and component are cut to one by the order of their
-    hashes. Of a component without doc_ids the row with the least hash stays.
-    NULL and empty texts are one component, of which one row stays.
+    digests. Of a component without doc_ids the row with the least digest stays.
+    NULL and empty texts are one component, of which one row stays. Columns may have any names and types.
     """
-    names = [F.col(f"`{c}`") for c in docs.columns]
     # 128 bits that stand for a whole row; never NULL, so that join and cut share one shuffle.
-    keyed = docs.withColumns({"__row": F.xxhash64(*names), "__row2": F.xxhash64(F.lit("second"), *names)})
-    marked = near_duplicates(keyed, ["doc_id", "__row", "__row2"])
-    pick = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row"), F.col("__row2"))).alias("__p")
-    picked = marked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("__alone")).agg(pick)
-    picked = picked.select(F.col("__p.__row").alias("__row"), F.col("__p.__row2").alias("__row2"))
-    return keyed.join(picked, ["__row", "__row2"], "left_semi").dropDuplicates(["__row", "__row2"]).select(*names)
+    keyed = docs.select(whole_row(docs).alias("row"), "doc_id", "text", F.md5(row_text(docs)).alias("row_key"))
+    marked = near_duplicates(keyed, ["doc_id", "row_key"])
+    pick = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))).alias("p")
+    picked = marked.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("alone")).agg(pick)
+    return keyed.select("row", "row_key").join(picked.select("p.row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import read_table, refuse_names
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -241,8 +241,9 @@ def prefix_counts(docs: DataFrame, keep: list[str], limit: int = LIMIT, tokenize
     """``keep`` columns, n_tokens, limit_chars and deltas, a row per row of ``docs``.
 
     limit_chars: characters of the longest prefix of at most ``limit`` tokens.
-    deltas: see counts_at. A NULL text counts as an empty one: 0 tokens.
+    deltas: see counts_at. A NULL text counts as an empty one: 0 tokens. ``keep`` may not name results.
     """
+    refuse_names(keep, ["n_tokens", "limit_chars", "deltas"])
 
     @F.pandas_udf(COLUMNS)
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
