@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import read_table, refuse_names
 
@@ -135,10 +136,7 @@ def _rows(docs: DataFrame, keep: list[str], fields: list[tuple[str, pa.DataType]
     refuse_names(keep, [name for name, _ in [*RESULTS, *fields]])
     columns = [F.col(f"`{c}`") for c in keep]
     given = docs.select(*columns, F.col("doc_id").cast("string").alias("__id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("__text"))
-    kept_schema = docs.select(*columns).schema
-    schema = kept_schema
-    for name, kind in [*RESULTS, *fields]:
-        schema = schema.add(name, _SQL[kind])
+    schema = T.StructType([*docs.select(*columns).schema, *T.StructType.fromDDL(", ".join(f"{name} {_SQL[kind]}" for name, kind in [*RESULTS, *fields]))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
