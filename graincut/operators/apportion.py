@@ -11,6 +11,11 @@ from ..functions.text import order_key
 from ..sources.tables import settle
 
 
+#: Levels that one aggregate counts seats at, and seats that one window ranks.
+LEVELS = 24
+RANKED_SEATS = 10_000
+
+
 def same_keys(left: list[str], right: list[str]) -> Column:
     """Pairs of columns that are equal, NULL being a value; true without columns."""
     return reduce(lambda x, y: x & y, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right, strict=True)], F.lit(True))
@@ -39,24 +44,60 @@ def quantile_bins(groups: DataFrame, by: list[str], order: list[Column], bins: i
 def largest_remainder(weights: DataFrame, seats: int, key: str, weight: str, cap: str) -> DataFrame:
     """``key`` and quota: ``seats`` shared out by weight, at most ``cap`` each.
 
-    Seats beyond the floors go one by one to the largest residue, ties by larger
-    weight, then key. Every candidate seat is a row ordered by its residue. Raises
-    if caps or weights leave too few places.
+    Seats beyond the floors go one by one to the largest residue, ties by larger weight, then key; a
+    key that takes one goes on with a residue less by one. Raises if caps or weights leave too few places.
+
+    A key's seats stand at the residues r, r - 1, r - 2, ...: an aggregate over the keys counts the seats at and
+    above each of a row of levels, and the two levels around the last seat are divided again, until few seats lie
+    between them or no number does. Seats above are taken whole and those between are ranked, by ranges if they are
+    many. So a key is a row, however many seats it takes, and no task sorts all keys.
     """
-    every = Window.partitionBy(F.lit(0))
-    raw = F.col(weight).cast("double") * seats / F.sum(weight).over(every)
-    floors = weights.withColumn("__raw", raw).withColumn("__floor", F.least(F.floor("__raw"), F.col(cap)).cast("long"))
-    floors = floors.withColumn("__left", F.lit(seats) - F.sum("__floor").over(every)).withColumn("__room", F.sum(F.col(cap) - F.col("__floor")).over(every))
-    extra = floors.where(F.col("__floor") < F.least(F.col(cap), F.col("__floor") + F.col("__left"))).select(
-        key, weight, F.explode(F.sequence(F.col("__floor") + 1, F.least(F.col(cap).cast("long"), F.col("__floor") + F.col("__left")))).alias("__seat"), "__raw", "__left"
-    )
-    residue = F.col("__raw") - (F.col("__seat") - 1)
-    ranked = extra.withColumn("__k", F.row_number().over(Window.orderBy(residue.desc(), F.col(weight).desc(), F.col(key))))
-    won = ranked.where(F.col("__k") <= F.col("__left")).groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__won"))
-    enough = F.when(F.col("__room") < F.col("__left"), F.raise_error(F.lit("not enough capacity for the seats")).cast("long")).otherwise(F.lit(0))
-    return floors.join(won, F.col(key) == F.col("__key"), "left").select(
-        key, weight, (F.col("__floor") + F.coalesce("__won", F.lit(0)) + enough).cast("long").alias("quota")
-    )
+    whole = float(weights.agg(F.sum(weight)).first()[0] or 0)
+    raw = F.col(weight).cast("double") * seats / F.lit(whole) if whole else F.lit(0.0)
+    based = weights.withColumn("__raw", raw).withColumn("__floor", F.least(F.floor("__raw"), F.col(cap)).cast("long"))
+    floors = settle(based.select(key, weight, "__floor", (F.col(cap) - F.col("__floor")).cast("long").alias("__room"), (F.col("__raw") - F.col("__floor")).alias("__residue")), "floors")
+    sums = floors.agg(F.coalesce(F.sum("__floor"), F.lit(0)).alias("given"), F.coalesce(F.sum("__room"), F.lit(0)).alias("room"), F.max(F.when(F.col("__room") > 0, F.col("__residue"))).alias("high")).first()
+    left = seats - sums["given"]
+    if sums["room"] < left:
+        raise ValueError(f"not enough capacity for {left} of {seats} seats")
+    if left <= 0:
+        return floors.select(key, weight, F.col("__floor").alias("quota"))
+    at_or_above = lambda level: F.least(F.greatest(F.floor(F.col("__residue") - F.lit(level)) + 1, F.lit(0)), F.col("__room")).cast("long")
+    low, high, over_high = sums["high"] - left - 1.0, None, 0
+    top = sums["high"]
+    while True:
+        end = top if high is None else high
+        levels = sorted({low + (end - low) * k / LEVELS for k in range(LEVELS)} | ({end} if high is None else set()))
+        stand = floors.agg(*[F.sum(at_or_above(x)) for x in levels]).first()
+        last = max(k for k, n in enumerate(stand) if n >= left)
+        low, over_low = levels[last], stand[last]
+        if last + 1 < len(levels):
+            high, over_high = levels[last + 1], stand[last + 1]
+        if over_low - over_high <= RANKED_SEATS or len(levels) < 3:
+            break
+    first = at_or_above(high) if high is not None else F.lit(0).cast("long")
+    placed = floors.withColumns({"__first": first, "__past": at_or_above(low)})
+    step = F.explode(F.sequence("__first", F.col("__past") - 1)).alias("__step")
+    between = placed.where("__past > __first").select(F.col(key).alias("__key"), F.col(weight).alias("__w"), "__residue", step).select("__key", "__w", (F.col("__residue") - F.col("__step")).alias("__at"))
+    order = [F.col("__at").desc(), F.col("__w").desc(), F.col("__key")]
+    open_ = left - over_high
+    if over_low - over_high <= RANKED_SEATS:
+        picked = between.withColumn("__k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))).where(F.col("__k") <= open_)
+    else:
+        picked = first_rows(between, order, open_)
+    won = picked.groupBy("__key").agg(F.count(F.lit(1)).alias("__won"))
+    return placed.join(won, F.col(key) == F.col("__key"), "left").select(key, weight, (F.col("__floor") + F.col("__first") + F.coalesce("__won", F.lit(0))).cast("long").alias("quota"))
+
+
+def first_rows(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows in ``order``, ranked by ranges of it: no task gets more than its range."""
+    dealt = settle(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "first-rows")
+    counts = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__in"))
+    before = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    offsets = counts.select(F.col("__range").alias("__r"), F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    ranked = dealt.withColumn("__place", place).join(offsets, F.col("__range") == F.col("__r"))
+    return ranked.where(F.col("__before") + F.col("__place") <= n).select(*rows.columns)
 
 
 def stratified_sample(items: DataFrame, by: list[str], item: str, positive: Column, cap: int, seed: int, scope: Column) -> DataFrame:

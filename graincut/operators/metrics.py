@@ -3,9 +3,14 @@ n_annotations, n_first, n_second (annotations of the two classes)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import settle
+
 
 def share(part: Column, whole: Column) -> Column:
     """part / whole, 0 for an empty whole."""
@@ -77,27 +82,65 @@ def feature_counts(items: DataFrame, group: str, facet: str, bin_: str) -> DataF
 
 def macro_rates(groups: DataFrame, by: list[str]) -> DataFrame:
     """Mean, median, least and largest group rate, share of zero groups, and the pooled rate."""
+    groups = settle(groups, "rates")
     rate = F.col("positive_ratio")
-    return groups.groupBy(*by).agg(
+    rates = groups.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.avg(rate).alias("mean_rate"),
-        F.median(rate).alias("median_rate"),
         F.min(rate).alias("min_rate"),
         F.max(rate).alias("max_rate"),
         share(F.count(F.when(F.col("n_positive") == 0, 1)), F.count(F.lit(1))).alias("zero_share"),
         share(F.sum("n_positive"), F.sum("n_items")).alias("micro_rate"),
     )
+    middle = medians(groups, by, {"positive_ratio": "median_rate"})
+    return rates.join(middle.select(*[F.col(c).alias(f"__{c}") for c in by], "median_rate"), _same(by), "left").select(
+        *by, "n_groups", "mean_rate", "median_rate", "min_rate", "max_rate", "zero_share", "micro_rate"
+    )
 
 
-def nearest_rank(values: DataFrame, by: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
-    """Percentiles at the 0-based rank round((n - 1) * f), halves to even.
+def _same(by: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by], F.lit(True))
+
 
-    Equal values are counted first, so that the window sorts distinct values.
+def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """``by``, n and a column for each of ``ranks``: the value at that rank from 0, given the number of values that are not NULL.
+
+    Distinct values with their counts are dealt to tasks by ranges of ``by`` and value, however many a group has.
+    Range totals, a row per group and range, give every range the rank that it starts at; a range
+    whose ranks hold a wanted one is the only one that a window looks into. So no task
+    sorts a group, and none holds its values in memory. NULL keys are keys.
     """
     counts = values.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
-    total = Window.partitionBy(*by)
-    upto = total.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counts.withColumns({"__upto": F.sum("__n").over(upto), "__total": F.sum("__n").over(total)})
-    at = lambda f: F.rint((F.col("__total") - 1) * F.lit(f)).cast("long")
-    hit = lambda f: F.max(F.when((at(f) < F.col("__upto")) & (at(f) >= F.col("__upto") - F.col("__n")), F.col(value)))
-    return placed.groupBy(*by).agg(F.max("__total").alias("n"), *[hit(f).alias(name) for name, f in fractions.items()])
+    ranged = settle(counts.repartitionByRange(*by, value).withColumn("__range", F.spark_partition_id()), "value-ranges")
+    keys = [F.col(c).alias(f"__{c}") for c in by]
+    per_range = ranged.groupBy("__range", *keys).agg(F.sum("__n").alias("__in"))
+    group = Window.partitionBy(*[f"__{c}" for c in by]) if by else Window.partitionBy(F.lit(0))
+    earlier = group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    placed = per_range.select("*", F.coalesce(F.sum("__in").over(earlier), F.lit(0)).alias("__before"), F.sum("__in").over(group).alias("n"))
+    wanted = ranks(F.col("n"))
+    holds = reduce(lambda x, y: x | y, [(r >= F.col("__before")) & (r < F.col("__before") + F.col("__in")) for r in wanted.values()])
+    held = placed.where(holds).withColumnRenamed("__range", "__r")
+    near = ranged.join(held, (F.col("__range") == F.col("__r")) & _same(by))
+    upto = Window.partitionBy("__range", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = near.withColumn("__upto", F.col("__before") + F.sum("__n").over(upto))
+    hit = lambda r: F.max(F.when((r < F.col("__upto")) & (r >= F.col("__upto") - F.col("__n")), F.col(value)))
+    return here.groupBy(*by).agg(F.max("n").alias("n"), *[hit(r).alias(name) for name, r in wanted.items()])
+
+
+def nearest_rank(values: DataFrame, by: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
+    """Percentiles at the 0-based rank round((n - 1) * f), halves to even, see values_at_ranks."""
+    return values_at_ranks(values, by, value, lambda n: {name: F.rint((n - 1) * F.lit(f)).cast("long") for name, f in fractions.items()})
+
+
+def medians(values: DataFrame, by: list[str], names: dict[str, str]) -> DataFrame:
+    """``by`` and the median of each column of ``names`` under its name; of an even number the mean of the two middle values."""
+    out = None
+    for value, name in names.items():
+        pair = values_at_ranks(values, by, value, lambda n: {"__low": F.floor((n - 1) / 2).cast("long"), "__high": F.floor(n / 2).cast("long")})
+        own = pair.select(*by, ((F.col("__low") + F.col("__high")) / 2).alias(name))
+        if out is None:
+            out = own
+        else:
+            out = out.join(own.select(*[F.col(c).alias(f"__{c}") for c in by], name), _same(by), "full_outer")
+            out = out.select(*[F.coalesce(c, f"__{c}").alias(c) for c in by], *[n for n in names.values() if n in out.columns])
+    return out

@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .metrics import nearest_rank, share
+from ..sources.tables import settle
+from .apportion import same_keys
+from .metrics import medians, nearest_rank, share
 
 #: Ratios are summed as decimals, so that sums don't depend on the order of rows.
 EXACT = "decimal(28,12)"
@@ -107,9 +109,12 @@ def rate_bin_report(groups: DataFrame, quotas: DataFrame, bins: tuple[str, ...])
 def box_shapes(boxes: DataFrame, by: list[str]) -> DataFrame:
     """Per dataset: boxes, medians of width and height, nearest-rank percentiles of the aspect w / h (0 for flat boxes)."""
     aspect = F.when(F.col("h") > 0, F.round(F.col("w") / F.col("h"), 12)).otherwise(0.0)
-    middle = boxes.groupBy(*by).agg(F.count(F.lit(1)).alias("n_boxes"), F.median("w").alias("median_w"), F.median("h").alias("median_h"), F.median(aspect).alias("median_aspect"))
-    ranks = nearest_rank(boxes.withColumn("aspect", aspect), by, "aspect", {"aspect_p05": 0.05, "aspect_p95": 0.95})
-    return middle.join(ranks.drop("n"), by)
+    shaped = settle(boxes.select(*by, "w", "h", aspect.alias("aspect")), "boxes")
+    middle = medians(shaped, by, {"w": "median_w", "h": "median_h", "aspect": "median_aspect"})
+    ranks = nearest_rank(shaped, by, "aspect", {"aspect_p05": 0.05, "aspect_p95": 0.95})
+    # Boxes have sides, so both tables have a row for every dataset.
+    other = ranks.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("n").alias("n_boxes"), "aspect_p05", "aspect_p95")
+    return middle.join(other, same_keys(by, [f"__{c}" for c in by])).select(*by, "n_boxes", "median_w", "median_h", "median_aspect", "aspect_p05", "aspect_p95")
 
 
 def totals(tables: dict[str, tuple[DataFrame, Column]], by: str) -> DataFrame:
