@@ -84,20 +84,20 @@ def largest_remainder(weights: DataFrame, seats: int, key: str, weight: str, cap
     if over_low - over_high <= RANKED_SEATS:
         picked = between.withColumn("__k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))).where(F.col("__k") <= open_)
     else:
-        picked = first_rows(between, order, open_)
+        picked = numbered(between, order, "__k").where(F.col("__k") <= open_)
     won = picked.groupBy("__key").agg(F.count(F.lit(1)).alias("__won"))
     return placed.join(won, F.col(key) == F.col("__key"), "left").select(key, weight, (F.col("__floor") + F.col("__first") + F.coalesce("__won", F.lit(0))).cast("long").alias("quota"))
 
 
-def first_rows(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The first ``n`` rows in ``order``, ranked by ranges of it: no task gets more than its range."""
-    dealt = settle(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "first-rows")
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``rows`` with their place from 1 in ``order`` as ``name``, by ranges of the order: no task gets more than its range."""
+    dealt = settle(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "numbered")
     counts = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__in"))
     before = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     offsets = counts.select(F.col("__range").alias("__r"), F.coalesce(F.sum("__in").over(before), F.lit(0)).alias("__before"))
     place = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
     ranked = dealt.withColumn("__place", place).join(offsets, F.col("__range") == F.col("__r"))
-    return ranked.where(F.col("__before") + F.col("__place") <= n).select(*rows.columns)
+    return ranked.select(*rows.columns, (F.col("__before") + F.col("__place")).cast("long").alias(name))
 
 
 def stratified_sample(items: DataFrame, by: list[str], item: str, positive: Column, cap: int, seed: int, scope: Column) -> DataFrame:

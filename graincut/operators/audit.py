@@ -97,6 +97,32 @@ def density_guard(items: DataFrame, split: str, limit: float = 0.20) -> DataFram
     )
 
 
+def fold_deviations(items: DataFrame, role: str, fold: str) -> DataFrame:
+    """By fold: items, density and its deviation from that of all development items, positive rate and its gap, gap of the share of items from an equal one."""
+    developed = items.where(F.col(role) == "development")
+    whole = core_metrics(developed, []).select(F.col("n_items").alias("n"), F.col("density").alias("d"), F.col("positive_ratio").alias("p"))
+    folds = developed.agg(F.count_distinct(fold).alias("k"))
+    own = core_metrics(developed.withColumn("split", F.concat(F.lit("fold_"), F.col(fold).cast("string"))), ["split"])
+    deviation = F.coalesce(F.try_divide(F.col("density"), F.col("d")) - 1, F.lit(0.0))
+    return own.join(whole.join(folds)).select(  # a row each
+        "split", "n_items", "density", deviation.alias("deviation"), "positive_ratio", (F.col("positive_ratio") - F.col("p")).alias("rate_gap"),
+        (share(F.col("n_items"), F.col("n")) - F.try_divide(F.lit(1.0), F.col("k"))).alias("share_gap"),
+    )
+
+
+def deviation_summary(items: DataFrame, role: str, fold: str, limit: float = 0.20) -> DataFrame:
+    """One row: largest deviations of the folds, PASS or FAIL by that of density, and density and rate of test items by those of development items; NULL for an empty side."""
+    worst = fold_deviations(items, role, fold).agg(
+        F.max(F.abs("deviation")).alias("worst_deviation"), F.max(F.abs("rate_gap")).alias("rate_spread"), F.max(F.abs("share_gap")).alias("share_spread")
+    )
+    side = lambda r, x: core_metrics(items.where(F.col(role) == r), []).select(F.col("density").alias(f"d_{x}"), F.col("positive_ratio").alias(f"p_{x}"))
+    both = worst.join(side("test", "t")).join(side("development", "d"))  # a row each
+    verdict = F.when(F.col("worst_deviation") > limit + EDGE, "FAIL").otherwise("PASS")
+    return both.select(
+        "worst_deviation", verdict.alias("verdict"), "rate_spread", "share_spread", F.try_divide("d_t", "d_d").alias("test_density_ratio"), F.try_divide("p_t", "p_d").alias("test_rate_ratio")
+    )
+
+
 def findings(table: DataFrame, code: str, when: Column, subject: Column, observed: Column, threshold: str) -> DataFrame:
     """Rows (code, subject, observed, threshold) where ``when`` holds."""
     return table.where(when).select(

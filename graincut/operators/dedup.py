@@ -14,6 +14,17 @@ def label_signature(*parts: Column) -> Column:
     return F.sha2(F.to_json(F.struct(*[p.alias(f"p{k}") for k, p in enumerate(parts)]), {"ignoreNullFields": "false"}), 256)
 
 
+def record_signature(targets: Column, is_normal: Column, extent: Column) -> Column:
+    """Digest of a record's labels (see records.targets), its normal flag and the ``extent`` that rules it, NULL if none does.
+
+    Targets count as (class, points) in the order of their JSON texts, so records that list them in another order are equal;
+    a repeated target counts as often as it stands, one of unknown class not at all.
+    """
+    known = F.filter(targets, lambda t: t["class"].isNotNull())
+    items = F.array_sort(F.transform(known, lambda t: F.to_json(F.struct(t["class"].alias("class"), t["points"].alias("points")), {"ignoreNullFields": "false"})))
+    return label_signature(items, is_normal, extent)
+
+
 def resolve_duplicates(items: DataFrame, content_hash: str, group: list[str], signature: str, order: list[str]) -> DataFrame:
     """``items`` with action, n_copies and dup_group.
 

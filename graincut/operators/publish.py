@@ -26,8 +26,12 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
 
 
 def write_report(df: DataFrame, path: str, order: list) -> None:
-    """A small report as one ordered CSV file; refuses to overwrite."""
-    df.orderBy(*order).coalesce(1).write.mode("errorifexists").csv(path, header=True)
+    """A report of any size as ordered CSV files, each with a header; refuses to overwrite.
+
+    Rows are sorted by ranges of ``order``: the files, in the order of their numbers, hold the whole order, and no
+    task more than its range. A small report is one file.
+    """
+    df.orderBy(*order).write.mode("errorifexists").csv(path, header=True)
 
 
 # Leading columns of each report's order. Every order ends with all columns as text.

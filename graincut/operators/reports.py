@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import rate_bin
 from ..sources.tables import settle
 from .apportion import same_keys
 from .metrics import medians, nearest_rank, share
@@ -76,6 +77,32 @@ def group_scan(items: DataFrame, by: list[str], valid: Column, eligible: Column,
     return rows
 
 
+def preservation(items: DataFrame, groups: DataFrame, key: list[str]) -> DataFrame:
+    """Per group of the valid ``items``: those discovered, eligible and excluded, whether any is left, and the role and fold
+    that ``groups`` (key, role, fold) gives it; preserved: it has one. A NULL eligible is not eligible."""
+    ok = F.coalesce(F.col("eligible"), F.lit(False))
+    n = lambda c: F.count(F.when(c, 1))
+    found = items.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n_discovered"), n(ok).alias("n_eligible"), n(~ok).alias("n_excluded"), share(n(~ok), F.count(F.lit(1))).alias("excluded_ratio"),
+        share(F.coalesce(F.sum(F.when(ok, F.col("n_annotations"))), F.lit(0)), n(ok)).alias("density"), (n(ok) == 0).alias("emptied"),
+    )
+    return found.join(groups.select(*key, F.lit(True).alias("preserved"), "role", "fold"), key, "left").withColumn("preserved", F.coalesce("preserved", F.lit(False)))
+
+
+def selected_groups(items: DataFrame, groups: DataFrame, key: list[str], segment: str, facets: list[str]) -> DataFrame:
+    """Per assigned group: role, fold, segment, valid and ``selected`` items, by facet, and the ratios, class flags and, of kind A, the
+    rate bin of the selected ones; zeros and false where none is selected."""
+    sel = F.coalesce(F.col("selected"), F.lit(False))
+    n = lambda c: F.count(F.when(c, 1))
+    some = lambda c: F.coalesce(F.bool_or(F.when(sel, F.col(c) > 0)), F.lit(False))
+    own = items.groupBy(*key).agg(
+        F.min(segment).alias("segment"), F.count(F.lit(1)).alias("n_valid"), n(sel).alias("n_selected"), *[n(sel & (F.col("facet") == f)).alias(f"n_facet_{f.lower()}") for f in facets],
+        share(n(sel & (F.col("n_annotations") > 0)), n(sel)).alias("positive_ratio"), share(F.coalesce(F.sum(F.when(sel, F.col("n_annotations"))), F.lit(0)), n(sel)).alias("density"),
+        some("n_first").alias("has_first"), some("n_second").alias("has_second"),
+    )
+    return own.join(groups.select(*key, "role", "fold"), key).withColumn("rate_bin", F.when(F.col("kind") == "A", rate_bin("positive_ratio")))
+
+
 def rate_bin_report(groups: DataFrame, quotas: DataFrame, bins: tuple[str, ...]) -> DataFrame:
     """By scope (overall, test, each fold) and bin: groups available, wanted, tested, developed.
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records
-from ..operators import approve, audit, dedup, publish, reports, rules
-from ..sources.tables import read_table
+from ..operators import apportion, approve, audit, dedup, publish, reports, rules
+from ..sources.tables import parse_json, read_table
 from . import bindings as b
 from . import queries as q
 from . import record_queries as r
@@ -142,5 +142,69 @@ SELECT *, row_number() OVER (ORDER BY kind, group_id) AS position FROM g""")
 def report_positions(spark, sf):
     """Places of a report's rows; the report has a row per kind and region."""
     report = b.orders_as_items(spark, sf).groupBy("kind", F.col("region_id").alias("group_id")).agg(F.count(F.lit(1)).alias("n_items"))
-    place = F.row_number().over(Window.orderBy(*publish.report_order("groups", report.columns)))
-    return report.withColumn("position", place.cast("long"))
+    return apportion.numbered(report, publish.report_order("groups", report.columns), "position")
+
+
+# Every order as two records of one picture: the second lists its targets the other way round, has another point for
+# one order in five, and belongs to another group for one in seven.
+@query("""WITH o AS (SELECT DISTINCT l_orderkey AS o FROM lineitem), c AS (SELECT o, unnest([0, 1]) AS copy FROM o)
+SELECT o * 2 + copy AS record_id, 2::BIGINT AS n_copies, CASE WHEN o % 7 = 0 THEN 'cross_group' WHEN o % 5 = 0 THEN 'label_conflict' WHEN copy = 0 THEN 'representative' ELSE 'duplicate' END AS action FROM c""")
+def label_conflicts(spark, sf):
+    """Duplicates by picture, with signatures over the targets of JSON payloads."""
+    mark = lambda shift: F.concat(F.lit('{"name":"damage","points":[['), F.col("l_quantity").cast("int").cast("string"), F.lit(",1],["), F.col("l_linenumber").cast("string"), F.lit(",9],[30,"), F.lit(str(shift)), F.lit("]]}"))
+    each = F.struct("l_linenumber", "l_partkey", mark(20).alias("same"), mark(21).alias("moved"))
+    lines = read_table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o")).agg(F.array_sort(F.collect_list(each)).alias("x"))
+    copies = lines.select("o", "x", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    second = F.reverse(F.transform("x", lambda t: F.when((F.col("o") % 5 == 0) & (t == F.get("x", F.lit(0))), t["moved"]).otherwise(t["same"])))
+    marks = F.when(F.col("copy") == 0, F.transform("x", lambda t: t["same"])).otherwise(second)
+    body = F.concat(F.lit('{"image_info":{"is_normal":false},"defects":['), F.array_join(marks, ","), F.lit("]}"))
+    parsed = copies.select("o", "copy", parse_json(body).alias("v"))
+    found = parsed.select((F.col("o") * 2 + F.col("copy")).alias("record_id"), F.col("o").cast("string").alias("picture"), F.when((F.col("copy") == 1) & (F.col("o") % 7 == 0), "x").otherwise("g").alias("g"), records.defects(F.col("v")).alias("d"), F.try_variant_get("v", "$.image_info.is_normal", "boolean").alias("normal"))
+    signed = found.select("record_id", F.sha1("picture").alias("picture"), "g", dedup.record_signature(records.targets(F.col("d"), F.lit("B")), F.col("normal"), F.lit(None).cast("string")).alias("signature"))
+    return dedup.resolve_duplicates(signed, "picture", ["g"], "signature", ["record_id"]).select("record_id", "n_copies", "action")
+
+
+def _role_groups(spark, sf) -> DataFrame:
+    """Some groups of kind A, with role and fold."""
+    groups = b.orders_as_items(spark, sf).where("kind = 'A' and group_id % 3 <> 0").select("kind", "group_id").distinct()
+    tested = F.col("group_id") % 5 == 0
+    return groups.select("kind", "group_id", F.when(tested, "test").otherwise("development").alias("role"), F.when(~tested, F.col("group_id") % 4).cast("int").alias("fold"))
+
+
+_ROLE_SQL = """, picked AS (SELECT DISTINCT kind, group_id, CASE WHEN group_id % 5 = 0 THEN 'test' ELSE 'development' END AS role, CASE WHEN group_id % 5 <> 0 THEN group_id % 4 END::INTEGER AS fold FROM items WHERE kind = 'A' AND group_id % 3 <> 0)"""
+
+
+@query(b.ITEMS_SQL + _ROLE_SQL + """, g AS (SELECT group_id, count(*) AS n_discovered, count(*) FILTER (eligible) AS n_eligible, count(*) FILTER (NOT eligible) AS n_excluded, count(*) FILTER (NOT eligible) / count(*) AS excluded_ratio,
+  coalesce(sum(n_annotations) FILTER (eligible) / nullif(count(*) FILTER (eligible), 0), 0) AS density, count(*) FILTER (eligible) = 0 AS emptied FROM ruled WHERE kind = 'A' GROUP BY 1)
+SELECT g.*, role IS NOT NULL AS preserved, role, fold FROM g LEFT JOIN picked USING (group_id)""")
+def preservation_audit(spark, sf):
+    return reports.preservation(b.ruled_items(spark, sf).where("kind = 'A'"), _role_groups(spark, sf), ["group_id"])
+
+
+@query(b.ITEMS_SQL + _ROLE_SQL + f""", chosen AS (SELECT *, eligible AND item_id % 3 <> 1 AS sel FROM ruled),
+g AS (SELECT kind, group_id, role, fold, min(segment) AS segment, count(*) AS n_valid, count(*) FILTER (sel) AS n_selected, count(*) FILTER (sel AND facet = 'F') AS n_facet_f, count(*) FILTER (sel AND facet = 'O') AS n_facet_o,
+  count(*) FILTER (sel AND facet = 'P') AS n_facet_p, coalesce(count(*) FILTER (sel AND n_annotations > 0) / nullif(count(*) FILTER (sel), 0), 0) AS positive_ratio,
+  coalesce(sum(n_annotations) FILTER (sel) / nullif(count(*) FILTER (sel), 0), 0) AS density, coalesce(bool_or(n_first > 0) FILTER (sel), false) AS has_first, coalesce(bool_or(n_second > 0) FILTER (sel), false) AS has_second
+  FROM chosen JOIN picked USING (kind, group_id) GROUP BY ALL)
+SELECT *, CASE WHEN kind = 'A' THEN {b.RATE_BIN_SQL} END AS rate_bin FROM g""")
+def selected_groups(spark, sf):
+    items = b.ruled_items(spark, sf).withColumn("selected", F.col("eligible") & (F.col("item_id") % 3 != 1))
+    return reports.selected_groups(items, _role_groups(spark, sf), ["kind", "group_id"], "segment", b.FACETS)
+
+
+_DEVIATION_SQL = b.ITEMS_SQL + _ROLE_SQL + """, i AS (SELECT coalesce('fold_' || fold, role) AS split, role, n_annotations FROM ruled JOIN picked USING (kind, group_id) WHERE eligible),
+d AS (SELECT count(*) AS n, sum(n_annotations) / count(*) AS density, count(*) FILTER (n_annotations > 0) / count(*) AS rate, count(DISTINCT split) AS k FROM i WHERE role = 'development'),
+s AS (SELECT split, role, count(*) AS n_items, sum(n_annotations) / count(*) AS density, count(*) FILTER (n_annotations > 0) / count(*) AS positive_ratio FROM i GROUP BY 1, 2)"""
+
+
+@query(_DEVIATION_SQL + """ SELECT split, n_items, s.density, s.density / d.density - 1 AS deviation, positive_ratio, positive_ratio - rate AS rate_gap, n_items / n - 1.0 / k AS share_gap FROM s, d WHERE role = 'development'""")
+def replay_deviations(spark, sf):
+    items = b.ruled_items(spark, sf).where("eligible").join(_role_groups(spark, sf), ["kind", "group_id"])
+    return audit.fold_deviations(items, "role", "fold")
+
+
+@query(_DEVIATION_SQL + """, w AS (SELECT max(abs(s.density / d.density - 1)) AS worst_deviation, max(abs(positive_ratio - rate)) AS rate_spread, max(abs(n_items / n - 1.0 / k)) AS share_spread FROM s, d WHERE role = 'development')
+SELECT worst_deviation, CASE WHEN worst_deviation > 0.2 + 1e-12 THEN 'FAIL' ELSE 'PASS' END AS verdict, rate_spread, share_spread, t.density / d.density AS test_density_ratio, t.positive_ratio / d.rate AS test_rate_ratio FROM w, d, s t WHERE t.role = 'test'""")
+def replay_summary(spark, sf):
+    items = b.ruled_items(spark, sf).where("eligible").join(_role_groups(spark, sf), ["kind", "group_id"])
+    return audit.deviation_summary(items, "role", "fold")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from ..functions.digests import tree_digest
 # Suffixes of the files that are listed.
 IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png", ".bmp", ".tif", ".tiff")
 JSON_SUFFIX = ".json"
+PIXEL_BYTES = 1 << 20  # that are widened and hashed at once
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,19 +59,39 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     ).where("role is not null")
 
 
+def file_digests(spark: SparkSession, root: str) -> DataFrame:
+    """path, relative path, length and sha256 of the bytes of every file under ``root`` that is not empty; the same at a source and
+    at its sink tells whether a copy holds. Spark leaves empty files out of its listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    plain = root.rstrip("/").split("://")[-1]
+    return files.select("path", F.substring_index("path", plain + "/", -1).alias("relative"), "length", F.sha2("content", 256).alias("sha256"))
+
+
 def image_metadata(spark: SparkSession, root: str) -> DataFrame:
     """path, width, height, content_hash, corrupt. One-channel pixels are widened to three
     before hashing, so a grey and a colour file of the same picture are equal."""
     images = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(root)
     size = F.concat_ws("x", F.col("image.width").cast("string"), F.col("image.height").cast("string"))
-    pixels = F.hex("image.data")
-    wide = F.when(F.col("image.nChannels") == 1, F.regexp_replace(pixels, "(..)", "$1$1$1")).otherwise(pixels)
+
+    @F.pandas_udf("string")
+    def pixel_digest(sizes: pd.Series, channels: pd.Series, data: pd.Series) -> pd.Series:
+        def one(size: str | None, n: int, pixels: bytes | None) -> str | None:
+            if size is None or pixels is None:
+                return None
+            digest = hashlib.sha1(f"{size}|".encode())
+            for k in range(0, len(pixels), PIXEL_BYTES):
+                part = pixels[k : k + PIXEL_BYTES]
+                digest.update(np.repeat(np.frombuffer(part, np.uint8), 3).tobytes() if n == 1 else part)
+            return digest.hexdigest()
+
+        return pd.Series([one(*x) for x in zip(sizes, channels, data, strict=True)], dtype=object)
+
     corrupt = F.col("image.width") < 0
     return images.select(
         F.col("image.origin").alias("path"),
         F.when(~corrupt, F.col("image.width")).alias("width"),
         F.when(~corrupt, F.col("image.height")).alias("height"),
-        F.when(~corrupt, F.sha1(F.concat_ws("|", size, wide))).alias("content_hash"),
+        pixel_digest(F.when(~corrupt, size), F.coalesce("image.nChannels", F.lit(0)), "image.data").alias("content_hash"),
         corrupt.alias("corrupt"),
     )
 
