@@ -189,8 +189,9 @@ def refine_density(
     ``moving_target`` as each swap makes it. Locked splits give and take no groups, but count for
     the spread of positive rates, which a swap may widen by ``guard`` at most. With ``stratum``, only
     groups of one stratum are swapped. ``f`` may be a map from split to counts, where a group's
-    items depend on its split. A table of groups, not of items: candidates are pairs of a group of
-    the worst split with one of another split (of all pairs, with a moving target).
+    items depend on its split; no such map is compared. Candidates are pairs of a class of groups with equal counts in
+    the worst split with one in another split (of all pairs, with a moving target), so their number
+    follows the distinct counts, not the groups; with maps each group is a class. Ties go to the first ids as text.
     """
     mapped = isinstance(groups.schema["f"].dataType, T.MapType)
     counts = (lambda f, split: F.element_at(f, split)) if mapped else (lambda f, split: f)
@@ -222,6 +223,10 @@ def refine_density(
             break
         side = lambda s: [F.col("group_id").alias(f"{s}_id"), F.col("split").alias(f"{s}_split"), F.col("f").alias(f"{s}_f"), *([F.col(stratum).alias(f"{s}_s")] if stratum else [])]
         swappable = now.where(F.col("split").isin(free))
+        if not mapped:
+            # Groups of one split with equal counts (and stratum) swap alike: the one whose id comes first stands for them.
+            same = [F.slice("f", 1, HEAD).alias("f"), *([F.col(stratum)] if stratum else [])]
+            swappable = swappable.groupBy("split", *same).agg(F.min_by("group_id", F.col("group_id").cast("string")).alias("group_id"))
         pairing = F.col("l_split") < F.col("r_split")
         if not moving_target:  # a swap between other splits leaves the worst one as it is
             pairing = pairing & F.lit(max(off, key=off.get)).isin(F.col("l_split"), F.col("r_split"))
@@ -240,7 +245,7 @@ def refine_density(
         rates = F.greatest(*[F.abs(share(after[x][1], after[x][0]) - rate) for x in sums])
         scored = pairs.select("l_id", "r_id", "l_split", "r_split", F.round(offs, ROUND).alias("o"), rates.alias("g"))
         row = scored.where((F.col("g") <= spread + guard + 1e-12) & (F.col("o") < worst - 1e-12)).agg(
-            F.min_by(F.struct("*"), F.struct("o", "l_id", "r_id")).alias("b")
+            F.min_by(F.struct("*"), F.struct("o", F.col("l_id").cast("string"), F.col("r_id").cast("string"))).alias("b")
         ).first()["b"]
         if row is None:
             break

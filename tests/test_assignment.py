@@ -131,3 +131,14 @@ def test_one_assignment_of_both_kinds(spark):
     changed = found.withColumn("fold", F.when(F.col("fold") == 3, 4).otherwise(F.col("fold"))).where("group_id <> 5 or kind <> 'A'")
     diff = {(r.kind, r.group_id, r.change) for r in dataset.replay(changed, found).collect()}
     assert diff == {(k, g, "added" if g == 5 else "changed") for k, g, _, fold in rows if k == "A" and (fold == 3 or g == 5)}
+
+
+def test_swaps_follow_distinct_counts_not_groups(spark):
+    """60,000 groups of a few hundred distinct counts: pairs of groups would be a billion."""
+    k = F.col("id")
+    f = F.array((50 + k % 10).cast("long"), (20 + k % 3).cast("long"), F.when(k % 2 == 0, 90 + k % 7).otherwise(20 + k % 5).cast("long"))
+    groups = spark.range(60_000).select(k.alias("group_id"), F.concat(F.lit("s"), (k % 2).cast("string")).alias("split"), f.alias("f"))
+    after = assign.refine_density(groups, rounds=2)
+    assert after.count() == 60_000 and {r["count"] for r in after.groupBy("split").count().collect()} == {30_000}
+    moved = after.join(groups.withColumnRenamed("split", "was"), "group_id").where("split <> was").count()
+    assert moved == 4
