@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Class names and their aliases by kind, outlines (never a class), segment aliases.
+# Class names and their aliases by kind, outlines (never a class).
 CLASS_ALIASES = {
     ("A", "porosity"): "Porosity",
     ("B", "damaged"): "Damaged",
