@@ -27,8 +27,8 @@ TEST_WEIGHTS = (3.0, 1.0, 6.0, 6.0, 20.0)
 FOLD_WEIGHTS = (12.0, 8.0, 4.0, 3.0, 1.0, 2.0)
 HEAD = 3  # items, positives, annotations
 ROUND = 12  # digits that objectives are compared at, so that ties are ties
-#: Groups whose counts the fold search holds in each task.
-MAX_FOLD_GROUPS = 100_000
+#: Groups that a task of the fold search reads, all its restarts together.
+FOLD_ROWS = 200_000
 
 
 def group_features(items: DataFrame, facets: list[str], bins: list[str]) -> DataFrame:
@@ -127,55 +127,91 @@ def check_locked_test(groups: DataFrame, locked: DataFrame, quotas: DataFrame) -
     return missing.unionByName(off.select(F.lit("quota").alias("code"), F.col("bin").alias("subject")))
 
 
-def _restart_folds(ids: np.ndarray, f: np.ndarray, folds: int, n_facets: int, seed: int):
-    total = f.sum(axis=0)
-    target = total / folds
-    n_bins = _n_bins(f.shape[1], n_facets)
-    weight = np.repeat(FOLD_WEIGHTS[3:], [n_facets, n_bins, n_facets * n_bins])
-    rate, density = (total[k] / max(total[0], 1) for k in (1, 2))
-
-    def score(s: np.ndarray) -> np.ndarray:
-        n = np.maximum(s[..., 0], 1)
-        return (
-            FOLD_WEIGHTS[0] * ((s[..., 0] - target[0]) / max(target[0], 1)) ** 2
-            + FOLD_WEIGHTS[1] * ((s[..., 1] / n - rate) / max(rate, 0.01)) ** 2
-            + FOLD_WEIGHTS[2] * ((s[..., 2] / n - density) / max(density, 0.01)) ** 2
-            + (weight * ((s[..., HEAD:] - target[HEAD:]) / np.maximum(target[HEAD:], 1)) ** 2).sum(axis=-1)
-        )
+class _Folds:
+    """Folds filled by groups as they come: the state is a fold's sums, its number of groups and its score."""
+
+    def __init__(self, total: list[int], n_groups: int, folds: int, n_facets: int) -> None:
+        self.total = np.array(total, dtype=float)
+        self.target = self.total / folds
+        self.room = n_groups // folds
+        n_bins = _n_bins(len(total), n_facets)
+        self.weight = np.repeat(FOLD_WEIGHTS[3:], [n_facets, n_bins, n_facets * n_bins])
+        self.sums, self.sizes = np.zeros((folds, len(total))), np.zeros(folds, int)
+        self.scores = self.score(self.sums)
+
+    def score(self, s: np.ndarray) -> np.ndarray:
+        target, n = self.target, np.maximum(s[:, 0], 1)
+        value = FOLD_WEIGHTS[0] * ((s[:, 0] - target[0]) / max(target[0], 1)) ** 2
+        for k in (1, 2):
+            rate = self.total[k] / max(self.total[0], 1)
+            value = value + FOLD_WEIGHTS[k] * ((s[:, k] / n - rate) / max(rate, 0.01)) ** 2
+        return value + (self.weight * ((s[:, HEAD:] - target[HEAD:]) / np.maximum(target[HEAD:], 1)) ** 2).sum(axis=-1)
+
+    def place(self, f: np.ndarray) -> int:
+        """The open fold that f raises least; ties to fewer groups, then to the first fold."""
+        after = self.score(self.sums + f)
+        gain = np.round(after - self.scores, ROUND)
+        best = min((j for j in range(len(gain)) if self.sizes[j] < self.room), key=lambda j: (gain[j], self.sizes[j], j))
+        self.sums[best] += f
+        self.sizes[best] += 1
+        self.scores[best] = after[best]
+        return best
+
+
+def _restart_scores(*shape):
+    """Score of each restart from its groups in order; restarts come one after another."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        import hashlib
+        restart, state = None, None
+        done = lambda: pd.DataFrame({"restart": [restart], "score": [float(np.round(state.scores.sum(), ROUND))]})
+        for batch in batches:
+            for k, f in zip(batch["restart"], np.array(batch["f"].tolist(), dtype=float), strict=True):
+                if k != restart:
+                    if state is not None:
+                        yield done()
+                    restart, state = k, _Folds(*shape)
+                state.place(f)
+        if state is not None:
+            yield done()
+
+    return run
 
+
+def _fold_of_groups(*shape):
+    def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        state = _Folds(*shape)
         for batch in batches:
-            rows = []
-            for restart in batch["id"]:
-                key = lambda k: hashlib.sha1(f"{seed}|restart:{restart}|{ids[k]}".encode()).hexdigest()
-                order = sorted(range(len(ids)), key=lambda k: (-f[k, 0], key(k), ids[k]))
-                sums, sizes, fold = np.zeros((folds, f.shape[1])), np.zeros(folds, int), np.zeros(len(ids), int)
-                for k in order:
-                    gain = np.round(score(sums + f[k]) - score(sums), ROUND)
-                    gain[sizes * folds >= len(ids)] = np.inf
-                    best = min(range(folds), key=lambda j: (gain[j], sizes[j], j))
-                    sums[best] += f[k]
-                    sizes[best] += 1
-                    fold[k] = best
-                rows.append((int(restart), float(np.round(score(sums).sum(), ROUND)), fold.tolist()))
-            yield pd.DataFrame(rows, columns=["restart", "score", "folds"])
+            yield pd.DataFrame({"group_id": batch["group_id"], "fold": [state.place(f) for f in np.array(batch["f"].tolist(), dtype=float)]})
 
     return run
 
 
 def choose_folds(groups: DataFrame, folds: int, n_facets: int, seed: int, restarts: int = 500) -> DataFrame:
-    """group_id and fold: equal numbers of groups per fold, the best of many greedy
-    restarts, which run in parallel. Raises if groups don't divide by folds."""
-    spark = groups.sparkSession
-    rows = groups.select("group_id", "f").orderBy("group_id").limit(MAX_FOLD_GROUPS + 1).collect()
-    if len(rows) > MAX_FOLD_GROUPS or len(rows) % folds:
-        raise ValueError(f"{len(rows)} groups do not divide into {folds} folds, or are too many")
-    ids, f = np.array([r["group_id"] for r in rows]), np.array([r["f"] for r in rows], dtype=float)
-    runs = spark.range(0, restarts, 1, 16).mapInPandas(_restart_folds(ids, f, folds, n_facets, seed), "restart long, score double, folds array<int>")
-    best = runs.agg(F.min_by("folds", F.struct("score", "restart")).alias("folds")).first()["folds"] if rows else []
-    return spark.createDataFrame([(int(i), int(k)) for i, k in zip(ids, best, strict=True)], "group_id long, fold int")
+    """group_id and fold: equal numbers of groups per fold, the best of many greedy restarts. Raises
+    if groups don't divide by folds; without groups there are no rows.
+
+    Each restart is a stream of all groups, largest first, ties in its own seeded order. Spark deals the
+    streams to tasks by restart and sorts them, spilling where needed; a task holds the sums of the
+    folds alone, so any number of groups and any type of id will do. The best restart then runs once
+    more to name the folds: one sorted stream, as each group's fold depends on all before it.
+    """
+    groups = settle(groups.select("group_id", "f"), "fold-groups")
+    total = [r["s"] for r in groups.select(F.posexplode("f")).groupBy("pos").agg(F.sum("col").alias("s")).orderBy("pos").collect()]
+    n = groups.count()
+    if n % folds:
+        raise ValueError(f"{n} groups do not divide into {folds} folds")
+    result = T.StructType([groups.schema["group_id"], T.StructField("fold", T.IntegerType())])
+    if not n:
+        return groups.sparkSession.createDataFrame([], result)
+    shape = (total, n, folds, n_facets)
+    in_order = lambda df: df.sortWithinPartitions(
+        "restart", F.desc(F.col("f")[0]), order_key(seed, F.concat(F.lit("restart:"), F.col("restart").cast("string")), "group_id"), "group_id"
+    ).select("restart", "group_id", "f")
+    tasks = min(restarts, max(16, n * restarts // FOLD_ROWS))
+    streams = groups.select("group_id", "f", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart")).repartition(tasks, "restart")
+    best = in_order(streams).mapInPandas(_restart_scores(*shape), "restart long, score double").agg(F.min_by("restart", F.struct("score", "restart"))).first()[0]
+    one = in_order(groups.withColumn("restart", F.lit(best)).repartition(1))
+    return settle(one.mapInPandas(_fold_of_groups(*shape), result), "folds")
 
 
 def refine_density(
@@ -189,9 +225,9 @@ def refine_density(
     ``moving_target`` as each swap makes it. Locked splits give and take no groups, but count for
     the spread of positive rates, which a swap may widen by ``guard`` at most. With ``stratum``, only
     groups of one stratum are swapped. ``f`` may be a map from split to counts, where a group's
-    items depend on its split; no such map is compared. Candidates are pairs of a class of groups with equal counts in
+    items depend on its split. Candidates are pairs of a class of groups with equal counts (in every split, with maps) in
     the worst split with one in another split (of all pairs, with a moving target), so their number
-    follows the distinct counts, not the groups; with maps each group is a class. Ties go to the first ids as text.
+    follows the distinct counts, not the groups. Ties go to the first ids as text.
     """
     mapped = isinstance(groups.schema["f"].dataType, T.MapType)
     counts = (lambda f, split: F.element_at(f, split)) if mapped else (lambda f, split: f)
@@ -223,10 +259,11 @@ def refine_density(
             break
         side = lambda s: [F.col("group_id").alias(f"{s}_id"), F.col("split").alias(f"{s}_split"), F.col("f").alias(f"{s}_f"), *([F.col(stratum).alias(f"{s}_s")] if stratum else [])]
         swappable = now.where(F.col("split").isin(free))
-        if not mapped:
-            # Groups of one split with equal counts (and stratum) swap alike: the one whose id comes first stands for them.
-            same = [F.slice("f", 1, HEAD).alias("f"), *([F.col(stratum)] if stratum else [])]
-            swappable = swappable.groupBy("split", *same).agg(F.min_by("group_id", F.col("group_id").cast("string")).alias("group_id"))
+        # Groups of one split with equal counts (and stratum) swap alike: the one whose id comes first stands for them.
+        # Maps can't be grouped by: their counts stand in a row, split by split.
+        head = F.array(*[F.slice(F.try_element_at("f", F.lit(name)), 1, HEAD) for name in sums]) if mapped else F.slice("f", 1, HEAD)
+        same = [head.alias("f"), *([F.col(stratum)] if stratum else [])]
+        swappable = swappable.groupBy("split", *same).agg(F.min_by("group_id", F.col("group_id").cast("string")).alias("group_id"))
         pairing = F.col("l_split") < F.col("r_split")
         if not moving_target:  # a swap between other splits leaves the worst one as it is
             pairing = pairing & F.lit(max(off, key=off.get)).isin(F.col("l_split"), F.col("r_split"))
@@ -234,7 +271,7 @@ def refine_density(
         pairs = swappable.select(*side("l")).join(swappable.select(*side("r")), pairing)
         after: dict[str, list[Column]] = {}
         for name, r in sums.items():
-            taken, given = (counts(F.col(f"{x}_f"), F.lit(name)) for x in "rl")
+            taken, given = (F.col(f"{x}_f")[list(sums).index(name)] if mapped else F.col(f"{x}_f") for x in "rl")
             d = [F.when(F.col("l_split") == name, taken[k] - given[k]).when(F.col("r_split") == name, given[k] - taken[k]).otherwise(0) for k in range(HEAD)]
             after[name] = [F.lit(r[c]) + d[k] for k, c in enumerate("npa")]
         total = lambda k, names: sum((after[x][k] for x in names[1:]), after[names[0]][k])

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from graincut.operators import assign, dataset
 
+from .test_queries import greedy_folds
+
 FACETS, BINS = 3, 4
 
 
@@ -142,3 +144,24 @@ def test_swaps_follow_distinct_counts_not_groups(spark):
     assert after.count() == 60_000 and {r["count"] for r in after.groupBy("split").count().collect()} == {30_000}
     moved = after.join(groups.withColumnRenamed("split", "was"), "group_id").where("split <> was").count()
     assert moved == 4
+
+
+def test_folds_of_a_large_group_table_by_hand(spark):
+    """110,000 groups with text ids in one restart, against the plain loop."""
+    k = F.col("id")
+    f = F.array(*[x.cast("long") for x in (40 + k % 30, 5 + k % 4, 9 + k % 5, 10 + k % 9, 30 + k % 21, 20 + k % 11, 20 + k % 19, *[F.lit(1)] * 4)])
+    groups = spark.range(110_000).select(F.concat(F.lit("g"), k.cast("string")).alias("group_id"), f.alias("f"))
+    found = assign.choose_folds(groups, 5, 2, 1, restarts=1)
+    assert found.schema["group_id"].dataType.simpleString() == "string"
+    rows = {r.group_id: list(r.f) for r in groups.collect()}
+    assert {r.group_id: r.fold for r in found.collect()} == greedy_folds(rows, 5, 2, 1, 1)[2]
+
+
+def test_folds_follow_ids_as_text_and_order_of_rows_does_not_matter(spark):
+    rows = [(str(g), f) for g, _, f in twelve_groups(8)]
+    make = lambda x: {r.group_id: r.fold for r in assign.choose_folds(spark.createDataFrame(x, "group_id string, f array<bigint>"), 4, FACETS, 5, 30).collect()}
+    found = make(rows)
+    assert found == make(rows[::-1]) and sorted(found.values()) == sorted([*range(4)] * 3)
+    assert assign.choose_folds(spark.createDataFrame([], "group_id string, f array<bigint>"), 4, FACETS, 5).collect() == []
+    with pytest.raises(ValueError):
+        make(rows[:-1])
