@@ -19,14 +19,12 @@ from pyspark.sql import types as T
 
 from ..functions.text import order_key
 from ..sources.tables import settle
-from .metrics import share
+from .swaps import HEAD, ROUND, best_swap
 
 # Weights of the test objective (largest and summed facet gap, positive rate, density, area bin)
 # and of the fold score (items, positive rate, density, facet, area bin, facet and area bin).
 TEST_WEIGHTS = (3.0, 1.0, 6.0, 6.0, 20.0)
 FOLD_WEIGHTS = (12.0, 8.0, 4.0, 3.0, 1.0, 2.0)
-HEAD = 3  # items, positives, annotations
-ROUND = 12  # digits that objectives are compared at, so that ties are ties
 #: Groups that a task of the fold search reads, all its restarts together.
 FOLD_ROWS = 200_000
 
@@ -225,26 +223,36 @@ def refine_density(
     ``moving_target`` as each swap makes it. Locked splits give and take no groups, but count for
     the spread of positive rates, which a swap may widen by ``guard`` at most. With ``stratum``, only
     groups of one stratum are swapped. ``f`` may be a map from split to counts, where a group's
-    items depend on its split. Candidates are pairs of a class of groups with equal counts (in every split, with maps) in
-    the worst split with one in another split (of all pairs, with a moving target), so their number
-    follows the distinct counts, not the groups. Ties go to the first ids as text.
+    items depend on its split; a map that lacks a split keeps its group from swaps that need it.
+    Candidates are pairs of classes of groups with equal counts (in every split, with maps), one in
+    the worst split and one in another (of all splits, with a moving target); ``best_swap`` finds
+    the best without forming all. Ties go to the first ids as text.
     """
     mapped = isinstance(groups.schema["f"].dataType, T.MapType)
-    counts = (lambda f, split: F.element_at(f, split)) if mapped else (lambda f, split: f)
     moved: dict[int, str] = {}
     fixed = None
     groups = settle(groups, "splits")  # every round reads it
+    names = [r["split"] for r in groups.select("split").distinct().orderBy("split").collect()]
+    # Maps can't be grouped by: their counts stand in a row, split by split.
+    unknown = F.array(*[F.lit(None).cast("long")] * HEAD)
+    counts = [F.coalesce(F.slice(F.try_element_at("f", F.lit(name)), 1, HEAD), unknown) for name in names]
+    head = F.concat(*counts) if mapped and names else F.slice("f", 1, HEAD)
+    same = ["split", (F.col(stratum) if stratum else F.lit(0)).alias("stratum"), head.alias("f")]
 
     def placed() -> DataFrame:
         if not moved:
             return groups
-        names = F.create_map(*[F.lit(x) for kv in moved.items() for x in kv])
-        return groups.withColumn("split", F.coalesce(F.try_element_at(names, F.col("group_id")), F.col("split")))
+        to = F.create_map(*[F.lit(x) for kv in moved.items() for x in kv])
+        return groups.withColumn("split", F.coalesce(F.try_element_at(to, F.col("group_id")), F.col("split")))
 
     for _ in range(rounds):
-        now = placed()
-        own = counts(F.col("f"), F.col("split"))
-        sums = {r["split"]: r for r in now.groupBy("split").agg(*[F.sum(own[k]).alias(c) for k, c in enumerate("npa")]).orderBy("split").collect()}
+        # Groups of one split with equal counts (and stratum) swap alike: the one whose id comes first stands for them.
+        first = F.min_by("group_id", F.col("group_id").cast("string")).alias("id")
+        classes = settle(placed().groupBy(*same).agg(first, F.count(F.lit(1)).alias("m")), "classes")
+        at = F.array_position(F.array(*[F.lit(x) for x in names]), F.col("split")).cast("int") - 1 if mapped else F.lit(0)
+        own = [F.sum(F.col("m") * F.get("f", at * HEAD + k)).alias(c) for k, c in enumerate("npa")]
+        rows = classes.groupBy("split").agg(*own, F.count(F.lit(1)).alias("classes")).orderBy("split").collect()
+        sums = {r["split"]: r for r in rows}
         free = [name for name in sums if name not in locked]
         n, a = (sum(sums[name][c] for name in free) for c in "na")
         if not a or len(free) < 2:
@@ -257,33 +265,12 @@ def refine_density(
         spread = max(abs(part(r["p"], r["n"]) - overall) for r in sums.values())
         if worst <= goal + 1e-12:
             break
-        side = lambda s: [F.col("group_id").alias(f"{s}_id"), F.col("split").alias(f"{s}_split"), F.col("f").alias(f"{s}_f"), *([F.col(stratum).alias(f"{s}_s")] if stratum else [])]
-        swappable = now.where(F.col("split").isin(free))
-        # Groups of one split with equal counts (and stratum) swap alike: the one whose id comes first stands for them.
-        # Maps can't be grouped by: their counts stand in a row, split by split.
-        head = F.array(*[F.slice(F.try_element_at("f", F.lit(name)), 1, HEAD) for name in sums]) if mapped else F.slice("f", 1, HEAD)
-        same = [head.alias("f"), *([F.col(stratum)] if stratum else [])]
-        swappable = swappable.groupBy("split", *same).agg(F.min_by("group_id", F.col("group_id").cast("string")).alias("group_id"))
-        pairing = F.col("l_split") < F.col("r_split")
-        if not moving_target:  # a swap between other splits leaves the worst one as it is
-            pairing = pairing & F.lit(max(off, key=off.get)).isin(F.col("l_split"), F.col("r_split"))
-        pairing = pairing & F.col("l_s").eqNullSafe(F.col("r_s")) if stratum else pairing
-        pairs = swappable.select(*side("l")).join(swappable.select(*side("r")), pairing)
-        after: dict[str, list[Column]] = {}
-        for name, r in sums.items():
-            taken, given = (F.col(f"{x}_f")[list(sums).index(name)] if mapped else F.col(f"{x}_f") for x in "rl")
-            d = [F.when(F.col("l_split") == name, taken[k] - given[k]).when(F.col("r_split") == name, given[k] - taken[k]).otherwise(0) for k in range(HEAD)]
-            after[name] = [F.lit(r[c]) + d[k] for k, c in enumerate("npa")]
-        total = lambda k, names: sum((after[x][k] for x in names[1:]), after[names[0]][k])
-        target = share(total(2, free), total(0, free)) if moving_target else F.lit(fixed)
-        rate = share(total(1, list(sums)), total(0, list(sums)))
-        # Without annotations there is nothing to even out.
-        offs = F.greatest(*[F.coalesce(F.abs(F.try_divide(share(after[x][2], after[x][0]), target) - 1), F.lit(0.0)) for x in free])
-        rates = F.greatest(*[F.abs(share(after[x][1], after[x][0]) - rate) for x in sums])
-        scored = pairs.select("l_id", "r_id", "l_split", "r_split", F.round(offs, ROUND).alias("o"), rates.alias("g"))
-        row = scored.where((F.col("g") <= spread + guard + 1e-12) & (F.col("o") < worst - 1e-12)).agg(
-            F.min_by(F.struct("*"), F.struct("o", F.col("l_id").cast("string"), F.col("r_id").cast("string"))).alias("b")
-        ).first()["b"]
+        # With a fixed target, a swap between other splits leaves the worst one as it is.
+        sides = [(x, y) for x in free for y in free if x < y and (moving_target or max(off, key=off.get) in (x, y))]
+        row = best_swap(
+            classes.where(F.col("split").isin(free)), sides, sums, free, None if moving_target else fixed, mapped,
+            worst - 1e-12, spread + guard + 1e-12, sum(r["classes"] for r in rows if r["split"] in free),
+        )
         if row is None:
             break
         moved |= {row["l_id"]: row["r_split"], row["r_id"]: row["l_split"]}

@@ -30,16 +30,20 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     before it, lost executors cost nothing, and the planner knows the size. Only a local session may
     leave the folder unset; it gets a temporary one.
     """
-    spark = df.sparkSession
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path under ``spark.checkpoint.dir`` (see settle)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:

@@ -4,10 +4,12 @@ import hashlib
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from graincut.operators import assign, dataset
+from graincut.operators import assign, dataset, swaps
+from graincut.sources.tables import settle
 
 from .test_queries import greedy_folds
 
@@ -62,7 +64,7 @@ def deviations(placed, free, target, moving):
     return round(max(abs(sums[s][2] / sums[s][0] / target - 1) for s in free), 12), max(abs(v[1] / v[0] - overall) for v in sums.values())
 
 
-def refined_by_hand(groups, locked, moving, rounds=12):
+def refined_by_hand(groups, locked, moving, rounds=12, goal=0.15):
     """groups: id -> (split, {split: counts}, stratum)."""
     split = {g: s for g, (s, _, _) in groups.items()}
     place = lambda at: {g: (at[g], groups[g][1][at[g]]) for g in groups}
@@ -71,7 +73,7 @@ def refined_by_hand(groups, locked, moving, rounds=12):
     target = sum(f[2] for x, f in start.values() if x in free) / sum(f[0] for x, f in start.values() if x in free)
     for _ in range(rounds):
         worst, spread = deviations(place(split), free, target, moving)
-        if worst <= 0.15 + 1e-12:
+        if worst <= goal + 1e-12:
             break
         options = []
         for x, y in combinations(sorted(groups), 2):
@@ -146,6 +148,44 @@ def test_swaps_follow_distinct_counts_not_groups(spark):
     assert moved == 4
 
 
+@pytest.mark.parametrize(("locked", "moving", "seed"), [((), False, 3), (("c",), True, 5)])
+def test_swaps_by_boxes_of_counts_are_those_of_all_pairs(spark, monkeypatch, locked, moving, seed):
+    """The case above with cells of several levels, more groups and ids as text."""
+    plans = []
+    monkeypatch.setattr(swaps, "CELLS", 8)
+    monkeypatch.setattr(swaps, "settle", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or settle(df, label))
+    rng = random.Random(seed)
+    counts = lambda: [n := rng.randint(50, 400), rng.randint(10, 24), n * rng.randint(1, 9) // 2]
+    groups = {str(g): ("abc"[g % 3], {s: counts() for s in "abc"}, g % 2) for g in range(48)}
+    if not moving:
+        groups = {g: (s, dict.fromkeys("abc", f[s]), k) for g, (s, f, k) in groups.items()}
+    rows = [(g, s, f if moving else f[s], k) for g, (s, f, k) in groups.items()]
+    df = spark.createDataFrame(rows, f"group_id string, split string, f {'map<string,array<bigint>>' if moving else 'array<bigint>'}, k long")
+    found = {r.group_id: r.split for r in assign.refine_density(df, 3, goal=0.0, stratum="k", locked=locked, moving_target=moving).collect()}
+    assert found == refined_by_hand(groups, locked, moving, 3, 0.0)
+    assert len(plans) > 4 and not any("NestedLoop" in p or "Cartesian" in p for p in plans)
+
+
+def test_swaps_of_many_distinct_counts(spark):
+    """8,000 groups of distinct counts: 16 million pairs. The first swap against a search over sorted arrays."""
+    k = F.col("id")
+    n, p = (50 + k % 997).cast("long"), (20 + k % 3).cast("long")
+    a = F.when(k % 2 == 0, n * 2 + k % 1009).otherwise(n + k % 1013).cast("long")
+    groups = spark.range(8_000).select(k.alias("group_id"), F.concat(F.lit("s"), (k % 2).cast("string")).alias("split"), F.array(n, p, a).alias("f")).cache()
+    after = assign.refine_density(groups, rounds=1, goal=0.0)
+    found = sorted(r["group_id"] for r in after.join(groups.withColumnRenamed("split", "was"), "group_id").where("split <> was").collect())
+    f = np.array([r.f for r in groups.orderBy("group_id").collect()], dtype=float)
+    left, right = f[::2], f[1::2]
+    sums, target = (left.sum(0), right.sum(0)), f[:, 2].sum() / f[:, 0].sum()
+    best = (9.0,)
+    for i, x in enumerate(left):
+        move = right - x
+        s, t = sums[0] + move, sums[1] - move
+        o = np.round(np.maximum(abs(s[:, 2] / s[:, 0] / target - 1), abs(t[:, 2] / t[:, 0] / target - 1)), 12)
+        best = min(best, *((o[j], str(2 * i), str(2 * j + 1)) for j in np.flatnonzero(o == o.min())))
+    assert found == sorted(map(int, best[1:]))
+
+
 def test_folds_of_a_large_group_table_by_hand(spark):
     """110,000 groups with text ids in one restart, against the plain loop."""
     k = F.col("id")
