@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import records
 from ..operators import apportion, approve, audit, dedup, publish, reports, rules
-from ..sources.tables import parse_json, read_table
+from ..sources.tables import parse_json, read_table, shared_path
+from ..sources.trees import changed_keys, record_tree, tree_difference
 from . import bindings as b
 from . import queries as q
 from . import record_queries as r
@@ -208,3 +209,16 @@ SELECT worst_deviation, CASE WHEN worst_deviation > 0.2 + 1e-12 THEN 'FAIL' ELSE
 def replay_summary(spark, sf):
     items = b.ruled_items(spark, sf).where("eligible").join(_role_groups(spark, sf), ["kind", "group_id"])
     return audit.deviation_summary(items, "role", "fold")
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 1000 = 7 THEN 'changed' ELSE 'removed' END AS change FROM documents WHERE doc_id % 1000 IN (7, 13)
+UNION ALL SELECT doc_id + 1000000000, 'added' FROM documents WHERE doc_id % 1000 = 21""")
+def recorded_changes(spark, sf):
+    """Documents as recorded against those of today, with changed, removed and new ones, by digests of leaves."""
+    docs, k = read_table(spark, sf, "documents"), F.col("doc_id") % 1000
+    text = F.when(k == 7, F.concat(F.coalesce("text", F.lit("")), F.lit("!"))).otherwise(F.col("text"))
+    new = docs.where(k == 21).withColumn("doc_id", F.col("doc_id") + 1_000_000_000)
+    paths = [shared_path(spark, "recorded"), shared_path(spark, "today")]
+    for table, path in zip((docs, docs.where(k != 13).withColumn("text", text).unionByName(new)), paths, strict=True):
+        record_tree(table, ["doc_id"], path)
+    return changed_keys(tree_difference(spark, *paths), ["doc_id"])
