@@ -182,7 +182,7 @@ def parts_in_frame(ring: Column, width: Column, height: Column) -> Column:
     return F.pandas_udf(work, "changed boolean, area double, parts array<array<double>>")(flat, width.cast("double"), height.cast("double"))
 
 
-def _once(df, **columns: Column):
+def once(df, **columns: Column):
     """``df`` with columns that are computed once a row: a generator of one row each is a border
     that the optimizer doesn't copy expressions across, where chained projections would grow."""
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
@@ -199,11 +199,11 @@ def convert_annotations(df, flat: str, width: Column, height: Column, issue: str
     """
     known = F.col(issue) if issue else F.lit(None).cast("string")
     given = F.when((width <= 0) | (height <= 0), "invalid_frame").otherwise(F.coalesce(known, point_issue(F.col(flat))))
-    df = _once(df, __issue=given)
+    df = once(df, __issue=given)
     usable = F.col("__issue").isNull()
-    df = _once(df, ring=F.when(usable, cleaned(ring_of_flat(F.col(flat)))))
+    df = once(df, ring=F.when(usable, cleaned(ring_of_flat(F.col(flat)))))
     df = df.withColumn("__cut", parts_in_frame(F.col("ring"), width, height))
-    df = _once(
+    df = once(
         df,
         parts=F.transform("__cut.parts", ring_of_flat),
         area_ratio=F.when(usable, F.col("__cut.area") / (width.cast("double") * height)).otherwise(0.0),
@@ -211,11 +211,11 @@ def convert_annotations(df, flat: str, width: Column, height: Column, issue: str
         __changed=F.col("__cut.changed"),
     ).drop("__cut")
     line = F.when(~F.col("ring_valid") & usable, outline_in_frame(F.col("ring"), width, height)).otherwise(F.array().cast(RING))
-    df = _once(df, __b=bounds(line))
+    df = once(df, __b=bounds(line))
     flat_side = (F.col("__b.x1") >= F.col("__b.x2")) | (F.col("__b.y1") >= F.col("__b.y2"))
     outline_box = F.when(F.col("__b").isNotNull(), F.array(box(F.col("__b"), width, height)))
     boxes = F.when(F.col("ring_valid"), F.transform("parts", lambda r: box(bounds(r), width, height))).otherwise(outline_box)
-    df = _once(
+    df = once(
         df,
         boxes=F.coalesce(boxes, F.array().cast("array<struct<cx:double,cy:double,w:double,h:double>>")),
         box_ratio=F.coalesce(F.array_max(F.transform("parts", lambda r: rounded_box_ratio(r, width, height))), F.lit(0.0)),

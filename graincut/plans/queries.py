@@ -228,11 +228,13 @@ _NAMES_SQL = """WITH names AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN
   WHEN 1 THEN 'RGB_cell_prismatic_b_' || p_partkey || '_12.png' WHEN 2 THEN 'RGB_module_x_' || p_partkey || '_1.jpg' WHEN 3 THEN 'ct_CELL_pouch_a_' || p_partkey || '_X_7.png' ELSE 'CT_cell_' || p_partkey || '.jpg' END AS name FROM part),"""
 
 
-def _names(spark, sf):
+def _names(spark, sf, whole=False):
+    """File names of parts; ``whole`` keeps all digits of keys above 999,999, of which names of six digits hold the first six."""
     k, s = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    digits = F.lpad(s, F.greatest(F.length(s), F.lit(6)) if whole else 6, "0")
     axis = F.element_at(F.array(*map(F.lit, "xyz")), (k % 3 + 1).cast("int"))
     name = (
-        F.when(k % 5 == 0, F.concat(F.lit("CT_cell_pouch_"), F.lpad(s, 6, "0"), F.lit("_"), axis, F.lit("_0001.jpg")))
+        F.when(k % 5 == 0, F.concat(F.lit("CT_cell_pouch_"), digits, F.lit("_"), axis, F.lit("_0001.jpg")))
         .when(k % 5 == 1, F.concat(F.lit("RGB_cell_prismatic_b_"), s, F.lit("_12.png")))
         .when(k % 5 == 2, F.concat(F.lit("RGB_module_x_"), s, F.lit("_1.jpg")))
         .when(k % 5 == 3, F.concat(F.lit("ct_CELL_pouch_a_"), s, F.lit("_X_7.png")))

@@ -15,10 +15,16 @@ from .queries import query
 FRAME = 50.0
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Payloads and rings are heavy for their bytes: rows are dealt to a given number of tasks, by the key that they are rolled up by."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 # Records: file names of parts with payloads that break each rule in turn.
 def _records(spark, sf) -> DataFrame:
     s, fault = F.col("p_partkey").cast("string"), F.expr("(p_partkey div 5) % 12")
-    parsed = q._names(spark, sf).select("p_partkey", "name", fault.alias("fault"), text.parse_item_name("name").alias("parsed"), F.regexp_replace("name", r"\.[^.]*$", "").alias("stem"))
+    names = dealt(q._names(spark, sf, whole=True), "p_partkey")
+    parsed = rings.once(names, fault=fault, parsed=text.parse_item_name("name"), stem=F.regexp_replace("name", r"\.[^.]*$", ""))
     porous = F.when(F.col("parsed.kind") == "A", "Porosity").otherwise("damage")
     one = lambda name: F.concat(F.lit('{"name":"'), name, F.lit('","points":[[1,1],[9,1],[9,9]]}'))
     marks = (
@@ -36,10 +42,9 @@ def _records(spark, sf) -> DataFrame:
         F.when(fault == 4, "true").otherwise("40"), F.lit(',"height":30,"is_normal":'), normal, F.lit('},"defects":['), marks, F.lit("]}"),
     )
     payload = parse_json(F.when(fault == 0, F.lit("{broken")).otherwise(body))
-    df = parsed.withColumn("payload", payload).withColumns({"width": F.lit(40), "height": F.lit(30)})
-    df = df.withColumn("json_group_id", rules.json_group_id(F.col("payload"), "$.data_info.battery_ids", "$.data_info.battery_id"))
-    df = df.withColumns(records.record_fields(F.col("payload")))
-    return df.withColumn("targets", records.targets(records.without_repeats(F.col("defects")), F.col("parsed.kind")))
+    df = rings.once(parsed, payload=payload, width=F.lit(40), height=F.lit(30))
+    df = rings.once(df, json_group_id=rules.json_group_id(F.col("payload"), "$.data_info.battery_ids", "$.data_info.battery_id"), **records.record_fields(F.col("payload")))
+    return rings.once(df, targets=records.targets(records.without_repeats(F.col("defects")), F.col("parsed.kind")))
 
 
 _RECORD_SQL = """WITH r AS (SELECT p_partkey, (p_partkey // 5) % 12 AS fault, CASE p_partkey % 5 WHEN 0 THEN 'A' WHEN 3 THEN 'A' WHEN 1 THEN 'B' END AS kind FROM part)"""
@@ -59,17 +64,12 @@ def record_anomalies(spark, sf):
     return rules.issue_rows(usable, ["p_partkey"], rules.all_failures(records.record_anomalies())).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _dealt(lines: DataFrame) -> DataFrame:
-    """Conversion is heavy for its bytes: rows are dealt to a given number of tasks, by the key that they are rolled up by."""
-    return lines.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
-
-
 # Rectangles of lineitem as flat rings in a frame, a row per annotation.
 def _converted(spark, sf) -> DataFrame:
     x, y = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double") * 10
     w, h = F.rint(F.col("l_discount") * 100) * 3, F.rint(F.col("l_tax") * 100) * 3
     flat = F.array(x, y, x + w, y, x + w, y + h, x, y + h)
-    lines = _dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", flat.alias("flat")))
+    lines = dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", flat.alias("flat")), "l_orderkey")
     return rings.convert_annotations(lines, "flat", F.lit(FRAME), F.lit(FRAME))
 
 
@@ -112,7 +112,7 @@ def _planted(spark, sf) -> DataFrame:
         .when(kind == 4, flat(zero, zero, 2 * s, zero, s, zero))
         .otherwise(flat(zero, zero, s, zero, s, s, zero, s))
     )
-    lines = _dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", ring.alias("flat")))
+    lines = dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", ring.alias("flat")), "l_orderkey")
     return rings.convert_annotations(lines, "flat", f, f)
 
 
@@ -163,7 +163,7 @@ def _payload_rectangles(spark, sf) -> DataFrame:
         .when(F.col("l_orderkey") % 2 == 0, F.to_json(pairs)).otherwise(F.to_json(flat))
     )
     body = F.concat(F.lit('{"defects":[7,{"name":"damage","points":'), points, F.lit("}]}"))
-    lines = _dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", body.alias("body")))
+    lines = dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", body.alias("body")), "l_orderkey")
     found = lines.select("l_orderkey", "l_returnflag", F.explode(records.defects(parse_json("body"))).alias("d"))
     parsed = found.select("l_orderkey", "l_returnflag", F.inline(F.array(rings.parse_points(F.try_parse_json("d.points")))))
     return rings.convert_annotations(parsed, "flat", F.lit(FRAME), F.lit(FRAME), "issue")
