@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import outlines
+from .text import let
 
 # Codes of faulty points.
 NO_STRUCTURE, ODD_LENGTH, NOT_NUMERIC = "invalid_points_structure", "odd_flat_points_length", "non_numeric_coordinate"
@@ -42,13 +43,38 @@ def parse_points(points: Column) -> Column:
     """
     members = lambda v: F.try_variant_get(v, "$", "array<variant>")
     is_list = lambda v: F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
-    every = members(points)
-    pairs = (F.size(every) > 0) & F.forall(every, lambda m: is_list(m) & (F.coalesce(F.size(members(m)), F.lit(0)) == 2))
-    values = F.when(pairs, F.flatten(F.transform(every, members))).otherwise(every)
-    numeric = F.forall(values, lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(False)))
-    issue = F.when(~is_list(points), NO_STRUCTURE).when(F.size(values) % 2 == 1, ODD_LENGTH).when(~numeric, NOT_NUMERIC)
-    flat = F.transform(values, lambda v: F.try_variant_get(v, "$", "double"))
-    return F.struct(F.when(issue.isNull(), flat).alias("flat"), F.when(points.isNull(), NO_STRUCTURE).otherwise(issue).alias("issue"))
+    number = "(BIGINT|DOUBLE|FLOAT|DECIMAL)"
+
+    def known(flat: Column, issue: Column) -> Column:
+        return F.struct(F.when(issue.isNull(), flat).alias("flat"), issue.alias("issue"))
+
+    def of_numbers(flat: Column) -> Column:
+        """Of a list that holds only numbers and nulls."""
+        return known(flat, F.when(F.size(flat) % 2 == 1, ODD_LENGTH).when(F.exists(flat, lambda v: v.isNull()), NOT_NUMERIC))
+
+    def of_members(values: Column) -> Column:
+        numeric = F.forall(values, lambda v: F.coalesce(F.schema_of_variant(v).rlike(f"^{number}"), F.lit(False)))
+        flat = F.transform(values, lambda v: F.try_variant_get(v, "$", "double"))
+        return known(flat, F.when(F.size(values) % 2 == 1, ODD_LENGTH).when(~numeric, NOT_NUMERIC))
+
+    def of_any(every: Column) -> Column:
+        pairs = (F.size(every) > 0) & F.forall(every, lambda m: is_list(m) & (F.coalesce(F.size(members(m)), F.lit(0)) == 2))
+        return let(F.when(pairs, F.flatten(F.transform(every, members))).otherwise(every), of_members)
+
+    def of_pairs(lists: Column, v: Column) -> Column:
+        two = F.forall(lists, lambda m: F.coalesce(F.size(m) == 2, F.lit(False)))
+        return F.when(two, let(F.flatten(lists), of_numbers)).otherwise(let(members(v), of_any))
+
+    def of_kind(v: Column, kind: Column) -> Column:
+        """One reading of the whole list, if its type says that it holds nothing but numbers, or lists of numbers."""
+        return (
+            F.when(~F.coalesce(kind.startswith("ARRAY"), F.lit(False)), known(F.lit(None).cast("array<double>"), F.lit(NO_STRUCTURE)))
+            .when(kind.rlike(f"^ARRAY<{number}"), let(F.try_variant_get(v, "$", "array<double>"), of_numbers))
+            .when(kind.rlike(f"^ARRAY<ARRAY<{number}"), let(F.try_variant_get(v, "$", "array<array<double>>"), lambda lists: of_pairs(lists, v)))
+            .otherwise(let(members(v), of_any))
+        )
+
+    return let(points, lambda v: let(F.schema_of_variant(v), lambda kind: of_kind(v, kind)))
 
 
 def point_issue(flat: Column) -> Column:
@@ -119,11 +145,10 @@ def box(b: Column, width: Column, height: Column) -> Column:
     )
 
 
-def rounded_box_ratio(ring: Column, width: Column, height: Column, digits: int = 8) -> Column:
-    """Share of the frame of the ring's bounds, vertices rounded as shares first."""
+def rounded_box_ratio(b: Column, width: Column, height: Column, digits: int = 8) -> Column:
+    """Share of the frame of a ring with bounds ``b``, vertices rounded as shares first (rounding keeps their order)."""
     cut = lambda v, d: F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), v / d)), digits)
-    b = bounds(F.transform(ring, lambda p: point(cut(p["x"], width), cut(p["y"], height))))
-    return (b["x2"] - b["x1"]) * (b["y2"] - b["y1"])
+    return (cut(b["x2"], width) - cut(b["x1"], width)) * (cut(b["y2"], height) - cut(b["y1"], height))
 
 
 def canonical_ring(ring: Column) -> Column:
@@ -136,50 +161,48 @@ def canonical_ring(ring: Column) -> Column:
     return F.when(F.size(ring) > 0, F.least(from_least(ring), from_least(F.reverse(ring))))
 
 
-def outline_in_frame(ring: Column, width: Column, height: Column) -> Column:
-    """End points of the parts of a ring's sides that lie in the frame; empty if none does."""
-
-    def span(p: Column, d: Column, size: Column) -> tuple[Column, Column]:
-        """The stretch of 0..1 along a side where one coordinate is inside; 2, -1: nowhere."""
-        within = (p >= 0) & (p <= size)
-        enter = F.when(d > 0, -p / d).when(d < 0, (size - p) / d).otherwise(F.when(within, 0.0).otherwise(2.0))
-        leave = F.when(d > 0, (size - p) / d).when(d < 0, -p / d).otherwise(F.when(within, 1.0).otherwise(-1.0))
-        return enter, leave
-
-    def ends(p: Column, i: Column) -> Column:
-        q = _next(ring, i)
-        dx, dy = q["x"] - p["x"], q["y"] - p["y"]
-        (ex, lx), (ey, ly) = span(p["x"], dx, width.cast("double")), span(p["y"], dy, height.cast("double"))
-        a, z = F.greatest(F.lit(0.0), ex, ey), F.least(F.lit(1.0), lx, ly)
-        none = F.array().cast("array<struct<x:double,y:double>>")
-        return F.when(a <= z, F.array(point(p["x"] + a * dx, p["y"] + a * dy), point(p["x"] + z * dx, p["y"] + z * dy))).otherwise(none)
+RING = "array<struct<x:double,y:double>>"
 
-    return F.flatten(F.transform(ring, ends))
 
+CUT = f"issue string, changed boolean, area double, parts array<{RING}>, bounds array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
-RING = "array<struct<x:double,y:double>>"
 
+def cut_to_frame(flat: Column, width: Column, height: Column) -> Column:
+    """struct(issue, changed, area, parts, bounds) of a flat list of points: repaired where its ring crosses or touches itself, cut to
+    [0, width] x [0, height].
 
-def parts_in_frame(ring: Column, width: Column, height: Column) -> Column:
-    """struct(changed, area, parts) of a cleaned ring: repaired where it crosses or touches itself, cut to [0, width] x [0, height].
-
-    parts are the outer rings of what is left, none for a NULL ring or if no area is left. A simple ring inside the frame
-    is its own only part, as given; all others are in canonical form and in the order of bounds, area and
-    vertices. area is that of all parts, without holes. The rules are those of the module outlines.
+    issue is that of point_issue; the ring is that of cleaned. parts are the outer rings of what is left, none if there is an issue or
+    if no area is left. A simple ring inside the frame is its own only part, as given; all others are in canonical form and in the order
+    of bounds, area and vertices. area is that of all parts, without holes. bounds are the parts', or if there are none the bounds of what
+    the frame holds of the outline, if any. The rules are those of the module outlines.
     """
 
-    def work(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for flats, widths, heights in batches:
-            rows = []
-            for flat, w, h in zip(flats, widths, heights, strict=True):
-                v = [] if flat is None else flat.tolist()
-                changed, area_, parts = outlines.parts_in_frame(list(zip(v[::2], v[1::2], strict=True)), w, h) if v and w > 0 and h > 0 else (False, 0.0, [])
-                rows.append((changed, area_, [[x for p in part for x in p] for part in parts]))
-            yield pd.DataFrame(rows, columns=["changed", "area", "parts"])
+    def work(flats: pa.Array, widths: pa.Array, heights: pa.Array) -> pa.Array:
+        given = pc.is_valid(flats).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.list_value_length(flats), 0).to_numpy()
+        values = flats.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+        w, h = (pc.fill_null(x, 0.0).to_numpy() for x in (widths, heights))
+        ring = np.repeat(np.arange(len(sizes)), sizes)
+        odd, finite = sizes % 2 == 1, np.bincount(ring, ~np.isfinite(values), len(sizes)) == 0
+        xy, n = outlines.cleaned(values[(~odd & finite)[ring]].reshape(-1, 2), np.where(~odd & finite, sizes, 0) // 2)
+        few = outlines.distinct_points(xy, n) < 3
+        issue = np.select([~given, odd, ~finite, few], [NO_STRUCTURE, ODD_LENGTH, NOT_FINITE, TOO_FEW], "")
+        xy, n = xy[np.repeat(~few, n)], np.where(few, 0, n)
+        changed, area, points, size, of = outlines.rings_in_frames(xy, n, w, h)
+        bounds, has = outlines.bounds_in_frames(xy, n, w, h, points, size, of)
+        ends = lambda k: pa.array(np.concatenate([[0], np.cumsum(k)]), pa.int32())
+        fields = lambda v, names: pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(x)) for x in v.T], names)
+        parts = pa.ListArray.from_arrays(ends(np.bincount(of, minlength=len(n))), pa.ListArray.from_arrays(ends(size), fields(points, ["x", "y"])))
+        boxes = pa.ListArray.from_arrays(ends(has), fields(bounds, ["x1", "y1", "x2", "y2"]))
+        return pa.StructArray.from_arrays([pa.array(issue, pa.string(), mask=issue == ""), pa.array(changed), pa.array(area), parts, boxes], ["issue", "changed", "area", "parts", "bounds"])
+
+    work.__annotations__ = dict.fromkeys(("flats", "widths", "heights", "return"), pa.Array)
+    return F.arrow_udf(work, CUT)(flat, width.cast("double"), height.cast("double"))
 
-    work.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
-    flat = F.flatten(F.transform(ring, lambda p: F.array(p["x"], p["y"])))
-    return F.pandas_udf(work, "changed boolean, area double, parts array<array<double>>")(flat, width.cast("double"), height.cast("double"))
+
+def parts_in_frame(ring: Column, width: Column, height: Column) -> Column:
+    """cut_to_frame of a cleaned ring."""
+    return cut_to_frame(F.flatten(F.transform(ring, lambda p: F.array(p["x"], p["y"]))), width, height)
 
 
 def once(df, **columns: Column):
@@ -198,38 +221,30 @@ def convert_annotations(df, flat: str, width: Column, height: Column, issue: str
     sides widened, and it has no ring.
     """
     known = F.col(issue) if issue else F.lit(None).cast("string")
-    given = F.when((width <= 0) | (height <= 0), "invalid_frame").otherwise(F.coalesce(known, point_issue(F.col(flat))))
-    df = once(df, __issue=given)
-    usable = F.col("__issue").isNull()
-    df = once(df, ring=F.when(usable, cleaned(ring_of_flat(F.col(flat)))))
-    df = df.withColumn("__cut", parts_in_frame(F.col("ring"), width, height))
-    df = once(
-        df,
-        parts=F.transform("__cut.parts", ring_of_flat),
-        area_ratio=F.when(usable, F.col("__cut.area") / (width.cast("double") * height)).otherwise(0.0),
-        ring_valid=F.size("__cut.parts") > 0,
-        __changed=F.col("__cut.changed"),
-    ).drop("__cut")
-    line = F.when(~F.col("ring_valid") & usable, outline_in_frame(F.col("ring"), width, height)).otherwise(F.array().cast(RING))
-    df = once(df, __b=bounds(line))
-    flat_side = (F.col("__b.x1") >= F.col("__b.x2")) | (F.col("__b.y1") >= F.col("__b.y2"))
-    outline_box = F.when(F.col("__b").isNotNull(), F.array(box(F.col("__b"), width, height)))
-    boxes = F.when(F.col("ring_valid"), F.transform("parts", lambda r: box(bounds(r), width, height))).otherwise(outline_box)
+    framed = (width > 0) & (height > 0)
+    df = df.withColumn("__cut", cut_to_frame(F.when(known.isNull() & framed, F.col(flat)), width, height))
+    given = F.when(~framed, "invalid_frame").otherwise(F.coalesce(known, F.col("__cut.issue")))
+    # What is left of an outline that is no part is flat or has sides.
+    line = F.when(F.size("__cut.parts") == 0, F.get("__cut.bounds", F.lit(0)))
     df = once(
         df,
-        boxes=F.coalesce(boxes, F.array().cast("array<struct<cx:double,cy:double,w:double,h:double>>")),
-        box_ratio=F.coalesce(F.array_max(F.transform("parts", lambda r: rounded_box_ratio(r, width, height))), F.lit(0.0)),
-        min_extent=F.coalesce(flat_side, F.lit(False)),
+        __issue=given,
+        boxes=F.transform("__cut.bounds", lambda b: box(b, width, height)),
+        box_ratio=F.when(F.size("__cut.parts") > 0, F.array_max(F.transform("__cut.bounds", lambda b: rounded_box_ratio(b, width, height)))).otherwise(0.0),
+        min_extent=F.coalesce((line["x1"] >= line["x2"]) | (line["y1"] >= line["y2"]), F.lit(False)),
     )
-    valid = F.size("boxes") > 0
+    usable, ringed, valid = F.col("__issue").isNull(), F.size("__cut.parts") > 0, F.size("boxes") > 0
     codes = [
         F.col("__issue"),
-        F.when(F.col("__changed"), REPAIRED),
+        F.when(F.col("__cut.changed"), REPAIRED),
         F.when(usable & ~valid, "invalid_detection_bbox"),
-        F.when(usable & ~F.col("ring_valid"), "empty_or_zero_area_after_clip"),
+        F.when(usable & ~ringed, "empty_or_zero_area_after_clip"),
     ]
-    more = {"box_valid": valid, "n_boxes": F.size("boxes"), "n_rings": F.size("parts"), "issues": F.array_compact(F.array(*codes))}
-    return df.withColumns(more).drop("__issue", "__b", "__changed")
+    more = {
+        "ring": F.when(usable, cleaned(ring_of_flat(F.col(flat)))), "parts": F.col("__cut.parts"), "area_ratio": F.when(usable, F.col("__cut.area") / (width.cast("double") * height)).otherwise(0.0),
+        "ring_valid": ringed, "box_valid": valid, "n_boxes": F.size("boxes"), "n_rings": F.size("__cut.parts"), "issues": F.array_compact(F.array(*codes)),
+    }
+    return df.withColumns(more).drop("__issue", "__cut")
 
 
 def ring_issues(flat: Column, cut: Column, width: Column, height: Column) -> Column:

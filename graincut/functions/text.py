@@ -20,6 +20,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)``, the value computed once: generators and lambdas compute an expression anew wherever it stands."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def parse_item_name(name: Column | str) -> Column:
     """struct(kind, group_id, facet, form, frame) of a file name, NULL if it does not parse.
 

@@ -546,15 +546,15 @@ def _star_rings(spark, sf) -> DataFrame:
     flat = F.transform("embedding", lambda v: v.cast("double") * 150 + 50)
     docs = read_table(spark, sf, "embeddings").select("vec_id", flat.alias("flat")).withColumn("ring", rings.cleaned(rings.ring_of_flat(F.col("flat"))))
     cut = docs.withColumn("cut", rings.parts_in_frame(F.col("ring"), frame, frame))
-    return cut.withColumn("left", F.flatten(F.transform("cut.parts", rings.ring_of_flat)))
+    return cut.withColumn("left", F.flatten("cut.parts"))
 
 
 @query()
 def ring_boxes(spark, sf):
     """Bounds of all parts of a ring, and a digest of its outline before."""
     frame = F.lit(100.0)
-    box = rings.box(rings.bounds(F.col("left")), frame, frame)
-    ratio = rings.rounded_box_ratio(F.col("left"), frame, frame)
+    bounds = rings.bounds(F.col("left"))
+    box, ratio = rings.box(bounds, frame, frame), rings.rounded_box_ratio(bounds, frame, frame)
     digest = F.sha1(F.to_json(rings.canonical_ring(F.col("ring"))))
     return _star_rings(spark, sf).select("vec_id", box.alias("b"), ratio.alias("box_ratio"), digest.alias("outline")).select("vec_id", "b.*", "box_ratio", "outline")
 

@@ -64,13 +64,17 @@ def record_anomalies(spark, sf):
     return rules.issue_rows(usable, ["p_partkey"], rules.all_failures(records.record_anomalies())).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _lines(spark, sf) -> DataFrame:
+    """Lines, dealt by order before anything wide is made of them."""
+    return dealt(read_table(spark, sf, "lineitem").drop("l_suppkey", "l_extendedprice", "l_linestatus", "l_shipdate"), "l_orderkey")
+
+
 # Rectangles of lineitem as flat rings in a frame, a row per annotation.
 def _converted(spark, sf) -> DataFrame:
     x, y = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double") * 10
     w, h = F.rint(F.col("l_discount") * 100) * 3, F.rint(F.col("l_tax") * 100) * 3
     flat = F.array(x, y, x + w, y, x + w, y + h, x, y + h)
-    lines = dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", flat.alias("flat")), "l_orderkey")
-    return rings.convert_annotations(lines, "flat", F.lit(FRAME), F.lit(FRAME))
+    return rings.convert_annotations(_lines(spark, sf).select("l_orderkey", "l_returnflag", flat.alias("flat")), "flat", F.lit(FRAME), F.lit(FRAME))
 
 
 _CONVERT_SQL = """WITH p AS (SELECT l_orderkey, l_returnflag, l_partkey % 13 AS fault, l_quantity AS x1, l_linenumber * 10 AS y1, l_quantity + round(l_discount * 100) * 3 AS x2, l_linenumber * 10 + round(l_tax * 100) * 3 AS y2 FROM lineitem),
@@ -112,8 +116,7 @@ def _planted(spark, sf) -> DataFrame:
         .when(kind == 4, flat(zero, zero, 2 * s, zero, s, zero))
         .otherwise(flat(zero, zero, s, zero, s, s, zero, s))
     )
-    lines = dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", ring.alias("flat")), "l_orderkey")
-    return rings.convert_annotations(lines, "flat", f, f)
+    return rings.convert_annotations(_lines(spark, sf).select("l_orderkey", "l_linenumber", ring.alias("flat")), "flat", f, f)
 
 
 _PLANTED_SQL = """WITH p AS (SELECT l_orderkey, l_linenumber, l_orderkey % 6 AS k, l_linenumber + 1 AS s, l_quantity::BIGINT % 20 AS x, l_partkey % 20 AS y FROM lineitem)"""
@@ -163,7 +166,7 @@ def _payload_rectangles(spark, sf) -> DataFrame:
         .when(F.col("l_orderkey") % 2 == 0, F.to_json(pairs)).otherwise(F.to_json(flat))
     )
     body = F.concat(F.lit('{"defects":[7,{"name":"damage","points":'), points, F.lit("}]}"))
-    lines = dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", body.alias("body")), "l_orderkey")
+    lines = _lines(spark, sf).select("l_orderkey", "l_returnflag", body.alias("body"))
     found = lines.select("l_orderkey", "l_returnflag", F.explode(records.defects(parse_json("body"))).alias("d"))
     parsed = found.select("l_orderkey", "l_returnflag", F.inline(F.array(rings.parse_points(F.try_parse_json("d.points")))))
     return rings.convert_annotations(parsed, "flat", F.lit(FRAME), F.lit(FRAME), "issue")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import records
+from ..functions import records, rings
 from ..operators import apportion, approve, audit, dedup, publish, reports, rules
-from ..sources.tables import parse_json, read_table, shared_path
+from ..sources.tables import parse_json, read_table, settle, shared_path
 from ..sources.trees import changed_keys, record_tree, tree_difference
 from . import bindings as b
 from . import queries as q
@@ -159,9 +159,10 @@ def label_conflicts(spark, sf):
     second = F.reverse(F.transform("x", lambda t: F.when((F.col("o") % 5 == 0) & (t == F.get("x", F.lit(0))), t["moved"]).otherwise(t["same"])))
     marks = F.when(F.col("copy") == 0, F.transform("x", lambda t: t["same"])).otherwise(second)
     body = F.concat(F.lit('{"image_info":{"is_normal":false},"defects":['), F.array_join(marks, ","), F.lit("]}"))
-    parsed = copies.select("o", "copy", parse_json(body).alias("v"))
+    parsed = rings.once(copies.select("o", "copy", body.alias("body")), v=parse_json("body"))
     found = parsed.select((F.col("o") * 2 + F.col("copy")).alias("record_id"), F.col("o").cast("string").alias("picture"), F.when((F.col("copy") == 1) & (F.col("o") % 7 == 0), "x").otherwise("g").alias("g"), records.defects(F.col("v")).alias("d"), F.try_variant_get("v", "$.image_info.is_normal", "boolean").alias("normal"))
     signed = found.select("record_id", F.sha1("picture").alias("picture"), "g", dedup.record_signature(records.targets(F.col("d"), F.lit("B")), F.col("normal"), F.lit(None).cast("string")).alias("signature"))
+    signed = settle(signed, "signed")  # the steps below read it twice
     return dedup.resolve_duplicates(signed, "picture", ["g"], "signature", ["record_id"]).select("record_id", "n_copies", "action")
 
 

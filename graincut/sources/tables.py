@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.digests import tree_digest
+from ..functions.text import let
 
 # Suffixes of the files that are listed.
 IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png", ".bmp", ".tif", ".tiff")
@@ -103,8 +104,7 @@ def image_metadata(spark: SparkSession, root: str) -> DataFrame:
 def parse_json(text: Column | str) -> Column:
     """VARIANT of a JSON object, NULL for anything else; a leading byte order mark is dropped."""
     c = F.col(text) if isinstance(text, str) else text
-    value = F.try_parse_json(F.regexp_replace(c, "^﻿", ""))
-    return F.when(F.schema_of_variant(value).startswith("OBJECT"), value)
+    return let(F.try_parse_json(F.regexp_replace(c, "^﻿", "")), lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v))
 
 
 def read_annotations(spark: SparkSession, root: str) -> DataFrame:

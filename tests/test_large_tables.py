@@ -1,8 +1,12 @@
 """Queries on keys and shapes that only larger tables have."""
 
+import time
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from graincut.functions import outlines, rings
 from graincut.plans import record_queries, release_queries
 
 SF = "/root/testdata/sf0.001"
@@ -29,3 +33,37 @@ def test_class_variants_reads_all_digits_of_a_key(spark, wide_parts):
 def test_payloads_are_dealt_to_all_tasks(spark):
     tasks = record_queries._records(spark, SF).where("payload is not null").select(F.spark_partition_id().alias("k"), "is_normal").distinct()
     assert tasks.select("k").distinct().count() == 8
+
+
+def test_many_rings_are_repaired_at_once():
+    """A batch of bowties, rings that touch themselves and rings that the frame cuts in two takes seconds, not a walk each."""
+    kinds = [[0, 0, 6, 6, 6, 2, 0, 2], [0, 0, 4, 0, 4, 4, 2, 0, 0, 4], [12, 1, 12, 7, 8, 7, 8, 5, 11, 5, 11, 3, 8, 3, 8, 1]]
+    flats = [[float(v) for v in kinds[k % 3]] for k in range(12_000)]
+    began = time.process_time()
+    found = outlines.rings_in_frames(np.array([v for flat in flats for v in flat]).reshape(-1, 2), np.array([len(f) // 2 for f in flats]), np.full(12_000, 10.0), np.full(12_000, 10.0))
+    assert time.process_time() - began < 4
+    changed, area, _, sizes, of = found
+    assert changed.all() and area[:3].tolist() == [8.0, 8.0, 8.0] and np.bincount(of)[:3].tolist() == [1, 2, 2] and sizes[:5].tolist() == [3, 3, 3, 4, 4]
+
+
+POINTS = {
+    "[]": [], "[1,2,3]": rings.ODD_LENGTH, "[[1,2],[3,4]]": [1, 2, 3, 4], "[[1,2],[3]]": rings.NOT_NUMERIC, "[[1,2],[3,4,5]]": rings.NOT_NUMERIC, "[[1,null],[2,3]]": rings.NOT_NUMERIC,
+    "[1,null]": rings.NOT_NUMERIC, "[null]": rings.ODD_LENGTH, "[[1,2],null]": rings.NOT_NUMERIC, "[[1,2],3]": rings.NOT_NUMERIC, '{"x":1}': rings.NO_STRUCTURE, "null": rings.NO_STRUCTURE,
+    "[1,true]": rings.NOT_NUMERIC, '[[1,"2"],[3,4]]': rings.NOT_NUMERIC, "[1.5,2e3,-7,4]": [1.5, 2000, -7, 4], "[[]]": rings.ODD_LENGTH, "[[1.5,2],[3e1,4]]": [1.5, 2, 30, 4], None: rings.NO_STRUCTURE,
+}
+
+
+def test_points_are_read_by_the_type_of_their_list(spark):
+    df = spark.createDataFrame([(v,) for v in POINTS], "v string").select("v", rings.parse_points(F.try_parse_json("v")).alias("p"))
+    assert {r.v: r.p.issue or r.p.flat for r in df.collect()} == POINTS
+
+
+def times_parsed(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("parseJson(")
+
+
+def test_payloads_are_parsed_once_a_row(spark):
+    """A payload's text and the text of its points, each in one place of the plan at most."""
+    assert times_parsed(record_queries.payload_rollup(spark, SF)) == 2
+    assert times_parsed(record_queries.record_anomalies(spark, SF)) == 1
+    assert times_parsed(release_queries.label_conflicts(spark, SF)) <= 1
