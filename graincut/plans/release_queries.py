@@ -154,7 +154,7 @@ def label_conflicts(spark, sf):
     """Duplicates by picture, with signatures over the targets of JSON payloads."""
     mark = lambda shift: F.concat(F.lit('{"name":"damage","points":[['), F.col("l_quantity").cast("int").cast("string"), F.lit(",1],["), F.col("l_linenumber").cast("string"), F.lit(",9],[30,"), F.lit(str(shift)), F.lit("]]}"))
     each = F.struct("l_linenumber", "l_partkey", mark(20).alias("same"), mark(21).alias("moved"))
-    lines = read_table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o")).agg(F.array_sort(F.collect_list(each)).alias("x"))
+    lines = r.dealt(read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"), "l_orderkey").groupBy(F.col("l_orderkey").alias("o")).agg(F.array_sort(F.collect_list(each)).alias("x"))
     copies = lines.select("o", "x", F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
     second = F.reverse(F.transform("x", lambda t: F.when((F.col("o") % 5 == 0) & (t == F.get("x", F.lit(0))), t["moved"]).otherwise(t["same"])))
     marks = F.when(F.col("copy") == 0, F.transform("x", lambda t: t["same"])).otherwise(second)
