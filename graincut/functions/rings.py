@@ -185,7 +185,7 @@ def cut_to_frame(flat: Column, width: Column, height: Column) -> Column:
         ring = np.repeat(np.arange(len(sizes)), sizes)
         odd, finite = sizes % 2 == 1, np.bincount(ring, ~np.isfinite(values), len(sizes)) == 0
         xy, n = outlines.cleaned(values[(~odd & finite)[ring]].reshape(-1, 2), np.where(~odd & finite, sizes, 0) // 2)
-        few = outlines.distinct_points(xy, n) < 3
+        few = ~outlines.three_points(xy, n)
         issue = np.select([~given, odd, ~finite, few], [NO_STRUCTURE, ODD_LENGTH, NOT_FINITE, TOO_FEW], "")
         xy, n = xy[np.repeat(~few, n)], np.where(few, 0, n)
         changed, area, points, size, of = outlines.rings_in_frames(xy, n, w, h)
@@ -223,26 +223,24 @@ def convert_annotations(df, flat: str, width: Column, height: Column, issue: str
     known = F.col(issue) if issue else F.lit(None).cast("string")
     framed = (width > 0) & (height > 0)
     df = df.withColumn("__cut", cut_to_frame(F.when(known.isNull() & framed, F.col(flat)), width, height))
-    given = F.when(~framed, "invalid_frame").otherwise(F.coalesce(known, F.col("__cut.issue")))
+    bounds, ringed, valid = F.col("__cut.bounds"), F.size("__cut.parts") > 0, F.size("__cut.bounds") > 0
     # What is left of an outline that is no part is flat or has sides.
-    line = F.when(F.size("__cut.parts") == 0, F.get("__cut.bounds", F.lit(0)))
-    df = once(
-        df,
-        __issue=given,
-        boxes=F.transform("__cut.bounds", lambda b: box(b, width, height)),
-        box_ratio=F.when(F.size("__cut.parts") > 0, F.array_max(F.transform("__cut.bounds", lambda b: rounded_box_ratio(b, width, height)))).otherwise(0.0),
-        min_extent=F.coalesce((line["x1"] >= line["x2"]) | (line["y1"] >= line["y2"]), F.lit(False)),
-    )
-    usable, ringed, valid = F.col("__issue").isNull(), F.size("__cut.parts") > 0, F.size("boxes") > 0
+    line = F.when(~ringed, F.get(bounds, F.lit(0)))
+    df = df.withColumn("__issue", F.when(~framed, "invalid_frame").otherwise(F.coalesce(known, F.col("__cut.issue"))))
+    usable = F.col("__issue").isNull()
     codes = [
         F.col("__issue"),
         F.when(F.col("__cut.changed"), REPAIRED),
         F.when(usable & ~valid, "invalid_detection_bbox"),
         F.when(usable & ~ringed, "empty_or_zero_area_after_clip"),
     ]
+    # Plain columns of what the batches give, so that those that no step reads are not computed.
     more = {
+        "boxes": F.transform(bounds, lambda b: box(b, width, height)), "n_boxes": F.size(bounds), "box_valid": valid,
+        "box_ratio": F.when(ringed, F.array_max(F.transform(bounds, lambda b: rounded_box_ratio(b, width, height)))).otherwise(0.0),
+        "min_extent": F.coalesce((line["x1"] >= line["x2"]) | (line["y1"] >= line["y2"]), F.lit(False)),
         "ring": F.when(usable, cleaned(ring_of_flat(F.col(flat)))), "parts": F.col("__cut.parts"), "area_ratio": F.when(usable, F.col("__cut.area") / (width.cast("double") * height)).otherwise(0.0),
-        "ring_valid": ringed, "box_valid": valid, "n_boxes": F.size("boxes"), "n_rings": F.size("__cut.parts"), "issues": F.array_compact(F.array(*codes)),
+        "ring_valid": ringed, "n_rings": F.size("__cut.parts"), "issues": F.array_compact(F.array(*codes)),
     }
     return df.withColumns(more).drop("__issue", "__cut")
 

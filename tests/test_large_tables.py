@@ -67,3 +67,16 @@ def test_payloads_are_parsed_once_a_row(spark):
     assert times_parsed(record_queries.payload_rollup(spark, SF)) == 2
     assert times_parsed(record_queries.record_anomalies(spark, SF)) == 1
     assert times_parsed(release_queries.label_conflicts(spark, SF)) <= 1
+
+
+def test_three_points_are_told_from_two():
+    rows = np.random.default_rng(3).integers(0, 2, (400, 2)).astype(float)
+    sizes = np.tile([0, 1, 2, 3, 4], 40)
+    ends = np.cumsum(sizes)
+    assert outlines.three_points(rows, sizes).tolist() == [len({*map(tuple, rows[e - n : e])}) >= 3 for n, e in zip(sizes, ends, strict=True)]
+
+
+@pytest.mark.parametrize("query", [record_queries.planted_totals, record_queries.planted_rollup, record_queries.conversion_issues, record_queries.label_lines, release_queries.geometry_totals])
+def test_measures_that_no_step_reads_are_not_computed(spark, query):
+    """The share of a rounded box is an expensive column, and only the largest extents are taken of it."""
+    assert "array_max(" not in query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
