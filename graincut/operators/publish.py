@@ -132,8 +132,9 @@ def label_faults(lines: Column, is_normal: Column, n_classes: int, fields: int |
 
 def training_view(items: DataFrame, labels: DataFrame, images: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(view, missing): items with a label, and those of them whose image is missing. See view_rows for the choice of items."""
-    labelled = items.join(labels.select(key).distinct(), key, "left_semi")
-    return labelled.join(images.select(key).distinct(), key, "left_semi"), labelled.join(images.select(key).distinct(), key, "left_anti")
+    # Semi and anti joins take repeated keys as they are: a step that drops them would only hold them in memory.
+    labelled = items.join(labels.select(key), key, "left_semi")
+    return labelled.join(images.select(key), key, "left_semi"), labelled.join(images.select(key), key, "left_anti")
 
 
 def view_rows(items: DataFrame, kind: str, task: str, fold: int | None = None, include_test: bool = False) -> DataFrame:

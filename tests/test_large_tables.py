@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graincut.functions import outlines, rings
+from graincut.operators import publish
 from graincut.plans import record_queries, release_queries
 
 SF = "/root/testdata/sf0.001"
@@ -80,3 +81,11 @@ def test_three_points_are_told_from_two():
 def test_measures_that_no_step_reads_are_not_computed(spark, query):
     """The share of a rounded box is an expensive column, and only the largest extents are taken of it."""
     assert "array_max(" not in query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_view_holds_no_set_of_all_keys(spark):
+    """Labels and images may have a key several times; no step gathers their keys first."""
+    items, labels, images = (spark.createDataFrame([(k,) for k in x], "id int") for x in ((1, 2, 3), (1, 1, 2, 2), (1, 1)))
+    view, missing = publish.training_view(items, labels, images, "id")
+    assert [r.id for r in view.collect()] == [1] and [r.id for r in missing.collect()] == [2]
+    assert not any("Aggregate" in x._jdf.queryExecution().optimizedPlan().toString() for x in (view, missing))
