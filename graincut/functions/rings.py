@@ -164,17 +164,20 @@ def canonical_ring(ring: Column) -> Column:
 RING = "array<struct<x:double,y:double>>"
 
 
-CUT = f"issue string, changed boolean, area double, parts array<{RING}>, bounds array<struct<x1:double,y1:double,x2:double,y2:double>>"
+CUT = "issue string, changed boolean, area double, n_parts int, n_bounds int, min_extent boolean"
+MEASURES = {"bounds": "array<struct<x1:double,y1:double,x2:double,y2:double>>", "boxes": "array<struct<cx:double,cy:double,w:double,h:double>>", "box_ratio": "double", "parts": f"array<{RING}>"}
+ISSUES = [NO_STRUCTURE, ODD_LENGTH, NOT_FINITE, TOO_FEW]
 
 
-def cut_to_frame(flat: Column, width: Column, height: Column) -> Column:
-    """struct(issue, changed, area, parts, bounds) of a flat list of points: repaired where its ring crosses or touches itself, cut to
-    [0, width] x [0, height].
+def cut_to_frame(flat: Column, width: Column, height: Column, measures: tuple[str, ...] = ("bounds", "parts")) -> Column:
+    """struct(issue, changed, area, n_parts, n_bounds, min_extent, and of bounds, boxes, box_ratio and parts those in ``measures``) of
+    a flat list of points: repaired where its ring crosses or touches itself, cut to [0, width] x [0, height].
 
     issue is that of point_issue; the ring is that of cleaned. parts are the outer rings of what is left, none if there is an issue or
     if no area is left. A simple ring inside the frame is its own only part, as given; all others are in canonical form and in the order
     of bounds, area and vertices. area is that of all parts, without holes. bounds are the parts', or if there are none the bounds of what
-    the frame holds of the outline, if any. The rules are those of the module outlines.
+    the frame holds of the outline, if any; min_extent: these are flat. boxes are box of the bounds, box_ratio the largest
+    rounded_box_ratio of the parts', 0 without parts. The rules are those of the module outlines.
     """
 
     def work(flats: pa.Array, widths: pa.Array, heights: pa.Array) -> pa.Array:
@@ -186,18 +189,34 @@ def cut_to_frame(flat: Column, width: Column, height: Column) -> Column:
         odd, finite = sizes % 2 == 1, np.bincount(ring, ~np.isfinite(values), len(sizes)) == 0
         xy, n = outlines.cleaned(values[(~odd & finite)[ring]].reshape(-1, 2), np.where(~odd & finite, sizes, 0) // 2)
         few = ~outlines.three_points(xy, n)
-        issue = np.select([~given, odd, ~finite, few], [NO_STRUCTURE, ODD_LENGTH, NOT_FINITE, TOO_FEW], "")
+        issue = np.select([~given, odd, ~finite, few], range(len(ISSUES)), -1)
         xy, n = xy[np.repeat(~few, n)], np.where(few, 0, n)
-        changed, area, points, size, of = outlines.rings_in_frames(xy, n, w, h)
+        changed, area, points, size, of = outlines.rings_in_frames(xy, n, w, h, normal="parts" in measures)
         bounds, has = outlines.bounds_in_frames(xy, n, w, h, points, size, of)
+        held = np.bincount(of, minlength=len(n))
+        flat = np.zeros(len(n), bool)
+        line = (held == 0) & (has > 0)
+        low, high = np.split(bounds[(np.cumsum(has) - has)[line]], 2, axis=1)
+        flat[line] = (low >= high).any(axis=1)
+        frames = np.repeat(np.column_stack([w, h]), has, axis=0)
         ends = lambda k: pa.array(np.concatenate([[0], np.cumsum(k)]), pa.int32())
         fields = lambda v, names: pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(x)) for x in v.T], names)
-        parts = pa.ListArray.from_arrays(ends(np.bincount(of, minlength=len(n))), pa.ListArray.from_arrays(ends(size), fields(points, ["x", "y"])))
-        boxes = pa.ListArray.from_arrays(ends(has), fields(bounds, ["x1", "y1", "x2", "y2"]))
-        return pa.StructArray.from_arrays([pa.array(issue, pa.string(), mask=issue == ""), pa.array(changed), pa.array(area), parts, boxes], ["issue", "changed", "area", "parts", "bounds"])
+        code = pa.array(ISSUES).take(pa.array(issue, pa.int32(), mask=issue < 0))
+        columns = {"issue": code, "changed": pa.array(changed), "area": pa.array(area), "n_parts": pa.array(held, pa.int32()), "n_bounds": pa.array(has, pa.int32()), "min_extent": pa.array(flat)}
+        if "bounds" in measures:
+            columns["bounds"] = pa.ListArray.from_arrays(ends(has), fields(bounds, ["x1", "y1", "x2", "y2"]))
+        if "boxes" in measures:
+            columns["boxes"] = pa.ListArray.from_arrays(ends(has), fields(outlines.boxes(bounds, frames), ["cx", "cy", "w", "h"]))
+        if "box_ratio" in measures:
+            ratios, largest = outlines.rounded_box_ratios(bounds, frames), np.zeros(len(n))
+            np.maximum.at(largest, np.repeat(np.arange(len(n)), has), np.where(np.repeat(held > 0, has), ratios, 0.0))
+            columns["box_ratio"] = pa.array(largest)
+        if "parts" in measures:
+            columns["parts"] = pa.ListArray.from_arrays(ends(held), pa.ListArray.from_arrays(ends(size), fields(points, ["x", "y"])))
+        return pa.StructArray.from_arrays(list(columns.values()), list(columns))
 
     work.__annotations__ = dict.fromkeys(("flats", "widths", "heights", "return"), pa.Array)
-    return F.arrow_udf(work, CUT)(flat, width.cast("double"), height.cast("double"))
+    return F.arrow_udf(work, ", ".join([CUT, *[f"{name} {kind}" for name, kind in MEASURES.items() if name in measures]]))(flat, width.cast("double"), height.cast("double"))
 
 
 def parts_in_frame(ring: Column, width: Column, height: Column) -> Column:
@@ -211,36 +230,35 @@ def once(df, **columns: Column):
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
-def convert_annotations(df, flat: str, width: Column, height: Column, issue: str | None = None):
+def convert_annotations(df, flat: str, width: Column, height: Column, issue: str | None = None, measures: tuple[str, ...] = ("boxes", "box_ratio", "parts")):
     """``df``, a row per annotation, with ring, parts, boxes, n_boxes, n_rings, box_ratio, area_ratio, box_valid,
     ring_valid, min_extent and issues, from the flat points of column ``flat``.
 
     ``issue`` is a column of codes found before, as by parse_points; such rows are not converted. parts are
     the rings to write, boxes one for each, see parts_in_frame; box_ratio is the largest box's. A ring with
     nothing left may still have part of its outline in the frame: its only box is that outline's, flat
-    sides widened, and it has no ring.
+    sides widened, and it has no ring. Shapes are most of what a batch works out and gives back: of boxes, box_ratio
+    and parts (with ring) only those in ``measures`` are there.
     """
     known = F.col(issue) if issue else F.lit(None).cast("string")
     framed = (width > 0) & (height > 0)
-    df = df.withColumn("__cut", cut_to_frame(F.when(known.isNull() & framed, F.col(flat)), width, height))
-    bounds, ringed, valid = F.col("__cut.bounds"), F.size("__cut.parts") > 0, F.size("__cut.bounds") > 0
-    # What is left of an outline that is no part is flat or has sides.
-    line = F.when(~ringed, F.get(bounds, F.lit(0)))
+    df = df.withColumn("__cut", cut_to_frame(F.when(known.isNull() & framed, F.col(flat)), width, height, measures))
+    ringed, valid = F.col("__cut.n_parts") > 0, F.col("__cut.n_bounds") > 0
     df = df.withColumn("__issue", F.when(~framed, "invalid_frame").otherwise(F.coalesce(known, F.col("__cut.issue"))))
     usable = F.col("__issue").isNull()
-    codes = [
-        F.col("__issue"),
-        F.when(F.col("__cut.changed"), REPAIRED),
-        F.when(usable & ~valid, "invalid_detection_bbox"),
-        F.when(usable & ~ringed, "empty_or_zero_area_after_clip"),
-    ]
+    # A row with an issue has no parts and is not changed, and one that is changed has parts: these are all cases.
+    empty, no_box = F.lit("empty_or_zero_area_after_clip"), F.lit("invalid_detection_bbox")
+    issues = (
+        F.when(~usable, F.array("__issue")).when(F.col("__cut.changed"), F.array(F.lit(REPAIRED)))
+        .when(ringed, F.array().cast("array<string>")).when(valid, F.array(empty)).otherwise(F.array(no_box, empty))
+    )
     # Plain columns of what the batches give, so that those that no step reads are not computed.
-    more = {
-        "boxes": F.transform(bounds, lambda b: box(b, width, height)), "n_boxes": F.size(bounds), "box_valid": valid,
-        "box_ratio": F.when(ringed, F.array_max(F.transform(bounds, lambda b: rounded_box_ratio(b, width, height)))).otherwise(0.0),
-        "min_extent": F.coalesce((line["x1"] >= line["x2"]) | (line["y1"] >= line["y2"]), F.lit(False)),
-        "ring": F.when(usable, cleaned(ring_of_flat(F.col(flat)))), "parts": F.col("__cut.parts"), "area_ratio": F.when(usable, F.col("__cut.area") / (width.cast("double") * height)).otherwise(0.0),
-        "ring_valid": ringed, "n_rings": F.size("__cut.parts"), "issues": F.array_compact(F.array(*codes)),
+    more = {name: F.col(f"__cut.{name}") for name in measures}
+    if "parts" in measures:
+        more["ring"] = F.when(usable, cleaned(ring_of_flat(F.col(flat))))
+    more |= {
+        "n_boxes": F.col("__cut.n_bounds"), "box_valid": valid, "n_rings": F.col("__cut.n_parts"), "ring_valid": ringed, "min_extent": F.col("__cut.min_extent"),
+        "area_ratio": F.when(usable, F.col("__cut.area") / (width.cast("double") * height)).otherwise(0.0), "issues": issues,
     }
     return df.withColumns(more).drop("__issue", "__cut")
 

@@ -110,7 +110,7 @@ def segment_alias(raw: Column | str, aliases: dict[str, str], blank: str = "BLAN
 
 def fixed8(value: Column | str) -> Column:
     """Text with 8 decimals, without grouping."""
-    return F.regexp_replace(F.format_number(_col(value), 8), ",", "")
+    return F.translate(F.format_number(_col(value), 8), ",", "")
 
 
 def fixed8_unit(value: Column | str) -> Column:

@@ -70,11 +70,11 @@ def _lines(spark, sf) -> DataFrame:
 
 
 # Rectangles of lineitem as flat rings in a frame, a row per annotation.
-def _converted(spark, sf) -> DataFrame:
+def _converted(spark, sf, *measures: str) -> DataFrame:
     x, y = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double") * 10
     w, h = F.rint(F.col("l_discount") * 100) * 3, F.rint(F.col("l_tax") * 100) * 3
     flat = F.array(x, y, x + w, y, x + w, y + h, x, y + h)
-    return rings.convert_annotations(_lines(spark, sf).select("l_orderkey", "l_returnflag", flat.alias("flat")), "flat", F.lit(FRAME), F.lit(FRAME))
+    return rings.convert_annotations(_lines(spark, sf).select("l_orderkey", "l_returnflag", flat.alias("flat")), "flat", F.lit(FRAME), F.lit(FRAME), measures=measures)
 
 
 _CONVERT_SQL = """WITH p AS (SELECT l_orderkey, l_returnflag, l_partkey % 13 AS fault, l_quantity AS x1, l_linenumber * 10 AS y1, l_quantity + round(l_discount * 100) * 3 AS x2, l_linenumber * 10 + round(l_tax * 100) * 3 AS y2 FROM lineitem),
@@ -89,7 +89,7 @@ a AS (SELECT *, box_valid AND NOT ring_valid AS min_extent, CASE WHEN ring_valid
 SELECT item_id, n_given, CASE WHEN bh THEN n_given ELSE 0 END AS n_boxes, CASE WHEN rh THEN n_given ELSE 0 END AS n_rings, min_extent, extent_sum, extent_max,
   CASE WHEN NOT bh THEN 'invalid_target_polygon' END AS box_reason, CASE WHEN NOT rh THEN 'ring_repair_failed' END AS ring_reason FROM i""")
 def record_rollup(spark, sf):
-    converted = _converted(spark, sf).withColumnRenamed("l_orderkey", "item_id")
+    converted = _converted(spark, sf, "box_ratio").withColumnRenamed("l_orderkey", "item_id")
     return reports.roll_up(converted, ["item_id"], F.col("l_returnflag") == "R").drop("n_more_parts").withColumns({c: F.round(c, 6) for c in ("extent_sum", "extent_max")})
 
 
@@ -100,7 +100,7 @@ def conversion_issues(spark, sf):
     return _converted(spark, sf).select(F.explode("issues").alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _planted(spark, sf) -> DataFrame:
+def _planted(spark, sf, *measures: str) -> DataFrame:
     """Rings of six kinds, by order, converted: unequal bowtie, bowtie whose areas cancel, ring that touches itself, U that the
     frame cuts in two, line, square."""
     s, x, y = F.col("l_linenumber") + 1.0, F.col("l_quantity").cast("double") % 20, (F.col("l_partkey") % 20).cast("double")
@@ -116,7 +116,7 @@ def _planted(spark, sf) -> DataFrame:
         .when(kind == 4, flat(zero, zero, 2 * s, zero, s, zero))
         .otherwise(flat(zero, zero, s, zero, s, s, zero, s))
     )
-    return rings.convert_annotations(_lines(spark, sf).select("l_orderkey", "l_linenumber", ring.alias("flat")), "flat", f, f)
+    return rings.convert_annotations(_lines(spark, sf).select("l_orderkey", "l_linenumber", ring.alias("flat")), "flat", f, f, measures=measures)
 
 
 _PLANTED_SQL = """WITH p AS (SELECT l_orderkey, l_linenumber, l_orderkey % 6 AS k, l_linenumber + 1 AS s, l_quantity::BIGINT % 20 AS x, l_partkey % 20 AS y FROM lineitem)"""
@@ -135,7 +135,7 @@ def planted_rings(spark, sf):
     points = F.flatten(F.transform(F.get("parts", F.lit(0)), lambda p: F.array(F.rint(p["x"]).cast("long"), F.rint(p["y"]).cast("long"))))
     last = F.element_at("boxes", -1)
     box = F.array(*[F.floor(last[c] * FRAME * 2 + 1e-6).cast("long") for c in ("cx", "cy", "w", "h")])
-    return _planted(spark, sf).select(
+    return _planted(spark, sf, "boxes", "parts").select(
         "l_orderkey", "l_linenumber", "n_boxes", "n_rings", F.round(F.col("area_ratio") * FRAME * FRAME, 6).alias("area"), "min_extent", text(points).alias("first_ring"), text(box).alias("last_box"),
         F.array_join("issues", ",").alias("issues"),
     )
@@ -150,11 +150,11 @@ def planted_totals(spark, sf):
 @query(_PLANTED_SQL + """ SELECT l_orderkey AS item_id, count(*) AS n_given, sum(CASE WHEN k IN (2, 3) THEN 2 ELSE 1 END)::BIGINT AS n_boxes, CASE WHEN any_value(k) = 4 THEN 0 ELSE sum(CASE WHEN k IN (2, 3) THEN 2 ELSE 1 END) END::BIGINT AS n_rings,
   sum(CASE WHEN k IN (2, 3) THEN 1 ELSE 0 END)::BIGINT AS n_more_parts, CASE WHEN any_value(k) = 4 THEN 'ring_repair_failed' END AS ring_reason FROM p GROUP BY 1""")
 def planted_rollup(spark, sf):
-    rolled = reports.roll_up(_planted(spark, sf).withColumnRenamed("l_orderkey", "item_id"), ["item_id"], F.lit(True))
+    rolled = reports.roll_up(_planted(spark, sf, "box_ratio").withColumnRenamed("l_orderkey", "item_id"), ["item_id"], F.lit(True))
     return rolled.select("item_id", "n_given", "n_boxes", "n_rings", "n_more_parts", "ring_reason")
 
 
-def _payload_rectangles(spark, sf) -> DataFrame:
+def _payload_rectangles(spark, sf, *measures: str) -> DataFrame:
     """The rectangles as annotations in JSON payloads, as pairs or flat by order, some with faults, converted."""
     x, y = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double") * 10
     w, h = F.rint(F.col("l_discount") * 100) * 3, F.rint(F.col("l_tax") * 100) * 3
@@ -169,7 +169,7 @@ def _payload_rectangles(spark, sf) -> DataFrame:
     lines = _lines(spark, sf).select("l_orderkey", "l_returnflag", body.alias("body"))
     found = lines.select("l_orderkey", "l_returnflag", F.explode(records.defects(parse_json("body"))).alias("d"))
     parsed = found.select("l_orderkey", "l_returnflag", F.inline(F.array(rings.parse_points(F.try_parse_json("d.points")))))
-    return rings.convert_annotations(parsed, "flat", F.lit(FRAME), F.lit(FRAME), "issue")
+    return rings.convert_annotations(parsed, "flat", F.lit(FRAME), F.lit(FRAME), "issue", measures=measures)
 
 
 _PAYLOAD_SQL = _CONVERT_SQL + """, w AS (SELECT l_orderkey, l_returnflag, fault, ok, x2, y2, fault > 3 AND box_valid AS box_valid, fault > 3 AND ring_valid AS ring_valid, CASE WHEN fault > 3 THEN ratio ELSE 0 END AS ratio FROM a)"""
@@ -178,7 +178,7 @@ _PAYLOAD_SQL = _CONVERT_SQL + """, w AS (SELECT l_orderkey, l_returnflag, fault,
 @query(_PAYLOAD_SQL + """ SELECT l_orderkey AS item_id, count(*) AS n_given, CASE WHEN bool_and(box_valid) THEN count(*) ELSE 0 END AS n_boxes, CASE WHEN bool_and(ring_valid) THEN count(*) ELSE 0 END AS n_rings,
   round(coalesce(sum(ratio) FILTER (l_returnflag = 'R'), 0), 6) AS extent_sum FROM w GROUP BY 1""")
 def payload_rollup(spark, sf):
-    converted = _payload_rectangles(spark, sf).withColumnRenamed("l_orderkey", "item_id")
+    converted = _payload_rectangles(spark, sf, "box_ratio").withColumnRenamed("l_orderkey", "item_id")
     rolled = reports.roll_up(converted, ["item_id"], F.col("l_returnflag") == "R")
     return rolled.select("item_id", "n_given", "n_boxes", "n_rings", F.round("extent_sum", 6).alias("extent_sum"))
 
@@ -195,7 +195,7 @@ def payload_issues(spark, sf):
 SELECT l_returnflag, count(*) AS n_boxes, round(median(w), 9) AS median_w, round(median(h), 9) AS median_h, round(median(aspect), 6) AS median_aspect,
   round(list_sort(list(round(aspect, 6)))[round_even((count(*) - 1) * 0.05, 0)::BIGINT + 1], 6) AS aspect_p05, round(list_sort(list(round(aspect, 6)))[round_even((count(*) - 1) * 0.95, 0)::BIGINT + 1], 6) AS aspect_p95 FROM s GROUP BY 1""")
 def box_shapes(spark, sf):
-    boxes = _converted(spark, sf).select("l_returnflag", F.inline("boxes"))
+    boxes = _converted(spark, sf, "boxes").select("l_returnflag", F.inline("boxes"))
     shapes = reports.box_shapes(boxes, ["l_returnflag"])
     return shapes.select("l_returnflag", "n_boxes", *[F.round(c, d).alias(c) for c, d in (("median_w", 9), ("median_h", 9), ("median_aspect", 6), ("aspect_p05", 6), ("aspect_p95", 6))])
 
@@ -205,7 +205,7 @@ SELECT item_id, CASE WHEN f = 3 THEN 0 ELSE n END AS n_lines, CASE f WHEN 0 THEN
 def label_lines(spark, sf):
     """Label lines of the items whose boxes all hold, some broken after writing, checked as written."""
     line = publish.box_text(records.class_id(F.when(F.col("l_returnflag") == "R", "Damaged").otherwise("Pollution"), F.lit("B")), F.col("drawn"))
-    items = _converted(spark, sf).withColumn("drawn", F.explode_outer("boxes")).groupBy(F.col("l_orderkey").alias("item_id")).agg(F.array_sort(F.collect_list(F.when(F.col("box_valid"), line))).alias("lines"), F.bool_and("box_valid").alias("ok"))
+    items = _converted(spark, sf, "boxes").withColumn("drawn", F.explode_outer("boxes")).groupBy(F.col("l_orderkey").alias("item_id")).agg(F.array_sort(F.collect_list(F.when(F.col("box_valid"), line))).alias("lines"), F.bool_and("box_valid").alias("ok"))
     fault = F.col("item_id") % 9
     broken = F.transform("lines", lambda x: F.when(fault == 0, F.concat(x, F.lit(" 0.5"))).when(fault == 1, F.concat(F.lit("7"), F.substring(x, 2, 1000))).when(fault == 2, F.concat(F.substring(x, 1, 2), F.lit("1.5"), F.substring(x, 13, 1000))).otherwise(x))
     written = items.where("ok").select("item_id", F.when(fault == 3, F.array().cast("array<string>")).otherwise(broken).alias("lines"))

@@ -89,3 +89,40 @@ def test_a_view_holds_no_set_of_all_keys(spark):
     view, missing = publish.training_view(items, labels, images, "id")
     assert [r.id for r in view.collect()] == [1] and [r.id for r in missing.collect()] == [2]
     assert not any("Aggregate" in x._jdf.queryExecution().optimizedPlan().toString() for x in (view, missing))
+
+
+def test_equal_outlines_of_a_batch_are_repaired_once(monkeypatch):
+    """Copies take what the first one comes to, in its own order; another frame makes another ring."""
+    kinds = [[0, 0, 6, 6, 6, 2, 0, 2], [0, 0, 4, 0, 4, 4, 2, 0, 0, 4], [12, 1, 12, 7, 8, 7, 8, 5, 11, 5, 11, 3, 8, 3, 8, 1], [0, 0, 4, 0, 2, 0], [1, 1, 2, 1, 2, 2]]
+    rings_of = [np.array(kinds[k % 5], float).reshape(-1, 2) for k in range(2000)]
+    widths, seen, faces = np.where(np.arange(2000) < 1000, 10.0, 9.0), [], outlines.Faces
+    monkeypatch.setattr(outlines, "Faces", lambda a, *more: seen.append(len(a)) or faces(a, *more))
+    changed, area, points, sizes, of = outlines.rings_in_frames(np.concatenate(rings_of), np.array([len(r) for r in rings_of]), widths, np.full(2000, 10.0))
+    assert sum(seen) <= 2 * (4 + 5 + 8 + 4 + 3)
+    ends = np.cumsum(sizes)
+    for k in (0, 1, 2, 3, 4, 1002, 1995, 1996, 1997, 1998, 1999):
+        one = outlines.parts_in_frame([(x, y) for x, y in rings_of[k].tolist()], widths[k], 10.0)
+        assert one == (changed[k], area[k], [[(x, y) for x, y in points[ends[i] - sizes[i] : ends[i]].tolist()] for i in np.flatnonzero(of == k)])
+
+
+@pytest.mark.parametrize(
+    ("query", "measures"),
+    [(record_queries.planted_totals, ()), (record_queries.conversion_issues, ()), (release_queries.geometry_totals, ()), (record_queries.record_rollup, ("box_ratio",)), (record_queries.box_shapes, ("boxes",)), (record_queries.label_lines, ("boxes",))],
+)
+def test_batches_give_back_only_shapes_that_are_read(spark, monkeypatch, query, measures):
+    asked, cut = [], rings.cut_to_frame
+    monkeypatch.setattr(rings, "cut_to_frame", lambda flat, width, height, m: asked.append(m) or cut(flat, width, height, m))
+    query(spark, SF)
+    assert asked == [measures]
+
+
+def test_boxes_of_batches_are_those_of_columns(spark):
+    """Also of flat sides, outside the frame, and at halves of the last digit."""
+    r = np.random.default_rng(5)
+    some = np.sort(r.uniform(-2, 12, (3000, 2, 2)), axis=1).reshape(-1, 4)
+    ties = np.sort((r.integers(0, 10**8, (3000, 2, 2)) + 0.5) / 1e7, axis=1).reshape(-1, 4)
+    rows = np.concatenate([some, ties, np.sort(r.integers(0, 4, (300, 2, 2)) * 2.5, axis=1).reshape(-1, 4)])
+    b = F.struct("x1", "y1", "x2", "y2")
+    df = spark.createDataFrame(rows.tolist(), "x1 double, y1 double, x2 double, y2 double").select(rings.box(b, F.lit(10.0), F.lit(10.0)).alias("b"), rings.rounded_box_ratio(b, F.lit(10.0), F.lit(10.0)).alias("ratio"))
+    found, frames = df.select("b.*", "ratio").collect(), np.full((len(rows), 2), 10.0)
+    assert [tuple(x) for x in found] == [(*box, ratio) for box, ratio in zip(outlines.boxes(rows, frames).tolist(), outlines.rounded_box_ratios(rows, frames).tolist(), strict=True)]
