@@ -204,11 +204,14 @@ def box_shapes(spark, sf):
 SELECT item_id, CASE WHEN f = 3 THEN 0 ELSE n END AS n_lines, CASE f WHEN 0 THEN 'field_count' WHEN 1 THEN 'class_id' WHEN 2 THEN 'coordinate' WHEN 3 THEN 'defect_empty' WHEN 4 THEN 'normal_not_empty' ELSE '' END AS faults FROM k""")
 def label_lines(spark, sf):
     """Label lines of the items whose boxes all hold, some broken after writing, checked as written."""
-    line = publish.box_text(records.class_id(F.when(F.col("l_returnflag") == "R", "Damaged").otherwise("Pollution"), F.lit("B")), F.col("drawn"))
-    items = _converted(spark, sf, "boxes").withColumn("drawn", F.explode_outer("boxes")).groupBy(F.col("l_orderkey").alias("item_id")).agg(F.array_sort(F.collect_list(F.when(F.col("box_valid"), line))).alias("lines"), F.bool_and("box_valid").alias("ok"))
+    class_id = records.class_id(F.when(F.col("l_returnflag") == "R", "Damaged").otherwise("Pollution"), F.lit("B"))
+    items = _converted(spark, sf, "boxes").groupBy(F.col("l_orderkey").alias("item_id")).agg(F.collect_list(F.struct(class_id.alias("id"), "boxes")).alias("drawn"), F.bool_and("box_valid").alias("ok"))
+    # Texts cost more than numbers, and items whose boxes don't all hold have none.
+    lines = F.array_sort(F.flatten(F.transform("drawn", lambda d: F.transform(d["boxes"], lambda drawn: publish.box_text(d["id"], drawn)))))
+    items = rings.once(items.where("ok").select("item_id", "drawn"), lines=lines)
     fault = F.col("item_id") % 9
     broken = F.transform("lines", lambda x: F.when(fault == 0, F.concat(x, F.lit(" 0.5"))).when(fault == 1, F.concat(F.lit("7"), F.substring(x, 2, 1000))).when(fault == 2, F.concat(F.substring(x, 1, 2), F.lit("1.5"), F.substring(x, 13, 1000))).otherwise(x))
-    written = items.where("ok").select("item_id", F.when(fault == 3, F.array().cast("array<string>")).otherwise(broken).alias("lines"))
+    written = items.select("item_id", F.when(fault == 3, F.array().cast("array<string>")).otherwise(broken).alias("lines"))
     return written.select("item_id", F.size("lines").cast("long").alias("n_lines"), F.array_join(publish.label_faults(F.col("lines"), fault == 4, 2, 5), ",").alias("faults"))
 
 

@@ -126,3 +126,9 @@ def test_boxes_of_batches_are_those_of_columns(spark):
     df = spark.createDataFrame(rows.tolist(), "x1 double, y1 double, x2 double, y2 double").select(rings.box(b, F.lit(10.0), F.lit(10.0)).alias("b"), rings.rounded_box_ratio(b, F.lit(10.0), F.lit(10.0)).alias("ratio"))
     found, frames = df.select("b.*", "ratio").collect(), np.full((len(rows), 2), 10.0)
     assert [tuple(x) for x in found] == [(*box, ratio) for box, ratio in zip(outlines.boxes(rows, frames).tolist(), outlines.rounded_box_ratios(rows, frames).tolist(), strict=True)]
+
+
+def test_texts_are_made_of_kept_items_only(spark):
+    """Label lines are no part of the aggregate that tells which items keep their boxes."""
+    plan = record_queries.label_lines(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "format_number(" in plan and not any("format_number(" in x for x in plan.splitlines() if "Aggregate [" in x)
