@@ -102,15 +102,16 @@ def _same(by: list[str]) -> Column:
     return reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by], F.lit(True))
 
 
-def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: Callable[[Column], dict[str, Column]]) -> DataFrame:
+def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: Callable[[Column], dict[str, Column]], times: str | None = None) -> DataFrame:
     """``by``, n and a column for each of ``ranks``: the value at that rank from 0, given the number of values that are not NULL.
+    ``times`` is a column that says how many values a row stands for, else it is one.
 
     Distinct values with their counts are dealt to tasks by ranges of ``by`` and value, however many a group has.
     Range totals, a row per group and range, give every range the rank that it starts at; a range
     whose ranks hold a wanted one is the only one that a window looks into. So no task
     sorts a group, and none holds its values in memory. NULL keys are keys.
     """
-    counts = values.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = values.where(F.col(value).isNotNull()).groupBy(*by, value).agg((F.sum(times) if times else F.count(F.lit(1))).alias("__n"))
     ranged = settle(counts.repartitionByRange(*by, value).withColumn("__range", F.spark_partition_id()), "value-ranges")
     keys = [F.col(c).alias(f"__{c}") for c in by]
     per_range = ranged.groupBy("__range", *keys).agg(F.sum("__n").alias("__in"))
@@ -127,16 +128,16 @@ def values_at_ranks(values: DataFrame, by: list[str], value: str, ranks: Callabl
     return here.groupBy(*by).agg(F.max("n").alias("n"), *[hit(r).alias(name) for name, r in wanted.items()])
 
 
-def nearest_rank(values: DataFrame, by: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
+def nearest_rank(values: DataFrame, by: list[str], value: str, fractions: dict[str, float], times: str | None = None) -> DataFrame:
     """Percentiles at the 0-based rank round((n - 1) * f), halves to even, see values_at_ranks."""
-    return values_at_ranks(values, by, value, lambda n: {name: F.rint((n - 1) * F.lit(f)).cast("long") for name, f in fractions.items()})
+    return values_at_ranks(values, by, value, lambda n: {name: F.rint((n - 1) * F.lit(f)).cast("long") for name, f in fractions.items()}, times)
 
 
-def medians(values: DataFrame, by: list[str], names: dict[str, str]) -> DataFrame:
+def medians(values: DataFrame, by: list[str], names: dict[str, str], times: str | None = None) -> DataFrame:
     """``by`` and the median of each column of ``names`` under its name; of an even number the mean of the two middle values."""
     out = None
     for value, name in names.items():
-        pair = values_at_ranks(values, by, value, lambda n: {"__low": F.floor((n - 1) / 2).cast("long"), "__high": F.floor(n / 2).cast("long")})
+        pair = values_at_ranks(values, by, value, lambda n: {"__low": F.floor((n - 1) / 2).cast("long"), "__high": F.floor(n / 2).cast("long")}, times)
         own = pair.select(*by, ((F.col("__low") + F.col("__high")) / 2).alias(name))
         if out is None:
             out = own

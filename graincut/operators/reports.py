@@ -134,11 +134,13 @@ def rate_bin_report(groups: DataFrame, quotas: DataFrame, bins: tuple[str, ...])
 
 
 def box_shapes(boxes: DataFrame, by: list[str]) -> DataFrame:
-    """Per dataset: boxes, medians of width and height, nearest-rank percentiles of the aspect w / h (0 for flat boxes)."""
+    """Per dataset: boxes, medians of width and height, nearest-rank percentiles of the aspect w / h (0 for flat boxes).
+    Boxes of one width and height are counted first: they are written, divided, rounded and ranked once, with their number."""
     aspect = F.when(F.col("h") > 0, F.round(F.col("w") / F.col("h"), 12)).otherwise(0.0)
-    shaped = settle(boxes.select(*by, "w", "h", aspect.alias("aspect")), "boxes")
-    middle = medians(shaped, by, {"w": "median_w", "h": "median_h", "aspect": "median_aspect"})
-    ranks = nearest_rank(shaped, by, "aspect", {"aspect_p05": 0.05, "aspect_p95": 0.95})
+    counted = boxes.groupBy(*by, "w", "h").agg(F.count(F.lit(1)).alias("__times"))
+    shaped = settle(counted.select(*by, "w", "h", aspect.alias("aspect"), "__times"), "boxes")
+    middle = medians(shaped, by, {"w": "median_w", "h": "median_h", "aspect": "median_aspect"}, "__times")
+    ranks = nearest_rank(shaped, by, "aspect", {"aspect_p05": 0.05, "aspect_p95": 0.95}, "__times")
     # Boxes have sides, so both tables have a row for every dataset.
     other = ranks.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("n").alias("n_boxes"), "aspect_p05", "aspect_p95")
     return middle.join(other, same_keys(by, [f"__{c}" for c in by])).select(*by, "n_boxes", "median_w", "median_h", "median_aspect", "aspect_p05", "aspect_p95")

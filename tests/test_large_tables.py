@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graincut.functions import outlines, rings
-from graincut.operators import publish
+from graincut.operators import publish, reports
 from graincut.plans import record_queries, release_queries
 
 SF = "/root/testdata/sf0.001"
@@ -132,3 +132,18 @@ def test_texts_are_made_of_kept_items_only(spark):
     """Label lines are no part of the aggregate that tells which items keep their boxes."""
     plan = record_queries.label_lines(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "format_number(" in plan and not any("format_number(" in x for x in plan.splitlines() if "Aggregate [" in x)
+
+
+def test_equal_boxes_are_ranked_once_with_their_number(spark, monkeypatch):
+    """The table that is written has a row for each width and height; the ranks are those of all boxes."""
+    drawn = [(k % 3 == 0 and "R" or None, 0.1 * (k % 7 + 1), 0.2 * (k % 4)) for k in range(3000)]
+    sizes, settle = [], reports.settle
+    monkeypatch.setattr(reports, "settle", lambda df, label: sizes.append((kept := settle(df, label)).count()) or kept)
+    found = {r.c: r for r in reports.box_shapes(spark.createDataFrame(drawn, "c string, w double, h double"), ["c"]).collect()}
+    assert sizes == [len(set(drawn))]
+    for c in ("R", None):
+        w, h, aspect = (sorted(x) for x in zip(*[(w, h, round(w / h, 12) if h else 0.0) for k, w, h in drawn if k == c], strict=True))
+        middle = [(x[(len(x) - 1) // 2] + x[len(x) // 2]) / 2 for x in (w, h, aspect)]
+        r = found[c]
+        assert [r.median_w, r.median_h, r.median_aspect] == pytest.approx(middle, abs=1e-12) and r.n_boxes == len(w)
+        assert [r.aspect_p05, r.aspect_p95] == pytest.approx([aspect[round((len(w) - 1) * f)] for f in (0.05, 0.95)], abs=1e-12)
