@@ -186,13 +186,14 @@ def cut_to_frame(flat: Column, width: Column, height: Column, measures: tuple[st
         values = flats.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
         w, h = (pc.fill_null(x, 0.0).to_numpy() for x in (widths, heights))
         ring = np.repeat(np.arange(len(sizes)), sizes)
-        odd, finite = sizes % 2 == 1, np.bincount(ring, ~np.isfinite(values), len(sizes)) == 0
-        xy, n = outlines.cleaned(values[(~odd & finite)[ring]].reshape(-1, 2), np.where(~odd & finite, sizes, 0) // 2)
+        odd, finite = sizes % 2 == 1, ~outlines.some(~np.isfinite(values), ring, len(sizes))
+        read = ~odd & finite
+        xy, n = outlines.cleaned((values if read.all() else values[read[ring]]).reshape(-1, 2), np.where(read, sizes, 0) // 2)
         few = ~outlines.three_points(xy, n)
         issue = np.select([~given, odd, ~finite, few], range(len(ISSUES)), -1)
-        xy, n = xy[np.repeat(~few, n)], np.where(few, 0, n)
+        xy, n = xy.take(np.flatnonzero(np.repeat(~few, n)), axis=0), np.where(few, 0, n)
         changed, area, points, size, of = outlines.rings_in_frames(xy, n, w, h, normal="parts" in measures)
-        bounds, has = outlines.bounds_in_frames(xy, n, w, h, points, size, of)
+        bounds, has = outlines.bounds_in_frames(xy, n, w, h, points, size, of, bool({"bounds", "boxes", "box_ratio"} & {*measures}))
         held = np.bincount(of, minlength=len(n))
         flat = np.zeros(len(n), bool)
         line = (held == 0) & (has > 0)

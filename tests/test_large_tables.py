@@ -3,6 +3,7 @@
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +148,42 @@ def test_equal_boxes_are_ranked_once_with_their_number(spark, monkeypatch):
         r = found[c]
         assert [r.median_w, r.median_h, r.median_aspect] == pytest.approx(middle, abs=1e-12) and r.n_boxes == len(w)
         assert [r.aspect_p05, r.aspect_p95] == pytest.approx([aspect[round((len(w) - 1) * f)] for f in (0.05, 0.95)], abs=1e-12)
+
+
+class Watched(np.ndarray):
+    """An array that notes when rows of two axes are picked by an array, which copies them item by item."""
+
+    picked: list[int] = []  # noqa: RUF012
+
+    def __getitem__(self, key):
+        if self.ndim == 2 and isinstance(key, np.ndarray):
+            Watched.picked.append(len(self))
+        return super().__getitem__(key)
+
+
+def test_rows_of_points_are_taken_whole():
+    """Rectangles, some flat, some cut by the frame: no step indexes arrays of points."""
+    corners, sides = (np.random.default_rng(11).integers(0, n, (4000, 2)).astype(float) for n in (60, 30))
+    xy = np.stack([corners + sides * k for k in ([0, 0], [1, 0], [1, 1], [0, 1])], axis=1).reshape(-1, 2).view(Watched)
+    frame = np.full(4000, 50.0)
+    Watched.picked.clear()
+    points, n = outlines.cleaned(xy, np.full(4000, 4))
+    few = ~outlines.three_points(points, n)
+    points, n = points.take(np.flatnonzero(np.repeat(~few, n)), axis=0), np.where(few, 0, n)
+    changed, area, parts, sizes, of = outlines.rings_in_frames(points, n, frame, frame)
+    bounds, has = outlines.bounds_in_frames(points, n, frame, frame, parts, sizes, of)
+    assert not Watched.picked
+    left = np.clip(50 - corners, 0, sides) * (sides.min(axis=1, keepdims=True) > 0)
+    assert area.tolist() == left.prod(axis=1).tolist() and changed.tolist() == ((left != sides).any(axis=1) & (left.min(axis=1) > 0)).tolist()
+    assert bounds[np.repeat(area > 0, has)].tolist() == np.hstack([corners, corners + left])[area > 0].tolist()
+
+
+def test_bounds_of_parts_are_not_worked_out_where_no_shape_is_read(spark, monkeypatch):
+    """Their number is that of the parts; only outlines without parts are looked at."""
+    works, seen, spans = [], [], outlines._spans
+    monkeypatch.setattr(rings.F, "arrow_udf", lambda work, kind: works.append(work) or (lambda *c: F.lit(None).cast("struct<issue:string>")))
+    monkeypatch.setattr(outlines, "_spans", lambda xy, sizes: seen.append(len(sizes)) or spans(xy, sizes))
+    rings.cut_to_frame(F.lit(None), F.lit(0), F.lit(0), ())
+    flats = pa.array([[1.0, 1.0, 5.0, 1.0, 5.0, 5.0], [1.0, 1.0, 5.0, 5.0, 9.0, 9.0], [40.0, 40.0, 60.0, 40.0, 60.0, 60.0, 40.0, 60.0], None])
+    found = works[0](flats, pa.array([50.0] * 4), pa.array([50.0] * 4)).to_pylist()
+    assert sum(seen) == 1 and [(r["n_parts"], r["n_bounds"], r["min_extent"]) for r in found] == [(1, 1, False), (0, 1, False), (1, 1, False), (0, 0, False)]
